@@ -135,3 +135,178 @@ def level_statistics(merged: DataFrame) -> DataFrame:
 def _level_from(gid):
     return F.when(gid == 3, F.lit(LEVEL_OVERALL)).when(gid == 2, F.lit(LEVEL_DEVICE)).otherwise(
         F.lit(LEVEL_BUILD_DEVICE)).alias("level")
+
+
+# --- step 2: counts, top-k, distinct values, relations -------------------------
+
+# fixed values: relation texts of the build-type comparison
+REL_EQUAL = "{a} = {b} (equal)"
+REL_SUPERSET = "{a} ⊇ {b} (superset)"
+REL_SUBSET = "{a} ⊆ {b} (subset)"
+REL_DIFFERENT = "{a} ≠ {b} (different)"
+SUMMARY_SINGLE = "Single build type"
+SUMMARY_CHAIN = "Build types have equal or subset app relationships"
+SUMMARY_DIFFERENT = "Build types have different app sets"
+
+
+def app_counts(rows: DataFrame, keys=()) -> DataFrame:
+    """(keys, side, app, n) -- how many rows list each app, per side."""
+    exploded = _side_rows(rows, keys).where(F.col("app").isNotNull())
+    return exploded.groupBy(*keys, "side", "app").agg(F.count(F.lit(1)).alias("n"))
+
+
+def top_k(counts: DataFrame, partition, order, k: int, rank_col: str = "rank") -> DataFrame:
+    """Best ``k`` rows per partition, ties broken by ``order``.
+
+    ``row_number`` over a window with a ``<= k`` filter plans as a
+    ``WindowGroupLimit`` (partial top-k before the shuffle) in Spark 3.5+.
+    """
+    w = Window.partitionBy(*partition).orderBy(*order)
+    return counts.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
+
+
+def combo_label(fp="fp_code", sdp="sdp_code"):
+    """K02: 'FP vs SDP'; a missing code prints as 'nan' like the reference."""
+    return F.concat(F.coalesce(F.col(fp), F.lit("nan")), F.lit(" vs "), F.coalesce(F.col(sdp), F.lit("nan")))
+
+
+def distinct_in_order(df: DataFrame, columns, order_col: str = "rid") -> DataFrame:
+    """U05 + W13: distinct non-null values per column, in first-seen order."""
+    stacked = df.select(order_col, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])).alias("cv"))
+    firsts = (stacked.select(order_col, "cv.*").where(F.col("value").isNotNull())
+              .groupBy("column_name", "value").agg(F.min(order_col).alias("first_" + order_col)))
+    w = Window.partitionBy("column_name").orderBy("first_" + order_col)
+    return firsts.withColumn("pos", F.row_number().over(w))
+
+
+def raw_combinations(df: DataFrame) -> DataFrame:
+    """J02 + A02 + F03: observed (device, build_type, fingerprint, sdp) combos.
+
+    Raw keys, NULL keys dropped (the reference lists non-null values only);
+    lists are the order-preserving distinct union over the combo's rows in
+    ``rid`` order.  No cross join: only observed pairs are grouped.
+    """
+    from tessera.functions.text import parse_list_keep_blank
+    keys = ["device", "build_type", "fingerprint", "same_device_fingerprints"]
+    rows = df.where(F.col("device").isNotNull() & F.col("build_type").isNotNull()
+                    & F.col("fingerprint").isNotNull() & F.col("same_device_fingerprints").isNotNull())
+    items = rows.select(*keys, "rid", F.posexplode(F.concat(
+        F.transform(F.when(F.col("priv_base_apps").isNotNull(), parse_list_keep_blank("priv_base_apps"))
+                    .otherwise(F.array().cast("array<string>")), lambda a: F.struct(F.lit("base").alias("side"), a.alias("app"))),
+        F.transform(F.when(F.col("priv_var_apps").isNotNull(), parse_list_keep_blank("priv_var_apps"))
+                    .otherwise(F.array().cast("array<string>")), lambda a: F.struct(F.lit("variant").alias("side"), a.alias("app"))),
+    )).alias("pos", "sa")).select(*keys, "rid", "pos", "sa.side", "sa.app")
+    first = items.groupBy(*keys, "side", "app").agg(F.min(F.struct("rid", "pos")).alias("at"))
+    lists = first.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.when(F.col("side") == "base", F.struct("at", "app")))).alias("b"),
+        F.array_sort(F.collect_list(F.when(F.col("side") == "variant", F.struct("at", "app")))).alias("v"))
+    combos = rows.groupBy(*keys).agg(F.min("rid").alias("first_rid"), F.count(F.lit(1)).alias("n_rows"))
+    out = combos.join(lists, keys, "left")
+    empty = F.array().cast("array<string>")
+    return out.select(
+        *keys,
+        fingerprint_code("fingerprint").alias("fp_code"),
+        fingerprint_code("same_device_fingerprints").alias("sdp_code"),
+        F.coalesce(F.transform("b", lambda x: x["app"]), empty).alias("base"),
+        F.coalesce(F.transform("v", lambda x: x["app"]), empty).alias("variant"),
+        "first_rid", "n_rows")
+
+
+def app_profile(combos: DataFrame, section=("device", "build_type"), top: int = 5) -> DataFrame:
+    """A04 + A13 + A14 per section: distinct / total apps, singles (n = 1),
+    dominant (n > 1), top five, average apps per combination, smallest and
+    largest combination (total apps), for base and variant."""
+    section = list(section)
+    counts = app_counts(combos, section)
+    topn = top_k(counts, section + ["side"], [F.desc("n"), F.asc("app")], top)
+    top_text = topn.groupBy(*section, "side").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", F.concat_ws(":", "app", F.col("n").cast("string")).alias("t")))),
+                                 lambda x: x["t"]), ", ").alias("top"))
+    per_side = counts.groupBy(*section, "side").agg(
+        F.count(F.lit(1)).alias("uniq"), F.sum("n").alias("total"),
+        F.count(F.when(F.col("n") == 1, 1)).alias("single"), F.count(F.when(F.col("n") > 1, 1)).alias("dominant"))
+    per_side = per_side.join(top_text, section + ["side"], "left")
+    wide = per_side.groupBy(*section).pivot("side", ["base", "variant"]).agg(
+        F.first("uniq").alias("unique"), F.first("total").alias("total"),
+        F.first("single").alias("single"), F.first("dominant").alias("dominant"), F.first("top").alias("top5"))
+    sizes = combos.groupBy(*section).agg(
+        F.count(F.lit(1)).alias("n_combos"),
+        F.sum(F.size("base")).alias("base_total_"), F.sum(F.size("variant")).alias("var_total_"),
+        F.min(F.size("base") + F.size("variant")).alias("min_combo_apps"),
+        F.max(F.size("base") + F.size("variant")).alias("max_combo_apps"))
+    j = sizes.join(wide, section, "left")
+    z = F.lit(0).cast("bigint")
+    return j.select(
+        *section, "n_combos",
+        F.coalesce("base_unique", z).alias("base_unique"), F.coalesce("base_total_", z).alias("base_total"),
+        F.coalesce("base_single", z).alias("base_single"), F.coalesce("base_dominant", z).alias("base_dominant"),
+        F.coalesce("base_top5", F.lit("")).alias("base_top5"),
+        F.coalesce("variant_unique", z).alias("var_unique"), F.coalesce("var_total_", z).alias("var_total"),
+        F.coalesce("variant_single", z).alias("var_single"), F.coalesce("variant_dominant", z).alias("var_dominant"),
+        F.coalesce("variant_top5", F.lit("")).alias("var_top5"),
+        F.round(F.coalesce(F.try_divide("base_total_", "n_combos"), F.lit(0.0)), 4).alias("avg_base"),
+        F.round(F.coalesce(F.try_divide("var_total_", "n_combos"), F.lit(0.0)), 4).alias("avg_var"),
+        "min_combo_apps", "max_combo_apps")
+
+
+def build_type_sets(merged: DataFrame) -> DataFrame:
+    """Per (device, build_type) the distinct base, variant and all apps."""
+    ex = _side_rows(merged, ("device", "build_type"))
+    return ex.groupBy("device", "build_type").agg(
+        F.array_sort(F.collect_set(F.when(F.col("side") == "base", F.col("app")))).alias("base_set"),
+        F.array_sort(F.collect_set(F.when(F.col("side") == "variant", F.col("app")))).alias("var_set"),
+        F.array_sort(F.collect_set("app")).alias("all_set"))
+
+
+def build_type_relation(merged: DataFrame) -> DataFrame:
+    """W07 + U04: build types of a device ordered by set size (desc, then
+    name); each compared with the next: equal / superset / subset / different;
+    per-device summary.  Devices with one build type get 'Single build type'."""
+    sets = build_type_sets(merged).where(F.col("device").isNotNull() & F.col("build_type").isNotNull())
+    w = Window.partitionBy("device").orderBy(F.desc(F.size("all_set")), F.asc("build_type"))
+    s = (sets.withColumn("pos", F.row_number().over(w))
+         .withColumn("next_build_type", F.lead("build_type").over(w))
+         .withColumn("next_set", F.lead("all_set").over(w))
+         .withColumn("n_types", F.count(F.lit(1)).over(Window.partitionBy("device"))))
+    a, b = F.col("all_set"), F.col("next_set")
+    b_in_a = F.size(F.array_except(b, a)) == 0
+    a_in_b = F.size(F.array_except(a, b)) == 0
+
+    def fmt(t):
+        return F.replace(F.replace(F.lit(t), F.lit("{a}"), F.col("build_type")), F.lit("{b}"), F.col("next_build_type"))
+
+    rel = (F.when(b.isNull(), F.lit(None).cast("string"))
+           .when(b_in_a & a_in_b, fmt(REL_EQUAL))
+           .when(b_in_a, fmt(REL_SUPERSET))
+           .when(a_in_b, fmt(REL_SUBSET))
+           .otherwise(fmt(REL_DIFFERENT)))
+    s = s.withColumn("relation", rel).withColumn("is_different", b.isNotNull() & ~b_in_a & ~a_in_b)
+    any_diff = F.max(F.col("is_different").cast("int")).over(Window.partitionBy("device"))
+    summary = (F.when(F.col("n_types") < 2, F.lit(SUMMARY_SINGLE))
+               .when(any_diff == 1, F.lit(SUMMARY_DIFFERENT)).otherwise(F.lit(SUMMARY_CHAIN)))
+    return s.select("device", "pos", "build_type", "next_build_type", "relation",
+                    F.size("base_set").alias("base_count"), F.size("var_set").alias("var_count"),
+                    F.size("all_set").alias("all_count"), summary.alias("summary"))
+
+
+def build_counts(merged: DataFrame) -> DataFrame:
+    """Merged rows and combinations (fp != sdp) per (device, build_type)."""
+    return merged.groupBy("device", "build_type").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count(F.when(~F.col("fp_code").eqNullSafe(F.col("sdp_code")), 1)).alias("n_combinations"))
+
+
+def merge_audit(parsed: DataFrame) -> DataFrame:
+    """Original rows, self comparisons removed, rows merged away, final."""
+    keys = [F.col(k) for k in MERGE_KEYS]
+    kept = F.when(~F.col("fp_code").eqNullSafe(F.col("sdp_code")), F.struct(*keys))
+    agg = parsed.agg(
+        F.count(F.lit(1)).alias("original_rows"),
+        F.count(F.when(F.col("fp_code").eqNullSafe(F.col("sdp_code")), 1)).alias("self_removed"),
+        F.count(kept).alias("after_self"),
+        F.count_distinct(kept).alias("distinct_keys"))
+    # count_distinct skips structs that are NULL, not structs holding NULLs
+    return agg.select("original_rows", "self_removed", "after_self",
+                      (F.col("after_self") - F.col("distinct_keys")).alias("merged_away"),
+                      F.col("distinct_keys").alias("final_rows"))

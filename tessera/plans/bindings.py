@@ -53,17 +53,19 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def config_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def config_rows(spark: SparkSession, sf_dir: str, by_customer: bool = False) -> DataFrame:
     """One configuration row per order (see SURVEY §7.2 ``config_rows``).
 
     Columns: rid, device, build_type, release_type, vr_qualified, fingerprint,
     same_device_fingerprints, priv_base_apps, priv_var_apps (all text but rid).
+    ``by_customer`` makes the customer name the device (``config_by_customer``).
     """
     geo = geography(spark, sf_dir)
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
+    c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment", "c_name")
     s = table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-    cust = c.join(geo, c.c_nationkey == geo.n_nationkey).select("c_custkey", "c_mktsegment", F.col("geo").alias("c_geo"))
+    cust = c.join(geo, c.c_nationkey == geo.n_nationkey).select(
+        "c_custkey", F.col("c_name" if by_customer else "c_mktsegment").alias("c_device"), F.col("geo").alias("c_geo"))
     supp = s.join(geo, s.s_nationkey == geo.n_nationkey).select("s_suppkey", F.col("geo").alias("s_geo"))
     lines = order_lines(spark, sf_dir)
     df = (o.join(cust, o.o_custkey == cust.c_custkey, "left")
@@ -72,11 +74,11 @@ def config_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty = F.array().cast("array<string>")
     return df.select(
         F.col("o_orderkey").alias("rid"),
-        F.col("c_mktsegment").alias("device"),
+        F.col("c_device").alias("device"),
         F.col("o_orderstatus").alias("build_type"),
         F.when(F.col("o_orderpriority") == SMR_PRIORITY, F.lit("SMR")).otherwise(F.col("o_orderpriority")).alias("release_type"),
         F.when(F.col("o_orderkey") % VR_EVERY == 0, F.lit("TRUE")).otherwise(F.lit("FALSE")).alias("vr_qualified"),
-        F.lower(F.concat_ws("/", "c_geo", "o_orderpriority")).alias("fingerprint"),
+        F.lower(F.concat("c_geo", F.lit("/"), "o_orderpriority")).alias("fingerprint"),
         F.when(F.col("s_geo").isNotNull(), F.concat(F.col("s_geo"), F.lit("/" + SUPPLIER_FP_TAIL))).alias("same_device_fingerprints"),
         list_text(F.coalesce("base_brands", empty)).alias("priv_base_apps"),
         list_text(F.coalesce("var_brands", empty)).alias("priv_var_apps"),

@@ -24,10 +24,11 @@ order_lines AS (
   FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
   GROUP BY l.l_orderkey)"""
 
-CTE["config_rows"] = """
-config_rows AS (
+CTE["config_src"] = """
+config_src AS (
   SELECT o.o_orderkey AS rid,
          c.c_mktsegment AS device,
+         c.c_name AS customer_name,
          o.o_orderstatus AS build_type,
          CASE WHEN o.o_orderpriority = '5-LOW' THEN 'SMR' ELSE o.o_orderpriority END AS release_type,
          CASE WHEN o.o_orderkey % 10 = 0 THEN 'TRUE' ELSE 'FALSE' END AS vr_qualified,
@@ -42,6 +43,16 @@ config_rows AS (
   LEFT JOIN supplier s ON ol.first_suppkey = s.s_suppkey
   LEFT JOIN geo sg ON s.s_nationkey = sg.n_nationkey)"""
 
+CTE["config_rows"] = """
+config_rows AS (SELECT * EXCLUDE (customer_name) FROM config_src)"""
+
+# config_by_customer: the customer name is the device
+CTE["config_rows_by_customer"] = """
+config_rows AS (
+  SELECT rid, customer_name AS device, build_type, release_type, vr_qualified, fingerprint,
+         same_device_fingerprints, priv_base_apps, priv_var_apps
+  FROM config_src)"""
+
 # F01 fingerprint code and F02 list parse, for the (well-formed) bound lists
 CTE["report_rows"] = """
 report_rows AS (
@@ -75,15 +86,19 @@ merged AS (
 DEPS = {
     "geo": [],
     "order_lines": [],
-    "config_rows": ["geo", "order_lines"],
+    "config_src": ["geo", "order_lines"],
+    "config_rows": ["config_src"],
     "report_rows": ["config_rows"],
     "kept_rows": ["report_rows"],
     "merged": ["kept_rows"],
 }
 
 
-def with_(*names: str) -> str:
-    """``WITH`` clause holding the named snippets and everything they need."""
+def with_(*names: str, by_customer: bool = False) -> str:
+    """``WITH`` clause holding the named snippets and everything they need.
+
+    ``by_customer`` swaps in the binding where the customer is the device.
+    """
     order: list[str] = []
 
     def visit(n):
@@ -94,7 +109,12 @@ def with_(*names: str) -> str:
 
     for n in names:
         visit(n)
-    return "WITH " + ",".join(CTE[n] for n in order) + "\n"
+    def text(n):
+        if by_customer and n == "config_rows":
+            return CTE["config_rows_by_customer"]
+        return CTE[n]
+
+    return "WITH " + ",".join(text(n) for n in order) + "\n"
 
 
 SQL: dict[str, str] = {}
@@ -122,3 +142,139 @@ SELECT CASE t.gid WHEN 3 THEN 'overall' WHEN 2 THEN 'device' ELSE 'build_type_de
 FROM totals t LEFT JOIN uniq u
   ON t.gid = u.gid AND t.build_type IS NOT DISTINCT FROM u.build_type AND t.device IS NOT DISTINCT FROM u.device
 """
+
+SQL["top_apps"] = with_("merged") + """,
+apps AS (
+  SELECT 'base' AS side, unnest(base) AS app FROM merged
+  UNION ALL SELECT 'variant' AS side, unnest(variant) AS app FROM merged),
+c AS (SELECT side, app, count(*) AS n FROM apps GROUP BY side, app),
+r AS (SELECT side, app, n, CAST(row_number() OVER (PARTITION BY side ORDER BY n DESC, app) AS INTEGER) AS rank FROM c)
+SELECT side, rank, app, substr(string_split(app, '.')[-1], 1, 15) AS label, n FROM r WHERE rank <= 10
+"""
+
+SQL["top_combos"] = with_("merged") + """,
+c AS (SELECT coalesce(fp_code, 'nan') || ' vs ' || coalesce(sdp_code, 'nan') AS combo, count(*) AS n FROM merged GROUP BY 1),
+r AS (SELECT combo, n, CAST(row_number() OVER (ORDER BY n DESC, combo) AS INTEGER) AS rank FROM c)
+SELECT rank, combo, n FROM r WHERE rank <= 10
+"""
+
+SQL["distinct_values"] = with_("config_rows") + """,
+v AS (
+  SELECT 'device' AS column_name, device AS value, rid FROM config_rows
+  UNION ALL SELECT 'build_type', build_type, rid FROM config_rows),
+f AS (SELECT column_name, value, min(rid) AS first_rid FROM v WHERE value IS NOT NULL GROUP BY 1, 2)
+SELECT column_name, value, first_rid,
+       CAST(row_number() OVER (PARTITION BY column_name ORDER BY first_rid) AS INTEGER) AS pos
+FROM f
+"""
+
+CTE["rc"] = """
+rc_rows AS (
+  SELECT * FROM report_rows
+  WHERE device IS NOT NULL AND build_type IS NOT NULL AND fingerprint IS NOT NULL
+    AND same_device_fingerprints IS NOT NULL),
+rc_items AS (
+  SELECT device, build_type, fingerprint, same_device_fingerprints, rid, 'base' AS side,
+         unnest(base) AS app, generate_subscripts(base, 1) AS pos FROM rc_rows
+  UNION ALL
+  SELECT device, build_type, fingerprint, same_device_fingerprints, rid, 'variant' AS side,
+         unnest(variant) AS app, generate_subscripts(variant, 1) AS pos FROM rc_rows),
+rc_first AS (
+  SELECT device, build_type, fingerprint, same_device_fingerprints, side, app, min({'r': rid, 'p': pos}) AS first_at
+  FROM rc_items GROUP BY ALL),
+rc_lists AS (
+  SELECT device, build_type, fingerprint, same_device_fingerprints,
+         list(app ORDER BY first_at) FILTER (WHERE side = 'base') AS base,
+         list(app ORDER BY first_at) FILTER (WHERE side = 'variant') AS variant
+  FROM rc_first GROUP BY ALL),
+rc AS (
+  SELECT k.device, k.build_type, k.fingerprint, k.same_device_fingerprints,
+         CASE WHEN len(string_split(k.fingerprint, '/')) >= 2 THEN upper(right(string_split(k.fingerprint, '/')[2], 3)) ELSE k.fingerprint END AS fp_code,
+         CASE WHEN len(string_split(k.same_device_fingerprints, '/')) >= 2 THEN upper(right(string_split(k.same_device_fingerprints, '/')[2], 3)) ELSE k.same_device_fingerprints END AS sdp_code,
+         coalesce(l.base, []) AS base, coalesce(l.variant, []) AS variant, k.first_rid, k.n_rows
+  FROM (SELECT device, build_type, fingerprint, same_device_fingerprints, min(rid) AS first_rid, count(*) AS n_rows
+        FROM rc_rows GROUP BY ALL) k
+  LEFT JOIN rc_lists l
+    ON k.device = l.device AND k.build_type = l.build_type AND k.fingerprint = l.fingerprint
+   AND k.same_device_fingerprints = l.same_device_fingerprints)"""
+DEPS["rc"] = ["report_rows"]
+
+SQL["raw_combinations"] = with_("rc") + """
+SELECT device, build_type, fingerprint, same_device_fingerprints, fp_code, sdp_code, first_rid, n_rows,
+       array_to_string(base, '|') AS base, array_to_string(variant, '|') AS variant
+FROM rc
+"""
+
+SQL["app_profile"] = with_("rc") + """,
+items AS (
+  SELECT device, build_type, 'base' AS side, unnest(base) AS app FROM rc
+  UNION ALL SELECT device, build_type, 'variant' AS side, unnest(variant) AS app FROM rc),
+cnt AS (SELECT device, build_type, side, app, count(*) AS n FROM items GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY device, build_type, side ORDER BY n DESC, app) AS rk FROM cnt),
+per_side AS (
+  SELECT device, build_type, side, count(*) AS uniq, CAST(sum(n) AS BIGINT) AS total,
+         count(*) FILTER (WHERE n = 1) AS single, count(*) FILTER (WHERE n > 1) AS dominant,
+         string_agg(app || ':' || CAST(n AS VARCHAR), ', ' ORDER BY rk) FILTER (WHERE rk <= 5) AS top5
+  FROM ranked GROUP BY ALL),
+sizes AS (
+  SELECT device, build_type, count(*) AS n_combos,
+         CAST(sum(len(base)) AS BIGINT) AS base_total, CAST(sum(len(variant)) AS BIGINT) AS var_total,
+         CAST(min(len(base) + len(variant)) AS INTEGER) AS min_combo_apps,
+         CAST(max(len(base) + len(variant)) AS INTEGER) AS max_combo_apps
+  FROM rc GROUP BY ALL)
+SELECT s.device, s.build_type, s.n_combos,
+       coalesce(b.uniq, 0) AS base_unique, coalesce(s.base_total, 0) AS base_total,
+       coalesce(b.single, 0) AS base_single, coalesce(b.dominant, 0) AS base_dominant, coalesce(b.top5, '') AS base_top5,
+       coalesce(v.uniq, 0) AS var_unique, coalesce(s.var_total, 0) AS var_total,
+       coalesce(v.single, 0) AS var_single, coalesce(v.dominant, 0) AS var_dominant, coalesce(v.top5, '') AS var_top5,
+       round(coalesce(s.base_total / s.n_combos, 0.0), 4) AS avg_base,
+       round(coalesce(s.var_total / s.n_combos, 0.0), 4) AS avg_var,
+       s.min_combo_apps, s.max_combo_apps
+FROM sizes s
+LEFT JOIN per_side b ON s.device = b.device AND s.build_type = b.build_type AND b.side = 'base'
+LEFT JOIN per_side v ON s.device = v.device AND s.build_type = v.build_type AND v.side = 'variant'
+"""
+
+SQL["build_type_relation"] = with_("merged", by_customer=True) + """,
+sets AS (
+  SELECT device, build_type,
+         list_sort(list_distinct(flatten(list(base)))) AS base_set,
+         list_sort(list_distinct(flatten(list(variant)))) AS var_set,
+         list_sort(list_distinct(flatten(list(base || variant)))) AS all_set
+  FROM merged WHERE device IS NOT NULL AND build_type IS NOT NULL GROUP BY ALL),
+o AS (
+  SELECT *, CAST(row_number() OVER w AS INTEGER) AS pos, lead(build_type) OVER w AS next_build_type,
+         lead(all_set) OVER w AS next_set, count(*) OVER (PARTITION BY device) AS n_types
+  FROM sets WINDOW w AS (PARTITION BY device ORDER BY len(all_set) DESC, build_type)),
+r AS (
+  SELECT *,
+    CASE WHEN next_set IS NULL THEN NULL
+         WHEN list_has_all(all_set, next_set) AND list_has_all(next_set, all_set) THEN build_type || ' = ' || next_build_type || ' (equal)'
+         WHEN list_has_all(all_set, next_set) THEN build_type || ' ⊇ ' || next_build_type || ' (superset)'
+         WHEN list_has_all(next_set, all_set) THEN build_type || ' ⊆ ' || next_build_type || ' (subset)'
+         ELSE build_type || ' ≠ ' || next_build_type || ' (different)' END AS relation,
+    (next_set IS NOT NULL AND NOT list_has_all(all_set, next_set) AND NOT list_has_all(next_set, all_set)) AS is_diff
+  FROM o)
+SELECT device, pos, build_type, next_build_type, relation,
+       CAST(len(base_set) AS INTEGER) AS base_count, CAST(len(var_set) AS INTEGER) AS var_count,
+       CAST(len(all_set) AS INTEGER) AS all_count,
+       CASE WHEN n_types < 2 THEN 'Single build type'
+            WHEN bool_or(is_diff) OVER (PARTITION BY device) THEN 'Build types have different app sets'
+            ELSE 'Build types have equal or subset app relationships' END AS summary
+FROM r
+"""
+
+SQL["build_counts"] = with_("merged") + """
+SELECT device, build_type, count(*) AS row_count,
+       count(*) FILTER (WHERE fp_code IS DISTINCT FROM sdp_code) AS n_combinations
+FROM merged GROUP BY ALL
+"""
+
+SQL["merge_audit"] = with_("merged") + """
+SELECT count(*) AS original_rows,
+       count(*) FILTER (WHERE fp_code IS NOT DISTINCT FROM sdp_code) AS self_removed,
+       count(*) FILTER (WHERE fp_code IS DISTINCT FROM sdp_code) AS after_self,
+       count(*) FILTER (WHERE fp_code IS DISTINCT FROM sdp_code) - (SELECT count(*) FROM merged) AS merged_away,
+       (SELECT count(*) FROM merged) AS final_rows
+FROM report_rows
+"""

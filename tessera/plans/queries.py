@@ -33,3 +33,65 @@ def fingerprint_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, total and distinct apps, averages: overall / device / build x device."""
     merged = profiles.merged_report_rows(bindings.config_rows(spark, sf_dir))
     return profiles.level_statistics(merged)
+
+
+def _joined(col: str, sep: str = "|"):
+    """Render an array column as text for engine-neutral comparison."""
+    return F.array_join(F.col(col), sep).alias(col)
+
+
+# -- step 2: report counts, top-k, relations ------------------------------------
+
+@register("top_apps")
+def top_apps(spark, sf_dir):
+    """A03 + K01 + F13: ten most listed base / variant apps over merged rows."""
+    from tessera.functions.text import short_label
+    merged = profiles.merged_report_rows(bindings.config_rows(spark, sf_dir))
+    top = profiles.top_k(profiles.app_counts(merged), ["side"], [F.desc("n"), F.asc("app")], 10)
+    return top.select("side", "rank", "app", short_label("app").alias("label"), "n")
+
+
+@register("top_combos")
+def top_combos(spark, sf_dir):
+    """Ten most frequent 'FP vs SDP' combinations over merged rows."""
+    merged = profiles.merged_report_rows(bindings.config_rows(spark, sf_dir))
+    counts = merged.groupBy(profiles.combo_label().alias("combo")).agg(F.count(F.lit(1)).alias("n"))
+    return profiles.top_k(counts.withColumn("g", F.lit(0)), ["g"], [F.desc("n"), F.asc("combo")], 10).select("rank", "combo", "n")
+
+
+@register("distinct_values")
+def distinct_values(spark, sf_dir):
+    """U05 + W13: distinct devices and build types in first-seen order."""
+    return profiles.distinct_in_order(bindings.config_rows(spark, sf_dir), ["device", "build_type"])
+
+
+@register("raw_combinations")
+def raw_combinations(spark, sf_dir):
+    """J02 + A02 + F03 + P04: observed raw combinations with ordered app lists."""
+    rc = profiles.raw_combinations(bindings.config_rows(spark, sf_dir))
+    return rc.select(*[c for c in rc.columns if c not in ("base", "variant")], _joined("base"), _joined("variant"))
+
+
+@register("app_profile")
+def app_profile(spark, sf_dir):
+    """A04 + A13 + A14 + F25: app distribution per (device, build_type) section."""
+    return profiles.app_profile(profiles.raw_combinations(bindings.config_rows(spark, sf_dir)))
+
+
+@register("build_type_relation")
+def build_type_relation(spark, sf_dir):
+    """W07 + U03 + U04: neighbouring build-type app sets per customer."""
+    merged = profiles.merged_report_rows(bindings.config_rows(spark, sf_dir, by_customer=True))
+    return profiles.build_type_relation(merged)
+
+
+@register("build_counts")
+def build_counts(spark, sf_dir):
+    """Merged rows and combinations per (device, build_type)."""
+    return profiles.build_counts(profiles.merged_report_rows(bindings.config_rows(spark, sf_dir)))
+
+
+@register("merge_audit")
+def merge_audit(spark, sf_dir):
+    """Preprocessing audit as one row."""
+    return profiles.merge_audit(profiles.parse_report_rows(bindings.config_rows(spark, sf_dir)))
