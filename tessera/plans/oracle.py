@@ -278,3 +278,115 @@ SELECT count(*) AS original_rows,
        (SELECT count(*) FROM merged) AS final_rows
 FROM report_rows
 """
+
+CTE["an_rows"] = """
+an_src AS (
+  SELECT rid, device, release_type, fingerprint, same_device_fingerprints,
+         CASE WHEN priv_base_apps IN ('[]', '[ ]') THEN '' ELSE priv_base_apps END AS b,
+         CASE WHEN priv_var_apps IN ('[]', '[ ]') THEN '' ELSE priv_var_apps END AS v
+  FROM config_rows
+  WHERE NOT (coalesce(release_type = 'SMR', false) OR coalesce(vr_qualified = 'TRUE', false))),
+an_rows AS (
+  SELECT rid, device, release_type,
+         CASE WHEN fingerprint IS NULL OR fingerprint = '' THEN fingerprint
+              ELSE coalesce(string_split(fingerprint, '/')[2], fingerprint) END AS fp,
+         CASE WHEN same_device_fingerprints IS NULL OR same_device_fingerprints = '' THEN same_device_fingerprints
+              ELSE coalesce(string_split(same_device_fingerprints, '/')[2], same_device_fingerprints) END AS sdp,
+         CASE WHEN b IS NULL OR b IN ('', '[]') THEN []::VARCHAR[]
+              WHEN regexp_matches(b, '^\\[.*\\]$') THEN coalesce(CAST(json(replace(b, '''', '"')) AS VARCHAR[]), [])
+              ELSE list_filter(list_transform(string_split(b, ','), lambda s: trim(s)), lambda s: s <> '') END AS base_apps,
+         CASE WHEN v IS NULL OR v IN ('', '[]') THEN []::VARCHAR[]
+              WHEN regexp_matches(v, '^\\[.*\\]$') THEN coalesce(CAST(json(replace(v, '''', '"')) AS VARCHAR[]), [])
+              ELSE list_filter(list_transform(string_split(v, ','), lambda s: trim(s)), lambda s: s <> '') END AS variant_apps
+  FROM an_src),
+an_counted AS (SELECT * FROM an_rows WHERE device IS NOT NULL AND release_type IS NOT NULL),
+an_side AS (
+  SELECT device, release_type, fp, sdp, 'base' AS side, unnest(base_apps) AS app FROM an_counted
+  UNION ALL
+  SELECT device, release_type, fp, sdp, 'variant' AS side, unnest(variant_apps) AS app FROM an_counted),
+an_pairs AS (
+  SELECT side, p.a AS app_a, p.b AS app_b FROM (
+    SELECT 'base' AS side, unnest(flatten(list_transform(range(1, len(s)), lambda i: list_transform(range(i + 1, len(s) + 1), lambda j: {'a': s[i], 'b': s[j]})))) AS p
+    FROM (SELECT list_sort(base_apps) AS s FROM an_counted)
+    UNION ALL
+    SELECT 'variant' AS side, unnest(flatten(list_transform(range(1, len(s)), lambda i: list_transform(range(i + 1, len(s) + 1), lambda j: {'a': s[i], 'b': s[j]})))) AS p
+    FROM (SELECT list_sort(variant_apps) AS s FROM an_counted)))"""
+DEPS["an_rows"] = ["config_rows"]
+
+SQL["release_counts"] = with_("an_rows") + """
+SELECT device, release_type, count(*) AS n FROM an_counted GROUP BY ALL
+"""
+
+SQL["fp_app_counts"] = with_("an_rows") + """
+SELECT device, release_type, fp, side, app, count(*) AS n
+FROM an_side WHERE fp IS NULL OR fp <> '' GROUP BY ALL
+"""
+
+SQL["same_fp_app_counts"] = with_("an_rows") + """
+SELECT device, release_type, sdp, side, app, count(*) AS n
+FROM an_side WHERE sdp IS NULL OR sdp <> '' GROUP BY ALL
+"""
+
+SQL["pair_counts"] = with_("an_rows") + """
+SELECT side, app_a, app_b, count(*) AS n FROM an_pairs GROUP BY ALL
+"""
+
+SQL["capped_scan"] = with_("an_rows") + """
+SELECT device, release_type, count(*) AS n
+FROM (SELECT * FROM an_rows ORDER BY rid LIMIT 5000)
+WHERE device IS NOT NULL AND release_type IS NOT NULL GROUP BY ALL
+"""
+
+SQL["device_release_share"] = with_("an_rows") + """,
+c AS (SELECT device, release_type, count(*) AS n FROM an_counted GROUP BY ALL),
+g AS (
+  SELECT 'device' AS dimension, device AS key, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY device
+  UNION ALL SELECT 'release_type', release_type, CAST(sum(n) AS BIGINT) FROM c GROUP BY release_type)
+SELECT dimension, key, n, round(n / sum(n) OVER (PARTITION BY dimension), 4) AS share FROM g
+"""
+
+SQL["topk_fingerprints"] = with_("an_rows") + """,
+c AS (SELECT device, release_type, count(*) AS entries FROM an_counted GROUP BY ALL),
+dev AS (SELECT device, CAST(sum(entries) AS BIGINT) AS device_total FROM c GROUP BY device),
+top_dev AS (
+  SELECT * FROM (SELECT *, CAST(row_number() OVER (ORDER BY device_total DESC, device) AS INTEGER) AS device_rank FROM dev)
+  WHERE device_rank <= 5),
+fpc AS (
+  SELECT device, release_type, fp, side, app, count(*) AS n FROM an_side
+  WHERE (fp IS NULL OR fp <> '') AND device IN (SELECT device FROM top_dev) GROUP BY ALL),
+fp_tot AS (SELECT device, release_type, fp, CAST(sum(n) AS BIGINT) AS fp_total_apps FROM fpc GROUP BY ALL),
+top_fp AS (
+  SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY device, release_type ORDER BY fp_total_apps DESC, fp NULLS LAST) AS INTEGER) AS fp_rank FROM fp_tot)
+  WHERE fp_rank <= 3),
+apps AS (
+  SELECT * FROM (
+    SELECT f.*, row_number() OVER (PARTITION BY f.device, f.release_type, f.fp, f.side ORDER BY f.n DESC, f.app) AS app_rank
+    FROM fpc f JOIN top_fp t ON f.device = t.device AND f.release_type = t.release_type AND f.fp = t.fp)
+  WHERE app_rank <= 3),
+txt AS (
+  SELECT device, release_type, fp,
+         coalesce(string_agg(app || ' (' || CAST(n AS VARCHAR) || ')', ', ' ORDER BY app_rank) FILTER (WHERE side = 'base'), '') AS top_base,
+         coalesce(string_agg(app || ' (' || CAST(n AS VARCHAR) || ')', ', ' ORDER BY app_rank) FILTER (WHERE side = 'variant'), '') AS top_variant
+  FROM apps GROUP BY ALL)
+SELECT d.device_rank, d.device, d.device_total, t.release_type, c.entries, t.fp_rank, t.fp AS fingerprint,
+       t.fp_total_apps, x.top_base, x.top_variant
+FROM top_fp t
+LEFT JOIN txt x ON t.device = x.device AND t.release_type = x.release_type AND t.fp = x.fp
+JOIN c ON t.device = c.device AND t.release_type = c.release_type
+JOIN top_dev d ON t.device = d.device
+"""
+
+SQL["headline"] = with_("an_rows") + """,
+apps AS (SELECT side, app, count(*) AS n FROM an_side GROUP BY ALL),
+top_app AS (SELECT app, n FROM apps WHERE side = 'base' ORDER BY n DESC, app LIMIT 1),
+pairs AS (SELECT app_a, app_b, count(*) AS n FROM an_pairs WHERE side = 'base' GROUP BY ALL),
+top_pair AS (SELECT app_a, app_b, n FROM pairs ORDER BY n DESC, app_a, app_b LIMIT 1)
+SELECT (SELECT count(DISTINCT device) FROM an_counted) AS total_devices,
+       (SELECT count(*) FROM an_counted) AS total_entries,
+       (SELECT count(*) FROM apps WHERE side = 'base') AS unique_base,
+       (SELECT count(*) FROM apps WHERE side = 'variant') AS unique_variant,
+       (SELECT app FROM top_app) AS top_base_app, (SELECT n FROM top_app) AS top_base_n,
+       (SELECT app_a FROM top_pair) AS top_pair_a, (SELECT app_b FROM top_pair) AS top_pair_b,
+       (SELECT n FROM top_pair) AS top_pair_n,
+       (SELECT count(DISTINCT device) FROM an_counted) > 10 AS high_diversity
+"""

@@ -95,3 +95,69 @@ def build_counts(spark, sf_dir):
 def merge_audit(spark, sf_dir):
     """Preprocessing audit as one row."""
     return profiles.merge_audit(profiles.parse_report_rows(bindings.config_rows(spark, sf_dir)))
+
+
+# -- step 3: analyzer counters ---------------------------------------------------
+
+def _analyzer(spark, sf_dir):
+    from tessera.operators import analyzer
+    return analyzer.analyzer_rows(bindings.config_rows(spark, sf_dir))
+
+
+@register("release_counts")
+def release_counts(spark, sf_dir):
+    """P01 + P02 + F04 + F05 + A07: entries per (device, release_type)."""
+    from tessera.operators import analyzer
+    return analyzer.release_counts(_analyzer(spark, sf_dir))
+
+
+@register("fp_app_counts")
+def fp_app_counts(spark, sf_dir):
+    """App counts per (device, release_type, fingerprint, side)."""
+    from tessera.operators import analyzer
+    return analyzer.keyed_app_counts(_analyzer(spark, sf_dir), "fp")
+
+
+@register("same_fp_app_counts")
+def same_fp_app_counts(spark, sf_dir):
+    """App counts per (device, release_type, same-device fingerprint, side)."""
+    from tessera.operators import analyzer
+    return analyzer.keyed_app_counts(_analyzer(spark, sf_dir), "sdp")
+
+
+@register("pair_counts")
+def pair_counts(spark, sf_dir):
+    """A10 + K07: co-occurring app pairs (sorted lists, duplicates kept)."""
+    from tessera.operators import analyzer
+    return analyzer.pair_counts(_analyzer(spark, sf_dir))
+
+
+CAPPED_ROWS = 5000
+
+
+@register("capped_scan")
+def capped_scan(spark, sf_dir):
+    """Entries per (device, release_type) over the first 5,000 kept rows."""
+    from tessera.operators import analyzer
+    return analyzer.release_counts(analyzer.capped(_analyzer(spark, sf_dir), CAPPED_ROWS))
+
+
+@register("device_release_share")
+def device_release_share(spark, sf_dir):
+    """Totals per device and per release type with their share."""
+    from tessera.operators import analyzer
+    return analyzer.device_release_share(analyzer.release_counts(_analyzer(spark, sf_dir)))
+
+
+@register("topk_fingerprints")
+def topk_fingerprints(spark, sf_dir):
+    """K03 + W08: top devices, their top fingerprints and top apps."""
+    from tessera.operators import analyzer
+    return analyzer.top_fingerprints(_analyzer(spark, sf_dir))
+
+
+@register("headline")
+def headline(spark, sf_dir):
+    """K08 + A12: headline numbers of the analyzer report."""
+    from tessera.operators import analyzer
+    return analyzer.headline(_analyzer(spark, sf_dir))
