@@ -99,3 +99,51 @@ def to_canonical(df: DataFrame) -> DataFrame:
         if old in df.columns:
             df = df.withColumnRenamed(old, new)
     return df
+
+
+# --- ordered series, id sets, tickets ----------------------------------------------
+
+def series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as one ordered series per user: (g, pos, v, x, y).
+
+    g = user_id; pos = 0-based order by (ts, event_id); v = x = integer ``k``
+    of the ``props`` JSON; y = floor(value).  Positions come from the
+    skew-safe ``row_number`` (a user may hold a third of all events).
+    """
+    from tessera.operators import segmented
+    ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "value", "props")
+    base = ev.select(F.col("user_id").alias("g"), "ts", "event_id",
+                     F.get_json_object("props", "$.k").cast("bigint").alias("v"),
+                     F.floor("value").cast("bigint").alias("y"))
+    r = segmented.ranked(base, ["g"], ["ts", "event_id"], out="_rn", method="row_number")
+    return r.select("g", (F.col("_rn") - 1).alias("pos"), "v", F.col("v").alias("x"), "y")
+
+
+def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as ticket content: (seq, ticket_id, content).
+
+    seq = event_id, ticket_id = user_id as text, content = event_type ':'
+    floor(value).  About 1,000 distinct contents at sf0.01, so tickets get
+    many versions, repeats, and a batch half with genuinely new content.
+    """
+    ev = table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value")
+    return ev.select(F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("ticket_id"),
+                     F.concat("event_type", F.lit(":"), F.floor("value").cast("bigint").cast("string")).alias("content"))
+
+
+def ticket_store_and_batch(spark: SparkSession, sf_dir: str):
+    """Split tickets at the middle ``seq`` (max(seq) div 2): stored rows and a new batch."""
+    t = tickets(spark, sf_dir)
+    mid = t.agg((F.max("seq") / 2).cast("bigint").alias("_mid")).withColumn("_k", F.lit(1))
+    tk = t.withColumn("_k", F.lit(1)).join(mid, "_k").drop("_k")
+    store = tk.where(F.col("seq") <= F.col("_mid")).drop("_mid")
+    batch = tk.where(F.col("seq") > F.col("_mid")).drop("_mid")
+    return store, batch
+
+
+def conversation_turns_minus_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of each conversation with turn ``conv_id % n_turns`` left out: (g, v)."""
+    c = table(spark, sf_dir, "conversations", "conv_id", "turn")
+    n = c.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n"))
+    return (c.join(n, "conv_id").where(F.col("turn") != F.col("conv_id") % F.col("_n"))
+            .select(F.col("conv_id").alias("g"), F.col("turn").alias("v")))

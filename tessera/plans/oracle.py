@@ -390,3 +390,107 @@ SELECT (SELECT count(DISTINCT device) FROM an_counted) AS total_devices,
        (SELECT n FROM top_pair) AS top_pair_n,
        (SELECT count(DISTINCT device) FROM an_counted) > 10 AS high_diversity
 """
+
+CTE["series"] = """
+series AS (
+  SELECT user_id AS g,
+         CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS INTEGER) AS pos,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS v,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS x,
+         CAST(floor(value) AS BIGINT) AS y
+  FROM events)"""
+DEPS["series"] = []
+
+CTE["tickets"] = """
+tickets AS (
+  SELECT event_id AS seq, CAST(user_id AS VARCHAR) AS ticket_id,
+         event_type || ':' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS content,
+         sha256(event_type || ':' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR)) AS content_hash
+  FROM events)"""
+DEPS["tickets"] = []
+
+SQL["smaller_count"] = with_("series") + """
+SELECT g, pos, v, CAST(rank() OVER (PARTITION BY g ORDER BY v) - 1 AS INTEGER) AS smaller FROM series
+"""
+
+SQL["best_rise"] = with_("series") + """,
+m AS (SELECT g, v, min(v) OVER (PARTITION BY g ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM series)
+SELECT g, CAST(greatest(0, coalesce(max(v - pm), 0)) AS BIGINT) AS best_rise FROM m GROUP BY g
+"""
+
+SQL["path_length"] = with_("series") + """,
+p AS (SELECT g, x, y, lag(x) OVER w AS px, lag(y) OVER w AS py FROM series WINDOW w AS (PARTITION BY g ORDER BY pos))
+SELECT g, CAST(coalesce(sum(greatest(abs(x - px), abs(y - py))), 0) AS BIGINT) AS path_length FROM p GROUP BY g
+"""
+
+SQL["pair_sum"] = with_("series") + """,
+pairs AS (
+  SELECT a.g, a.pos AS i, b.pos AS j, a.v AS v_i, b.v AS v_j,
+         row_number() OVER (PARTITION BY a.g ORDER BY a.pos, b.pos) AS rn
+  FROM series a JOIN series b ON a.g = b.g AND a.pos < b.pos AND a.v + b.v = 100)
+SELECT g, i, j, v_i, v_j FROM pairs WHERE rn = 1
+"""
+
+SQL["has_duplicates"] = with_("series") + """
+SELECT g, count(*) AS n, count(DISTINCT v) AS n_distinct, count(*) > count(DISTINCT v) AS has_duplicates
+FROM series GROUP BY g
+"""
+
+SQL["missing_ids"] = """
+SELECT range AS id FROM range(0, (SELECT max(o_orderkey) FROM orders) + 1)
+WHERE range NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL)
+"""
+
+SQL["missing_by_sum"] = """
+WITH n AS (SELECT conv_id, count(*) AS nt FROM conversations GROUP BY conv_id),
+t AS (SELECT c.conv_id, c.turn FROM conversations c JOIN n ON c.conv_id = n.conv_id WHERE c.turn <> c.conv_id % n.nt),
+a AS (SELECT conv_id, count(*) AS n, sum(turn) AS s FROM t GROUP BY conv_id)
+SELECT conv_id, n, CAST(n * (n + 1) // 2 - s AS BIGINT) AS missing FROM a
+"""
+
+SQL["id_membership"] = """
+SELECT o_orderstatus, count(*) AS n_orders,
+       count(*) FILTER (WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)) AS with_lines,
+       count(*) FILTER (WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL)) AS without_lines
+FROM orders GROUP BY o_orderstatus
+"""
+
+SQL["content_hash_dedup"] = with_("tickets") + """
+SELECT seq, ticket_id, content, content_hash
+FROM (SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY seq) AS rn FROM tickets) WHERE rn = 1
+"""
+
+SQL["insert_if_absent"] = with_("tickets") + """,
+f AS (SELECT content_hash, arg_min(seq, seq) AS fseq, arg_min(ticket_id, seq) AS fticket FROM tickets GROUP BY content_hash)
+SELECT t.seq, t.ticket_id, t.content_hash, t.seq = f.fseq AS created,
+       CASE WHEN t.seq = f.fseq THEN NULL WHEN t.ticket_id = f.fticket THEN 'exists' ELSE 'hash_taken' END AS reason
+FROM tickets t JOIN f ON t.content_hash = f.content_hash
+"""
+
+CTE["versions"] = """
+firsts AS (
+  SELECT ticket_id, content_hash, min(seq) AS first_seq, arg_min(content, seq) AS content
+  FROM tickets GROUP BY ticket_id, content_hash),
+versions AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY ticket_id ORDER BY first_seq) AS INTEGER) AS version,
+         count(*) OVER (PARTITION BY ticket_id) AS nv
+  FROM firsts)"""
+DEPS["versions"] = ["tickets"]
+
+SQL["versions"] = with_("versions") + """
+SELECT ticket_id, content_hash, first_seq, content, version, version = nv AS is_latest FROM versions
+"""
+
+SQL["latest"] = with_("versions") + """
+SELECT ticket_id, version AS max_version, content, content_hash FROM versions WHERE version = nv
+"""
+
+SQL["batch_ingest"] = with_("tickets") + """,
+mid AS (SELECT CAST(max(seq) / 2 AS BIGINT) AS m FROM tickets),
+store AS (SELECT * FROM tickets WHERE seq <= (SELECT m FROM mid)),
+batch AS (SELECT * FROM tickets WHERE seq > (SELECT m FROM mid)),
+existing AS (SELECT DISTINCT content_hash FROM store WHERE ticket_id IN (SELECT ticket_id FROM batch)),
+fresh AS (SELECT * FROM batch WHERE content_hash NOT IN (SELECT content_hash FROM existing))
+SELECT seq, ticket_id, content, content_hash
+FROM (SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY seq) AS rn FROM fresh) WHERE rn = 1
+"""

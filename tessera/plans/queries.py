@@ -161,3 +161,113 @@ def headline(spark, sf_dir):
     """K08 + A12: headline numbers of the analyzer report."""
     from tessera.operators import analyzer
     return analyzer.headline(_analyzer(spark, sf_dir))
+
+
+# -- step 5: ordered series and id sets -----------------------------------------
+
+PAIR_TARGET = 100
+
+
+@register("smaller_count")
+def smaller_count(spark, sf_dir):
+    """Per user, how many values are smaller than each value."""
+    from tessera.operators import series
+    return series.smaller_count(bindings.series(spark, sf_dir).select("g", "pos", "v"))
+
+
+@register("best_rise")
+def best_rise(spark, sf_dir):
+    """Per user, best rise over the lowest earlier value."""
+    from tessera.operators import series
+    return series.best_rise(bindings.series(spark, sf_dir).select("g", "pos", "v"))
+
+
+@register("path_length")
+def path_length(spark, sf_dir):
+    """W03 + F18: per user, Chebyshev path length through (x, y) in order."""
+    from tessera.operators import series
+    return series.path_length(bindings.series(spark, sf_dir).select("g", "pos", "x", "y"))
+
+
+@register("pair_sum")
+def pair_sum(spark, sf_dir):
+    """Per user, the first index pair whose values sum to 100."""
+    from tessera.operators import series
+    return series.pair_sum(bindings.series(spark, sf_dir).select("g", "pos", "v"), PAIR_TARGET)
+
+
+@register("has_duplicates")
+def has_duplicates(spark, sf_dir):
+    """Per user, whether any value repeats."""
+    from tessera.operators import series
+    return series.has_duplicates(bindings.series(spark, sf_dir).select("g", "v"))
+
+
+@register("missing_ids")
+def missing_ids(spark, sf_dir):
+    """Order keys 0..max(o_orderkey) that have no line items."""
+    from tessera.operators import series
+    from tessera.sources.tables import table
+    present = table(spark, sf_dir, "lineitem", "l_orderkey").select(F.col("l_orderkey").alias("id"))
+    bounds = table(spark, sf_dir, "orders", "o_orderkey").agg(F.lit(0).cast("bigint").alias("lo"), F.max("o_orderkey").alias("hi"))
+    return series.missing_ids(present, bounds)
+
+
+@register("missing_by_sum")
+def missing_by_sum(spark, sf_dir):
+    """The one turn left out of each conversation, by the sum formula."""
+    from tessera.operators import series
+    out = series.missing_by_sum(bindings.conversation_turns_minus_one(spark, sf_dir))
+    return out.withColumnRenamed("g", "conv_id")
+
+
+@register("id_membership")
+def id_membership(spark, sf_dir):
+    """Orders per status with / without line items (semi / anti join)."""
+    from tessera.operators import series
+    from tessera.sources.tables import table
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus")
+    li = table(spark, sf_dir, "lineitem", "l_orderkey")
+    with_lines = series.membership(o, li, "o_orderkey", "l_orderkey").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("with_lines"))
+    total = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_orders"))
+    return total.join(with_lines, "o_orderstatus", "left").select(
+        "o_orderstatus", "n_orders", F.coalesce("with_lines", F.lit(0).cast("bigint")).alias("with_lines"),
+        (F.col("n_orders") - F.coalesce("with_lines", F.lit(0).cast("bigint"))).alias("without_lines"))
+
+
+# -- step 6: content-hash dedup, versions, ingest ---------------------------------
+
+@register("content_hash_dedup")
+def content_hash_dedup(spark, sf_dir):
+    """D01 + D02 + F12: first row of every content hash."""
+    from tessera.operators import ingest
+    return ingest.first_per_hash(bindings.tickets(spark, sf_dir))
+
+
+@register("insert_if_absent")
+def insert_if_absent(spark, sf_dir):
+    """D03 + J08: created / exists / hash taken for each arriving row."""
+    from tessera.operators import ingest
+    return ingest.insert_if_absent(bindings.tickets(spark, sf_dir))
+
+
+@register("versions")
+def versions(spark, sf_dir):
+    """D04 + W05 + W06: versions of each ticket's content."""
+    from tessera.operators import ingest
+    return ingest.versions(bindings.tickets(spark, sf_dir))
+
+
+@register("latest")
+def latest(spark, sf_dir):
+    """D06 + K04 + A22: latest version per ticket."""
+    from tessera.operators import ingest
+    return ingest.latest(ingest.versions(bindings.tickets(spark, sf_dir)))
+
+
+@register("batch_ingest")
+def batch_ingest(spark, sf_dir):
+    """D05 + J03 + W12: new rows of the second half against the first half."""
+    from tessera.operators import ingest
+    store, batch = bindings.ticket_store_and_batch(spark, sf_dir)
+    return ingest.batch_ingest(store, batch)
