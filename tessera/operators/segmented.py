@@ -139,3 +139,19 @@ def previous_row(df: DataFrame, group: list[str], order_col: str, cols: list[str
     for c in cols:
         j = j.withColumn(prefix + c, F.when(F.col("_first_in_slice"), F.col("_prev." + c)).otherwise(F.col("_l_" + c)))
     return j.drop(*["_l_" + c for c in cols], "_first_in_slice", "_prev", SLICE)
+
+
+def running(df: DataFrame, group: list[str], order: list[str], value: str, out: str,
+            fn: str = "max", inclusive: bool = True, n: int | None = None) -> DataFrame:
+    """Running ``min`` / ``max`` of ``value`` in (group, order) order, over the
+    rows up to the current one (``inclusive``) or before it; NULLs skipped."""
+    agg = F.max if fn == "max" else F.min
+    comb = F.greatest if fn == "max" else F.least
+    s = slice_groups(df, group, order, n)
+    end = Window.currentRow if inclusive else -1
+    w = Window.partitionBy(*group, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    local = s.withColumn("_lrun", agg(value).over(w))
+    per = s.groupBy(*group, SLICE).agg(agg(value).alias("_srun"))
+    before = per.withColumn("_brun", agg("_srun").over(_earlier_slices(group)))
+    j = local.join(before.select(*group, SLICE, "_brun"), [*group, SLICE])
+    return j.withColumn(out, comb("_lrun", "_brun")).drop("_lrun", "_brun", SLICE)

@@ -147,3 +147,39 @@ def conversation_turns_minus_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = c.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n"))
     return (c.join(n, "conv_id").where(F.col("turn") != F.col("conv_id") % F.col("_n"))
             .select(F.col("conv_id").alias("g"), F.col("turn").alias("v")))
+
+
+# --- documents -----------------------------------------------------------------------
+
+def pages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conversations`` as paged documents: (doc_id, page_no, text)."""
+    c = table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+    return c.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page_no"), "text")
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model-output-shaped lines per conversation: (doc_id, line_no, line).
+
+    Turn t gives line 2t 'TOPIC: <role>' and line 2t+1 'FACT: <first line of text>'.
+    """
+    c = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    topic = c.select(F.col("conv_id").alias("doc_id"), (F.col("turn") * 2).alias("line_no"),
+                     F.concat(F.lit("TOPIC: "), F.col("role")).alias("line"))
+    fact = c.select(F.col("conv_id").alias("doc_id"), (F.col("turn") * 2 + 1).alias("line_no"),
+                    F.concat(F.lit("FACT: "), F.substring_index(F.col("text"), "\n", 1)).alias("line"))
+    return topic.unionByName(fact)
+
+
+def query_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token bag of all ``benchmark`` texts: (term, qtf) -- the relevance query."""
+    from tessera.operators.documents import term_counts
+    b = table(spark, sf_dir, "benchmark", "item_id", "text")
+    return term_counts(b, [], "text").withColumnRenamed("tf", "qtf")
+
+
+def vectors_and_queries(spark: SparkSession, sf_dir: str):
+    """``embeddings`` and one query per label: its lowest vec_id."""
+    e = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    q = e.groupBy("label").agg(F.min(F.struct("vec_id", "embedding")).alias("q")).select(
+        F.col("q.vec_id").alias("query_id"), F.col("label").alias("query_label"), F.col("q.embedding").alias("query_vec"))
+    return e.select("vec_id", "embedding"), q

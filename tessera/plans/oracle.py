@@ -494,3 +494,127 @@ fresh AS (SELECT * FROM batch WHERE content_hash NOT IN (SELECT content_hash FRO
 SELECT seq, ticket_id, content, content_hash
 FROM (SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY seq) AS rn FROM fresh) WHERE rn = 1
 """
+
+SQL["assemble_docs"] = """
+SELECT conv_id AS doc_id, count(*) AS n_pages, string_agg(coalesce(text, ''), '\n\n' ORDER BY turn) AS text
+FROM conversations GROUP BY conv_id
+"""
+
+CTE["doc_chunks"] = """
+doc_starts AS (
+  SELECT doc_id, text, CAST(len(coalesce(text, '')) AS BIGINT) AS L,
+         unnest(CASE WHEN len(coalesce(text, '')) > 0 THEN range(0, len(text), 700) ELSE [] END) AS start
+  FROM documents),
+doc_chunks AS (
+  SELECT doc_id, CAST(start // 700 AS INTEGER) AS chunk_idx,
+         CAST(count(*) OVER (PARTITION BY doc_id) AS INTEGER) AS n_chunks,
+         substr(text, CAST(start AS BIGINT) + 1, 800) AS chunk
+  FROM doc_starts)"""
+DEPS["doc_chunks"] = []
+
+SQL["chunks"] = with_("doc_chunks") + """
+SELECT doc_id, n_chunks, chunk_idx, chunk FROM doc_chunks
+"""
+
+SQL["relevant_chunks"] = with_("doc_chunks") + """,
+qt AS (
+  SELECT term, count(*) AS qtf
+  FROM (SELECT unnest(regexp_split_to_array(lower(text), '\\s+')) AS term FROM benchmark) WHERE term <> '' GROUP BY term),
+q2 AS (SELECT sum(qtf * qtf) AS q2 FROM qt),
+big AS (SELECT * FROM doc_chunks WHERE n_chunks > 10),
+tc AS (
+  SELECT doc_id, chunk_idx, term, count(*) AS tf
+  FROM (SELECT doc_id, chunk_idx, unnest(regexp_split_to_array(lower(chunk), '\\s+')) AS term FROM big)
+  WHERE term <> '' GROUP BY ALL),
+pc AS (
+  SELECT tc.doc_id, tc.chunk_idx, coalesce(sum(tc.tf * qt.qtf), 0) AS dot, sum(tc.tf * tc.tf) AS c2
+  FROM tc LEFT JOIN qt ON tc.term = qt.term GROUP BY ALL),
+scored AS (
+  SELECT b.doc_id, b.chunk_idx, b.chunk,
+         coalesce(CAST(pc.dot AS DOUBLE) / sqrt(CAST(pc.c2 * (SELECT q2 FROM q2) AS DOUBLE)), 0.0) AS score
+  FROM big b LEFT JOIN pc ON b.doc_id = pc.doc_id AND b.chunk_idx = pc.chunk_idx),
+best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, chunk_idx) AS rk FROM scored)
+  WHERE rk <= 15),
+kept AS (SELECT doc_id, count(*) AS n_kept, string_agg(chunk, '\n\n' ORDER BY chunk_idx) AS filtered FROM best GROUP BY doc_id),
+n AS (SELECT doc_id, max(n_chunks) AS n_chunks FROM doc_chunks GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n_chunks, 0) AS INTEGER) AS n_chunks,
+       CAST(CASE WHEN coalesce(n.n_chunks, 0) <= 10 THEN coalesce(n.n_chunks, 0) ELSE k.n_kept END AS INTEGER) AS n_kept,
+       CASE WHEN coalesce(n.n_chunks, 0) <= 10 THEN d.text ELSE k.filtered END AS text
+FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+SQL["vector_topk"] = """
+WITH q AS (
+  SELECT label AS query_label, min(vec_id) AS query_id, arg_min(embedding, vec_id) AS qv FROM embeddings GROUP BY label),
+qn AS (
+  SELECT query_id, query_label,
+         list_transform(qv, lambda x: CAST(x AS DOUBLE) / sqrt(list_reduce(list_transform(qv, lambda y: CAST(y AS DOUBLE) * CAST(y AS DOUBLE)), lambda a, b: a + b))) AS qv
+  FROM q),
+scored AS (
+  SELECT qn.query_label, qn.query_id, e.vec_id,
+         list_reduce(list_transform(range(1, len(e.embedding) + 1), lambda i: CAST(e.embedding[i] AS DOUBLE) * qn.qv[i]), lambda a, b: a + b) AS score
+  FROM embeddings e, qn),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_label, query_id, rank, vec_id, round(score, 6) AS score FROM r WHERE rank <= 10
+"""
+
+CTE["lines"] = """
+lines AS (
+  SELECT conv_id AS doc_id, turn * 2 AS line_no, 'TOPIC: ' || role AS line FROM conversations
+  UNION ALL
+  SELECT conv_id, turn * 2 + 1, 'FACT: ' || split_part(text, chr(10), 1) FROM conversations),
+stripped AS (
+  SELECT doc_id, line_no, regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS sl FROM lines),
+items AS (
+  SELECT doc_id, line_no, item FROM (
+    SELECT doc_id, line_no,
+      CASE WHEN starts_with(sl, 'TOPIC:') THEN regexp_replace(replace(sl, 'TOPIC:', ''), '^\\s+|\\s+$', '', 'g')
+           WHEN starts_with(sl, '- ') OR starts_with(sl, '* ') THEN regexp_replace(substr(sl, 3), '^\\s+|\\s+$', '', 'g')
+           WHEN regexp_matches(sl, '^\\d+[.)]\\s+') THEN regexp_replace(regexp_replace(sl, '^\\d+[.)]\\s+', ''), '^\\s+|\\s+$', '', 'g')
+      END AS item
+    FROM stripped)
+  WHERE length(item) > 3),
+firsts AS (
+  SELECT min({'d': doc_id, 'l': line_no}) AS first_at, arg_min(item, {'d': doc_id, 'l': line_no}) AS item
+  FROM items GROUP BY lower(trim(item)))"""
+DEPS["lines"] = []
+
+SQL["topic_list"] = with_("lines") + """,
+capped AS (SELECT * FROM firsts ORDER BY first_at LIMIT 25)
+SELECT CAST(row_number() OVER (ORDER BY first_at) - 1 AS INTEGER) AS topic_pos, item AS topic FROM capped
+"""
+
+CTE["facts"] = """
+topics AS (
+  SELECT CAST(row_number() OVER (ORDER BY first_at) - 1 AS INTEGER) AS topic_pos, item AS topic
+  FROM (SELECT * FROM firsts ORDER BY first_at LIMIT 2)),
+hdr AS (
+  SELECT doc_id, line_no AS h_line, lower(regexp_replace(replace(sl, 'TOPIC:', ''), '^\\s+|\\s+$', '', 'g')) AS name
+  FROM stripped WHERE starts_with(sl, 'TOPIC:')),
+matched AS (
+  SELECT h.doc_id, h.h_line, arg_min(t.topic, t.topic_pos) AS topic
+  FROM hdr h JOIN topics t ON contains(h.name, lower(t.topic)) OR contains(lower(t.topic), h.name)
+  GROUP BY ALL),
+cur AS (
+  SELECT *, max(CASE WHEN starts_with(sl, 'TOPIC:') THEN line_no END)
+              OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS h_line
+  FROM stripped),
+fl AS (
+  SELECT doc_id, line_no, h_line, regexp_replace(replace(sl, 'FACT:', ''), '^\\s+|\\s+$', '', 'g') AS fact
+  FROM cur WHERE starts_with(sl, 'FACT:') AND h_line IS NOT NULL),
+facts AS (
+  SELECT m.topic, f.doc_id, f.line_no, '[' || CAST(f.doc_id AS VARCHAR) || '] ' || f.fact AS fact
+  FROM fl f JOIN matched m ON f.doc_id = m.doc_id AND f.h_line = m.h_line
+  WHERE length(f.fact) > 10 AND upper(f.fact) <> 'NONE')"""
+DEPS["facts"] = ["lines"]
+
+SQL["section_facts"] = with_("facts") + """
+SELECT topic, doc_id, line_no, fact FROM facts
+"""
+
+SQL["facts_by_topic"] = with_("facts") + """
+SELECT t.topic_pos, f.topic, count(*) AS n_facts, count(DISTINCT f.doc_id) AS n_docs,
+       arg_min(f.fact, {'d': f.doc_id, 'l': f.line_no}) AS first_fact
+FROM facts f JOIN topics t ON f.topic = t.topic GROUP BY ALL
+"""

@@ -271,3 +271,77 @@ def batch_ingest(spark, sf_dir):
     from tessera.operators import ingest
     store, batch = bindings.ticket_store_and_batch(spark, sf_dir)
     return ingest.batch_ingest(store, batch)
+
+
+# -- step 7: documents -------------------------------------------------------------
+
+VECTOR_K = 10
+FACT_TOPICS = 2   # the topic list for fact extraction names two of the three roles
+
+
+@register("assemble_docs")
+def assemble_docs(spark, sf_dir):
+    """Conversations assembled from their turns as pages."""
+    from tessera.operators import documents
+    return documents.assemble_pages(bindings.pages_of(spark, sf_dir))
+
+
+@register("chunks")
+def chunks(spark, sf_dir):
+    """800-character chunks every 700 characters of every document."""
+    from tessera.operators import documents
+    from tessera.sources.tables import document_scan
+    return documents.chunk_rows(document_scan(spark, sf_dir))
+
+
+@register("relevant_chunks")
+def relevant_chunks(spark, sf_dir):
+    """T01 + F09: top 15 chunks per long document against the benchmark terms."""
+    from tessera.operators import documents
+    from tessera.sources.tables import document_scan
+    return documents.relevant_text(document_scan(spark, sf_dir), bindings.query_terms(spark, sf_dir))
+
+
+@register("vector_topk")
+def vector_topk(spark, sf_dir):
+    """T02 + F10 + F11 + J06 + W11: ten nearest embeddings per label query."""
+    from tessera.operators import documents
+    vecs, qs = bindings.vectors_and_queries(spark, sf_dir)
+    return documents.vector_topk(vecs, qs, VECTOR_K)
+
+
+@register("topic_list")
+def topic_list(spark, sf_dir):
+    """T03 = F06 + F22 + W09 + K05: consolidated topic list (at most 25)."""
+    from tessera.operators import documents
+    return documents.consolidate_topics(documents.list_items(bindings.lines(spark, sf_dir)))
+
+
+def _fact_rows(spark, sf_dir):
+    from tessera.operators import documents
+    ln = bindings.lines(spark, sf_dir)
+    topics = documents.consolidate_topics(documents.list_items(ln), FACT_TOPICS)
+    return documents.section_facts(ln, topics), topics
+
+
+@register("section_facts")
+def section_facts(spark, sf_dir):
+    """F07 = W04 + J05 + P13: facts under matched section headers."""
+    return _fact_rows(spark, sf_dir)[0]
+
+
+@register("facts_by_topic")
+def facts_by_topic(spark, sf_dir):
+    """A19 + A20 + T04: facts gathered per topic over all documents."""
+    from tessera.operators import documents
+    facts, topics = _fact_rows(spark, sf_dir)
+    return documents.facts_by_topic(facts, topics)
+
+
+@register("batched_scores")
+def batched_scores(spark, sf_dir):
+    """Chunk scores from a numpy scorer in Arrow batches (mapInPandas)."""
+    from tessera.operators import documents
+    from tessera.sources.tables import document_scan, table
+    ch = documents.chunk_rows(document_scan(spark, sf_dir))
+    return documents.batched_scores(ch, table(spark, sf_dir, "benchmark", "item_id", "text"))

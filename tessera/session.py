@@ -72,3 +72,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (written to the shared dir, survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
+
+    The check is one small job (``limit(max_rows + 1).count()``); above the
+    bound the frame is returned unchanged and the planner shuffles instead.
+    """
+    from pyspark.sql import functions as F
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
