@@ -618,3 +618,61 @@ SELECT t.topic_pos, f.topic, count(*) AS n_facts, count(DISTINCT f.doc_id) AS n_
        arg_min(f.fact, {'d': f.doc_id, 'l': f.line_no}) AS first_fact
 FROM facts f JOIN topics t ON f.topic = t.topic GROUP BY ALL
 """
+
+CTE["page_title"] = """
+page_t AS (
+  SELECT page_id, url, html,
+         replace(replace(replace(replace(replace(regexp_extract(html, '(?is)<title>(.*?)</title>', 1),
+           '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') AS t
+  FROM pages),
+page_titles AS (
+  SELECT page_id, url,
+         CASE WHEN contains(t, ' [') AND contains(t, '] - Issue Tracker') THEN split_part(t, ' [', 1)
+              WHEN t <> '' AND contains(t, ' - Issue Tracker') THEN split_part(t, ' - Issue Tracker', 1)
+              WHEN t <> '' THEN t
+              ELSE 'Title not parseable from page_title' END AS title
+  FROM page_t)"""
+DEPS["page_title"] = []
+
+CTE["page_items"] = """
+raw_items AS (
+  SELECT page_id, unnest(regexp_extract_all(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>', '', 'g'),
+                                            '(?is)<p>(.*?)</p>', 1)) AS p,
+         generate_subscripts(regexp_extract_all(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>', '', 'g'),
+                                                '(?is)<p>(.*?)</p>', 1), 1) - 1 AS raw_pos
+  FROM pages),
+items0 AS (
+  SELECT page_id, CAST(raw_pos AS INTEGER) AS raw_pos,
+         regexp_replace(replace(replace(replace(replace(replace(regexp_replace(p, '<[^>]*>', '', 'g'),
+           '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '^\\s+|\\s+$', '', 'g') AS text
+  FROM raw_items),
+page_items AS (
+  SELECT page_id, min(raw_pos) AS raw_pos, text FROM items0 WHERE text <> '' GROUP BY page_id, text)"""
+DEPS["page_items"] = []
+
+SQL["page_titles"] = with_("page_title") + """
+SELECT page_id, url, title FROM page_titles
+"""
+
+SQL["page_items"] = with_("page_items") + """
+SELECT page_id, raw_pos, text FROM page_items
+"""
+
+SQL["comments_concat"] = with_("page_title", "page_items") + """,
+d AS (SELECT page_id, arg_min(text, raw_pos) AS description_text, min(raw_pos) AS p0 FROM page_items GROUP BY page_id),
+c AS (
+  SELECT i.page_id,
+         string_agg('--- Comment ID: p' || CAST(i.raw_pos AS VARCHAR) || ' ---' || chr(10) || 'Author: Unknown' || chr(10)
+                    || 'Timestamp: Unknown' || chr(10) || 'Text:' || chr(10) || i.text || chr(10) || chr(10), '' ORDER BY i.raw_pos) AS allc
+  FROM page_items i JOIN d ON i.page_id = d.page_id WHERE i.raw_pos <> d.p0 GROUP BY i.page_id),
+o AS (
+  SELECT t.page_id, coalesce(t.url, 'Not found') AS issue_url, t.title AS issue_title, d.description_text,
+         regexp_replace(coalesce(c.allc, ''), '^\\s+|\\s+$', '', 'g') AS allc
+  FROM page_titles t LEFT JOIN d ON t.page_id = d.page_id LEFT JOIN c ON t.page_id = c.page_id)
+SELECT page_id, issue_url, issue_title,
+       coalesce(description_text, 'Description block not found') AS description_text,
+       CASE WHEN allc <> '' THEN allc
+            WHEN NOT starts_with(coalesce(description_text, 'Description block not found'), 'Description block') THEN 'No subsequent comments found.'
+            ELSE 'No comments or description found.' END AS all_comments_concatenated
+FROM o
+"""

@@ -345,3 +345,31 @@ def batched_scores(spark, sf_dir):
     from tessera.sources.tables import document_scan, table
     ch = documents.chunk_rows(document_scan(spark, sf_dir))
     return documents.batched_scores(ch, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+# -- step 8: pages --------------------------------------------------------------------
+
+@register("page_titles")
+def page_titles(spark, sf_dir):
+    """P10 + P09: normalised page titles."""
+    from tessera.operators import pages
+    from tessera.sources.tables import table
+    p = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return p.select("page_id", "url", pages.page_title().alias("title"))
+
+
+@register("page_items")
+def page_items(spark, sf_dir):
+    """T07 + D07: paragraphs of every page in order, repeats skipped."""
+    from tessera.operators import pages
+    from tessera.sources.tables import table
+    return pages.page_items(table(spark, sf_dir, "pages", "page_id", "html"))
+
+
+@register("comments_concat")
+def comments_concat(spark, sf_dir):
+    """A21 + P11: description and formatted later paragraphs per page."""
+    from tessera.operators import pages
+    from tessera.sources.tables import table
+    p = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return pages.comments_concat(p, pages.page_items(p))
