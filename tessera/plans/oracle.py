@@ -76,6 +76,8 @@ merged AS (
   SELECT device, build_type, fp_code, sdp_code,
          arg_min(fingerprint, rid) AS fingerprint,
          arg_min(same_device_fingerprints, rid) AS same_device_fingerprints,
+         arg_min(priv_base_apps, rid) AS priv_base_apps,
+         arg_min(priv_var_apps, rid) AS priv_var_apps,
          list_sort(list_distinct(flatten(list(base)))) AS base,
          list_sort(list_distinct(flatten(list(variant)))) AS variant,
          count(*) AS n_rows
@@ -676,3 +678,59 @@ SELECT page_id, issue_url, issue_title,
             ELSE 'No comments or description found.' END AS all_comments_concatenated
 FROM o
 """
+
+SQL["csv_roundtrip"] = """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents
+"""
+
+CTE["part_text"] = """
+part_text AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size,
+         CAST(p_retailprice AS VARCHAR) AS p_retailprice
+  FROM part),
+found AS (
+  SELECT * FROM part_text
+  WHERE contains(lower(p_partkey), 'red') OR contains(lower(p_name), 'red') OR contains(lower(p_brand), 'red')
+     OR contains(lower(p_type), 'red') OR contains(lower(p_size), 'red') OR contains(lower(p_retailprice), 'red'))"""
+DEPS["part_text"] = []
+
+SQL["search_any"] = with_("part_text") + """
+SELECT * FROM found
+"""
+
+SQL["edit_rows"] = with_("part_text") + """
+SELECT t.p_partkey,
+       CASE WHEN p.p_size >= 45 THEN upper(p.p_name) ELSE t.p_name END AS p_name,
+       CASE WHEN p.p_retailprice > 1500 THEN p.p_brand || '-X' ELSE t.p_brand END AS p_brand,
+       t.p_type, t.p_size, t.p_retailprice
+FROM part_text t JOIN part p ON t.p_partkey = CAST(p.p_partkey AS VARCHAR)
+"""
+
+SQL["delete_rows"] = with_("part_text") + """
+SELECT f.* FROM found f JOIN part p ON f.p_partkey = CAST(p.p_partkey AS VARCHAR) WHERE NOT (p.p_size <= 5)
+"""
+
+SQL["listing"] = with_("part_text") + """,
+numbered AS (SELECT p_partkey, CAST(row_number() OVER (ORDER BY CAST(p_partkey AS BIGINT)) AS INTEGER) AS record_no FROM part_text),
+f AS (
+  SELECT f.p_partkey, f.p_name, n.record_no,
+         CAST(row_number() OVER (ORDER BY CAST(f.p_partkey AS BIGINT)) AS INTEGER) AS position,
+         lag(f.p_partkey) OVER (ORDER BY CAST(f.p_partkey AS BIGINT)) AS prev_key,
+         lead(f.p_partkey) OVER (ORDER BY CAST(f.p_partkey AS BIGINT)) AS next_key,
+         count(*) OVER () AS n
+  FROM found f JOIN numbered n ON f.p_partkey = n.p_partkey)
+SELECT p_partkey, record_no, position, n, prev_key, next_key,
+       CASE WHEN coalesce(p_partkey, '') = '' THEN 'Record ' || CAST(record_no AS VARCHAR)
+            WHEN trim(p_partkey) = '' THEN '(empty)' ELSE trim(p_partkey) END AS title,
+       trim(coalesce(p_name, '')) AS subtitle
+FROM f
+"""
+
+SQL["json_nested"] = with_("merged") + """
+SELECT device, build_type, fp_code, sdp_code,
+       to_json({'device': device, 'build_type': build_type, 'fp_code': fp_code, 'sdp_code': sdp_code,
+                'fingerprint': fingerprint, 'same_device_fingerprints': same_device_fingerprints,
+                'priv_base_apps': priv_base_apps, 'priv_var_apps': priv_var_apps,
+                'base': base, 'variant': variant}) AS json
+FROM merged
+"""

@@ -373,3 +373,83 @@ def comments_concat(spark, sf_dir):
     from tessera.sources.tables import table
     p = table(spark, sf_dir, "pages", "page_id", "url", "html")
     return pages.comments_concat(p, pages.page_items(p))
+
+
+# -- step 9: CSV import / export, editor operations, JSON sink ---------------------
+
+SEARCH_TEXT = "Red"
+
+
+def _csv_copy(spark, df, name):
+    """Write ``df`` as quoted CSV (S11) to a scratch folder and read it back."""
+    from tessera.session import scratch_path
+    from tessera.sources import csvfiles
+    path = csvfiles.write_csv(csvfiles.as_text_columns(df), scratch_path(spark, name))
+    return csvfiles.read_quoted_csv(spark, path)
+
+
+def _part_csv(spark, sf_dir):
+    from tessera.sources.tables import table
+    return _csv_copy(spark, table(spark, sf_dir, "part"), "part-csv")
+
+
+@register("csv_roundtrip")
+def csv_roundtrip(spark, sf_dir):
+    """S01-S03 + S11: documents (quotes, commas, newlines) written as CSV and read back."""
+    from tessera.sources.tables import table
+    return _csv_copy(spark, table(spark, sf_dir, "documents"), "documents-csv")
+
+
+@register("search_any")
+def search_any(spark, sf_dir):
+    """Case-insensitive search over every column of the CSV copy of part."""
+    from tessera.operators import csvedit
+    return csvedit.search_any(_part_csv(spark, sf_dir), SEARCH_TEXT)
+
+
+def _part_edits(spark, sf_dir):
+    from tessera.sources.tables import table
+    p = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
+    key = F.col("p_partkey").cast("string").alias("p_partkey")
+    e1 = p.where(F.col("p_size") >= 45).select(key, F.lit("p_name").alias("column"), F.upper("p_name").alias("value"), F.lit(1).alias("seq"))
+    e2 = p.where(F.col("p_retailprice") > 1500).select(key, F.lit("p_brand").alias("column"),
+                                                       F.concat("p_brand", F.lit("-X")).alias("value"), F.lit(2).alias("seq"))
+    return e1.unionByName(e2)
+
+
+@register("edit_rows")
+def edit_rows(spark, sf_dir):
+    """Cell edits (upper-case names of big parts, tag brands of dear parts)."""
+    from tessera.operators import csvedit
+    return csvedit.apply_edits(_part_csv(spark, sf_dir), _part_edits(spark, sf_dir), "p_partkey")
+
+
+def _part_deletes(spark, sf_dir):
+    from tessera.sources.tables import table
+    p = table(spark, sf_dir, "part", "p_partkey", "p_size")
+    return p.where(F.col("p_size") <= 5).select(F.col("p_partkey").cast("string").alias("p_partkey"))
+
+
+@register("delete_rows")
+def delete_rows(spark, sf_dir):
+    """Delete small parts, then re-run the search."""
+    from tessera.operators import csvedit
+    kept = csvedit.delete_rows(_part_csv(spark, sf_dir), _part_deletes(spark, sf_dir), "p_partkey")
+    return csvedit.search_any(kept, SEARCH_TEXT)
+
+
+@register("listing")
+def listing(spark, sf_dir):
+    """P08 + W10: labels and record cursor over the search result."""
+    from tessera.operators import csvedit
+    df = _part_csv(spark, sf_dir).withColumn("_ord", F.col("p_partkey").cast("bigint"))
+    found = csvedit.search_any(df.drop("_ord"), SEARCH_TEXT).withColumn("_ord", F.col("p_partkey").cast("bigint"))
+    return csvedit.listing(df, found, "p_partkey", "_ord", "p_partkey", "p_name")
+
+
+@register("json_nested")
+def json_nested(spark, sf_dir):
+    """S09 + F23 + P16: merged rows as JSON records, counters dropped."""
+    from tessera.sources import sinks
+    merged = profiles.merged_report_rows(bindings.config_rows(spark, sf_dir))
+    return sinks.json_records(merged.drop("n_rows"), ["device", "build_type", "fp_code", "sdp_code"])
