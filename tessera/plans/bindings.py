@@ -183,3 +183,69 @@ def vectors_and_queries(spark: SparkSession, sf_dir: str):
     q = e.groupBy("label").agg(F.min(F.struct("vec_id", "embedding")).alias("q")).select(
         F.col("q.vec_id").alias("query_id"), F.col("label").alias("query_label"), F.col("q.embedding").alias("query_vec"))
     return e.select("vec_id", "embedding"), q
+
+
+# --- hierarchies ---------------------------------------------------------------------
+
+def geo_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """region -> nation -> customer as one node table.
+
+    node ids 'r:<key>', 'n:<key>', 'c:<key>'; values: region key, nation key,
+    customer balance in cents.
+    """
+    r = table(spark, sf_dir, "region", "r_regionkey")
+    n = table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
+    c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_acctbal")
+    cols = ["node_id", "parent_id", "side", "value"]
+    rows = [
+        r.select(F.concat(F.lit("r:"), F.col("r_regionkey").cast("string")).alias("node_id"),
+                 F.lit(None).cast("string").alias("parent_id"), F.lit(None).cast("string").alias("side"),
+                 F.col("r_regionkey").cast("bigint").alias("value")),
+        n.select(F.concat(F.lit("n:"), F.col("n_nationkey").cast("string")),
+                 F.concat(F.lit("r:"), F.col("n_regionkey").cast("string")), F.lit(None).cast("string"),
+                 F.col("n_nationkey").cast("bigint")),
+        c.select(F.concat(F.lit("c:"), F.col("c_custkey").cast("string")),
+                 F.concat(F.lit("n:"), F.col("c_nationkey").cast("string")), F.lit(None).cast("string"),
+                 F.round(F.col("c_acctbal") * 100).cast("bigint")),
+    ]
+    out = rows[0].toDF(*cols)
+    for x in rows[1:]:
+        out = out.unionByName(x.toDF(*cols))
+    return out.withColumn("tree_id", F.lit(0))
+
+
+# fixed values: operator of each order's root by status
+ROOT_OP = {"O": -1, "F": -4}
+ROOT_OP_OTHER = -2
+
+
+def formula_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One expression tree per order with lines:
+    root(op by status; O add, F multiply, else subtract) over
+    (L: total quantity, R: divide(subtract(sum of line numbers, 3 x lines), lines))."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus")
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_linenumber")
+    a = li.groupBy("l_orderkey").agg(F.sum("l_quantity").cast("bigint").alias("q"),
+                                     F.sum("l_linenumber").cast("bigint").alias("a"), F.count(F.lit(1)).alias("c"))
+    t = o.join(a, o.o_orderkey == a.l_orderkey)
+    root_op = F.when(F.col("o_orderstatus") == "O", F.lit(ROOT_OP["O"])).when(
+        F.col("o_orderstatus") == "F", F.lit(ROOT_OP["F"])).otherwise(F.lit(ROOT_OP_OTHER))
+
+    key = F.col("o_orderkey").cast("string")
+
+    def node(i, parent, side, value):
+        pid = F.lit(None).cast("string") if parent is None else F.concat(key, F.lit(f":{parent}"))
+        return F.struct(F.concat(key, F.lit(f":{i}")).alias("node_id"), pid.alias("parent_id"),
+                        F.lit(side).cast("string").alias("side"), value.cast("bigint").alias("value"))
+
+    nodes = F.array(node(0, None, None, root_op), node(1, 0, "L", F.col("q")), node(2, 0, "R", F.lit(-3)),
+                    node(3, 2, "L", F.lit(-2)), node(4, 3, "L", F.col("a")), node(5, 3, "R", F.col("c") * 3),
+                    node(6, 2, "R", F.col("c")))
+    return t.select(F.col("o_orderkey").alias("tree_id"), F.explode(nodes).alias("n")).select("tree_id", "n.*")
+
+
+def words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Letter runs of every document, lower case: (word, occurrences)."""
+    d = table(spark, sf_dir, "documents", "text")
+    w = d.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0)).alias("word"))
+    return w.groupBy("word").agg(F.count(F.lit(1)).alias("occurrences"))

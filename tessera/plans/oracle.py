@@ -734,3 +734,52 @@ SELECT device, build_type, fp_code, sdp_code,
                 'base': base, 'variant': variant}) AS json
 FROM merged
 """
+
+SQL["anagram_groups"] = """
+WITH w AS (
+  SELECT word, count(*) AS occurrences
+  FROM (SELECT unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS word FROM documents) GROUP BY word),
+k AS (SELECT array_to_string(list_sort(string_split(word, '')), '') AS key, word, occurrences FROM w)
+SELECT key, count(*) AS n_words, CAST(sum(occurrences) AS BIGINT) AS n_occurrences,
+       array_to_string(list_sort(list(word)), '|') AS words
+FROM k GROUP BY key HAVING count(*) > 1
+"""
+
+SQL["bracket_check"] = """
+WITH b AS (SELECT doc_id, regexp_replace(text, '[^()\\[\\]{}]', '', 'g') AS b FROM documents)
+SELECT doc_id, CAST(length(b) AS INTEGER) AS n_brackets,
+       list_reduce(list_filter(string_split(b, ''), lambda x: x <> ''), lambda acc, ch:
+         CASE WHEN acc = '!' THEN acc
+              WHEN ch IN ('(', '[', '{') THEN acc || ch
+              WHEN ch = ')' AND right(acc, 1) = '(' THEN left(acc, length(acc) - 1)
+              WHEN ch = ']' AND right(acc, 1) = '[' THEN left(acc, length(acc) - 1)
+              WHEN ch = '}' AND right(acc, 1) = '{' THEN left(acc, length(acc) - 1)
+              ELSE '!' END, '') = '' AS balanced
+FROM b
+"""
+
+SQL["branch_sums"] = """
+WITH RECURSIVE nodes AS (
+  SELECT 'r:' || CAST(r_regionkey AS VARCHAR) AS node_id, NULL::VARCHAR AS parent_id, CAST(r_regionkey AS BIGINT) AS value FROM region
+  UNION ALL SELECT 'n:' || CAST(n_nationkey AS VARCHAR), 'r:' || CAST(n_regionkey AS VARCHAR), CAST(n_nationkey AS BIGINT) FROM nation
+  UNION ALL SELECT 'c:' || CAST(c_custkey AS VARCHAR), 'n:' || CAST(c_nationkey AS VARCHAR), CAST(round(c_acctbal * 100) AS BIGINT) FROM customer),
+walk(node_id, root_id, branch_sum, depth, path) AS (
+  SELECT node_id, node_id, value, 1, node_id FROM nodes WHERE parent_id IS NULL
+  UNION ALL
+  SELECT n.node_id, w.root_id, w.branch_sum + n.value, w.depth + 1, w.path || '/' || n.node_id
+  FROM walk w JOIN nodes n ON n.parent_id = w.node_id)
+SELECT node_id AS leaf_id, root_id, branch_sum, CAST(depth AS INTEGER) AS depth, path
+FROM walk WHERE node_id NOT IN (SELECT parent_id FROM nodes WHERE parent_id IS NOT NULL)
+"""
+
+SQL["metric_tree"] = """
+WITH l AS (
+  SELECT l_orderkey, CAST(sum(l_quantity) AS BIGINT) AS q, CAST(sum(l_linenumber) AS BIGINT) AS a, count(*) AS c
+  FROM lineitem GROUP BY l_orderkey),
+t AS (
+  SELECT o.o_orderkey, o.o_orderstatus, l.q, CASE WHEN l.c <> 0 THEN (l.a - 3 * l.c) // l.c END AS r
+  FROM orders o JOIN l ON o.o_orderkey = l.l_orderkey)
+SELECT o_orderkey AS tree_id,
+       CAST(CASE o_orderstatus WHEN 'O' THEN q + r WHEN 'F' THEN q * r ELSE q - r END AS BIGINT) AS result
+FROM t
+"""

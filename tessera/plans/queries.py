@@ -453,3 +453,40 @@ def json_nested(spark, sf_dir):
     from tessera.sources import sinks
     merged = profiles.merged_report_rows(bindings.config_rows(spark, sf_dir))
     return sinks.json_records(merged.drop("n_rows"), ["device", "build_type", "fp_code", "sdp_code"])
+
+
+# -- step 10: text checks and hierarchies ---------------------------------------------
+
+@register("anagram_groups")
+def anagram_groups(spark, sf_dir):
+    """groups of distinct document words that are anagrams of each other."""
+    from tessera.functions.text import anagram_key
+    w = bindings.words(spark, sf_dir)
+    g = w.groupBy(anagram_key("word").alias("key")).agg(
+        F.count(F.lit(1)).alias("n_words"), F.sum("occurrences").alias("n_occurrences"),
+        F.array_join(F.array_sort(F.collect_list("word")), "|").alias("words"))
+    return g.where(F.col("n_words") > 1)
+
+
+@register("bracket_check")
+def bracket_check(spark, sf_dir):
+    """whether the brackets of each document nest properly."""
+    from tessera.functions.text import bracket_chars, brackets_balanced
+    from tessera.sources.tables import table
+    d = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", bracket_chars("text").alias("b"))
+    return d.select("doc_id", F.length("b").alias("n_brackets"), brackets_balanced("b").alias("balanced"))
+
+
+@register("branch_sums")
+def branch_sums(spark, sf_dir):
+    """Root-to-leaf sums over region -> nation -> customer."""
+    from tessera.operators import hierarchy
+    out = hierarchy.branch_sums(bindings.geo_tree(spark, sf_dir))
+    return out.select("leaf_id", "root_id", "branch_sum", "depth", F.array_join("path", "/").alias("path"))
+
+
+@register("metric_tree")
+def metric_tree(spark, sf_dir):
+    """H02 + F19: bottom-up evaluation of one expression tree per order."""
+    from tessera.operators import hierarchy
+    return hierarchy.evaluate(bindings.formula_forest(spark, sf_dir))
