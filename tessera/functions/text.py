@@ -192,4 +192,4 @@ def bracket_chars(c) -> Column:
 
 def insight_sections(c) -> Column:
     """split insight text at blank lines or before a '**' line."""
-    return F.split(_c(c), r"\n\s*\n|\n(?=\*\*)")
+    return F.split(_c(c), r"\n\n+|\n(?=\*\*)")

@@ -783,3 +783,146 @@ SELECT o_orderkey AS tree_id,
        CAST(CASE o_orderstatus WHEN 'O' THEN q + r WHEN 'F' THEN q * r ELSE q - r END AS BIGINT) AS result
 FROM t
 """
+
+CTE["sections"] = """
+sec_rows AS (SELECT * FROM config_rows WHERE device IS NOT NULL AND build_type IS NOT NULL),
+fpf AS (
+  SELECT device, build_type, fingerprint, min(rid) AS fp_first FROM sec_rows
+  WHERE fingerprint IS NOT NULL GROUP BY ALL),
+sdf AS (
+  SELECT device, build_type, same_device_fingerprints, min(rid) AS sdp_first FROM sec_rows
+  WHERE same_device_fingerprints IS NOT NULL GROUP BY ALL),
+keyed AS (
+  SELECT r.*, f.fp_first, s.sdp_first,
+         CAST(json(replace(r.priv_base_apps, '''', '"')) AS VARCHAR[]) AS bl,
+         CAST(json(replace(r.priv_var_apps, '''', '"')) AS VARCHAR[]) AS vl
+  FROM sec_rows r
+  JOIN fpf f ON r.device = f.device AND r.build_type = f.build_type AND r.fingerprint = f.fingerprint
+  JOIN sdf s ON r.device = s.device AND r.build_type = s.build_type AND r.same_device_fingerprints = s.same_device_fingerprints),
+sitems AS (
+  SELECT device, build_type, fingerprint, same_device_fingerprints, fp_first, sdp_first, rid,
+         'base' AS side, unnest(bl) AS app, generate_subscripts(bl, 1) AS pos FROM keyed
+  UNION ALL
+  SELECT device, build_type, fingerprint, same_device_fingerprints, fp_first, sdp_first, rid,
+         'variant' AS side, unnest(vl) AS app, generate_subscripts(vl, 1) AS pos FROM keyed),
+in_combo AS (
+  SELECT device, build_type, fingerprint, same_device_fingerprints, fp_first, sdp_first, side, app,
+         min({'r': rid, 'p': pos}) AS first_at
+  FROM sitems GROUP BY ALL),
+combos AS (SELECT DISTINCT device, build_type, fingerprint, same_device_fingerprints, fp_first, sdp_first FROM keyed),
+csizes AS (
+  SELECT device, build_type, fingerprint, same_device_fingerprints,
+         count(*) FILTER (WHERE side = 'base') AS nb, count(*) FILTER (WHERE side = 'variant') AS nv
+  FROM in_combo GROUP BY ALL),
+cs AS (
+  SELECT c.*, coalesce(s.nb, 0) AS nb, coalesce(s.nv, 0) AS nv
+  FROM combos c LEFT JOIN csizes s
+    ON c.device = s.device AND c.build_type = s.build_type AND c.fingerprint = s.fingerprint
+   AND c.same_device_fingerprints = s.same_device_fingerprints),
+per_section AS (
+  SELECT device, build_type, count(*) AS n_combos, sum(nb) AS bt, sum(nv) AS vt,
+         arg_min({'nb': nb, 'nv': nv}, {'s': nb + nv, 'a': fp_first, 'b': sdp_first}) AS min_combo,
+         arg_max({'nb': nb, 'nv': nv}, {'s': nb + nv, 'a': -fp_first, 'b': -sdp_first}) AS max_combo
+  FROM cs GROUP BY ALL),
+sapp AS (
+  SELECT device, build_type, side, app, count(*) AS n,
+         min({'f': fp_first, 's': sdp_first, 'at': first_at}) AS first_at
+  FROM in_combo GROUP BY ALL),
+dom AS (
+  SELECT *, row_number() OVER (PARTITION BY device, build_type, side ORDER BY first_at) AS rk FROM sapp WHERE n > 1),
+domtxt AS (
+  SELECT device, build_type, side,
+         string_agg(app, ', ' ORDER BY rk) FILTER (WHERE rk <= 3) AS d3,
+         string_agg(app, ', ' ORDER BY rk) FILTER (WHERE rk <= 2) AS d2
+  FROM dom GROUP BY ALL),
+per_side AS (
+  SELECT device, build_type, side, count(*) AS uniq, count(*) FILTER (WHERE n = 1) AS single,
+         count(*) FILTER (WHERE n > 1) AS dominant
+  FROM sapp GROUP BY ALL),
+sstats AS (
+  SELECT p.device, p.build_type, p.n_combos, coalesce(p.bt, 0) AS bt, coalesce(p.vt, 0) AS vt,
+         coalesce(b.uniq, 0) AS bu, coalesce(v.uniq, 0) AS vu, coalesce(b.single, 0) AS bs,
+         coalesce(b.dominant, 0) AS bd, coalesce(v.dominant, 0) AS vd,
+         coalesce(db.d3, '') AS bd3, coalesce(db.d2, '') AS bd2, coalesce(dv.d3, '') AS vd3,
+         p.min_combo, p.max_combo
+  FROM per_section p
+  LEFT JOIN per_side b ON p.device = b.device AND p.build_type = b.build_type AND b.side = 'base'
+  LEFT JOIN per_side v ON p.device = v.device AND p.build_type = v.build_type AND v.side = 'variant'
+  LEFT JOIN domtxt db ON p.device = db.device AND p.build_type = db.build_type AND db.side = 'base'
+  LEFT JOIN domtxt dv ON p.device = dv.device AND p.build_type = dv.build_type AND dv.side = 'variant'),
+sfmt AS (
+  SELECT *,
+    CASE WHEN n_combos <= 0 THEN 0
+         WHEN ((bt * 10) % n_combos) * 2 > n_combos THEN (bt * 10) // n_combos + 1
+         WHEN ((bt * 10) % n_combos) * 2 = n_combos AND ((bt * 10) // n_combos) % 2 = 1 THEN (bt * 10) // n_combos + 1
+         ELSE (bt * 10) // n_combos END AS rb,
+    CASE WHEN n_combos <= 0 THEN 0
+         WHEN ((vt * 10) % n_combos) * 2 > n_combos THEN (vt * 10) // n_combos + 1
+         WHEN ((vt * 10) % n_combos) * 2 = n_combos AND ((vt * 10) // n_combos) % 2 = 1 THEN (vt * 10) // n_combos + 1
+         ELSE (vt * 10) // n_combos END AS rv
+  FROM sstats),
+insights AS (
+  SELECT device, build_type, n_combos, bu AS base_unique, CAST(bt AS BIGINT) AS base_total,
+         vu AS var_unique, CAST(vt AS BIGINT) AS var_total,
+    concat_ws(chr(10),
+      '**PRIV BASE APPS INSIGHT**',
+      CASE WHEN bd > 0 THEN 'Analysis identified ' || bd || ' dominant base app(s) appearing across multiple combinations: ' || bd3
+                            || '. These represent core privileged applications consistently required for this device configuration.'
+           WHEN bu = bt AND bu > 0 THEN 'All ' || bu || ' base apps are unique across combinations, indicating highly specialized privileged application requirements for each fingerprint pairing. No single app dominates the configuration.'
+           ELSE 'The ' || bu || ' unique base apps show a distributed pattern across ' || n_combos || ' combinations, averaging '
+                || (rb // 10) || '.' || (rb % 10) || ' apps per combination.' END,
+      CASE WHEN bs * 10 > bu * 7 AND bu > 0 THEN 'Notable: ' || bs || ' apps (' || (bs * 100 // greatest(bu, 1))
+                || '%) appear only once, suggesting fingerprint-specific requirements.' END,
+      chr(10) || '**PRIV VARIANT APPS INSIGHT**',
+      CASE WHEN vd > 0 THEN 'Variant apps show ' || vd || ' recurring application(s): ' || vd3
+                            || '. These likely represent shared system components across device variants.'
+           WHEN vu = vt AND vu > 0 THEN 'Each of the ' || vu || ' variant apps is unique to its combination, indicating distinct customization per fingerprint configuration.'
+           ELSE 'The variant app distribution shows ' || vu || ' unique apps averaging ' || (rv // 10) || '.' || (rv % 10) || ' per combination.' END,
+      chr(10) || '**COMBINED ANALYSIS**',
+      CASE WHEN bu > vu THEN 'Base apps (' || bu || ') show more diversity than variant apps (' || vu || '), suggesting privileged base configurations are more variable than system variants for this build type.'
+           WHEN vu > bu THEN 'Variant apps (' || vu || ') exceed base app diversity (' || bu || '), indicating system customization varies more than core privileged app requirements.'
+           ELSE 'Base and variant apps show similar diversity (' || bu || ' each), suggesting balanced configuration complexity.' END,
+      CASE WHEN n_combos > 0 AND (min_combo.nb <> max_combo.nb OR min_combo.nv <> max_combo.nv)
+           THEN 'Combination complexity ranges from ' || (min_combo.nb + min_combo.nv) || ' to ' || (max_combo.nb + max_combo.nv)
+                || ' total apps, indicating variable configuration requirements.' END,
+      chr(10) || '**KEY FINDINGS**',
+      CASE WHEN bd > 0 THEN '• Core dependencies: ' || bd2 || ' appear in multiple configurations' END,
+      CASE WHEN bs > 2 THEN '• ' || bs || ' specialized base apps suggest fingerprint-specific requirements' END,
+      CASE WHEN bt > n_combos * 2 THEN '• High base app density (' || (rb // 10) || '.' || (rb % 10) || ' avg) indicates complex privileged requirements' END,
+      CASE WHEN vu < bu AND vu > 0 THEN '• Variant apps are more standardized than base apps across this configuration' END,
+      CASE WHEN NOT (bd > 0 OR bs > 2 OR bt > n_combos * 2 OR (vu < bu AND vu > 0))
+           THEN '• Configuration shows standard distribution with ' || n_combos || ' combinations' END,
+      CASE WHEN NOT (bd > 0 OR bs > 2 OR bt > n_combos * 2 OR (vu < bu AND vu > 0))
+           THEN '• No single app dominates - distributed privileged requirements' END) AS insight
+  FROM sfmt)"""
+DEPS["sections"] = ["config_rows"]
+
+SQL["insight_text"] = with_("sections") + """
+SELECT * FROM insights
+"""
+
+SQL["insight_sections"] = with_("sections") + """,
+marked AS (
+  SELECT device, build_type,
+         string_split(replace(regexp_replace(insight, '\\n\\n+', chr(1), 'g'), chr(10) || '**', chr(1) || '**'), chr(1)) AS parts
+  FROM insights),
+pieces AS (
+  SELECT device, build_type, unnest(parts) AS raw, generate_subscripts(parts, 1) - 1 AS idx FROM marked),
+t AS (SELECT device, build_type, CAST(idx AS INTEGER) AS idx, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS t FROM pieces)
+SELECT device, build_type, idx, regexp_matches(t, '^\\*\\*.*\\*\\*$') AS is_header, replace(t, '**', '') AS text
+FROM t WHERE t <> ''
+"""
+
+SQL["request_rows"] = with_("rc", "sections") + """,
+numbered AS (
+  SELECT rc.*, CAST(row_number() OVER (PARTITION BY rc.device, rc.build_type ORDER BY f.fp_first, s.sdp_first) AS INTEGER) AS combo_no
+  FROM rc
+  JOIN fpf f ON rc.device = f.device AND rc.build_type = f.build_type AND rc.fingerprint = f.fingerprint
+  JOIN sdf s ON rc.device = s.device AND rc.build_type = s.build_type AND rc.same_device_fingerprints = s.same_device_fingerprints)
+SELECT device, build_type, combo_no,
+       chr(10) || combo_no || '. FP: ' || fp_code || ' | SDP: ' || sdp_code || chr(10)
+       || '   Base Apps (' || len(base) || '): ' || array_to_string(base[1:5], ', ') || CASE WHEN len(base) > 5 THEN '...' ELSE '' END || chr(10)
+       || '   Var Apps (' || len(variant) || '): ' || array_to_string(variant[1:5], ', ') || CASE WHEN len(variant) > 5 THEN '...' ELSE '' END || chr(10)
+       AS text
+FROM numbered
+"""

@@ -490,3 +490,26 @@ def metric_tree(spark, sf_dir):
     """H02 + F19: bottom-up evaluation of one expression tree per order."""
     from tessera.operators import hierarchy
     return hierarchy.evaluate(bindings.formula_forest(spark, sf_dir))
+
+
+# -- step 4: insight text, sections, request lines, report rows ---------------------
+
+@register("insight_text")
+def insight_text(spark, sf_dir):
+    """A23 + A24 + F16 + F17: rule-based insight text per (device, build_type)."""
+    from tessera.operators import insights
+    return insights.insight_text(insights.section_stats(bindings.config_rows(spark, sf_dir)))
+
+
+@register("insight_sections")
+def insight_sections(spark, sf_dir):
+    """insight text split into header / body sections."""
+    from tessera.operators import insights
+    return insights.insight_sections(insights.insight_text(insights.section_stats(bindings.config_rows(spark, sf_dir))))
+
+
+@register("request_rows")
+def request_rows(spark, sf_dir):
+    """F27 + K09: numbered combination lines of each section's request text."""
+    from tessera.operators import insights
+    return insights.request_lines(bindings.config_rows(spark, sf_dir))
