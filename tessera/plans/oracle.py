@@ -926,3 +926,39 @@ SELECT device, build_type, combo_no,
        AS text
 FROM numbered
 """
+
+SQL["report_rows"] = with_("merged") + """,
+apps AS (
+  SELECT 'base' AS side, unnest(base) AS app FROM merged
+  UNION ALL SELECT 'variant' AS side, unnest(variant) AS app FROM merged),
+c AS (SELECT side, app, count(*) AS n FROM apps GROUP BY side, app),
+r AS (SELECT side, app, n, row_number() OVER (PARTITION BY side ORDER BY n DESC, app) AS rank FROM c),
+cc AS (SELECT coalesce(fp_code, 'nan') || ' vs ' || coalesce(sdp_code, 'nan') AS combo, count(*) AS n FROM merged GROUP BY 1),
+rc AS (SELECT combo, n, row_number() OVER (ORDER BY n DESC, combo) AS rank FROM cc),
+o AS (
+  SELECT count(*) AS total_rows, sum(len(base)) AS total_base, sum(len(variant)) AS total_var,
+         (SELECT count(DISTINCT app) FROM apps WHERE side = 'base') AS unique_base,
+         (SELECT count(DISTINCT app) FROM apps WHERE side = 'variant') AS unique_var
+  FROM merged)
+SELECT 'top_base_apps' AS section, CAST(rank AS INTEGER) AS rank, app AS label, CAST(n AS DOUBLE) AS value FROM r WHERE side = 'base' AND rank <= 10
+UNION ALL SELECT 'top_variant_apps', CAST(rank AS INTEGER), app, CAST(n AS DOUBLE) FROM r WHERE side = 'variant' AND rank <= 10
+UNION ALL SELECT 'top_combinations', CAST(rank AS INTEGER), combo, CAST(n AS DOUBLE) FROM rc WHERE rank <= 10
+UNION ALL SELECT 'overall', 0, 'total_rows', CAST(total_rows AS DOUBLE) FROM o
+UNION ALL SELECT 'overall', 0, 'total_base', CAST(total_base AS DOUBLE) FROM o
+UNION ALL SELECT 'overall', 0, 'unique_base', CAST(unique_base AS DOUBLE) FROM o
+UNION ALL SELECT 'overall', 0, 'total_var', CAST(total_var AS DOUBLE) FROM o
+UNION ALL SELECT 'overall', 0, 'unique_var', CAST(unique_var AS DOUBLE) FROM o
+UNION ALL SELECT 'overall', 0, 'avg_base', coalesce(round(total_base / total_rows, 4), 0.0) FROM o
+UNION ALL SELECT 'overall', 0, 'avg_var', coalesce(round(total_var / total_rows, 4), 0.0) FROM o
+"""
+
+SQL["run_summary"] = with_("rc", "merged", "facts") + """
+SELECT (SELECT count(DISTINCT device) FROM rc) AS n_devices,
+       (SELECT count(*) FROM (SELECT DISTINCT device, build_type FROM rc)) AS n_sections,
+       (SELECT count(*) FROM rc) AS n_combinations,
+       (SELECT count(DISTINCT app) FROM (SELECT unnest(base) AS app FROM merged)) AS n_base_apps,
+       (SELECT count(DISTINCT app) FROM (SELECT unnest(variant) AS app FROM merged)) AS n_variant_apps,
+       (SELECT count(DISTINCT conv_id) FROM conversations) AS n_documents,
+       (SELECT count(*) FROM topics) AS n_topics,
+       (SELECT count(*) FROM facts) AS n_facts
+"""

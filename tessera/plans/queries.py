@@ -513,3 +513,44 @@ def request_rows(spark, sf_dir):
     """F27 + K09: numbered combination lines of each section's request text."""
     from tessera.operators import insights
     return insights.request_lines(bindings.config_rows(spark, sf_dir))
+
+
+@register("report_rows")
+def report_rows(spark, sf_dir):
+    """The report's numbers as (section, rank, label, value) rows."""
+    from tessera.sources import sinks
+    merged = profiles.merged_report_rows(bindings.config_rows(spark, sf_dir))
+    counts = profiles.app_counts(merged)
+    top = profiles.top_k(counts, ["side"], [F.desc("n"), F.asc("app")], 10)
+    combos = merged.groupBy(profiles.combo_label().alias("combo")).agg(F.count(F.lit(1)).alias("n"))
+    top_c = profiles.top_k(combos.withColumn("g", F.lit(0)), ["g"], [F.desc("n"), F.asc("combo")], 10)
+    overall = profiles.level_statistics(merged).where(F.col("level") == "overall")
+    tidy = sinks.report_rows([
+        ("top_base_apps", top.where(F.col("side") == "base"), "app", "n", "rank"),
+        ("top_variant_apps", top.where(F.col("side") == "variant"), "app", "n", "rank"),
+        ("top_combinations", top_c, "combo", "n", "rank"),
+    ])
+    stats = sinks.metric_rows(overall, "overall", ["total_rows", "total_base", "unique_base", "total_var",
+                                                   "unique_var", "avg_base", "avg_var"])
+    return tidy.unionByName(stats)
+
+
+@register("run_summary")
+def run_summary(spark, sf_dir):
+    """S13 + A20: one row of run totals (devices, sections, combinations,
+    distinct apps, documents, topics, facts)."""
+    cfg = bindings.config_rows(spark, sf_dir)
+    rc = profiles.raw_combinations(cfg)
+    merged = profiles.merged_report_rows(cfg)
+    apps = profiles.app_counts(merged)
+    facts, topics = _fact_rows(spark, sf_dir)
+    one = F.lit(1).alias("k")
+    a = rc.agg(F.count_distinct("device").alias("n_devices"),
+               F.count_distinct("device", "build_type").alias("n_sections"),
+               F.count(F.lit(1)).alias("n_combinations")).select(one, "*")
+    b = apps.agg(F.count(F.when(F.col("side") == "base", 1)).alias("n_base_apps"),
+                 F.count(F.when(F.col("side") == "variant", 1)).alias("n_variant_apps")).select(one, "*")
+    c = bindings.pages_of(spark, sf_dir).agg(F.count_distinct("doc_id").alias("n_documents")).select(one, "*")
+    d = topics.agg(F.count(F.lit(1)).alias("n_topics")).select(one, "*")
+    e = facts.agg(F.count(F.lit(1)).alias("n_facts")).select(one, "*")
+    return a.join(b, "k").join(c, "k").join(d, "k").join(e, "k").drop("k")
