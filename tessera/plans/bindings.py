@@ -53,15 +53,18 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def config_rows(spark: SparkSession, sf_dir: str, by_customer: bool = False) -> DataFrame:
+def config_rows(spark: SparkSession, sf_dir: str, by_customer: bool = False, orders: DataFrame | None = None) -> DataFrame:
     """One configuration row per order (see SURVEY §7.2 ``config_rows``).
 
     Columns: rid, device, build_type, release_type, vr_qualified, fingerprint,
     same_device_fingerprints, priv_base_apps, priv_var_apps (all text but rid).
     ``by_customer`` makes the customer name the device (``config_by_customer``).
+    ``orders`` may be given -- e.g. a stream of orders; every other input is a
+    static table, so the joins are stream-static joins.
     """
     geo = geography(spark, sf_dir)
-    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    o = (orders if orders is not None else table(spark, sf_dir, "orders")).select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment", "c_name")
     s = table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
     cust = c.join(geo, c.c_nationkey == geo.n_nationkey).select(

@@ -962,3 +962,10 @@ SELECT (SELECT count(DISTINCT device) FROM rc) AS n_devices,
        (SELECT count(*) FROM topics) AS n_topics,
        (SELECT count(*) FROM facts) AS n_facts
 """
+
+SQL["stream_counts"] = SQL["release_counts"]
+SQL["stream_dedup"] = SQL["content_hash_dedup"]
+SQL["stream_versions"] = SQL["versions"]
+SQL["stream_csv"] = with_("page_title") + """
+SELECT CAST(page_id AS VARCHAR) AS page_id, url, title FROM page_titles
+"""

@@ -554,3 +554,48 @@ def run_summary(spark, sf_dir):
     d = topics.agg(F.count(F.lit(1)).alias("n_topics")).select(one, "*")
     e = facts.agg(F.count(F.lit(1)).alias("n_facts")).select(one, "*")
     return a.join(b, "k").join(c, "k").join(d, "k").join(e, "k").drop("k")
+
+
+# -- step 11: Structured Streaming ---------------------------------------------------
+
+@register("stream_counts")
+def stream_counts(spark, sf_dir):
+    """ST01: release counts maintained over a stream of orders."""
+    from tessera.streaming import jobs
+    out = jobs.running_release_counts(spark, sf_dir, jobs.stream_table(spark, sf_dir, "orders"), jobs.fresh(spark, "st01"))
+    return spark.read.parquet(out)
+
+
+def _ticket_stream(spark, sf_dir):
+    from tessera.streaming import jobs
+    ev = jobs.stream_table(spark, sf_dir, "events")
+    return ev.select(F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("ticket_id"),
+                     F.concat("event_type", F.lit(":"), F.floor("value").cast("bigint").cast("string")).alias("content"))
+
+
+@register("stream_dedup")
+def stream_dedup(spark, sf_dir):
+    """ST02: first row of every content hash, kept as ticket rows arrive."""
+    from tessera.streaming import jobs
+    store = jobs.streaming_first_per_hash(spark, _ticket_stream(spark, sf_dir), jobs.fresh(spark, "st02"))
+    return spark.read.parquet(store).drop("batch_id")
+
+
+@register("stream_versions")
+def stream_versions(spark, sf_dir):
+    """ST03: ticket versions maintained batch by batch."""
+    from tessera.streaming import jobs
+    store = jobs.streaming_versions(spark, _ticket_stream(spark, sf_dir), jobs.fresh(spark, "st03"))
+    return jobs.read_versions(spark, store).select("ticket_id", "content_hash", "first_seq", "content", "version", "is_latest")
+
+
+@register("stream_csv")
+def stream_csv(spark, sf_dir):
+    """ST04 + S10: page titles appended to CSV as pages arrive, read back."""
+    from tessera.operators import pages
+    from tessera.sources import csvfiles
+    from tessera.streaming import jobs
+    p = jobs.stream_table(spark, sf_dir, "pages")
+    res = p.select(F.col("page_id").cast("string").alias("page_id"), "url", pages.page_title().alias("title"))
+    folder = jobs.streaming_csv(res, jobs.fresh(spark, "st04"))
+    return csvfiles.read_quoted_csv(spark, folder)
