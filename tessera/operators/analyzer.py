@@ -116,9 +116,11 @@ def device_release_share(counts: DataFrame) -> DataFrame:
         F.grouping_id().alias("gid"), F.sum("n").alias("n"))
     dim = F.when(F.col("gid") == 1, F.lit("device")).otherwise(F.lit("release_type"))
     key = F.when(F.col("gid") == 1, F.col("device")).otherwise(F.col("release_type"))
-    total = F.sum("n").over(Window.partitionBy("gid"))
-    return g.select(dim.alias("dimension"), key.alias("key"), "n",
-                    F.round(F.col("n") / total, 4).alias("share"))
+    # both dimensions total the same rows: one partial-aggregated sum, broadcast as one row
+    total = counts.agg(F.sum("n").alias("_total")).withColumn("_k", F.lit(1))
+    j = g.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k")
+    return j.select(dim.alias("dimension"), key.alias("key"), "n",
+                    F.round(F.col("n") / F.col("_total"), 4).alias("share"))
 
 
 def top_fingerprints(rows: DataFrame) -> DataFrame:

@@ -102,34 +102,32 @@ def merged_report_rows(df: DataFrame) -> DataFrame:
 def level_statistics(merged: DataFrame) -> DataFrame:
     """A05 at three levels (A06): overall, per device, per build type x device.
 
-    ``GROUPING SETS ((), (device), (build_type, device))``: rows, total and
-    distinct apps per side, average apps per row (0 with no rows).  A NULL
-    device is an ordinary group; ``level`` tells it from the total.
+    One ``GROUPING SETS ((), (device), (build_type, device))`` aggregate over
+    the exploded lists, where every merged row also contributes one marker
+    row (``side`` NULL): rows = markers, totals = app rows per side (merged
+    lists are distinct), distinct apps = ``count(DISTINCT)`` per side.  One
+    pass over ``merged``; averages are 0 for no rows.  A NULL device is an
+    ordinary group; ``level`` tells it from the total.
     """
     sets = [[], ["device"], ["build_type", "device"]]
-    sizes = merged.select("device", "build_type", F.size("base").alias("nb"), F.size("variant").alias("nv"))
-    totals = sizes.groupingSets(sets, "build_type", "device").agg(
-        F.grouping_id().alias("gid"),
-        F.count(F.lit(1)).alias("total_rows"),
-        F.sum("nb").alias("total_base"),
-        F.sum("nv").alias("total_var"),
-    )
-    apps = _side_rows(merged, ("device", "build_type"))
-    uniq = apps.groupingSets(sets, "build_type", "device").agg(
+    marker = F.array(F.struct(F.lit(None).cast("string").alias("side"), F.lit(None).cast("string").alias("app")))
+    apps = F.concat(
+        marker,
+        F.transform("base", lambda a: F.struct(F.lit("base").alias("side"), a.alias("app"))),
+        F.transform("variant", lambda a: F.struct(F.lit("variant").alias("side"), a.alias("app"))))
+    ex = merged.select("device", "build_type", F.explode(apps).alias("sa")).select("device", "build_type", "sa.side", "sa.app")
+    base_app = F.when(F.col("side") == "base", F.col("app"))
+    var_app = F.when(F.col("side") == "variant", F.col("app"))
+    g = ex.groupingSets(sets, "build_type", "device").agg(
         F.grouping_id().alias("gid"),
-        F.count_distinct(F.when(F.col("side") == "base", F.col("app"))).alias("unique_base"),
-        F.count_distinct(F.when(F.col("side") == "variant", F.col("app"))).alias("unique_var"),
-    )
-    keys = ["gid", "build_type", "device"]
-    joined = totals.join(uniq, [totals[k].eqNullSafe(uniq[k]) for k in keys], "left")
-    return joined.select(
-        _level_from(totals["gid"]),
-        totals["device"], totals["build_type"], "total_rows",
-        "total_base", F.coalesce("unique_base", F.lit(0)).alias("unique_base"),
-        "total_var", F.coalesce("unique_var", F.lit(0)).alias("unique_var"),
+        F.count(F.when(F.col("side").isNull(), 1)).alias("total_rows"),
+        F.count(base_app).alias("total_base"), F.count_distinct(base_app).alias("unique_base"),
+        F.count(var_app).alias("total_var"), F.count_distinct(var_app).alias("unique_var"))
+    return g.select(
+        _level_from(F.col("gid")), "device", "build_type", "total_rows", "total_base", "unique_base",
+        "total_var", "unique_var",
         F.coalesce(F.round(F.try_divide("total_base", "total_rows"), 4), F.lit(0.0)).alias("avg_base"),
-        F.coalesce(F.round(F.try_divide("total_var", "total_rows"), 4), F.lit(0.0)).alias("avg_var"),
-    )
+        F.coalesce(F.round(F.try_divide("total_var", "total_rows"), 4), F.lit(0.0)).alias("avg_var"))
 
 
 def _level_from(gid):
@@ -176,8 +174,9 @@ def distinct_in_order(df: DataFrame, columns, order_col: str = "rid") -> DataFra
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])).alias("cv"))
     firsts = (stacked.select(order_col, "cv.*").where(F.col("value").isNotNull())
               .groupBy("column_name", "value").agg(F.min(order_col).alias("first_" + order_col)))
-    w = Window.partitionBy("column_name").orderBy("first_" + order_col)
-    return firsts.withColumn("pos", F.row_number().over(w))
+    # a column may hold many distinct values: rank in slices, not one task per column
+    from tessera.operators import segmented
+    return segmented.ranked(firsts, ["column_name"], ["first_" + order_col], out="pos", method="row_number")
 
 
 def raw_combinations(df: DataFrame) -> DataFrame:

@@ -4,8 +4,8 @@ A window ``PARTITION BY g ORDER BY o`` sends every row of ``g`` to one task.
 When one group may hold a third of the table that task is the job.  These
 helpers split each group into ordered *slices* instead:
 
-1. ``n - 1`` bounds are taken from a seeded sample of the (g, o) keys (about
-   20 keys per slice, like Spark's range partitioner) and each row's slice is
+1. ``n - 1`` bounds are taken from a seeded sample of the (g, o) keys (20
+   keys per slice, like Spark's range partitioner; one small job) and each row's slice is
    the number of bounds at or below its key -- a binary search written as a
    nested ``CASE`` over struct comparisons, so it is a pure function of the
    row: every branch of the plan and every task retry sees the same slice,
@@ -50,12 +50,16 @@ def _null_first(v):
 
 
 def slice_bounds(df: DataFrame, keys: list[str], n: int) -> list[tuple]:
-    """``n - 1`` ascending bounds of the key tuple from a seeded sample."""
-    total = df.count()
-    if total == 0 or n <= 1:
+    """``n - 1`` ascending bounds of the key tuple from a seeded sample.
+
+    One job: the ``SAMPLE_PER_SLICE * n`` rows with the smallest seeded
+    ``rand()`` (a per-task top-k, ``TakeOrderedAndProject``) -- a uniform
+    sample of fixed size that needs no row count first.
+    """
+    if n <= 1:
         return []
-    fraction = min(1.0, SAMPLE_PER_SLICE * n / total)
-    sample = [tuple(r) for r in df.select(*keys).sample(False, fraction, SAMPLE_SEED).collect()]
+    k = SAMPLE_PER_SLICE * n
+    sample = [tuple(r)[:-1] for r in df.select(*keys, F.rand(SAMPLE_SEED).alias("_r")).orderBy("_r").limit(k).collect()]
     sample.sort(key=lambda t: tuple(_null_first(v) for v in t))
     if not sample:
         return []

@@ -4,8 +4,8 @@ Each binding is a plain DataFrame plan over the parquet tables, so its work
 grows with the data.  The DuckDB text of the same view lives in
 ``tessera.plans.oracle`` and is written independently from the same rules.
 
-Join strategy: ``nation`` and ``region`` are fixed-size dimensions (25 / 5
-rows by the TPC-H definition) and are broadcast explicitly.  Everything else
+Join strategy: ``nation`` x ``region`` is a fixed-size dimension (25 rows by
+the TPC-H definition); it is broadcast after a row-count check.  Everything else
 (customer, supplier, part, orders, lineitem) grows with the scale factor and
 is left to the planner: AQE turns a shuffle join into a broadcast only when the
 runtime size is under ``spark.sql.autoBroadcastJoinThreshold``.
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import list_text
+from tessera.session import broadcast_if_small
 from tessera.sources.tables import table
 
 # --- fixed values of the bindings ---------------------------------------------
@@ -25,15 +26,17 @@ VR_EVERY = 10                   # o_orderkey % 10 = 0 -> vr_qualified 'TRUE'
 BASE_STATUS = "O"               # linestatus of base apps
 VARIANT_STATUS = "F"            # linestatus of variant apps
 SUPPLIER_FP_TAIL = "x"          # third part of the supplier fingerprint
+MAX_GEO_ROWS = 100_000          # broadcast bound for the nation x region dimension
 # ------------------------------------------------------------------------------
 
 
 def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation_key -> 'region/nation' in lower case (25 rows, broadcast)."""
+    """nation_key -> 'region/nation' in lower case (25 rows; broadcast after a size check)."""
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region", "r_regionkey", "r_name")
-    g = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
-    return F.broadcast(g.select("n_nationkey", F.lower(F.concat_ws("/", "r_name", "n_name")).alias("geo")))
+    g = n.join(r, n.n_regionkey == r.r_regionkey)
+    return broadcast_if_small(g.select("n_nationkey", F.lower(F.concat_ws("/", "r_name", "n_name")).alias("geo")),
+                              MAX_GEO_ROWS)
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

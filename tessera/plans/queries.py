@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import profiles
 from tessera.plans import bindings
+from tessera.session import shared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -68,14 +69,14 @@ def distinct_values(spark, sf_dir):
 @register("raw_combinations")
 def raw_combinations(spark, sf_dir):
     """J02 + A02 + F03 + P04: observed raw combinations with ordered app lists."""
-    rc = profiles.raw_combinations(bindings.config_rows(spark, sf_dir))
+    rc = profiles.raw_combinations(shared(bindings.config_rows(spark, sf_dir)))
     return rc.select(*[c for c in rc.columns if c not in ("base", "variant")], _joined("base"), _joined("variant"))
 
 
 @register("app_profile")
 def app_profile(spark, sf_dir):
     """A04 + A13 + A14 + F25: app distribution per (device, build_type) section."""
-    return profiles.app_profile(profiles.raw_combinations(bindings.config_rows(spark, sf_dir)))
+    return profiles.app_profile(shared(profiles.raw_combinations(shared(bindings.config_rows(spark, sf_dir)))))
 
 
 @register("build_type_relation")
@@ -99,9 +100,10 @@ def merge_audit(spark, sf_dir):
 
 # -- step 3: analyzer counters ---------------------------------------------------
 
-def _analyzer(spark, sf_dir):
+def _analyzer(spark, sf_dir, materialise: bool = False):
     from tessera.operators import analyzer
-    return analyzer.analyzer_rows(bindings.config_rows(spark, sf_dir))
+    rows = analyzer.analyzer_rows(bindings.config_rows(spark, sf_dir))
+    return shared(rows) if materialise else rows
 
 
 @register("release_counts")
@@ -153,14 +155,14 @@ def device_release_share(spark, sf_dir):
 def topk_fingerprints(spark, sf_dir):
     """K03 + W08: top devices, their top fingerprints and top apps."""
     from tessera.operators import analyzer
-    return analyzer.top_fingerprints(_analyzer(spark, sf_dir))
+    return analyzer.top_fingerprints(_analyzer(spark, sf_dir, materialise=True))
 
 
 @register("headline")
 def headline(spark, sf_dir):
     """K08 + A12: headline numbers of the analyzer report."""
     from tessera.operators import analyzer
-    return analyzer.headline(_analyzer(spark, sf_dir))
+    return analyzer.headline(_analyzer(spark, sf_dir, materialise=True))
 
 
 # -- step 5: ordered series and id sets -----------------------------------------
@@ -498,28 +500,28 @@ def metric_tree(spark, sf_dir):
 def insight_text(spark, sf_dir):
     """A23 + A24 + F16 + F17: rule-based insight text per (device, build_type)."""
     from tessera.operators import insights
-    return insights.insight_text(insights.section_stats(bindings.config_rows(spark, sf_dir)))
+    return insights.insight_text(insights.section_stats(shared(bindings.config_rows(spark, sf_dir))))
 
 
 @register("insight_sections")
 def insight_sections(spark, sf_dir):
     """insight text split into header / body sections."""
     from tessera.operators import insights
-    return insights.insight_sections(insights.insight_text(insights.section_stats(bindings.config_rows(spark, sf_dir))))
+    return insights.insight_sections(insights.insight_text(insights.section_stats(shared(bindings.config_rows(spark, sf_dir)))))
 
 
 @register("request_rows")
 def request_rows(spark, sf_dir):
     """F27 + K09: numbered combination lines of each section's request text."""
     from tessera.operators import insights
-    return insights.request_lines(bindings.config_rows(spark, sf_dir))
+    return insights.request_lines(shared(bindings.config_rows(spark, sf_dir)))
 
 
 @register("report_rows")
 def report_rows(spark, sf_dir):
     """The report's numbers as (section, rank, label, value) rows."""
     from tessera.sources import sinks
-    merged = profiles.merged_report_rows(bindings.config_rows(spark, sf_dir))
+    merged = shared(profiles.merged_report_rows(bindings.config_rows(spark, sf_dir)))
     counts = profiles.app_counts(merged)
     top = profiles.top_k(counts, ["side"], [F.desc("n"), F.asc("app")], 10)
     combos = merged.groupBy(profiles.combo_label().alias("combo")).agg(F.count(F.lit(1)).alias("n"))
@@ -539,7 +541,7 @@ def report_rows(spark, sf_dir):
 def run_summary(spark, sf_dir):
     """S13 + A20: one row of run totals (devices, sections, combinations,
     distinct apps, documents, topics, facts)."""
-    cfg = bindings.config_rows(spark, sf_dir)
+    cfg = shared(bindings.config_rows(spark, sf_dir))
     rc = profiles.raw_combinations(cfg)
     merged = profiles.merged_report_rows(cfg)
     apps = profiles.app_counts(merged)

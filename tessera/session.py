@@ -74,6 +74,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared(df: DataFrame) -> DataFrame:
+    """Materialise an input that several branches of one plan read.
+
+    Without it each branch re-runs the input's joins (column pruning makes
+    the branches differ, so Spark cannot reuse the exchange).  A reliable
+    checkpoint in the shared folder computes it once, cuts the lineage and
+    survives executor loss; it is not looked up again by later queries.
+    """
+    return cut_lineage(df)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
 
