@@ -116,11 +116,9 @@ def device_release_share(counts: DataFrame) -> DataFrame:
         F.grouping_id().alias("gid"), F.sum("n").alias("n"))
     dim = F.when(F.col("gid") == 1, F.lit("device")).otherwise(F.lit("release_type"))
     key = F.when(F.col("gid") == 1, F.col("device")).otherwise(F.col("release_type"))
-    # both dimensions total the same rows: one partial-aggregated sum, broadcast as one row
-    total = counts.agg(F.sum("n").alias("_total")).withColumn("_k", F.lit(1))
-    j = g.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k")
-    return j.select(dim.alias("dimension"), key.alias("key"), "n",
-                    F.round(F.col("n") / F.col("_total"), 4).alias("share"))
+    # both dimensions total the same rows: one partial-aggregated sum (scalar subquery)
+    total = counts.agg(F.sum("n")).scalar()
+    return g.select(dim.alias("dimension"), key.alias("key"), "n", F.round(F.col("n") / total, 4).alias("share"))
 
 
 def top_fingerprints(rows: DataFrame) -> DataFrame:
@@ -151,18 +149,18 @@ def top_fingerprints(rows: DataFrame) -> DataFrame:
 def headline(rows: DataFrame) -> DataFrame:
     """K08 + A12: one row of headline numbers (absent values are NULL).
 
-    The parts are one-row aggregates joined on a constant key.
+    Each number is an aggregate over the rows, attached as a scalar subquery.
     """
     c = counted_rows(rows)
-    one = F.lit(1).alias("k")
-    totals = c.agg(F.count_distinct("device").alias("total_devices"), F.count(F.lit(1)).alias("total_entries")).select(one, "*")
     apps = global_app_counts(rows)
-    uniq = apps.agg(F.count(F.when(F.col("side") == "base", 1)).alias("unique_base"),
-                    F.count(F.when(F.col("side") == "variant", 1)).alias("unique_variant")).select(one, "*")
-    top_app = top_k(apps.where(F.col("side") == "base").withColumn("k", F.lit(1)), ["k"],
-                    [F.desc("n"), F.asc("app")], 1).select("k", F.col("app").alias("top_base_app"), F.col("n").alias("top_base_n"))
+    top_app = top_k(apps.where(F.col("side") == "base").withColumn("g", F.lit(1)), ["g"], [F.desc("n"), F.asc("app")], 1)
     pairs = pair_counts(rows).where(F.col("side") == "base")
-    top_pair = top_k(pairs.withColumn("k", F.lit(1)), ["k"], [F.desc("n"), F.asc("app_a"), F.asc("app_b")], 1).select(
-        "k", F.col("app_a").alias("top_pair_a"), F.col("app_b").alias("top_pair_b"), F.col("n").alias("top_pair_n"))
-    out = totals.join(uniq, "k").join(top_app, "k", "left").join(top_pair, "k", "left").drop("k")
+    top_pair = top_k(pairs.withColumn("g", F.lit(1)), ["g"], [F.desc("n"), F.asc("app_a"), F.asc("app_b")], 1)
+    out = c.agg(F.count_distinct("device").alias("total_devices"), F.count(F.lit(1)).alias("total_entries")).select(
+        "*",
+        apps.agg(F.count(F.when(F.col("side") == "base", 1))).scalar().alias("unique_base"),
+        apps.agg(F.count(F.when(F.col("side") == "variant", 1))).scalar().alias("unique_variant"),
+        top_app.select("app").scalar().alias("top_base_app"), top_app.select("n").scalar().alias("top_base_n"),
+        top_pair.select("app_a").scalar().alias("top_pair_a"), top_pair.select("app_b").scalar().alias("top_pair_b"),
+        top_pair.select("n").scalar().alias("top_pair_n"))
     return out.withColumn("high_diversity", F.col("total_devices") > DIVERSITY_DEVICES)

@@ -60,8 +60,7 @@ def listing(df: DataFrame, filtered: DataFrame, key: str, order_col: str, first_
     pos = segmented.ranked(f, [], [order_col], out="position", method="row_number")
     prev = segmented.previous_row(pos, [], order_col, [key], prefix="prev_")
     nxt = prev.select(F.col(f"prev_{key}").alias(key), F.col(key).alias(f"next_{key}")).where(F.col(key).isNotNull())
-    cnt = filtered.agg(F.count(F.lit(1)).alias("n")).withColumn("_k", F.lit(1))
-    out = prev.join(nxt, key, "left").withColumn("_k", F.lit(1)).join(F.broadcast(cnt), "_k").drop("_k")
+    out = prev.join(nxt, key, "left").withColumn("n", filtered.agg(F.count(F.lit(1))).scalar())
     v0 = F.col(f"`{first_col}`")
     title = (F.when(F.coalesce(v0, F.lit("")) == "", F.concat(F.lit(RECORD_LABEL), F.col("record_no").cast("string")))
              .when(F.trim(v0) == "", F.lit(EMPTY_LABEL)).otherwise(F.trim(v0)))

@@ -32,6 +32,7 @@ EMBED_BATCH = 16
 # bounds under which a query-side table is broadcast
 MAX_QUERY_TERMS = 2_000_000
 MAX_QUERY_VECTORS = 10_000
+MAX_TOPIC_LIST = 10_000
 # ------------------------------------------------------------------------------
 
 
@@ -76,13 +77,12 @@ def relevant_text(docs: DataFrame, query_terms: DataFrame, doc: str = "doc_id",
     big = ch.where(F.col("n_chunks") > max_unfiltered)
     tc = term_counts(big, [doc, "chunk_idx"], "chunk")
     q = broadcast_if_small(query_terms.select("term", "qtf"), MAX_QUERY_TERMS)
-    q2 = query_terms.agg(F.sum(F.col("qtf") * F.col("qtf")).alias("q2")).withColumn("_k", F.lit(1))
+    q2 = query_terms.agg(F.sum(F.col("qtf") * F.col("qtf"))).scalar()   # scalar subquery
     per_chunk = tc.join(q, "term", "left").groupBy(doc, "chunk_idx").agg(
         F.coalesce(F.sum(F.col("tf") * F.col("qtf")), F.lit(0)).alias("dot"),
         F.sum(F.col("tf") * F.col("tf")).alias("c2"))
-    scored = (big.select(doc, "chunk_idx", "chunk").join(per_chunk, [doc, "chunk_idx"], "left")
-              .withColumn("_k", F.lit(1)).join(F.broadcast(q2), "_k").drop("_k"))
-    score = F.coalesce(F.try_divide(F.col("dot").cast("double"), F.sqrt((F.col("c2") * F.col("q2")).cast("double"))), F.lit(0.0))
+    scored = big.select(doc, "chunk_idx", "chunk").join(per_chunk, [doc, "chunk_idx"], "left")
+    score = F.coalesce(F.try_divide(F.col("dot").cast("double"), F.sqrt((F.col("c2") * q2).cast("double"))), F.lit(0.0))
     best = top_k(scored.withColumn("score", score), [doc], [F.desc("score"), F.asc("chunk_idx")], top, "chunk_rank")
     kept = best.groupBy(doc).agg(
         F.count(F.lit(1)).alias("n_kept"),
@@ -100,18 +100,18 @@ def vector_topk(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """T02 + J06 + F10 + F11 + W11: the ``k`` rows with the highest dot product
     against each (L2-normalised) query vector; ties to the lower ``vec_id``.
 
-    The query set is checked to be small, packed into one array row and
-    broadcast; each vector row is scored against all queries in one
-    expression.  ``row_number() <= k`` plans as a partial ``WindowGroupLimit``
+    The query set is checked to be small and packed into one array value (a
+    scalar subquery, computed once); each vector row is scored against all
+    queries in one expression -- no join.  ``row_number() <= k`` plans as a partial ``WindowGroupLimit``
     before the shuffle, so each map task forwards at most ``k`` rows per query.
     """
     n = queries.limit(MAX_QUERY_VECTORS + 1).count()
     if n > MAX_QUERY_VECTORS:
         raise ValueError(f"more than {MAX_QUERY_VECTORS} query vectors")
     packed = queries.select(F.struct("query_id", "query_label", l2_normalize("query_vec").alias("qv")).alias("q")).agg(
-        F.collect_list("q").alias("qs")).withColumn("_k", F.lit(1))
-    v = vectors.withColumn("_k", F.lit(1)).join(F.broadcast(packed), "_k")
-    scored = v.select("vec_id", F.explode(F.transform("qs", lambda q: F.struct(
+        F.collect_list("q")).scalar()
+    # the scalar is projected first: subqueries may not sit inside a lambda
+    scored = vectors.select("vec_id", "embedding", packed.alias("_qs")).select("vec_id", F.explode(F.transform("_qs", lambda q: F.struct(
         q["query_id"].alias("query_id"), q["query_label"].alias("query_label"),
         dot(F.col("embedding"), q["qv"]).alias("score")))).alias("s")).select("vec_id", "s.*")
     best = top_k(scored, ["query_id"], [F.desc("score"), F.asc("vec_id")], k)
@@ -147,9 +147,14 @@ def section_facts(lines: DataFrame, topics: DataFrame) -> DataFrame:
     s = s.withColumn("_hdr", F.when(F.col("sl").startswith(TOPIC_PREFIX), F.col("line_no")))
     headers = s.where(F.col("_hdr").isNotNull()).select(
         "doc_id", F.col("line_no").alias("h_line"), F.lower(strip(F.replace(F.col("sl"), F.lit(TOPIC_PREFIX), F.lit("")))).alias("name"))
-    t = broadcast_if_small(topics.select("topic_pos", "topic", F.lower("topic").alias("lt")), MAX_TOPICS * 40)
-    matched = (headers.join(t, F.col("name").contains(F.col("lt")) | F.col("lt").contains(F.col("name")))
-               .groupBy("doc_id", "h_line").agg(F.min_by("topic", "topic_pos").alias("topic")))
+    if topics.limit(MAX_TOPIC_LIST + 1).count() > MAX_TOPIC_LIST:
+        raise ValueError(f"more than {MAX_TOPIC_LIST} topics")
+    # the checked topic list as one sorted array value (scalar subquery); each
+    # header picks its first matching topic with a lambda -- no join needed
+    packed = topics.agg(F.array_sort(F.collect_list(F.struct("topic_pos", "topic", F.lower("topic").alias("lt"))))).scalar()
+    hits = F.filter("_topics", lambda t: F.col("name").contains(t["lt"]) | t["lt"].contains(F.col("name")))
+    matched = (headers.select("doc_id", "h_line", "name", packed.alias("_topics"))
+               .select("doc_id", "h_line", F.get(hits, 0)["topic"].alias("topic")).where(F.col("topic").isNotNull()))
     cur = segmented.running(s, ["doc_id"], ["line_no"], "_hdr", out="h_line", fn="max", inclusive=True)
     facts = cur.where(F.col("sl").startswith(FACT_PREFIX) & F.col("h_line").isNotNull()).select(
         "doc_id", "line_no", "h_line", strip(F.replace(F.col("sl"), F.lit(FACT_PREFIX), F.lit(""))).alias("fact"))
@@ -202,11 +207,12 @@ def batched_scores(chunk_df: DataFrame, query_texts: DataFrame) -> DataFrame:
     query vectors (F10), score each chunk by dot product (F11)."""
     qv = embed(query_texts, ["item_id"], "text")
     summed = qv.select(F.posexplode("vec").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x"))
-    q = summed.agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("_s")).select(
-        l2_normalize(F.transform("_s", lambda e: e["x"])).alias("qvec"), F.lit(1).alias("_k"))
+    qvec = summed.agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("_s")).select(
+        l2_normalize(F.transform("_s", lambda e: e["x"]))).scalar()   # one EMBED_DIM vector
     cv = embed(chunk_df, ["doc_id", "chunk_idx"], "chunk")
-    j = cv.withColumn("_k", F.lit(1)).join(F.broadcast(q), "_k")
-    return j.select("doc_id", "chunk_idx", F.round(dot("vec", "qvec"), 6).alias("score"))
+    # the scalar is projected first: subqueries may not sit inside a lambda
+    return cv.select("doc_id", "chunk_idx", "vec", qvec.alias("_q")).select(
+        "doc_id", "chunk_idx", F.round(dot("vec", "_q"), 6).alias("score"))
 
 
 def pandas_batch_size_conf() -> dict:

@@ -140,11 +140,8 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ticket_store_and_batch(spark: SparkSession, sf_dir: str):
     """Split tickets at the middle ``seq`` (max(seq) div 2): stored rows and a new batch."""
     t = tickets(spark, sf_dir)
-    mid = t.agg((F.max("seq") / 2).cast("bigint").alias("_mid")).withColumn("_k", F.lit(1))
-    tk = t.withColumn("_k", F.lit(1)).join(mid, "_k").drop("_k")
-    store = tk.where(F.col("seq") <= F.col("_mid")).drop("_mid")
-    batch = tk.where(F.col("seq") > F.col("_mid")).drop("_mid")
-    return store, batch
+    mid = t.agg((F.max("seq") / 2).cast("bigint")).scalar()   # scalar subquery, one value
+    return t.where(F.col("seq") <= mid), t.where(F.col("seq") > mid)
 
 
 def conversation_turns_minus_one(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -546,16 +546,16 @@ def run_summary(spark, sf_dir):
     merged = profiles.merged_report_rows(cfg)
     apps = profiles.app_counts(merged)
     facts, topics = _fact_rows(spark, sf_dir)
-    one = F.lit(1).alias("k")
     a = rc.agg(F.count_distinct("device").alias("n_devices"),
                F.count_distinct("device", "build_type").alias("n_sections"),
-               F.count(F.lit(1)).alias("n_combinations")).select(one, "*")
-    b = apps.agg(F.count(F.when(F.col("side") == "base", 1)).alias("n_base_apps"),
-                 F.count(F.when(F.col("side") == "variant", 1)).alias("n_variant_apps")).select(one, "*")
-    c = bindings.pages_of(spark, sf_dir).agg(F.count_distinct("doc_id").alias("n_documents")).select(one, "*")
-    d = topics.agg(F.count(F.lit(1)).alias("n_topics")).select(one, "*")
-    e = facts.agg(F.count(F.lit(1)).alias("n_facts")).select(one, "*")
-    return a.join(b, "k").join(c, "k").join(d, "k").join(e, "k").drop("k")
+               F.count(F.lit(1)).alias("n_combinations"))
+    return a.select(
+        "*",
+        apps.agg(F.count(F.when(F.col("side") == "base", 1))).scalar().alias("n_base_apps"),
+        apps.agg(F.count(F.when(F.col("side") == "variant", 1))).scalar().alias("n_variant_apps"),
+        bindings.pages_of(spark, sf_dir).agg(F.count_distinct("doc_id")).scalar().alias("n_documents"),
+        topics.agg(F.count(F.lit(1))).scalar().alias("n_topics"),
+        facts.agg(F.count(F.lit(1))).scalar().alias("n_facts"))
 
 
 # -- step 11: Structured Streaming ---------------------------------------------------
