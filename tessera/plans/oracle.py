@@ -969,3 +969,36 @@ SQL["stream_versions"] = SQL["versions"]
 SQL["stream_csv"] = with_("page_title") + """
 SELECT CAST(page_id AS VARCHAR) AS page_id, url, title FROM page_titles
 """
+
+SQL["doc_quarantine"] = """
+WITH b AS (SELECT doc_id, text, n_chars, regexp_replace(text, '[^()\\[\\]{}]', '', 'g') AS b FROM documents),
+e AS (
+  SELECT doc_id,
+    CASE WHEN text IS NULL THEN 'no text'
+         WHEN length(text) <> n_chars THEN 'length mismatch'
+         WHEN list_reduce(list_filter(string_split(b, ''), lambda x: x <> ''), lambda acc, ch:
+                CASE WHEN acc = '!' THEN acc
+                     WHEN ch IN ('(', '[', '{') THEN acc || ch
+                     WHEN ch = ')' AND right(acc, 1) = '(' THEN left(acc, length(acc) - 1)
+                     WHEN ch = ']' AND right(acc, 1) = '[' THEN left(acc, length(acc) - 1)
+                     WHEN ch = '}' AND right(acc, 1) = '{' THEN left(acc, length(acc) - 1)
+                     ELSE '!' END, '') <> '' THEN 'unbalanced brackets' END AS error
+  FROM b)
+SELECT doc_id, error FROM e WHERE error IS NOT NULL
+"""
+
+SQL["p90_by_type"] = """
+SELECT event_type, count(*) AS n, round(quantile_cont(value, 0.9), 6) AS p90 FROM events GROUP BY event_type
+"""
+
+SQL["label_f1"] = """
+WITH c AS (
+  SELECT count(*) FILTER (WHERE quality = 1 AND 1 - toxic = 1) AS tp,
+         count(*) FILTER (WHERE quality <> 1 AND 1 - toxic = 1) AS fp,
+         count(*) FILTER (WHERE quality = 1 AND 1 - toxic <> 1) AS fn,
+         count(*) FILTER (WHERE quality <> 1 AND 1 - toxic <> 1) AS tn
+  FROM labels)
+SELECT tp, fp, fn, tn, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall,
+       round(2 * tp / (2 * tp + fp + fn), 6) AS f1, round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy
+FROM c
+"""

@@ -31,7 +31,8 @@ def register(name: str):
 
 @register("fingerprint_stats")
 def fingerprint_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows, total and distinct apps, averages: overall / device / build x device."""
+    """S08 + F01 + F02 + P03 + P14 + A01 + A05 + A06: rows, total and distinct
+    apps and averages -- overall, per device, per build type x device."""
     merged = profiles.merged_report_rows(bindings.config_rows(spark, sf_dir))
     return profiles.level_statistics(merged)
 
@@ -601,3 +602,31 @@ def stream_csv(spark, sf_dir):
     res = p.select(F.col("page_id").cast("string").alias("page_id"), "url", pages.page_title().alias("title"))
     folder = jobs.streaming_csv(res, jobs.fresh(spark, "st04"))
     return csvfiles.read_quoted_csv(spark, folder)
+
+
+# -- T06 and step 12: quarantine and quality metrics ------------------------------
+
+@register("doc_quarantine")
+def doc_quarantine(spark, sf_dir):
+    """Documents that fail a per-document check, with the reason."""
+    from tessera.operators import quality
+    from tessera.sources.tables import table
+    docs = quality.document_errors(table(spark, sf_dir, "documents", "doc_id", "text", "n_chars"))
+    return quality.split_errors(docs)[1].select("doc_id", "error")
+
+
+@register("p90_by_type")
+def p90_by_type(spark, sf_dir):
+    """90th percentile of event value per event type."""
+    from tessera.operators import quality
+    from tessera.sources.tables import table
+    return quality.percentile_by(table(spark, sf_dir, "events", "event_type", "value"), "event_type", "value", 0.9)
+
+
+@register("label_f1")
+def label_f1(spark, sf_dir):
+    """Precision / recall / F1 of 'not toxic' as a predictor of quality."""
+    from tessera.operators import quality
+    from tessera.sources.tables import table
+    lab = table(spark, sf_dir, "labels", "quality", "toxic").select("quality", (1 - F.col("toxic")).alias("pred"))
+    return quality.binary_metrics(lab, "quality", "pred")

@@ -192,3 +192,17 @@ def test_page_fields(spark):
     out = {r.page_id: r.all_comments_concatenated for r in pages.comments_concat(p, items).collect()}
     assert out[0].startswith("--- Comment ID: p1 ---\nAuthor: Unknown") and out[0].endswith("Text:\nc1")
     assert out[1] == "No subsequent comments found." and out[3] == "No comments or description found."
+
+
+# --- T06 / A25 ---------------------------------------------------------------------------------
+
+def test_quarantine_and_metrics(spark):
+    from tessera.operators import quality
+    docs = spark.createDataFrame([(1, "ok (fine)", 9), (2, None, 0), (3, "abc", 4), (4, "x ( y", 5)],
+                                 "doc_id long, text string, n_chars long")
+    good, bad = quality.split_errors(quality.document_errors(docs))
+    assert [r.doc_id for r in good.collect()] == [1]
+    assert {r.doc_id: r.error for r in bad.collect()} == {2: "no text", 3: "length mismatch", 4: "unbalanced brackets"}
+    lab = spark.createDataFrame([(1, 1), (1, 0), (0, 1), (0, 0), (1, 1)], "a int, p int")
+    m = quality.binary_metrics(lab, "a", "p").first()
+    assert (m.tp, m.fp, m.fn, m.tn) == (2, 1, 1, 1) and abs(m.f1 - 2 / 3) < 1e-6
