@@ -728,10 +728,10 @@ FROM f
 
 SQL["json_nested"] = with_("merged") + """
 SELECT device, build_type, fp_code, sdp_code,
-       to_json({'device': device, 'build_type': build_type, 'fp_code': fp_code, 'sdp_code': sdp_code,
+       CAST(to_json({'device': device, 'build_type': build_type, 'fp_code': fp_code, 'sdp_code': sdp_code,
                 'fingerprint': fingerprint, 'same_device_fingerprints': same_device_fingerprints,
                 'priv_base_apps': priv_base_apps, 'priv_var_apps': priv_var_apps,
-                'base': base, 'variant': variant}) AS json
+                'base': base, 'variant': variant}) AS VARCHAR) AS json
 FROM merged
 """
 
