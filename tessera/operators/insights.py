@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import parse_list_keep_blank
 from tessera.operators import segmented
+from tessera.session import shared
 
 SECTION = ["device", "build_type"]
 
@@ -102,12 +103,14 @@ def section_stats(df: DataFrame) -> DataFrame:
     """A24 + A04 + A13 + A14 per section, with the capped ordered lists the text uses."""
     items = combination_items(df)
     combo_keys = [*SECTION, "fingerprint", "same_device_fingerprints"]
-    in_combo = (items.where(F.col("app").isNotNull())
-                .groupBy(*combo_keys, "fp_first", "sdp_first", "side", "app")
-                .agg(F.min(F.struct("rid", "pos")).alias("at")))
-    sizes = in_combo.groupBy(*combo_keys).agg(F.count(F.when(F.col("side") == "base", 1)).alias("nb"),
-                                              F.count(F.when(F.col("side") == "variant", 1)).alias("nv"))
-    combos = items.select(*combo_keys, "fp_first", "sdp_first").distinct().join(sizes, combo_keys, "left").fillna(0, ["nb", "nv"])
+    # one aggregate per (combination, side, app) -- a combination without apps
+    # keeps one NULL-app row -- materialised once for the branches below
+    per_app = shared(items.groupBy(*combo_keys, "fp_first", "sdp_first", "side", "app")
+                     .agg(F.min(F.struct("rid", "pos")).alias("at")))
+    in_combo = per_app.where(F.col("app").isNotNull())
+    combos = per_app.groupBy(*combo_keys, "fp_first", "sdp_first").agg(
+        F.count(F.when(F.col("side") == "base", 1)).alias("nb"),
+        F.count(F.when(F.col("side") == "variant", 1)).alias("nv"))
     per_section = combos.groupBy(*SECTION).agg(
         F.count(F.lit(1)).alias("n_combos"),
         F.sum("nb").alias("base_total"), F.sum("nv").alias("var_total"),

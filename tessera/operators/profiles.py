@@ -190,18 +190,22 @@ def raw_combinations(df: DataFrame) -> DataFrame:
     keys = ["device", "build_type", "fingerprint", "same_device_fingerprints"]
     rows = df.where(F.col("device").isNotNull() & F.col("build_type").isNotNull()
                     & F.col("fingerprint").isNotNull() & F.col("same_device_fingerprints").isNotNull())
-    items = rows.select(*keys, "rid", F.posexplode(F.concat(
+    items = rows.select(*keys, "rid", F.posexplode_outer(F.concat(
         F.transform(F.when(F.col("priv_base_apps").isNotNull(), parse_list_keep_blank("priv_base_apps"))
                     .otherwise(F.array().cast("array<string>")), lambda a: F.struct(F.lit("base").alias("side"), a.alias("app"))),
         F.transform(F.when(F.col("priv_var_apps").isNotNull(), parse_list_keep_blank("priv_var_apps"))
                     .otherwise(F.array().cast("array<string>")), lambda a: F.struct(F.lit("variant").alias("side"), a.alias("app"))),
     )).alias("pos", "sa")).select(*keys, "rid", "pos", "sa.side", "sa.app")
-    first = items.groupBy(*keys, "side", "app").agg(F.min(F.struct("rid", "pos")).alias("at"))
-    lists = first.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.when(F.col("side") == "base", F.struct("at", "app")))).alias("b"),
-        F.array_sort(F.collect_list(F.when(F.col("side") == "variant", F.struct("at", "app")))).alias("v"))
-    combos = rows.groupBy(*keys).agg(F.min("rid").alias("first_rid"), F.count(F.lit(1)).alias("n_rows"))
-    out = combos.join(lists, keys, "left")
+    # one chain, no branch: per (combo, side, app) the first (rid, pos); every
+    # input row also leaves one marker item (first position or no apps at all)
+    # so rows per combination and the first rid come out of the same pass
+    per_app = items.groupBy(*keys, "side", "app").agg(
+        F.min(F.struct("rid", "pos")).alias("at"), F.min("rid").alias("_rid"),
+        F.count(F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, 1)).alias("_rows"))
+    out = per_app.groupBy(*keys).agg(
+        F.min("_rid").alias("first_rid"), F.sum("_rows").alias("n_rows"),
+        F.array_sort(F.collect_list(F.when((F.col("side") == "base") & F.col("app").isNotNull(), F.struct("at", "app")))).alias("b"),
+        F.array_sort(F.collect_list(F.when((F.col("side") == "variant") & F.col("app").isNotNull(), F.struct("at", "app")))).alias("v"))
     empty = F.array().cast("array<string>")
     return out.select(
         *keys,

@@ -5,10 +5,11 @@ grows with the data.  The DuckDB text of the same view lives in
 ``tessera.plans.oracle`` and is written independently from the same rules.
 
 Join strategy: ``nation`` x ``region`` is a fixed-size dimension (25 rows by
-the TPC-H definition); it is broadcast after a row-count check.  Everything else
-(customer, supplier, part, orders, lineitem) grows with the scale factor and
-is left to the planner: AQE turns a shuffle join into a broadcast only when the
-runtime size is under ``spark.sql.autoBroadcastJoinThreshold``.
+the TPC-H definition), broadcast after a row-count check.  Part, customer and
+supplier grow with the scale factor and are left to AQE: it turns a shuffle
+join into a broadcast only when the measured runtime size is under
+``spark.sql.autoBroadcastJoinThreshold`` (a checked bound); at 100 TB they stay
+shuffle joins.  The fact sides (orders, lineitem) are never broadcast.
 """
 
 from __future__ import annotations

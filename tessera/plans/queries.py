@@ -70,14 +70,14 @@ def distinct_values(spark, sf_dir):
 @register("raw_combinations")
 def raw_combinations(spark, sf_dir):
     """J02 + A02 + F03 + P04: observed raw combinations with ordered app lists."""
-    rc = profiles.raw_combinations(shared(bindings.config_rows(spark, sf_dir)))
+    rc = profiles.raw_combinations(bindings.config_rows(spark, sf_dir))
     return rc.select(*[c for c in rc.columns if c not in ("base", "variant")], _joined("base"), _joined("variant"))
 
 
 @register("app_profile")
 def app_profile(spark, sf_dir):
     """A04 + A13 + A14 + F25: app distribution per (device, build_type) section."""
-    return profiles.app_profile(shared(profiles.raw_combinations(shared(bindings.config_rows(spark, sf_dir)))))
+    return profiles.app_profile(shared(profiles.raw_combinations(bindings.config_rows(spark, sf_dir))))
 
 
 @register("build_type_relation")
