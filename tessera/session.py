@@ -50,16 +50,27 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    """Return the shared checkpoint folder the cluster names.
+
+    Read from the session (``SparkContext.getCheckpointDir`` or the
+    ``spark.checkpoint.dir`` setting).  Only when it is unset *and* the master
+    is local (tests, a laptop) is a local folder created; on a cluster a
+    missing setting is an error, never a machine-local fallback.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None)
-        if not current:
-            current = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
-    return current
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS / object store)")
+        current = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
