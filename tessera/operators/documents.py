@@ -14,8 +14,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import (FACT_PREFIX, MIN_FACT_LENGTH, NONE_MARK, TOPIC_PREFIX, UNFILTERED_CHARS,
-                                    chunks, list_item, strip)
+from tessera.functions.text import (CHUNK_SIZE, CHUNK_STEP, FACT_PREFIX, MIN_FACT_LENGTH, NONE_MARK, TOPIC_PREFIX,
+                                    UNFILTERED_CHARS, chunk_starts, chunks, list_item, strip)
 from tessera.functions.vectors import dot, l2_normalize
 from tessera.operators import segmented
 from tessera.operators.profiles import top_k
@@ -71,29 +71,33 @@ def relevant_text(docs: DataFrame, query_terms: DataFrame, doc: str = "doc_id",
     Score = cosine of whitespace-token counts between the chunk and the query
     bag (``term, qtf``), from exact integer sums, so ties are real ties; ties
     go to the lower chunk index.  Documents with at most ``max_unfiltered``
-    chunks pass unchanged.
+    chunks pass unchanged, without any shuffle.  For the others only scores
+    and chunk indices move: the kept indices (at most ``top`` per document)
+    are joined back to the document once and the text is rebuilt from the
+    original with a lambda, so document text is shuffled once, not per step.
     """
-    ch = chunk_rows(docs, doc, text)
-    big = ch.where(F.col("n_chunks") > max_unfiltered)
-    tc = term_counts(big, [doc, "chunk_idx"], "chunk")
+    n_chunks = F.size(chunk_starts(text))
+    d = docs.select(doc, text, n_chunks.alias("n_chunks"))
+    small = d.where(F.col("n_chunks") <= max_unfiltered).select(
+        doc, F.col("n_chunks").cast("int").alias("n_chunks"), F.col("n_chunks").cast("int").alias("n_kept"), text)
+    big = d.where(F.col("n_chunks") > max_unfiltered)
+    ch = big.select(doc, F.posexplode(chunks(text)).alias("chunk_idx", "chunk"))
+    tc = term_counts(ch, [doc, "chunk_idx"], "chunk")
     q = broadcast_if_small(query_terms.select("term", "qtf"), MAX_QUERY_TERMS)
     q2 = query_terms.agg(F.sum(F.col("qtf") * F.col("qtf"))).scalar()   # scalar subquery
     per_chunk = tc.join(q, "term", "left").groupBy(doc, "chunk_idx").agg(
         F.coalesce(F.sum(F.col("tf") * F.col("qtf")), F.lit(0)).alias("dot"),
         F.sum(F.col("tf") * F.col("tf")).alias("c2"))
-    scored = big.select(doc, "chunk_idx", "chunk").join(per_chunk, [doc, "chunk_idx"], "left")
+    # chunks without any token have no term rows: they score 0
+    all_idx = ch.select(doc, "chunk_idx").join(per_chunk, [doc, "chunk_idx"], "left")
     score = F.coalesce(F.try_divide(F.col("dot").cast("double"), F.sqrt((F.col("c2") * q2).cast("double"))), F.lit(0.0))
-    best = top_k(scored.withColumn("score", score), [doc], [F.desc("score"), F.asc("chunk_idx")], top, "chunk_rank")
-    kept = best.groupBy(doc).agg(
-        F.count(F.lit(1)).alias("n_kept"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_idx", "chunk"))), lambda x: x["chunk"]),
-                     CHUNK_SEPARATOR).alias("_filtered"))
-    n = ch.groupBy(doc).agg(F.max("n_chunks").alias("n_chunks"))
-    out = docs.select(doc, text).join(n, doc, "left").join(kept, doc, "left")
-    small = F.coalesce(F.col("n_chunks"), F.lit(0)) <= max_unfiltered
-    return out.select(doc, F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"),
-                      F.when(small, F.coalesce("n_chunks", F.lit(0))).otherwise(F.col("n_kept")).cast("int").alias("n_kept"),
-                      F.when(small, F.col(text)).otherwise(F.col("_filtered")).alias("text"))
+    best = top_k(all_idx.withColumn("score", score), [doc], [F.desc("score"), F.asc("chunk_idx")], top, "chunk_rank")
+    kept = best.groupBy(doc).agg(F.array_sort(F.collect_list("chunk_idx")).alias("_idx"))
+    t = F.col(text)
+    rebuilt = F.array_join(F.transform("_idx", lambda i: F.substring(t, i * CHUNK_STEP + 1, CHUNK_SIZE)), CHUNK_SEPARATOR)
+    filtered = big.join(kept, doc).select(doc, F.col("n_chunks").cast("int").alias("n_chunks"),
+                                          F.size("_idx").alias("n_kept"), rebuilt.alias(text))
+    return small.unionByName(filtered)
 
 
 def vector_topk(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:

@@ -13,7 +13,6 @@ from tessera.functions.text import strip
 
 # --- fixed values of the page jobs ----------------------------------------------------
 TITLE_SUFFIX = " - Issue Tracker"
-TITLE_ID_SUFFIX = "] - Issue Tracker"
 TITLE_FALLBACK = "Title not parseable from page_title"
 NOT_FOUND = "Not found"
 UNKNOWN = "Unknown"
@@ -47,36 +46,37 @@ def page_title(html_col: str = "html", suffix: str = TITLE_SUFFIX):
             .otherwise(F.lit(TITLE_FALLBACK)))
 
 
+def _items(html_col: str = "html"):
+    """Per page: array of (raw_pos, text) paragraphs -- scripts and styles
+    removed first, tags stripped, entities decoded, blank ones and repeats of
+    an earlier paragraph dropped (first wins).  A row-local expression: all
+    paragraphs of a page are in its row, so no shuffle is needed."""
+    body = F.regexp_replace(F.col(html_col), SCRIPT_STYLE_PATTERN, "")
+    raw = F.regexp_extract_all(body, F.lit(PARAGRAPH_PATTERN), 1)
+    cleaned = F.transform(raw, lambda p: strip(unescape(F.regexp_replace(p, TAG_PATTERN, ""))))
+    indexed = F.transform(cleaned, lambda x, i: F.struct(i.alias("raw_pos"), x.alias("text")))
+    return F.filter(indexed, lambda e: (e["text"] != "") & (F.array_position(cleaned, e["text"]) == e["raw_pos"] + 1))
+
+
 def page_items(pages: DataFrame) -> DataFrame:
-    """T07 + D07: paragraphs in document order (scripts and styles removed
-    first, tags stripped, entities decoded, blank ones dropped); a repeat of
-    an earlier paragraph of the same page is skipped (first wins)."""
-    body = F.regexp_replace(F.col("html"), SCRIPT_STYLE_PATTERN, "")
-    raw = pages.select("page_id", F.posexplode(F.regexp_extract_all(body, F.lit(PARAGRAPH_PATTERN), 1)).alias("raw_pos", "p"))
-    items = raw.select("page_id", "raw_pos", strip(unescape(F.regexp_replace("p", TAG_PATTERN, ""))).alias("text")).where(F.col("text") != "")
-    first = items.groupBy("page_id", "text").agg(F.min("raw_pos").alias("raw_pos"))
-    return first.select("page_id", "raw_pos", "text")
+    """T07 + D07: paragraphs in document order, one row each (see ``_items``)."""
+    return pages.select("page_id", F.explode(_items()).alias("e")).select("page_id", "e.raw_pos", "e.text")
 
 
-def comments_concat(pages: DataFrame, items: DataFrame) -> DataFrame:
+def comments_concat(pages: DataFrame) -> DataFrame:
     """A21 + P11: one row per page: url, title, description (first item) and
     the formatted concatenation of the later items in order, or the
-    placeholder texts when there is nothing to concatenate."""
-    desc = items.groupBy("page_id").agg(F.min_by("text", "raw_pos").alias("description_text"),
-                                        F.min("raw_pos").alias("_p0"))
-    later = items.join(desc, "page_id").where(F.col("raw_pos") != F.col("_p0"))
-    block = F.format_string(COMMENT_BLOCK, F.concat(F.lit("p"), F.col("raw_pos").cast("string")),
-                            F.lit(UNKNOWN), F.lit(UNKNOWN), F.col("text"))
-    cat = later.groupBy("page_id").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("raw_pos", block.alias("b")))), lambda x: x["b"]), "").alias("_all"))
-    out = (pages.select("page_id", "url", page_title().alias("issue_title"))
-           .join(desc, "page_id", "left").join(cat, "page_id", "left"))
-    described = F.col("description_text").isNotNull()
-    d = F.coalesce(F.col("description_text"), F.lit(DESCRIPTION_MISSING_PREFIX + " not found"))
-    allc = strip(F.coalesce(F.col("_all"), F.lit("")))
+    placeholder texts when there is nothing to concatenate.  Row-local: no
+    shuffle, no grouping."""
+    it = pages.select("page_id", "url", page_title().alias("issue_title"), _items().alias("_it"))
+    block = lambda e: F.format_string(COMMENT_BLOCK, F.concat(F.lit("p"), e["raw_pos"].cast("string")),
+                                      F.lit(UNKNOWN), F.lit(UNKNOWN), e["text"])
+    later = F.slice("_it", 2, F.greatest(F.size("_it") - 1, F.lit(1)))
+    described = F.size("_it") > 0
+    d = F.when(described, F.get("_it", 0)["text"]).otherwise(F.lit(DESCRIPTION_MISSING_PREFIX + " not found"))
+    allc = strip(F.when(F.size("_it") > 1, F.array_join(F.transform(later, block), "")).otherwise(F.lit("")))
     concat = (F.when(allc != "", allc)
               .when(~d.startswith(DESCRIPTION_MISSING_PREFIX), F.lit(NO_COMMENTS))
               .otherwise(F.lit(NOTHING_FOUND)))
-    return out.select("page_id", F.coalesce("url", F.lit(NOT_FOUND)).alias("issue_url"), "issue_title",
-                      F.when(described, F.col("description_text")).otherwise(d).alias("description_text"),
-                      concat.alias("all_comments_concatenated"))
+    return it.select("page_id", F.coalesce("url", F.lit(NOT_FOUND)).alias("issue_url"), "issue_title",
+                     d.alias("description_text"), concat.alias("all_comments_concatenated"))

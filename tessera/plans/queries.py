@@ -374,8 +374,7 @@ def comments_concat(spark, sf_dir):
     """A21 + P11: description and formatted later paragraphs per page."""
     from tessera.operators import pages
     from tessera.sources.tables import table
-    p = table(spark, sf_dir, "pages", "page_id", "url", "html")
-    return pages.comments_concat(p, pages.page_items(p))
+    return pages.comments_concat(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
 # -- step 9: CSV import / export, editor operations, JSON sink ---------------------

@@ -188,8 +188,7 @@ def test_page_fields(spark):
     p = spark.createDataFrame([(i, f"u{i}", h) for i, h in enumerate(html)], "page_id long, url string, html string")
     titles = [r.t for r in p.orderBy("page_id").select(pages.page_title().alias("t")).collect()]
     assert titles == ["Bug", "Bug", "Bug", "Title not parseable from page_title"]
-    items = pages.page_items(p)
-    out = {r.page_id: r.all_comments_concatenated for r in pages.comments_concat(p, items).collect()}
+    out = {r.page_id: r.all_comments_concatenated for r in pages.comments_concat(p).collect()}
     assert out[0].startswith("--- Comment ID: p1 ---\nAuthor: Unknown") and out[0].endswith("Text:\nc1")
     assert out[1] == "No subsequent comments found." and out[3] == "No comments or description found."
 
