@@ -167,11 +167,11 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Turn t gives line 2t 'TOPIC: <role>' and line 2t+1 'FACT: <first line of text>'.
     """
     c = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    topic = c.select(F.col("conv_id").alias("doc_id"), (F.col("turn") * 2).alias("line_no"),
-                     F.concat(F.lit("TOPIC: "), F.col("role")).alias("line"))
-    fact = c.select(F.col("conv_id").alias("doc_id"), (F.col("turn") * 2 + 1).alias("line_no"),
-                    F.concat(F.lit("FACT: "), F.substring_index(F.col("text"), "\n", 1)).alias("line"))
-    return topic.unionByName(fact)
+    two = F.array(
+        F.struct((F.col("turn") * 2).alias("line_no"), F.concat(F.lit("TOPIC: "), F.col("role")).alias("line")),
+        F.struct((F.col("turn") * 2 + 1).alias("line_no"),
+                 F.concat(F.lit("FACT: "), F.substring_index(F.col("text"), "\n", 1)).alias("line")))
+    return c.select(F.col("conv_id").alias("doc_id"), F.explode(two).alias("l")).select("doc_id", "l.line_no", "l.line")
 
 
 def query_terms(spark: SparkSession, sf_dir: str) -> DataFrame:

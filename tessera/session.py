@@ -49,6 +49,27 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def cluster_conf(input_bytes: int, executor_cores_total: int, partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized for a cluster run over ``input_bytes`` of input.
+
+    Initial shuffle partitions: about one per ``partition_bytes`` of input and
+    at least three waves of the cores; AQE coalesces small ones and splits
+    skewed ones at run time.  File splits match the partition size.
+    """
+    parts = max(3 * executor_cores_total, int(input_bytes // partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
