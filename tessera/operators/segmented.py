@@ -6,8 +6,8 @@ helpers split each group into ordered *slices* instead:
 
 1. ``n - 1`` bounds are taken from a seeded sample of the (g, o) keys (20
    keys per slice, like Spark's range partitioner; one small job) and each row's slice is
-   the number of bounds at or below its key -- a binary search written as a
-   nested ``CASE`` over struct comparisons, so it is a pure function of the
+   the number of bounds at or below its key -- a binary search (``aggregate``)
+   over one constant array of bounds, so it is a pure function of the
    row: every branch of the plan and every task retry sees the same slice,
    equal keys share a slice, and a hot group spans many slices;
 2. the window runs per ``(g, slice)`` -- bounded by the slice size;
@@ -21,28 +21,20 @@ ascending.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
 SAMPLE_PER_SLICE = 20
+MAX_SAMPLE = 1_000_000      # keys brought to the driver, as Spark's range partitioner caps it
+MAX_SLICES = 8192
 SAMPLE_SEED = 20240601
 
 
 def _n_slices(df: DataFrame, n: int | None) -> int:
     if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def _literal(value, dtype):
-    if value is None:
-        return F.lit(None).cast(dtype)
-    if isinstance(value, (_dt.datetime, _dt.date)):
-        return F.lit(value.isoformat(sep=" ") if isinstance(value, _dt.datetime) else value.isoformat()).cast(dtype)
-    return F.lit(value).cast(dtype)
+        return min(n, MAX_SLICES)
+    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), MAX_SLICES)
 
 
 def _null_first(v):
@@ -52,13 +44,13 @@ def _null_first(v):
 def slice_bounds(df: DataFrame, keys: list[str], n: int) -> list[tuple]:
     """``n - 1`` ascending bounds of the key tuple from a seeded sample.
 
-    One job: the ``SAMPLE_PER_SLICE * n`` rows with the smallest seeded
-    ``rand()`` (a per-task top-k, ``TakeOrderedAndProject``) -- a uniform
-    sample of fixed size that needs no row count first.
+    One job: the ``SAMPLE_PER_SLICE * n`` rows (at most ``MAX_SAMPLE``) with
+    the smallest seeded ``rand()`` -- a per-task top-k, ``TakeOrderedAndProject``
+    -- a uniform sample of fixed size that needs no row count first.
     """
     if n <= 1:
         return []
-    k = SAMPLE_PER_SLICE * n
+    k = min(SAMPLE_PER_SLICE * n, MAX_SAMPLE)
     sample = [tuple(r)[:-1] for r in df.select(*keys, F.rand(SAMPLE_SEED).alias("_r")).orderBy("_r").limit(k).collect()]
     sample.sort(key=lambda t: tuple(_null_first(v) for v in t))
     if not sample:
@@ -71,21 +63,52 @@ def slice_bounds(df: DataFrame, keys: list[str], n: int) -> list[tuple]:
     return bounds
 
 
+def _sql_literal(value, dtype) -> str:
+    """SQL text of a literal of ``dtype`` (bounds become one constant array)."""
+    from pyspark.sql import types as T
+    if value is None:
+        return f"CAST(NULL AS {dtype.simpleString()})"
+    if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(dtype, T.TimestampNTZType):
+        return f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'"
+    if isinstance(dtype, T.TimestampType):
+        return f"CAST('{value.isoformat(sep=' ')}' AS TIMESTAMP)"
+    if isinstance(dtype, T.DateType):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(dtype, T.BooleanType):
+        return "true" if value else "false"
+    if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return f"CAST('{value!r}' AS {dtype.simpleString()})"
+    return f"CAST({int(value)} AS {dtype.simpleString()})"
+
+
 def slice_of(df: DataFrame, keys: list[str], bounds: list[tuple]) -> Column:
-    """Slice id = number of bounds <= key, by binary search over the bounds."""
+    """Slice id = number of bounds <= key.
+
+    The bounds are one constant array (a single SQL literal, folded by the
+    optimizer -- the plan holds it once, rows do not); a binary search over it
+    with ``aggregate`` takes log2(n) steps per row.
+    """
     if not bounds:
         return F.lit(0)
     types = {f.name: f.dataType for f in df.schema.fields}
-    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
-    lits = [F.struct(*[_literal(v, types[k]).alias(f"k{i}") for i, (k, v) in enumerate(zip(keys, b))]) for b in bounds]
-
-    def search(lo: int, hi: int) -> Column:  # answer in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2  # compare with bound index mid (0-based) -> answer > mid ?
-        return F.when(key >= lits[mid], search(mid + 1, hi)).otherwise(search(lo, mid))
-
-    return search(0, len(bounds))
+    names = [f"k{i}" for i in range(len(keys))]
+    items = ", ".join("named_struct(" + ", ".join(f"'{nm}', {_sql_literal(v, types[k])}" for nm, k, v in zip(names, keys, b)) + ")"
+                      for b in bounds)
+    arr = F.expr(f"array({items})")
+    key = F.struct(*[F.col(k).alias(nm) for nm, k in zip(names, keys)])
+    steps = max(1, (len(bounds)).bit_length())
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = ((lo + hi) / 2).cast("int")
+        right = key >= F.element_at(arr, mid + 1)
+        nxt = F.when(right, F.struct((mid + 1).alias("lo"), hi.alias("hi"))).otherwise(F.struct(lo.alias("lo"), mid.alias("hi")))
+        return F.when(lo < hi, nxt).otherwise(acc)
+
+    init = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
 
 
 def slice_groups(df: DataFrame, group: list[str], order: list[str], n: int | None = None) -> DataFrame:
