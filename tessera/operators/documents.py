@@ -192,15 +192,17 @@ def hash_embed(texts, dim: int = EMBED_DIM) -> np.ndarray:
     return np.divide(out, norms, out=np.zeros_like(out), where=norms > 0)
 
 
-def embed(df: DataFrame, id_cols: list[str], text: str, scorer=hash_embed) -> DataFrame:
-    """``mapInPandas`` in Arrow batches of EMBED_BATCH rows -> (ids, vec)."""
+def embed(df: DataFrame, id_cols: list[str], text: str, scorer=hash_embed, batch: int = EMBED_BATCH) -> DataFrame:
+    """``mapInPandas`` over Arrow batches; the scorer is called on
+    ``batch`` texts at a time (the reference's 16 texts per call) -> (ids, vec)."""
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*id_cols).schema.fields) + ", vec array<double>"
 
     def run(batches):
         for pdf in batches:
-            vecs = scorer(pdf[text].tolist())
+            texts = pdf[text].tolist()
+            vecs = [v for i in range(0, len(texts), batch) for v in scorer(texts[i:i + batch])]
             out = pdf[id_cols].copy()
-            out["vec"] = list(vecs)
+            out["vec"] = vecs
             yield out
 
     return df.select(*id_cols, text).mapInPandas(run, schema)
@@ -219,7 +221,3 @@ def batched_scores(chunk_df: DataFrame, query_texts: DataFrame) -> DataFrame:
         "doc_id", "chunk_idx", F.round(dot("vec", "_q"), 6).alias("score"))
 
 
-def pandas_batch_size_conf() -> dict:
-    """Session setting that makes Arrow batches EMBED_BATCH rows long."""
-    return {"spark.sql.execution.arrow.maxRecordsPerBatch": str(EMBED_BATCH)}
-

@@ -965,6 +965,10 @@ SELECT (SELECT count(DISTINCT device) FROM rc) AS n_devices,
 
 SQL["stream_counts"] = SQL["release_counts"]
 SQL["stream_dedup"] = SQL["content_hash_dedup"]
+SQL["stream_pair_counts"] = SQL["pair_counts"]
+SQL["stream_app_counts"] = with_("an_rows") + """
+SELECT side, app, count(*) AS n FROM an_side GROUP BY ALL
+"""
 SQL["stream_versions"] = SQL["versions"]
 SQL["stream_csv"] = with_("page_title") + """
 SELECT CAST(page_id AS VARCHAR) AS page_id, url, title FROM page_titles

@@ -568,6 +568,26 @@ def stream_counts(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def _counter_store(spark, sf_dir):
+    from tessera.streaming import jobs
+    store = jobs.running_app_counts(spark, sf_dir, jobs.stream_table(spark, sf_dir, "orders"), jobs.fresh(spark, "st01c"))
+    return jobs.read_counters(spark, store)
+
+
+@register("stream_app_counts")
+def stream_app_counts(spark, sf_dir):
+    """ST01 + A03: app counters kept as partial counts per micro-batch."""
+    c = _counter_store(spark, sf_dir).where(F.col("kind") == "app")
+    return c.select("side", F.col("a").alias("app"), "n")
+
+
+@register("stream_pair_counts")
+def stream_pair_counts(spark, sf_dir):
+    """ST01 + A10: app-pair counters kept as partial counts per micro-batch."""
+    c = _counter_store(spark, sf_dir).where(F.col("kind") == "pair")
+    return c.select("side", F.col("a").alias("app_a"), F.col("b").alias("app_b"), "n")
+
+
 def _ticket_stream(spark, sf_dir):
     from tessera.streaming import jobs
     ev = jobs.stream_table(spark, sf_dir, "events")

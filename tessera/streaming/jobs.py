@@ -51,6 +51,34 @@ def running_release_counts(spark: SparkSession, sf_dir: str, orders_stream: Data
     return out
 
 
+def running_app_counts(spark: SparkSession, sf_dir: str, orders_stream: DataFrame, store: str) -> str:
+    """ST01 (A03, A10): app and app-pair counters over arriving orders.
+
+    Each micro-batch writes its *partial* counts to its own ``batch_id``
+    folder (stateless, idempotent on retry); the running totals are the sum of
+    the partials (:func:`read_counters`).  No state store, no per-key state.
+    """
+    from tessera.operators import analyzer
+    from tessera.plans import bindings
+    rows = analyzer.analyzer_rows(bindings.config_rows(spark, sf_dir, orders=orders_stream))
+
+    def write(batch: DataFrame, batch_id: int):
+        apps = analyzer.global_app_counts(batch).select("side", F.lit("app").alias("kind"), F.col("app").alias("a"),
+                                                         F.lit(None).cast("string").alias("b"), "n")
+        pairs = analyzer.pair_counts(batch).select("side", F.lit("pair").alias("kind"), F.col("app_a").alias("a"),
+                                                   F.col("app_b").alias("b"), "n")
+        apps.unionByName(pairs).write.mode("overwrite").parquet(_batch_folder(store, batch_id))
+
+    run_available(rows.writeStream.foreachBatch(write), store + "._checkpoint")
+    return store
+
+
+def read_counters(spark: SparkSession, store: str) -> DataFrame:
+    """Running totals: the per-batch partial counts summed."""
+    return (spark.read.parquet(store).drop("batch_id").groupBy("side", "kind", "a", "b")
+            .agg(F.sum("n").alias("n")))
+
+
 # --- ST02: insert-if-absent as items arrive ------------------------------------------
 
 def _batch_folder(store: str, batch_id: int) -> str:

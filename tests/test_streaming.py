@@ -58,3 +58,31 @@ def test_dedup_within_watermark_runs(spark, tmp_path):
     jobs.run_available(d.writeStream.format("parquet").option("path", out), out + "._ck")
     n = spark.read.parquet(out).count()
     assert 0 < n <= spark.read.parquet(f"{SF}/events.parquet").count()
+
+
+def test_partial_counters_across_batches(spark, tmp_path):
+    import glob
+    import os
+    import shutil
+    import time
+
+    from tessera.operators import analyzer
+    from tessera.plans import bindings
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    folder = str(tmp_path / "orders_in")
+    now = time.time()
+    for i in range(3):
+        orders.where(F.col("o_orderkey") % 3 == i).coalesce(1).write.parquet(f"{folder}/p{i}")
+        dst = f"{folder}/orders{i}.parquet"
+        shutil.copy(glob.glob(f"{folder}/p{i}/*.parquet")[0], dst)
+        os.utime(dst, (now - 100 + i * 10, now - 100 + i * 10))
+    stream = jobs.stream_table(spark, folder, "orders", max_files_per_trigger=1)
+    store = jobs.running_app_counts(spark, SF, stream, str(tmp_path / "counters"))
+    got = jobs.read_counters(spark, store)
+    assert spark.read.parquet(store).select("batch_id").distinct().count() == 3
+    rows = analyzer.analyzer_rows(bindings.config_rows(spark, SF))
+    want_pairs = {(r.side, r.app_a, r.app_b): r.n for r in analyzer.pair_counts(rows).collect()}
+    got_pairs = {(r.side, r.a, r.b): r.n for r in got.where("kind = 'pair'").collect()}
+    assert got_pairs == want_pairs
+    want_apps = {(r.side, r.app): r.n for r in analyzer.global_app_counts(rows).collect()}
+    assert {(r.side, r.a): r.n for r in got.where("kind = 'app'").collect()} == want_apps
