@@ -49,14 +49,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+MAX_SHUFFLE_PARTITIONS = 50_000
+
+
 def cluster_conf(input_bytes: int, executor_cores_total: int, partition_bytes: int = 256 << 20) -> dict:
     """Settings sized for a cluster run over ``input_bytes`` of input.
 
-    Initial shuffle partitions: about one per ``partition_bytes`` of input and
-    at least three waves of the cores; AQE coalesces small ones and splits
-    skewed ones at run time.  File splits match the partition size.
+    Initial shuffle partitions: about one per ``partition_bytes`` of input,
+    capped at MAX_SHUFFLE_PARTITIONS and at least three waves of the cores;
+    AQE coalesces small ones and splits skewed ones at run time.  File splits
+    match the partition size.
     """
-    parts = max(3 * executor_cores_total, int(input_bytes // partition_bytes) + 1)
+    # shuffle blocks grow as map tasks x reduce partitions: cap the reduce side
+    parts = max(3 * executor_cores_total, min(MAX_SHUFFLE_PARTITIONS, int(input_bytes // partition_bytes) + 1))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
