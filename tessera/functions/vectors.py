@@ -21,6 +21,12 @@ def norm(a) -> Column:
 
 
 def l2_normalize(a) -> Column:
-    """divide by the L2 norm (NULL norm -> unchanged zeros)."""
-    n = norm(a)
-    return F.transform(_c(a), lambda x: F.when(n > 0, x.cast("double") / n).otherwise(x.cast("double")))
+    """divide by the L2 norm (a zero vector stays as it is).
+
+    The norm is computed once by ``aggregate`` and used in its finish lambda
+    (an outer expression inside ``transform`` would be re-evaluated per element).
+    """
+    arr = _c(a)
+    return F.aggregate(
+        arr, F.lit(0.0).cast("double"), lambda s, x: s + x.cast("double") * x.cast("double"),
+        lambda s: F.transform(arr, lambda x: F.when(s > 0, x.cast("double") / F.sqrt(s)).otherwise(x.cast("double"))))

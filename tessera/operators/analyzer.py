@@ -81,8 +81,12 @@ def global_app_counts(rows: DataFrame) -> DataFrame:
 
 
 def sorted_pairs(arr):
-    """All index pairs i < j of the sorted list (duplicates kept); [] under two."""
-    a = F.array_sort(arr)
+    """All index pairs i < j of the list (duplicates kept); [] under two.
+
+    ``arr`` must already be sorted and should be a column: the lambdas read it
+    per element, so an expression here would be re-evaluated each time.
+    """
+    a = F.col(arr) if isinstance(arr, str) else arr
     n = F.size(a)
     return F.when(n >= 2, F.flatten(F.transform(
         F.sequence(F.lit(0), n - 2),
@@ -97,7 +101,8 @@ def pair_counts(rows: DataFrame) -> DataFrame:
     Pairs are generated per row from that row's own list (bounded by the app
     vocabulary), never across rows, and aggregated with map-side combine.
     """
-    r = counted_rows(rows)
+    r = counted_rows(rows).select(F.array_sort("base_apps").alias("base_apps"),
+                                  F.array_sort("variant_apps").alias("variant_apps"))
     both = F.concat(
         F.transform(sorted_pairs("base_apps"), lambda p: F.struct(F.lit("base").alias("side"), p.alias("p"))),
         F.transform(sorted_pairs("variant_apps"), lambda p: F.struct(F.lit("variant").alias("side"), p.alias("p"))))

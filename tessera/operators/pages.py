@@ -46,21 +46,28 @@ def page_title(html_col: str = "html", suffix: str = TITLE_SUFFIX):
             .otherwise(F.lit(TITLE_FALLBACK)))
 
 
-def _items(html_col: str = "html"):
-    """Per page: array of (raw_pos, text) paragraphs -- scripts and styles
-    removed first, tags stripped, entities decoded, blank ones and repeats of
-    an earlier paragraph dropped (first wins).  A row-local expression: all
-    paragraphs of a page are in its row, so no shuffle is needed."""
+def _cleaned(html_col: str = "html"):
+    """Per page: every paragraph's text -- scripts and styles removed first,
+    tags stripped, entities decoded (blank and repeated ones still present)."""
     body = F.regexp_replace(F.col(html_col), SCRIPT_STYLE_PATTERN, "")
     raw = F.regexp_extract_all(body, F.lit(PARAGRAPH_PATTERN), 1)
-    cleaned = F.transform(raw, lambda p: strip(unescape(F.regexp_replace(p, TAG_PATTERN, ""))))
-    indexed = F.transform(cleaned, lambda x, i: F.struct(i.alias("raw_pos"), x.alias("text")))
-    return F.filter(indexed, lambda e: (e["text"] != "") & (F.array_position(cleaned, e["text"]) == e["raw_pos"] + 1))
+    return F.transform(raw, lambda p: strip(unescape(F.regexp_replace(p, TAG_PATTERN, ""))))
+
+
+def _items(cleaned_col: str = "_cleaned"):
+    """(raw_pos, text) of the non-blank paragraphs, repeats of an earlier one
+    dropped (first wins).  Reads the projected ``_cleaned`` column, so the
+    regular expressions run once per page, not once per lambda call.  Row-local:
+    all paragraphs of a page are in its row, so no shuffle is needed."""
+    c = F.col(cleaned_col)
+    indexed = F.transform(c, lambda x, i: F.struct(i.alias("raw_pos"), x.alias("text")))
+    return F.filter(indexed, lambda e: (e["text"] != "") & (F.array_position(c, e["text"]) == e["raw_pos"] + 1))
 
 
 def page_items(pages: DataFrame) -> DataFrame:
     """T07 + D07: paragraphs in document order, one row each (see ``_items``)."""
-    return pages.select("page_id", F.explode(_items()).alias("e")).select("page_id", "e.raw_pos", "e.text")
+    p = pages.select("page_id", _cleaned().alias("_cleaned"))
+    return p.select("page_id", F.explode(_items()).alias("e")).select("page_id", "e.raw_pos", "e.text")
 
 
 def comments_concat(pages: DataFrame) -> DataFrame:
@@ -68,7 +75,8 @@ def comments_concat(pages: DataFrame) -> DataFrame:
     the formatted concatenation of the later items in order, or the
     placeholder texts when there is nothing to concatenate.  Row-local: no
     shuffle, no grouping."""
-    it = pages.select("page_id", "url", page_title().alias("issue_title"), _items().alias("_it"))
+    p = pages.select("page_id", "url", page_title().alias("issue_title"), _cleaned().alias("_cleaned"))
+    it = p.select("page_id", "url", "issue_title", _items().alias("_it"))
     block = lambda e: F.format_string(COMMENT_BLOCK, F.concat(F.lit("p"), e["raw_pos"].cast("string")),
                                       F.lit(UNKNOWN), F.lit(UNKNOWN), e["text"])
     later = F.slice("_it", 2, F.greatest(F.size("_it") - 1, F.lit(1)))
