@@ -35,6 +35,20 @@ def _persist(df: DataFrame, level: int) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _finish(result: DataFrame, cached: list[DataFrame]) -> DataFrame:
+    """Write the result as a reliable checkpoint, then release the per-level
+    caches (nothing stays pinned in executor memory after the call).
+
+    ``cached`` is in creation order; release runs newest first so no cached
+    plan is dropped while a later cached plan still builds on it (which would
+    make Spark re-register the dependants).
+    """
+    out = cut_lineage(result)
+    for df in reversed(cached):
+        df.unpersist()
+    return out
+
+
 def branch_sums(nodes: DataFrame) -> DataFrame:
     """For every leaf, the sum of values on the path from its root.
 
@@ -59,11 +73,14 @@ def branch_sums(nodes: DataFrame) -> DataFrame:
     reached = reduce(DataFrame.unionByName, levels)
     parents = edges.where(F.col("parent_id").isNotNull()).select(F.col("parent_id").alias("node_id")).distinct()
     leaves = reached.join(parents, "node_id", "left_anti")
-    return leaves.select(F.col("node_id").alias("leaf_id"), "root_id", "branch_sum", "depth", "path")
+    out = leaves.select(F.col("node_id").alias("leaf_id"), "root_id", "branch_sum", "depth", "path")
+    return _finish(out, [edges, *levels])  # creation order
+
 
+def depths(nodes: DataFrame, keep: list | None = None) -> DataFrame:
+    """(node_id, depth) by a top-down level loop (roots have depth 1).
 
-def depths(nodes: DataFrame) -> DataFrame:
-    """(node_id, depth) by a top-down level loop (roots have depth 1)."""
+    Persisted levels are appended to ``keep`` so the caller can release them."""
     edges = nodes.select("node_id", "parent_id")
     frontier = _persist(edges.where(F.col("parent_id").isNull()).select("node_id", F.lit(1).alias("depth")), 1)
     levels = [frontier]
@@ -73,6 +90,8 @@ def depths(nodes: DataFrame) -> DataFrame:
         frontier = _persist(edges.join(frontier.select(F.col("node_id").alias("parent_id"), "depth"), "parent_id").select(
             "node_id", (F.col("depth") + 1).alias("depth")), level)
         levels.append(frontier)
+    if keep is not None:
+        keep.extend(levels)
     return reduce(DataFrame.unionByName, levels)
 
 
@@ -87,10 +106,12 @@ def evaluate(nodes: DataFrame) -> DataFrame:
     one ``groupBy(parent)`` and one join per level.
     """
     nodes = nodes.persist(StorageLevel.MEMORY_AND_DISK)
-    d = nodes.join(depths(nodes), "node_id").persist(StorageLevel.MEMORY_AND_DISK)
+    depth_levels: list = []
+    d = nodes.join(depths(nodes, depth_levels), "node_id").persist(StorageLevel.MEMORY_AND_DISK)
     max_depth = d.agg(F.max("depth")).first()[0] or 0
     leaf_vals = d.where(F.col("value") >= 0).select("node_id", "parent_id", "side", "depth", F.col("value").alias("v"))
     below = None  # operator results of the level below
+    kept = []
     for level in range(max_depth, 0, -1):
         here = leaf_vals.where(F.col("depth") == level).select("node_id", "parent_id", "side", "v")
         if below is not None:
@@ -107,7 +128,10 @@ def evaluate(nodes: DataFrame) -> DataFrame:
                .when(op == OP_DIVIDE, F.when(b != 0, F.expr("coalesce(l, 0) div coalesce(r, 0)")))
                .otherwise(a * b))
         below = _persist(j.select("node_id", "parent_id", "side", res.cast("bigint").alias("v")), max_depth - level + 1)
+        kept.append(below)
     roots = d.where(F.col("parent_id").isNull()).select("tree_id", "node_id")
     if below is None:
-        return roots.select("tree_id", F.lit(None).cast("bigint").alias("result"))
-    return roots.join(below.select("node_id", "v"), "node_id", "left").select("tree_id", F.col("v").alias("result"))
+        out = roots.select("tree_id", F.lit(None).cast("bigint").alias("result"))
+    else:
+        out = roots.join(below.select("node_id", "v"), "node_id", "left").select("tree_id", F.col("v").alias("result"))
+    return _finish(out, [nodes, *depth_levels, d, *kept])  # creation order
