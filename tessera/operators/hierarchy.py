@@ -77,15 +77,18 @@ def branch_sums(nodes: DataFrame) -> DataFrame:
     return _finish(out, [edges, *levels])  # creation order
 
 
-def depths(nodes: DataFrame, keep: list | None = None) -> DataFrame:
+def depths(nodes: DataFrame, keep: list | None = None, max_depth: int | None = None) -> DataFrame:
     """(node_id, depth) by a top-down level loop (roots have depth 1).
 
-    Persisted levels are appended to ``keep`` so the caller can release them."""
+    Without ``max_depth`` the loop stops at the first empty level (one small
+    action per level); with a known bound it builds ``max_depth`` levels as one
+    lazy plan (no action).  Persisted levels are appended to ``keep`` so the
+    caller can release them."""
     edges = nodes.select("node_id", "parent_id")
     frontier = _persist(edges.where(F.col("parent_id").isNull()).select("node_id", F.lit(1).alias("depth")), 1)
     levels = [frontier]
     level = 1
-    while not frontier.isEmpty():
+    while (level < max_depth) if max_depth else (not frontier.isEmpty()):
         level += 1
         frontier = _persist(edges.join(frontier.select(F.col("node_id").alias("parent_id"), "depth"), "parent_id").select(
             "node_id", (F.col("depth") + 1).alias("depth")), level)
@@ -95,7 +98,7 @@ def depths(nodes: DataFrame, keep: list | None = None) -> DataFrame:
     return reduce(DataFrame.unionByName, levels)
 
 
-def evaluate(nodes: DataFrame) -> DataFrame:
+def evaluate(nodes: DataFrame, max_depth: int | None = None) -> DataFrame:
     """H02 + F19: bottom-up value of every root.
 
     Leaves (value >= 0) are their value; operator nodes combine their 'L'
@@ -103,12 +106,15 @@ def evaluate(nodes: DataFrame) -> DataFrame:
     divide toward zero (NULL when dividing by zero), other negatives
     multiply.  Deepest level first; a level reads only the values of the
     level below (leaves there plus the operator results just computed):
-    one ``groupBy(parent)`` and one join per level.
+    one ``groupBy(parent)`` and one join per level.  ``max_depth`` (a known
+    bound on tree height) skips the per-level actions; deeper nodes would be
+    left out, so give it only when the bound is certain.
     """
     nodes = nodes.persist(StorageLevel.MEMORY_AND_DISK)
     depth_levels: list = []
-    d = nodes.join(depths(nodes, depth_levels), "node_id").persist(StorageLevel.MEMORY_AND_DISK)
-    max_depth = d.agg(F.max("depth")).first()[0] or 0
+    d = nodes.join(depths(nodes, depth_levels, max_depth), "node_id").persist(StorageLevel.MEMORY_AND_DISK)
+    if not max_depth:
+        max_depth = d.agg(F.max("depth")).first()[0] or 0
     leaf_vals = d.where(F.col("value") >= 0).select("node_id", "parent_id", "side", "depth", F.col("value").alias("v"))
     below = None  # operator results of the level below
     kept = []

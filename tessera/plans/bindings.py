@@ -221,6 +221,7 @@ def geo_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 # fixed values: operator of each order's root by status
 ROOT_OP = {"O": -1, "F": -4}
 ROOT_OP_OTHER = -2
+FORMULA_DEPTH = 4   # root -> divide -> subtract -> leaf
 
 
 def formula_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

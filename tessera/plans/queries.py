@@ -491,7 +491,7 @@ def branch_sums(spark, sf_dir):
 def metric_tree(spark, sf_dir):
     """H02 + F19: bottom-up evaluation of one expression tree per order."""
     from tessera.operators import hierarchy
-    return hierarchy.evaluate(bindings.formula_forest(spark, sf_dir))
+    return hierarchy.evaluate(bindings.formula_forest(spark, sf_dir), max_depth=bindings.FORMULA_DEPTH)
 
 
 # -- step 4: insight text, sections, request lines, report rows ---------------------
