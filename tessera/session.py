@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files of shared() inputs are removed once their frame is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -71,6 +73,7 @@ def cluster_conf(input_bytes: int, executor_cores_total: int, partition_bytes: i
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # static broadcast threshold stays at the default: plan-time estimates of
         # aggregates are loose; AQE re-decides from measured sizes at run time
     }
