@@ -1006,3 +1006,6 @@ SELECT tp, fp, fn, tn, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + f
        round(2 * tp / (2 * tp + fp + fn), 6) AS f1, round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy
 FROM c
 """
+SQL["stream_dedup_watermark"] = """
+SELECT DISTINCT user_id, event_type FROM events
+"""

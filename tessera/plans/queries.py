@@ -649,3 +649,17 @@ def label_f1(spark, sf_dir):
     from tessera.sources.tables import table
     lab = table(spark, sf_dir, "labels", "quality", "toxic").select("quality", (1 - F.col("toxic")).alias("pred"))
     return quality.binary_metrics(lab, "quality", "pred")
+
+
+@register("stream_dedup_watermark")
+def stream_dedup_watermark(spark, sf_dir):
+    """ST02 (bounded state): events de-duplicated on (user, event type) with
+    ``dropDuplicatesWithinWatermark`` on event time; the kept keys are read
+    back (which duplicate survives is not defined, so only keys are returned)."""
+    from tessera.streaming import jobs
+    s = jobs.stream_table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    d = jobs.dedup_within_watermark(s, "ts", "1 hour", ["user_id", "event_type"])
+    out = jobs.fresh(spark, "st02w")
+    jobs.run_available(d.select("user_id", "event_type").writeStream.format("parquet").option("path", out),
+                       out + "._checkpoint")
+    return spark.read.parquet(out)
