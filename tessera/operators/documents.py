@@ -192,10 +192,23 @@ def hash_embed(texts, dim: int = EMBED_DIM) -> np.ndarray:
     return np.divide(out, norms, out=np.zeros_like(out), where=norms > 0)
 
 
+def _ship_by_value(fn) -> None:
+    """Pickle ``fn``'s module by value, so Python workers need not import this
+    package (on a cluster it is otherwise shipped with ``--py-files``)."""
+    import sys
+
+    from pyspark import cloudpickle
+    mod = sys.modules.get(getattr(fn, "__module__", ""), None)
+    if mod is not None and mod.__name__.startswith("tessera"):
+        cloudpickle.register_pickle_by_value(mod)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def embed(df: DataFrame, id_cols: list[str], text: str, scorer=hash_embed, batch: int = EMBED_BATCH) -> DataFrame:
     """``mapInPandas`` over Arrow batches; the scorer is called on
     ``batch`` texts at a time (the reference's 16 texts per call) -> (ids, vec)."""
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*id_cols).schema.fields) + ", vec array<double>"
+    _ship_by_value(scorer)
 
     def run(batches):
         for pdf in batches:
