@@ -193,3 +193,17 @@ def bracket_chars(c) -> Column:
 def insight_sections(c) -> Column:
     """split insight text at blank lines or before a '**' line."""
     return F.split(_c(c), r"\n\n+|\n(?=\*\*)")
+
+
+# fixed value: the report's long US date format
+LONG_US_DATE = "MMMM d, yyyy"
+
+
+def long_us_date(c) -> Column:
+    """'December 2, 2026' style date text."""
+    return F.date_format(_c(c), LONG_US_DATE)
+
+
+def generated_at() -> Column:
+    """the run's timestamp (kept out of compared results)."""
+    return F.current_timestamp()

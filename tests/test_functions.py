@@ -82,3 +82,9 @@ def test_insight_sections(spark):
     txt = "**A**\nline one\n\n**B**\nx"
     got = col_values(spark, [txt], T.insight_sections)
     assert got == [["**A**\nline one", "**B**\nx"]]
+
+
+def test_long_us_date(spark):
+    import datetime
+    df = spark.createDataFrame([(datetime.date(2026, 12, 2),)], "d date")
+    assert df.select(T.long_us_date("d")).first()[0] == "December 2, 2026"
