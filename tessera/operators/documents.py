@@ -82,14 +82,25 @@ def relevant_text(docs: DataFrame, query_terms: DataFrame, doc: str = "doc_id",
         doc, F.col("n_chunks").cast("int").alias("n_chunks"), F.col("n_chunks").cast("int").alias("n_kept"), text)
     big = d.where(F.col("n_chunks") > max_unfiltered)
     ch = big.select(doc, F.posexplode(chunks(text)).alias("chunk_idx", "chunk"))
-    tc = term_counts(ch, [doc, "chunk_idx"], "chunk")
+    toks = ch.select(doc, "chunk_idx", F.array_sort(F.filter(F.split(F.lower("chunk"), r"\s+"), lambda x: x != "")).alias("_t"))
+    # |chunk|^2 = sum of squared term counts, row-local: runs of the sorted tokens
+    zero = F.lit(0).cast("bigint")
+    runs = F.aggregate(
+        "_t", F.struct(F.lit(None).cast("string").alias("p"), zero.alias("run"), zero.alias("acc")),
+        lambda st, x: F.when(x == st["p"], F.struct(x.alias("p"), (st["run"] + 1).alias("run"), st["acc"].alias("acc")))
+        .otherwise(F.struct(x.alias("p"), F.lit(1).cast("bigint").alias("run"), (st["acc"] + st["run"] * st["run"]).alias("acc"))),
+        lambda st: st["acc"] + st["run"] * st["run"])
+    norms = toks.select(doc, "chunk_idx", runs.alias("c2"), "_t")
+    # chunk . query = sum of the query weight over the chunk's token occurrences:
+    # tokens meet the (checked, broadcast) query terms, and the per-chunk sum is
+    # combined map-side -- every token of a chunk is in that chunk's task, so one
+    # row per chunk is shuffled, never the tokens
     q = broadcast_if_small(query_terms.select("term", "qtf"), MAX_QUERY_TERMS)
     q2 = query_terms.agg(F.sum(F.col("qtf") * F.col("qtf"))).scalar()   # scalar subquery
-    per_chunk = tc.join(q, "term", "left").groupBy(doc, "chunk_idx").agg(
-        F.coalesce(F.sum(F.col("tf") * F.col("qtf")), F.lit(0)).alias("dot"),
-        F.sum(F.col("tf") * F.col("tf")).alias("c2"))
-    # chunks without any token have no term rows: they score 0
-    all_idx = ch.select(doc, "chunk_idx").join(per_chunk, [doc, "chunk_idx"], "left")
+    dots = (norms.select(doc, "chunk_idx", F.explode("_t").alias("term")).join(q, "term")
+            .groupBy(doc, "chunk_idx").agg(F.sum("qtf").alias("dot")))
+    all_idx = norms.select(doc, "chunk_idx", F.when(F.col("c2") > 0, F.col("c2")).alias("c2")).join(
+        dots, [doc, "chunk_idx"], "left").withColumn("dot", F.coalesce("dot", F.lit(0).cast("bigint")))
     score = F.coalesce(F.try_divide(F.col("dot").cast("double"), F.sqrt((F.col("c2") * q2).cast("double"))), F.lit(0.0))
     best = top_k(all_idx.withColumn("score", score), [doc], [F.desc("score"), F.asc("chunk_idx")], top, "chunk_rank")
     kept = best.groupBy(doc).agg(F.array_sort(F.collect_list("chunk_idx")).alias("_idx"))
