@@ -136,8 +136,8 @@ def quality(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS, order:
 SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
-         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
   FROM documents),
 tok AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
 win AS (
@@ -158,8 +158,8 @@ b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR n_symbols * 10 > n_words OR n_dup_lines * 2 > n_lines
             OR word_chars < n_words * 2 OR word_chars > n_words * 15
-            OR len(list_filter(w, x -> x = upper(x) AND length(x) > 1 AND x <> lower(x))) * 2 > n_words
-            OR len(list_filter(w, x -> upper(x) = lower(x))) * 2 > n_words
+            OR len(list_filter(w, lambda x: x = upper(x) AND length(x) > 1 AND x <> lower(x))) * 2 > n_words
+            OR len(list_filter(w, lambda x: upper(x) = lower(x))) * 2 > n_words
             OR len(regexp_extract_all(t, '[\x00-\x08\x0E-\x1F\x7F\x{FFFD}]')) * 100 > length(t)) AS kept
 FROM b
 """
