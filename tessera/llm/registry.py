@@ -2,20 +2,31 @@
 
 from __future__ import annotations
 
-from tessera.llm import exact_dedup, quality_rules
+from tessera.llm import best_fit_packing, exact_dedup, quality_rules, token_file
 from tessera.llm.common import documents
+from tessera.session import scratch_path
 
 
 def op1_quality_rules(spark, sf_dir):
     return quality_rules.quality(documents(spark, sf_dir)).drop("rejected_by")
 
 
+def op3_token_file(spark, sf_dir):
+    path = scratch_path(spark, "token_file")
+    token_file.write(documents(spark, sf_dir), path)
+    return token_file.read_back(spark, path)
+
+
+def op5_best_fit_packing(spark, sf_dir):
+    return best_fit_packing.pack(documents(spark, sf_dir))
+
+
 def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_quality_rules, op10_exact_dedup,
+    op1_quality_rules, op3_token_file, op5_best_fit_packing, op10_exact_dedup,
 )}
 
 SQL = {"op1_quality_rules": quality_rules.SQL, "op10_exact_dedup": exact_dedup.SQL}
