@@ -22,7 +22,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def no_space(text: Column) -> Column:
     """``text`` without any white-space character (null: empty)."""
-    return F.translate(F.coalesce(text, F.lit("")), SPACE, "")
+    out = F.coalesce(text, F.lit(""))
+    for c in SPACE:  # byte searches; translate() looks every character up in a map
+        out = F.replace(out, F.lit(c), F.lit(""))
+    return out
 
 
 def words(text: Column) -> Column:

@@ -8,8 +8,8 @@ are equal when their lengths and last names agree.
 
 A name is (bucket, rank): the bucket is a 64-bit hash of the unit, the rank its
 place among the *different* units of that bucket in sorted order.  One
-aggregate per level (smallest and largest unit of each bucket) finds the
-buckets that hold more than one unit.  There are almost none, so ranks are
+aggregate per level over the distinct units finds the buckets that hold more
+than one.  There are almost none, so ranks are
 sorted and joined only for those, and no block text is joined back.  Names
 depend on the units alone, never on partitions, so a task that runs again
 gives the same names.  Different units never share a name.
@@ -34,8 +34,8 @@ def _bucket(unit: Column, bits: int) -> Column:
 def _named(docs: DataFrame, bits: int) -> DataFrame:
     """Replace the array ``units`` by the array ``names`` of (bucket, rank)."""
     units = docs.select(F.explode("units").alias("unit")).withColumn("bucket", _bucket(F.col("unit"), bits))
-    mixed = (units.groupBy("bucket").agg(F.min("unit").alias("lo"), F.max("unit").alias("hi"))
-             .where(~F.col("lo").eqNullSafe(F.col("hi"))).select("bucket"))
+    mixed = (units.groupBy("bucket", "unit").agg(F.lit(1)).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+             .where("n > 1").select("bucket"))
     mixed = kept_table(mixed)
     if mixed.isEmpty():
         return docs.withColumn("names", F.transform("units", lambda u: F.struct(
