@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import best_fit_packing, exact_dedup, quality_rules, token_file
+from tessera.llm import best_fit_packing, exact_dedup, language_id, quality_rules, secret_scan, token_file
 from tessera.llm.common import documents
 from tessera.session import scratch_path
 
@@ -17,16 +17,27 @@ def op3_token_file(spark, sf_dir):
     return token_file.read_back(spark, path)
 
 
+def op4_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    rows = docs.select("doc_id", "text", language_id.held_out().alias("held_out"))
+    return language_id.predict(rows, language_id.learn_from_rest(docs), keep=("held_out",))
+
+
 def op5_best_fit_packing(spark, sf_dir):
     return best_fit_packing.pack(documents(spark, sf_dir))
 
 
+def op9_secret_scan(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return secret_scan.scan(docs, secret_scan.fit_detector(docs))
+
+
 def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_quality_rules, op3_token_file, op5_best_fit_packing, op10_exact_dedup,
+    op1_quality_rules, op3_token_file, op4_language_id, op5_best_fit_packing, op9_secret_scan, op10_exact_dedup,
 )}
 
 SQL = {"op1_quality_rules": quality_rules.SQL, "op10_exact_dedup": exact_dedup.SQL}
