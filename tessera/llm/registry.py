@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tessera.llm import best_fit_packing, exact_dedup, language_id, quality_rules, secret_scan, token_file
+from tessera.llm import (best_fit_packing, exact_dedup, jaccard_join, language_id, quality_rules,
+                         secret_scan, token_file)
 from tessera.llm.common import documents
 from tessera.session import scratch_path
 
@@ -27,6 +28,10 @@ def op5_best_fit_packing(spark, sf_dir):
     return best_fit_packing.pack(documents(spark, sf_dir))
 
 
+def op8_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(documents(spark, sf_dir))
+
+
 def op9_secret_scan(spark, sf_dir):
     docs = documents(spark, sf_dir)
     return secret_scan.scan(docs, secret_scan.fit_detector(docs))
@@ -37,7 +42,8 @@ def op10_exact_dedup(spark, sf_dir):
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_quality_rules, op3_token_file, op4_language_id, op5_best_fit_packing, op9_secret_scan, op10_exact_dedup,
+    op1_quality_rules, op3_token_file, op4_language_id, op5_best_fit_packing, op8_jaccard_join,
+    op9_secret_scan, op10_exact_dedup,
 )}
 
 SQL = {"op1_quality_rules": quality_rules.SQL, "op10_exact_dedup": exact_dedup.SQL}
