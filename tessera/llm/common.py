@@ -39,6 +39,15 @@ def kept_table(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BROADCAST_BYTES = 64 << 20
+
+
+def broadcast_if_light(df: DataFrame, size: Column, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a materialised frame if the sum of ``size`` (bytes per row) is at most ``most``; else leave it."""
+    n = df.agg(F.sum(size + 64)).first()[0] or 0
+    return F.broadcast(df) if n <= most else df
+
+
 def tokenizer_path(name: str, folder: str | None = None) -> str:
     """Place of a public vocabulary file; ``folder`` overrides the installed one."""
     if folder:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tessera.llm import (best_fit_packing, exact_dedup, jaccard_join, language_id, quality_rules,
+from tessera.llm import (best_fit_packing, exact_dedup, html_text, jaccard_join, language_id, quality_rules,
                          secret_scan, token_file)
 from tessera.llm.common import documents
 from tessera.session import scratch_path
+from tessera.sources.tables import table
 
 
 def op1_quality_rules(spark, sf_dir):
@@ -28,6 +29,10 @@ def op5_best_fit_packing(spark, sf_dir):
     return best_fit_packing.pack(documents(spark, sf_dir))
 
 
+def op7_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_components(documents(spark, sf_dir))
 
@@ -42,7 +47,7 @@ def op10_exact_dedup(spark, sf_dir):
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_quality_rules, op3_token_file, op4_language_id, op5_best_fit_packing, op8_jaccard_join,
+    op1_quality_rules, op3_token_file, op4_language_id, op5_best_fit_packing, op7_html_text, op8_jaccard_join,
     op9_secret_scan, op10_exact_dedup,
 )}
 
