@@ -33,7 +33,8 @@ def _bucket(unit: Column, bits: int) -> Column:
 
 def _named(docs: DataFrame, bits: int) -> DataFrame:
     """Replace the array ``units`` by the array ``names`` of (bucket, rank)."""
-    units = docs.select(F.explode("units").alias("unit")).withColumn("bucket", _bucket(F.col("unit"), bits))
+    # explode_outer: explode would infer a filter below that computes the units a second time
+    units = docs.select(F.explode_outer("units").alias("unit")).withColumn("bucket", _bucket(F.col("unit"), bits))
     mixed = (units.groupBy("bucket", "unit").agg(F.lit(1)).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
              .where("n > 1").select("bucket"))
     mixed = kept_table(mixed)
