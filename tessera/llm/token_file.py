@@ -119,10 +119,10 @@ def _key(doc_id, copy):
     return F.concat_ws("#", F.coalesce(doc_id.cast("string"), F.lit("null")), F.when(copy > 0, copy.cast("string")))
 
 
-def _encode(path: str, folds: bool, end_id: int, shard_ids: int, id_bytes: int):
+def _encode(path: str, end_id: int, shard_ids: int, id_bytes: int):
     def run(batches):
         from pyspark import TaskContext
-        part, enc = TaskContext.get().partitionId(), encoder(path, folds)
+        part, enc = TaskContext.get().partitionId(), encoder(path)
         seq, last, copy = 0, object(), 0
         ids, copies, offsets, chunks = [], [], [0], []
         end = np.array([end_id], "<u4").tobytes()
@@ -153,7 +153,7 @@ def _encode(path: str, folds: bool, end_id: int, shard_ids: int, id_bytes: int):
     return run
 
 
-def write(docs: DataFrame, path: str, tokenizer: str | None = None, folds: bool = True, end_id: int = END_ID,
+def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID,
           shard_ids: int = SHARD_IDS, id_bytes: int = 2, bucket_keys: int = BUCKET_KEYS) -> None:
     """Encode ``docs`` (doc_id, text) and write the shards and their index below ``path``.
 
@@ -166,7 +166,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, folds: bool
     tokenizer = tokenizer or tokenizer_path("word_bpe_49k.json")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     (rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-     .mapInArrow(_encode(tokenizer, folds, end_id, shard_ids, id_bytes), _PAYLOAD)
+     .mapInArrow(_encode(tokenizer, end_id, shard_ids, id_bytes), _PAYLOAD)
      .write.mode("overwrite").option("parquet.block.size", str(16 << 20)).parquet(f"{path}/payload"))
     records = _records(spark, path)
     buckets = records.count() // bucket_keys + 1
