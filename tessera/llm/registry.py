@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tessera.llm import (best_fit_packing, exact_dedup, html_text, jaccard_join, language_id, quality_rules,
-                         secret_scan, token_file)
+from tessera.llm import (best_fit_packing, exact_dedup, html_text, jaccard_join, language_id, line_templates,
+                         quality_rules, secret_scan, source_mixing, token_file)
 from tessera.llm.common import documents
 from tessera.session import scratch_path
 from tessera.sources.tables import table
@@ -13,6 +13,10 @@ def op1_quality_rules(spark, sf_dir):
     return quality_rules.quality(documents(spark, sf_dir)).drop("rejected_by")
 
 
+def op2_source_mixing(spark, sf_dir):
+    return source_mixing.mix(documents(spark, sf_dir))
+
+
 def op3_token_file(spark, sf_dir):
     path = scratch_path(spark, "token_file")
     token_file.write(documents(spark, sf_dir), path)
@@ -29,6 +33,10 @@ def op5_best_fit_packing(spark, sf_dir):
     return best_fit_packing.pack(documents(spark, sf_dir))
 
 
+def op6_line_templates(spark, sf_dir):
+    return line_templates.drop_recurring_lines(documents(spark, sf_dir)).drop("n_long")
+
+
 def op7_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -47,8 +55,8 @@ def op10_exact_dedup(spark, sf_dir):
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_quality_rules, op3_token_file, op4_language_id, op5_best_fit_packing, op7_html_text, op8_jaccard_join,
-    op9_secret_scan, op10_exact_dedup,
+    op1_quality_rules, op2_source_mixing, op3_token_file, op4_language_id, op5_best_fit_packing, op6_line_templates, op7_html_text,
+    op8_jaccard_join, op9_secret_scan, op10_exact_dedup,
 )}
 
 SQL = {"op1_quality_rules": quality_rules.SQL, "op10_exact_dedup": exact_dedup.SQL}
