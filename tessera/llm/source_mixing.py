@@ -6,22 +6,24 @@ three hold their target shares.  A cell's ratio of raked weight to tokens gives
 its documents' probability, and a hash of the id decides, so the sample does
 not depend on partitions and expected token shares equal the targets.
 
-Raking runs on the cell table: per step an aggregate over one dimension joined
-back.  Nothing of it reaches the driver but the error of a round.  A small cell
-table sits in one partition, where these steps need no shuffle.
+Raking runs on the cell table, which is far smaller than the documents: per
+step a sum over one dimension's value.  Nothing of it reaches the driver but
+the error of a round.  A small cell table sits in one partition, where these
+steps need no shuffle.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tessera.llm.common import broadcast_if_light, kept_table, words
 
 DIMENSIONS = ("source", "lang", "topic")
 TEMPER = {"source": 0.7, "lang": 0.8, "topic": 0.9}  # target share of a value: its token share to this power
 NONE = "(none)"
-TOLERANCE, ROUNDS = 1e-7, 40
+TOLERANCE, ROUNDS, ROUNDS_PER_JOB = 1e-7, 40, 4
 CELLS_PER_PARTITION = 100_000
 
 # The kinds of text that stand for topics, first match wins.
@@ -58,8 +60,8 @@ def target_shares(cells: DataFrame, dimension: str, target: float | dict[str, fl
         sums = sums.select("v", given.alias("x"))
     else:
         sums = sums.select("v", F.pow(F.col("t").cast("double"), F.lit(float(target))).alias("x"))
-    total = sums.agg(F.sum("x").alias("all"))
-    return sums.crossJoin(F.broadcast(total)).select("v", (F.col("x") / F.col("all")).alias("share"))  # one row
+    total = sums.agg(F.sum("x")).first()[0] or 1.0
+    return sums.select("v", (F.col("x") / F.lit(float(total))).alias("share"))
 
 
 def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], tolerance: float = TOLERANCE, rounds: int = ROUNDS) -> DataFrame:
@@ -71,24 +73,25 @@ def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], toleran
     """
     cells = kept_table(cells)
     parts = cells.count() // CELLS_PER_PARTITION + 1
-    small = cells.coalesce(parts)
-    shares = {d: kept_table(target_shares(small, d, t)).coalesce(parts) for d, t in targets.items()}
-    whole = float(cells.agg(F.sum("tokens")).first()[0] or 0)
-    now = kept_table(small.withColumn("weight", F.col("tokens").cast("double")))
-    for _ in range(rounds):
-        now, off = now.coalesce(parts), F.lit(0.0)
-        for d in targets:
-            sums = now.groupBy(F.col(d).alias("v")).agg(F.sum("weight").alias("m"))
-            step = sums.join(shares[d], "v").select(
-                F.col("v").alias(f"v_{d}"), F.when(F.col("m") > 0, F.col("share") * whole / F.col("m")).otherwise(0.0).alias(f"f_{d}"),
-                F.when((F.col("m") > 0) & (F.col("share") > 0), F.abs(F.col("m") / (F.col("share") * whole) - 1)).otherwise(0.0).alias(f"e_{d}"))
-            now = now.join(step, F.col(d) == F.col(f"v_{d}")).withColumn("weight", F.col("weight") * F.col(f"f_{d}"))
-            off = F.greatest(off, F.col(f"e_{d}"))
-        now = kept_table(now.select(*cells.columns, "weight", off.alias("off")))
+    names, now = cells.columns, cells.coalesce(parts)
+    for d, t in targets.items():
+        share = target_shares(now, d, t).select(F.col("v").alias(f"v_{d}"), F.col("share").alias(f"share_{d}"))
+        now = now.join(share, F.col(d) == F.col(f"v_{d}")).drop(f"v_{d}")
+    whole = F.lit(float(cells.agg(F.sum("tokens")).first()[0] or 0))
+    now = kept_table(now.withColumn("weight", F.col("tokens").cast("double"))).coalesce(parts)
+    for _ in range(0, rounds, ROUNDS_PER_JOB):
+        for k in range(ROUNDS_PER_JOB):
+            off = F.lit(0.0)
+            for d in targets:
+                now = now.withColumn(f"m_{d}", F.sum("weight").over(W.partitionBy(d)))
+                want = F.col(f"share_{d}") * whole
+                off = F.greatest(off, F.when((F.col(f"m_{d}") > 0) & (want > 0), F.abs(F.col(f"m_{d}") / want - 1)).otherwise(0.0))
+                now = now.withColumn("weight", F.when(F.col(f"m_{d}") > 0, F.col("weight") * want / F.col(f"m_{d}")).otherwise(0.0))
+        now = kept_table(now.withColumn("off", off).drop(*[f"m_{d}" for d in targets])).coalesce(parts)
         if (now.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
             break
         now = now.drop("off")
-    return now.drop("off")
+    return now.select(*names, "weight")
 
 
 def mix(docs: DataFrame, targets: dict[str, float | dict[str, float]] | None = None, budget: float | None = None,
