@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import kept_table
+from tessera.llm.common import broadcast_if_light, kept_table
 
 WIDTH = 3
 PERCENT = 90
@@ -104,28 +104,34 @@ def _sets(batches, column="text", step=64):
             yield batch, lo, shingle_sets(texts[lo:lo + step])
 
 
-def _classes(batches):
-    for batch, lo, sets in _sets(batches):
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id").slice(lo, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([_set_id(s) for s in sets], pa.binary())], names=["id", "n", "sid"])
+_SCAN = "id bigint, n bigint, sid binary, chunk int, part int, counts binary"
 
 
-def _counted(batches):
-    """Counts of the shingles of one task in 2^SKETCH_BITS counters, in chunks."""
+def _scan(batches):
+    """A row (id, n, sid) per document and, per task, the counts of its shingles in 2^SKETCH_BITS counters (chunk, part, counts)."""
     from pyspark import TaskContext
-    count = np.zeros(1 << SKETCH_BITS, np.uint32)
-    any_row = False
-    for _, _, sets in _sets(batches):
-        any_row = True
-        at = (np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-        np.add.at(count, at, 1)
-    if any_row:
-        task, rows = TaskContext.get().partitionId(), count.reshape(-1, 1 << CHUNK_BITS)
+    count, waiting, size = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
+    names = [c.split()[0] for c in _SCAN.split(", ")]
+
+    def batch_of(*columns):
+        n = len(next(c for c in columns if c is not None))
+        return pa.RecordBatch.from_arrays([pa.nulls(n, k) if c is None else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    for batch, lo, sets in _sets(batches):
+        yield batch_of(batch.column("id").slice(lo, len(sets)).to_pylist(), [len(x) for x in sets], [_set_id(x) for x in sets], None, None, None)
+        waiting += sets
+        size += sum(map(len, sets))
+        if size > 1 << SKETCH_BITS - 1:
+            count += np.bincount((np.concatenate(waiting) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(count)).astype(np.uint32)
+            waiting, size = [], 0
+    if size:
+        count += np.bincount((np.concatenate(waiting) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(count)).astype(np.uint32)
+    if count.any():
+        task, chunks = TaskContext.get().partitionId(), count.reshape(-1, 1 << CHUNK_BITS)
         # few counters of a task pass 255: a byte each travels
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(len(rows)), pa.int32()), pa.array([task // MEET] * len(rows), pa.int32()),
-             pa.array([np.minimum(c, 255).astype(np.uint8).tobytes() for c in rows], pa.binary())], names=["chunk", "part", "counts"])
+        yield batch_of(None, None, None, range(len(chunks)), [task // MEET] * len(chunks),
+                       [np.minimum(c, 255).astype(np.uint8).tobytes() for c in chunks])
 
 
 def _add(width: str):
@@ -135,10 +141,10 @@ def _add(width: str):
     return run
 
 
-def shingle_weights(docs: DataFrame) -> np.ndarray:
+def shingle_weights(rows: DataFrame) -> np.ndarray:
     """Logarithmic counts over all documents, by the leading bits of a shingle (4 MB at most)."""
     schema = "chunk int, part int, counts binary"
-    rows = docs.select("text").mapInArrow(_counted, schema)
+    rows = rows.where("chunk is not null").select("chunk", "part", "counts")
     # tasks meet in two rounds of at most MEET each
     rows = rows.groupBy("chunk", "part").applyInPandas(_add("u1"), schema).groupBy("chunk", "part").applyInPandas(_add("<u4"), schema)
     total = np.zeros(1 << SKETCH_BITS, np.uint32).reshape(-1, 1 << CHUNK_BITS)
@@ -156,23 +162,21 @@ def in_order(s: np.ndarray, weights: np.ndarray) -> np.ndarray:
 def _prefixes(weights: np.ndarray, percent: int):
     def run(batches):
         for _, _, sets in _sets(batches):
-            out = [], [], [], []
+            out = [], [], []
             for s in sets:
                 n = len(s)
-                p = n - (-(-percent * n // 100)) + 1
                 if n * (100 - percent) < percent:  # too small to link with a different set
                     continue
-                own = in_order(s, weights)[:p]
+                own = in_order(s, weights)[:n - (-(-percent * n // 100)) + 1]
                 w = weights[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                at = np.flatnonzero(w > 1)  # a shingle counted once has no partner
-                out[0].append(own[at])
-                out[1].append(np.full(len(at), n, np.int64))
-                out[2].append(at)
-                out[3].extend([_set_id(s)] * len(at))
-            if out[3]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out[0]).view(np.int64)), pa.array(np.concatenate(out[1])),
-                     pa.array(np.concatenate(out[2])), pa.array(out[3], pa.binary())], names=["shingle", "n", "place", "sid"])
+                out[0].append(_set_id(s))
+                out[1].append(n)
+                # a shingle counted once has no partner
+                out[2].append(pa.array(own.view(np.int64), mask=w <= 1))
+            if out[0]:
+                ends = np.cumsum([0] + [len(x) for x in out[2]]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64()),
+                                                  pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays(out[2]))], names=["sid", "n", "prefix"])
     return run
 
 
@@ -230,7 +234,7 @@ def _verify(percent: int):
         own = pdf[pdf["b"].isna()]
         rest = pdf[~pdf["b"].isna()]
         if own.empty or rest.empty:
-            return pd.DataFrame({"a": [], "b": []})
+            return rest.iloc[:0][["a", "b"]]
         probe = np.frombuffer(own["elements"].iloc[0], np.uint64)
         sets = [np.frombuffer(e, np.uint64) for e in rest["elements"]]
         links = tree_links(probe, sets, lambda s: s.astype(">u8").tobytes(), percent)
@@ -247,6 +251,7 @@ def _linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, weights: np.ndar
     wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
     reps = (rows.join(wanted, F.col("sid") == F.col("w"), "left_semi").groupBy("sid")
             .agg(F.min("id").alias("rep")))
+    reps = broadcast_if_light(kept_table(reps), F.lit(40))
     texts = docs.join(reps, F.col("id").eqNullSafe(F.col("rep"))).select("sid", "text")
 
     def elements(batches):
@@ -301,9 +306,10 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     null id.  Other columns are not read; an empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
-    rows = kept_table(docs.mapInArrow(_classes, "id bigint, n bigint, sid binary"))
-    weights = shingle_weights(docs)
-    postings = docs.select("text").mapInArrow(_prefixes(weights, percent), "shingle bigint, n bigint, place bigint, sid binary")
+    scanned = kept_table(docs.mapInArrow(_scan, _SCAN))
+    rows, weights = scanned.where("sid is not null").select("id", "n", "sid"), shingle_weights(scanned)
+    prefixes = kept_table(docs.select("text").mapInArrow(_prefixes(weights, percent), "sid binary, n bigint, prefix array<bigint>"))
+    postings = prefixes.select("sid", "n", F.posexplode_outer("prefix").alias("place", "shingle")).where("shingle is not null")
     met = (postings.select("shingle", F.xxhash64("sid").alias("s")).groupBy("shingle").agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
            .where("lo <> hi").select(F.col("shingle").alias("met")))
     postings = kept_table(postings.join(met, F.col("shingle") == F.col("met"), "left_semi")
