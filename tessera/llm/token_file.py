@@ -98,7 +98,7 @@ def _bucket_row(pdf: pd.DataFrame) -> pd.DataFrame:
 def _find(key: tuple, keys: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
     """Place of each key of one bucket; keys whose slot holds another fingerprint are absent."""
     if keys.empty or index.empty:
-        return pd.DataFrame({"key": [], "part": [], "seq": [], "offset": [], "length": []})
+        return pd.DataFrame({"key": pd.Series([], dtype=object)} | {c: np.zeros(0, np.int64) for c in ("part", "seq", "offset", "length")})
     row = index.iloc[0]
     h1, h2 = (keys[c].to_numpy(np.int64).view(np.uint64) for c in ("h1", "h2"))
     slot = mph_slot(h1, h2, np.frombuffer(row["shift"], "<i8"), int(row["n_keys"]))
