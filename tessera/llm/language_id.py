@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tessera.llm.common import broadcast_if_light, kept_table
+
 PROFILE = 400
 LEARN_DOCS = 3000  # per language, at most, on average
 UNKNOWN = "und"
@@ -76,7 +78,8 @@ def learn(docs: DataFrame, profile: int = PROFILE, learn_docs: int = LEARN_DOCS)
     """
     docs = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where("lang is not null and text is not null")
     share = docs.groupBy("lang").agg((F.lit(float(learn_docs)) / F.count(F.lit(1))).alias("share"))
-    share = share.withColumnRenamed("lang", "share_lang")
+    # a few languages: no text is moved to meet them
+    share = broadcast_if_light(kept_table(share.withColumnRenamed("lang", "share_lang")), F.length("share_lang"))
     picked = (docs.join(share, F.col("lang") == F.col("share_lang"))
               .where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("learn")), F.lit(1_000_000)) < F.col("share") * 1_000_000)
               .select("lang", "text"))
