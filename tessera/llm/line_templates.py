@@ -10,8 +10,9 @@ are set aside, so a leaf needs few heads.  A template in ``min_docs`` documents
 or more is boilerplate: its lines stay in its first document and are dropped
 from all others.
 
-Everything is columns, aggregates and joins.  Lines travel as hashes; text moves
-once, when documents meet the numbers of their dropped lines.
+Everything is columns, aggregates and joins.  Lines travel as hashes.  Text is
+moved only if the lists of wanted or dropped line numbers are too large to be
+sent to it.
 """
 
 from __future__ import annotations
@@ -19,29 +20,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACE_CLASS, WORD, kept_table, words
+from tessera.llm.common import broadcast_if_light, kept_table, words
 
 MIN_TOKENS = 5
 LEADING = 3
 SIMILAR = 0.8
 MIN_DOCS = 2
 FIELD = "<*>"
+TOKEN = r"[^\x20\x09-\x0D]"
+OTHER_SPACE = r"[\x09\x0B-\x0D]"
+
+
+def _masked(text: Column) -> Column:
+    """Whole text with every token that holds a digit made a field, and only blanks and line ends as white space."""
+    text = F.when(text.rlike("[0-9]"), F.regexp_replace(text, f"{TOKEN}*[0-9]{TOKEN}*", FIELD)).otherwise(text)
+    return F.when(text.rlike(OTHER_SPACE), F.regexp_replace(text, OTHER_SPACE, " ")).otherwise(text)
 
 
 def _tokens(line: Column) -> Column:
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, f"[^\\x20\\x09-\\x0D]*[0-9]{WORD[:-1]}*", FIELD)).otherwise(line)
-    return words(masked)
+    return F.filter(F.split(line, " "), lambda w: w != "")
 
 
-def _lines(docs: DataFrame, with_tokens: bool, min_tokens: int, leading: int) -> DataFrame:
-    """doc_id, th, line, n, leaf, own (and tokens) of every line with enough tokens."""
-    split = F.transform(F.split("text", "\n", -1), _tokens)
+def _lines(docs: DataFrame, min_tokens: int, leading: int) -> DataFrame:
+    """doc_id, th, line, leaf, own of every line with enough tokens."""
+    tokens = F.transform(F.split(_masked(F.col("text")), "\n"), _tokens)
     # the inner transform binds the tokens, which the outer one reads several times
-    info = F.transform(split, lambda t: F.struct(
+    info = F.transform(tokens, lambda t: F.struct(
         F.size(t).alias("n"), F.xxhash64(F.size(t), *[F.get(t, F.lit(k)) for k in range(leading)]).alias("leaf"),
-        F.xxhash64(F.concat_ws(" ", t)).alias("own"), *([t.alias("tokens")] if with_tokens else [])))
+        F.xxhash64(t).alias("own")))
     rows = docs.select("doc_id", "th", F.posexplode_outer(info).alias("line", "x")).where(F.col("x.n") >= min_tokens)
-    return rows.select("doc_id", "th", "line", "x.n", "x.leaf", "x.own", *(["x.tokens"] if with_tokens else []))
+    return rows.select("doc_id", "th", "line", "x.leaf", "x.own")
 
 
 def _with_key(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -50,14 +58,20 @@ def _with_key(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.select(*columns, text.alias("text"), F.xxhash64(text).alias("th"))
 
 
-def templates(docs: DataFrame, lines: DataFrame, min_tokens: int = MIN_TOKENS, leading: int = LEADING, similar: float = SIMILAR) -> DataFrame:
+def templates(docs: DataFrame, lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """leaf, own, head: the head of every line kind that joined another one's template."""
     kinds = lines.groupBy("leaf", "own").agg(F.min(F.struct("doc_id", "th", "line")).alias("first"))
     mixed = lines.groupBy("leaf").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select(F.col("leaf").alias("m"))
     kinds = kinds.join(mixed, F.col("leaf") == F.col("m"), "left_semi")
-    full = (_lines(docs, True, min_tokens, leading).join(mixed, F.col("leaf") == F.col("m"), "left_semi")
-            .groupBy("leaf", "own").agg(F.first("tokens").alias("tokens"), F.min(F.struct("doc_id", "th", "line")).alias("first")))
-    full = kept_table(full)
+    # tokens of one line of each kind, read from its first document; a document's list is bounded by its lines
+    wanted = kinds.groupBy(F.col("first.doc_id").alias("d"), F.col("first.th").alias("h")).agg(
+        F.collect_list(F.struct("first", "leaf", "own")).alias("kinds"))
+    wanted = broadcast_if_light(kept_table(wanted), F.size("kinds") * 64)
+    found = (docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h")))
+             .select(F.split(_masked(F.col("text")), "\n").alias("all"), "kinds"))
+    each = F.transform("kinds", lambda k: F.struct(k["leaf"].alias("leaf"), k["own"].alias("own"), k["first"].alias("first"),
+                                                   _tokens(F.get("all", k["first"]["line"])).alias("tokens")))
+    full = kept_table(found.select(F.explode_outer(each).alias("x")).select("x.*").dropDuplicates(["leaf", "own"]))
     # upper bound: places whose token another line of the leaf has too
     places = full.select("leaf", "own", F.posexplode_outer("tokens").alias("place", "token"))
     shared = places.groupBy("leaf", "place", "token").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("leaf", "place", "token")
@@ -77,8 +91,8 @@ def templates(docs: DataFrame, lines: DataFrame, min_tokens: int = MIN_TOKENS, l
 
 def dropped_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, leading: int = LEADING, similar: float = SIMILAR, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, th, line of every line whose template recurs and whose document is not its first."""
-    lines = kept_table(_lines(docs, False, min_tokens, leading))
-    heads = templates(docs, lines, min_tokens, leading, similar).withColumnRenamed("leaf", "l").withColumnRenamed("own", "o")
+    lines = kept_table(_lines(docs, min_tokens, leading))
+    heads = templates(docs, lines, similar).withColumnRenamed("leaf", "l").withColumnRenamed("own", "o")
     lines = lines.join(heads, (F.col("leaf") == F.col("l")) & (F.col("own") == F.col("o")), "left").select(
         "doc_id", "th", "line", "leaf", F.coalesce("head", "own").alias("template"))
     per_doc = lines.groupBy("leaf", "template", "doc_id", "th").agg(F.lit(1).alias("one"))
@@ -101,7 +115,8 @@ def drop_recurring_lines(docs: DataFrame, keep: tuple[str, ...] = (), min_tokens
     keyed = _with_key(docs, ["doc_id"])
     gone = dropped_lines(keyed, min_tokens, leading, similar, min_docs)
     gone = gone.groupBy("doc_id", "th").agg(F.collect_set("line").alias("gone"))  # bounded by the document's lines
-    gone = gone.select(F.col("doc_id").alias("d"), F.col("th").alias("h"), "gone")
+    gone = kept_table(gone.select(F.col("doc_id").alias("d"), F.col("th").alias("h"), "gone"))
+    gone = broadcast_if_light(gone, F.size("gone") * 4)
     rows = _with_key(docs, ["doc_id", *keep])
     out = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h")), "left")
     out = out.select("doc_id", *keep, F.split("text", "\n", -1).alias("lines"), F.coalesce("gone", F.array().cast("array<int>")).alias("gone"))
