@@ -56,6 +56,12 @@ def _json_list(c: Column) -> Column:
     return F.filter(parsed, lambda x: x.isNotNull())
 
 
+def _json_scalar(c: Column) -> Column:
+    """The text of a JSON string, else NULL (the same quotes rule as lists)."""
+    quoted = F.replace(strip(c), F.lit("'"), F.lit('"'))
+    return F.when(quoted.rlike(r'(?s)^".*"$'), F.get_json_object(F.concat(F.lit('{"x":'), quoted, F.lit("}")), "$.x"))
+
+
 def parse_list(c) -> Column:
     """list text -> array<string> (report dialect).
 
@@ -63,7 +69,7 @@ def parse_list(c) -> Column:
     text as one item, or [] when it is blank.
     """
     c = _c(c)
-    fallback = F.when(F.trim(c) == "", F.array().cast("array<string>")).otherwise(F.array(c))
+    fallback = F.when(strip(c) == "", F.array().cast("array<string>")).otherwise(F.array(F.coalesce(_json_scalar(c), c)))
     return F.when(c.isNull(), F.array().cast("array<string>")).otherwise(
         F.coalesce(_json_list(c), fallback))
 
@@ -72,7 +78,7 @@ def parse_list_keep_blank(c) -> Column:
     """as F02 but blank text is kept as one item."""
     c = _c(c)
     return F.when(c.isNull(), F.array().cast("array<string>")).otherwise(
-        F.coalesce(_json_list(c), F.array(c)))
+        F.coalesce(_json_list(c), F.array(F.coalesce(_json_scalar(c), c))))
 
 
 def clean_empty_list(c) -> Column:
@@ -90,14 +96,14 @@ def parse_list_analyzer(c) -> Column:
     empty = F.array().cast("array<string>")
     split = F.filter(F.transform(F.split(c, ","), lambda x: strip(x)), lambda x: x != "")
     return (F.when(c.isNull() | c.isin("", "[]"), empty)
-            .when(c.rlike(r"^\[.*\]$"), F.coalesce(_json_list(c), empty))
+            .when(c.rlike(r"(?s)^\[.*\]$"), F.coalesce(_json_list(c), empty))
             .otherwise(split))
 
 
 def list_parse_error(c) -> Column:
     """True where F04 met bracketed text that is not a JSON list."""
     c = _c(c)
-    return F.coalesce(c.rlike(r"^\[.*\]$") & ~c.isin("[]") & _json_list(c).isNull(), F.lit(False))
+    return F.coalesce(c.rlike(r"(?s)^\[.*\]$") & ~c.isin("[]") & _json_list(c).isNull(), F.lit(False))
 
 
 def list_text(arr) -> Column:
@@ -111,8 +117,8 @@ def short_label(c) -> Column:
 
 
 def int_percent(a, b) -> Column:
-    """F16: a*100 // max(b, 1) on integers."""
-    return F.floor((_c(a) * 100) / F.greatest(_c(b), F.lit(1))).cast("bigint")
+    """F16: a*100 // max(b, 1) on integers, not negative (integer division)."""
+    return F.call_function("div", _c(a) * 100, F.greatest(_c(b), F.lit(1)))
 
 
 def trunc_div(a: str, b: str) -> Column:
@@ -123,11 +129,6 @@ def trunc_div(a: str, b: str) -> Column:
     return F.expr(f"CASE WHEN ({b}) <> 0 THEN ({a}) div ({b}) END")
 
 
-def fixed(x, digits: int = 2) -> Column:
-    """thousands separated, fixed decimals (``format_number``)."""
-    return F.format_number(_c(x), digits)
-
-
 def list_item(line, prefix: str = TOPIC_PREFIX) -> Column:
     """one list item from a line, or NULL.
 
@@ -202,8 +203,3 @@ LONG_US_DATE = "MMMM d, yyyy"
 def long_us_date(c) -> Column:
     """'December 2, 2026' style date text."""
     return F.date_format(_c(c), LONG_US_DATE)
-
-
-def generated_at() -> Column:
-    """the run's timestamp (kept out of compared results)."""
-    return F.current_timestamp()

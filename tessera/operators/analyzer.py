@@ -110,9 +110,24 @@ def pair_counts(rows: DataFrame) -> DataFrame:
     return ex.groupBy("side", "app_a", "app_b").agg(F.count(F.lit(1)).alias("n"))
 
 
-def capped(rows: DataFrame, max_rows: int) -> DataFrame:
-    """The first ``max_rows`` kept rows in input order (exact cap)."""
-    return rows.orderBy("rid").limit(max_rows)
+def capped(rows: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """The first ``max_rows`` kept rows in input order (exact cap); off unless asked for."""
+    return rows if max_rows is None else rows.orderBy("rid").limit(max_rows)
+
+
+def list_errors(rows: DataFrame) -> DataFrame:
+    """counted rows per device and how many had list text that did not parse."""
+    return counted_rows(rows).groupBy("device").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col("parse_error"), 1)).alias("n_errors"))
+
+
+def report_tops(rows: DataFrame, apps: int = 10, pairs: int = 5) -> DataFrame:
+    """(section, rank, label, value) of the most frequent apps and app pairs per side."""
+    a = top_k(global_app_counts(rows), ["side"], [F.desc("n"), F.asc("app")], apps)
+    p = top_k(pair_counts(rows), ["side"], [F.desc("n"), F.asc("app_a"), F.asc("app_b")], pairs)
+    return a.select(F.concat(F.lit("top_apps_"), "side").alias("section"), "rank", F.col("app").alias("label"), F.col("n").alias("value")).unionByName(
+        p.select(F.concat(F.lit("top_pairs_"), "side").alias("section"), "rank", F.concat("app_a", F.lit(" + "), "app_b").alias("label"),
+                 F.col("n").alias("value")))
 
 
 def device_release_share(counts: DataFrame) -> DataFrame:

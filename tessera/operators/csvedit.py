@@ -13,7 +13,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.text import strip
 from tessera.operators import segmented
+from tessera.session import shared
 
 # fixed values of the listing
 RECORD_LABEL = "Record "
@@ -57,13 +59,12 @@ def listing(df: DataFrame, filtered: DataFrame, key: str, order_col: str, first_
     """
     numbered = segmented.ranked(df.select(key, order_col), [], [order_col], out="record_no", method="row_number")
     f = filtered.join(numbered.select(key, "record_no"), key)
-    pos = segmented.ranked(f, [], [order_col], out="position", method="row_number")
-    prev = segmented.previous_row(pos, [], order_col, [key], prefix="prev_")
-    nxt = prev.select(F.col(f"prev_{key}").alias(key), F.col(key).alias(f"next_{key}")).where(F.col(key).isNotNull())
-    out = prev.join(nxt, key, "left").withColumn("n", filtered.agg(F.count(F.lit(1))).scalar())
+    pos = shared(segmented.ranked(f, [], [order_col], out="position", method="row_number"))
+    both = segmented.previous_row(pos, [], "position", [key], prefix="prev_", next_prefix="next_")
+    out = both.withColumn("n", pos.agg(F.count(F.lit(1))).scalar())
     v0 = F.col(f"`{first_col}`")
     title = (F.when(F.coalesce(v0, F.lit("")) == "", F.concat(F.lit(RECORD_LABEL), F.col("record_no").cast("string")))
-             .when(F.trim(v0) == "", F.lit(EMPTY_LABEL)).otherwise(F.trim(v0)))
-    subtitle = F.trim(F.coalesce(F.col(f"`{second_col}`"), F.lit(""))) if second_col else F.lit("")
+             .when(strip(v0) == "", F.lit(EMPTY_LABEL)).otherwise(strip(v0)))
+    subtitle = strip(F.coalesce(F.col(f"`{second_col}`"), F.lit(""))) if second_col else F.lit("")
     return out.select(key, "record_no", "position", "n", F.col(f"prev_{key}").alias("prev_key"),
                       F.col(f"next_{key}").alias("next_key"), title.alias("title"), subtitle.alias("subtitle"))

@@ -8,31 +8,30 @@ as broadcasts only after their size is checked.
 
 from __future__ import annotations
 
-import zlib
+import hashlib
+from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import (CHUNK_SIZE, CHUNK_STEP, FACT_PREFIX, MIN_FACT_LENGTH, NONE_MARK, TOPIC_PREFIX,
-                                    UNFILTERED_CHARS, chunk_starts, chunks, list_item, strip)
+                                    chunk_starts, chunks, list_item, strip)
 from tessera.functions.vectors import dot, l2_normalize
 from tessera.operators import segmented
 from tessera.operators.profiles import top_k
-from tessera.session import broadcast_if_small
+from tessera.session import broadcast_if_light, shared
 
 # --- fixed values of the document jobs ---------------------------------------------
 PAGE_SEPARATOR = "\n\n"
 CHUNK_SEPARATOR = "\n\n"
 TOP_CHUNKS = 15
-UNFILTERED_MAX_CHUNKS = 10
-MAX_TOPICS = 25
 EMBED_DIM = 64
 EMBED_BATCH = 16
-# bounds under which a query-side table is broadcast
-MAX_QUERY_TERMS = 2_000_000
-MAX_QUERY_VECTORS = 10_000
-MAX_TOPIC_LIST = 10_000
+# bytes up to which the query terms are broadcast; query vectors and topics of one pass
+QUERY_TERM_BYTES = 64 << 20
+VECTOR_BLOCK = 1_000
+TOPIC_BLOCK = 10_000
 # ------------------------------------------------------------------------------
 
 
@@ -47,11 +46,6 @@ def assemble_pages(pages: DataFrame, doc: str = "doc_id", page: str = "page_no",
     return g.select(doc, "n_pages", F.array_join(F.transform("_pages", lambda x: x["t"]), PAGE_SEPARATOR).alias("text"))
 
 
-def truncate(text_col: str = "text", n: int = UNFILTERED_CHARS):
-    """The first ``n`` characters (the reference's unfiltered path)."""
-    return F.substring(F.col(text_col), 1, n)
-
-
 def chunk_rows(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, chunk_idx, chunk, n_chunks) -- 800 characters every 700."""
     c = docs.select(doc, chunks(text).alias("_c"))
@@ -65,22 +59,19 @@ def term_counts(df: DataFrame, ids: list[str], text: str) -> DataFrame:
 
 
 def relevant_text(docs: DataFrame, query_terms: DataFrame, doc: str = "doc_id", text: str = "text",
-                  top: int = TOP_CHUNKS, max_unfiltered: int = UNFILTERED_MAX_CHUNKS) -> DataFrame:
+                  top: int = TOP_CHUNKS) -> DataFrame:
     """T01 + F09: keep a document's best ``top`` chunks, back in position order.
 
     Score = cosine of whitespace-token counts between the chunk and the query
     bag (``term, qtf``), from exact integer sums, so ties are real ties; ties
-    go to the lower chunk index.  Documents with at most ``max_unfiltered``
-    chunks pass unchanged, without any shuffle.  For the others only scores
-    and chunk indices move: the kept indices (at most ``top`` per document)
-    are joined back to the document once and the text is rebuilt from the
-    original with a lambda, so document text is shuffled once, not per step.
+    go to the lower chunk index.  Every document takes the same path; only
+    scores and chunk indices move: the kept indices (at most ``top`` per
+    document) are joined back to the document once and the text is rebuilt from
+    the original with a lambda, so document text is shuffled once, not per step.
+    A text without chunks stays as it is.
     """
     n_chunks = F.size(chunk_starts(text))
-    d = docs.select(doc, text, n_chunks.alias("n_chunks"))
-    small = d.where(F.col("n_chunks") <= max_unfiltered).select(
-        doc, F.col("n_chunks").cast("int").alias("n_chunks"), F.col("n_chunks").cast("int").alias("n_kept"), text)
-    big = d.where(F.col("n_chunks") > max_unfiltered)
+    big = docs.select(doc, text, n_chunks.alias("n_chunks"))
     ch = big.select(doc, F.posexplode(chunks(text)).alias("chunk_idx", "chunk"))
     toks = ch.select(doc, "chunk_idx", F.array_sort(F.filter(F.split(F.lower("chunk"), r"\s+"), lambda x: x != "")).alias("_t"))
     # |chunk|^2 = sum of squared term counts, row-local: runs of the sorted tokens
@@ -95,7 +86,8 @@ def relevant_text(docs: DataFrame, query_terms: DataFrame, doc: str = "doc_id",
     # tokens meet the (checked, broadcast) query terms, and the per-chunk sum is
     # combined map-side -- every token of a chunk is in that chunk's task, so one
     # row per chunk is shuffled, never the tokens
-    q = broadcast_if_small(query_terms.select("term", "qtf"), MAX_QUERY_TERMS)
+    query_terms = shared(query_terms)   # tokenised once
+    q = broadcast_if_light(query_terms.select("term", "qtf"), F.length("term") * 4, QUERY_TERM_BYTES)
     q2 = query_terms.agg(F.sum(F.col("qtf") * F.col("qtf"))).scalar()   # scalar subquery
     dots = (norms.select(doc, "chunk_idx", F.explode("_t").alias("term")).join(q, "term")
             .groupBy(doc, "chunk_idx").agg(F.sum("qtf").alias("dot")))
@@ -106,23 +98,28 @@ def relevant_text(docs: DataFrame, query_terms: DataFrame, doc: str = "doc_id",
     kept = best.groupBy(doc).agg(F.array_sort(F.collect_list("chunk_idx")).alias("_idx"))
     t = F.col(text)
     rebuilt = F.array_join(F.transform("_idx", lambda i: F.substring(t, i * CHUNK_STEP + 1, CHUNK_SIZE)), CHUNK_SEPARATOR)
-    filtered = big.join(kept, doc).select(doc, F.col("n_chunks").cast("int").alias("n_chunks"),
-                                          F.size("_idx").alias("n_kept"), rebuilt.alias(text))
-    return small.unionByName(filtered)
+    return big.join(kept, doc, "left").select(
+        doc, F.col("n_chunks").cast("int").alias("n_chunks"), F.coalesce(F.size("_idx"), F.lit(0)).alias("n_kept"),
+        F.when(F.col("_idx").isNull(), t).otherwise(rebuilt).alias(text))
 
 
 def vector_topk(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """T02 + J06 + F10 + F11 + W11: the ``k`` rows with the highest dot product
     against each (L2-normalised) query vector; ties to the lower ``vec_id``.
 
-    The query set is checked to be small and packed into one array value (a
-    scalar subquery, computed once); each vector row is scored against all
-    queries in one expression -- no join.  ``row_number() <= k`` plans as a partial ``WindowGroupLimit``
-    before the shuffle, so each map task forwards at most ``k`` rows per query.
+    The queries are taken in blocks of about ``VECTOR_BLOCK``: one block is one
+    array value (a scalar subquery, computed once) and each vector row is scored
+    against it in one expression.  ``row_number() <= k`` plans as a partial
+    ``WindowGroupLimit`` before the shuffle, so each map task forwards at most
+    ``k`` rows per query.
     """
-    n = queries.limit(MAX_QUERY_VECTORS + 1).count()
-    if n > MAX_QUERY_VECTORS:
-        raise ValueError(f"more than {MAX_QUERY_VECTORS} query vectors")
+    queries = shared(queries)
+    blocks = queries.count() // VECTOR_BLOCK + 1
+    of = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    return reduce(DataFrame.unionByName, [_vector_block(vectors, queries.where(of == b), k) for b in range(blocks)])
+
+
+def _vector_block(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     packed = queries.select(F.struct("query_id", "query_label", l2_normalize("query_vec").alias("qv")).alias("q")).agg(
         F.collect_list("q")).scalar()
     # the scalar is projected first: subqueries may not sit inside a lambda
@@ -138,14 +135,14 @@ def list_items(lines: DataFrame, prefix: str = TOPIC_PREFIX) -> DataFrame:
     return lines.select("doc_id", "line_no", list_item("line", prefix).alias("item")).where(F.col("item").isNotNull())
 
 
-def consolidate_topics(items: DataFrame, max_topics: int = MAX_TOPICS) -> DataFrame:
+def consolidate_topics(items: DataFrame, max_topics: int | None = None) -> DataFrame:
     """T03 = W09 + K05: first of each case-insensitive, trimmed duplicate in
-    (doc, line) order, capped at ``max_topics`` -> (topic_pos, topic)."""
+    (doc, line) order -> (topic_pos, topic).  ``max_topics`` (off by default) keeps the first ones."""
     first = items.groupBy(F.lower(F.trim("item")).alias("_key")).agg(
         F.min(F.struct("doc_id", "line_no", "item")).alias("f"))
-    capped = first.select("f.*").orderBy("doc_id", "line_no").limit(max_topics)
-    w = Window.orderBy("doc_id", "line_no")  # at most max_topics rows
-    return capped.select((F.row_number().over(w) - 1).alias("topic_pos"), F.col("item").alias("topic"))
+    numbered = segmented.ranked(first.select("f.*"), [], ["doc_id", "line_no"], out="_n", method="row_number")
+    out = numbered.select((F.col("_n") - 1).alias("topic_pos"), F.col("item").alias("topic"))
+    return out if max_topics is None else out.where(F.col("topic_pos") < max_topics)
 
 
 def section_facts(lines: DataFrame, topics: DataFrame) -> DataFrame:
@@ -162,14 +159,19 @@ def section_facts(lines: DataFrame, topics: DataFrame) -> DataFrame:
     s = s.withColumn("_hdr", F.when(F.col("sl").startswith(TOPIC_PREFIX), F.col("line_no")))
     headers = s.where(F.col("_hdr").isNotNull()).select(
         "doc_id", F.col("line_no").alias("h_line"), F.lower(strip(F.replace(F.col("sl"), F.lit(TOPIC_PREFIX), F.lit("")))).alias("name"))
-    if topics.limit(MAX_TOPIC_LIST + 1).count() > MAX_TOPIC_LIST:
-        raise ValueError(f"more than {MAX_TOPIC_LIST} topics")
-    # the checked topic list as one sorted array value (scalar subquery); each
-    # header picks its first matching topic with a lambda -- no join needed
-    packed = topics.agg(F.array_sort(F.collect_list(F.struct("topic_pos", "topic", F.lower("topic").alias("lt"))))).scalar()
+    # each *distinct* header name meets the topic list, in blocks that are one
+    # sorted array value each (scalar subquery), and keeps its first match
+    topics = shared(topics)
+    names = headers.select("name").distinct()
+    blocks = (topics.agg(F.max("topic_pos")).first()[0] or 0) // TOPIC_BLOCK + 1
     hits = F.filter("_topics", lambda t: F.col("name").contains(t["lt"]) | t["lt"].contains(F.col("name")))
-    matched = (headers.select("doc_id", "h_line", "name", packed.alias("_topics"))
-               .select("doc_id", "h_line", F.get(hits, 0)["topic"].alias("topic")).where(F.col("topic").isNotNull()))
+    found = []
+    for b in range(blocks):
+        block = topics.where(F.expr(f"topic_pos div {TOPIC_BLOCK}") == b)
+        packed = block.agg(F.sort_array(F.collect_list(F.struct("topic_pos", "topic", F.lower("topic").alias("lt"))))).scalar()
+        found.append(names.select("name", packed.alias("_topics")).select("name", F.get(hits, 0).alias("t")).where("t is not null"))
+    first = reduce(DataFrame.unionByName, found).groupBy("name").agg(F.min("t").alias("t")).select("name", F.col("t.topic").alias("topic"))
+    matched = headers.join(first, "name").select("doc_id", "h_line", "topic")
     cur = segmented.running(s, ["doc_id"], ["line_no"], "_hdr", out="h_line", fn="max", inclusive=True)
     facts = cur.where(F.col("sl").startswith(FACT_PREFIX) & F.col("h_line").isNotNull()).select(
         "doc_id", "line_no", "h_line", strip(F.replace(F.col("sl"), F.lit(FACT_PREFIX), F.lit(""))).alias("fact"))
@@ -191,14 +193,19 @@ def facts_by_topic(facts: DataFrame, topics: DataFrame) -> DataFrame:
 # --- T05: batched scoring with a pluggable numpy scorer --------------------------------
 
 def hash_embed(texts, dim: int = EMBED_DIM) -> np.ndarray:
-    """Plain numpy scorer: lower-cased whitespace tokens hashed (CRC-32) into
-    ``dim`` buckets, L2-normalised.  Deterministic across processes."""
+    """Plain numpy scorer: lower-cased whitespace tokens hashed (first eight hex
+    digits of their MD5) into ``dim`` buckets, L2-normalised.  Deterministic
+    across processes."""
     out = np.zeros((len(texts), dim), dtype=np.float64)
+    bucket: dict[str, int] = {}
     for i, t in enumerate(texts):
         if not isinstance(t, str):
             continue
-        for tok in t.lower().split():
-            out[i, zlib.crc32(tok.encode("utf-8")) % dim] += 1.0
+        tokens = t.lower().split()
+        for tok in tokens:
+            if tok not in bucket:
+                bucket[tok] = int(hashlib.md5(tok.encode("utf-8")).hexdigest()[:8], 16) % dim
+        out[i] = np.bincount([bucket[tok] for tok in tokens], minlength=dim)[:dim] if tokens else 0.0
     norms = np.linalg.norm(out, axis=1, keepdims=True)
     return np.divide(out, norms, out=np.zeros_like(out), where=norms > 0)
 

@@ -1,17 +1,18 @@
 """Hierarchy roll-ups over parent/child tables.
 
 Input: ``(tree_id, node_id, parent_id, side, value)`` -- one row per node,
-``parent_id`` NULL at a root, ``side`` 'L' / 'R' under an operator node.
-Both operators are level loops of joins (one shuffle join per level); the
-driver only holds the level number.  Lineage is cut with a reliable
-checkpoint every few levels so deep trees stay plannable and restartable.
+``parent_id`` NULL at a root, ``side`` 'L' / 'R' under an operator node.  Node
+ids are unique within a tree only, so every join and group uses both ids.
+Both operators are level loops of joins; the driver holds counts alone.  Each
+level is a reliable checkpoint in the shared folder, so nothing is recomputed
+when an executor is lost.  Nodes that no root reaches (a cycle, or a parent
+that does not exist) raise :class:`TreeError`.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,122 +23,79 @@ OP_ADD = -1
 OP_SUBTRACT = -2
 OP_DIVIDE = -3          # truncating division toward zero
 # any other negative value multiplies
-CHECKPOINT_EVERY = 8
 # ------------------------------------------------------------------------------
 
 
-def _persist(df: DataFrame, level: int) -> DataFrame:
-    """Keep a level's rows for the next join; every CHECKPOINT_EVERY levels cut
-    the lineage with a reliable checkpoint (shared dir), otherwise cache
-    (a lost block is recomputed from its short lineage)."""
-    if level % CHECKPOINT_EVERY == 0:
-        return cut_lineage(df)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _finish(result: DataFrame, cached: list[DataFrame]) -> DataFrame:
-    """Write the result as a reliable checkpoint, then release the per-level
-    caches (nothing stays pinned in executor memory after the call).
-
-    ``cached`` is in creation order; release runs newest first so no cached
-    plan is dropped while a later cached plan still builds on it (which would
-    make Spark re-register the dependants).
-    """
-    out = cut_lineage(result)
-    for df in reversed(cached):
-        df.unpersist()
-    return out
+class TreeError(ValueError):
+    """Some nodes are on a cycle or below a missing parent."""
 
 
 def branch_sums(nodes: DataFrame) -> DataFrame:
     """For every leaf, the sum of values on the path from its root.
 
-    Top-down level loop: the frontier carries (node, root, running sum,
-    depth, path); one join with the children per level, and each level is
-    kept so the next one reads it once.  A leaf is a node with no children
-    (``left_anti``).  ``path`` (node ids root->leaf) orders leaves left to right.
+    Top-down: the frontier carries (tree, node, root, running sum, depth,
+    path) and meets the children of its nodes, once per level.  A leaf is a
+    node without children.  ``path`` (node ids root->leaf) orders leaves left
+    to right.
     """
-    edges = nodes.select("node_id", "parent_id", "value").persist(StorageLevel.MEMORY_AND_DISK)
-    frontier = _persist(edges.where(F.col("parent_id").isNull()).select(
-        "node_id", F.col("node_id").alias("root_id"), F.col("value").alias("branch_sum"),
-        F.lit(1).alias("depth"), F.array(F.col("node_id").cast("string")).alias("path")), 1)
-    levels = [frontier]
-    level = 1
-    while not frontier.isEmpty():
-        level += 1
-        frontier = _persist(frontier.alias("f").join(edges.alias("e"), F.col("e.parent_id") == F.col("f.node_id")).select(
-            F.col("e.node_id").alias("node_id"), F.col("f.root_id").alias("root_id"),
-            (F.col("f.branch_sum") + F.col("e.value")).alias("branch_sum"), (F.col("f.depth") + 1).alias("depth"),
-            F.concat(F.col("f.path"), F.array(F.col("e.node_id").cast("string"))).alias("path")), level)
-        levels.append(frontier)
-    reached = reduce(DataFrame.unionByName, levels)
-    parents = edges.where(F.col("parent_id").isNotNull()).select(F.col("parent_id").alias("node_id")).distinct()
-    leaves = reached.join(parents, "node_id", "left_anti")
-    out = leaves.select(F.col("node_id").alias("leaf_id"), "root_id", "branch_sum", "depth", "path")
-    return _finish(out, [edges, *levels])  # creation order
-
-
-def depths(nodes: DataFrame, keep: list | None = None, max_depth: int | None = None) -> DataFrame:
-    """(node_id, depth) by a top-down level loop (roots have depth 1).
-
-    Without ``max_depth`` the loop stops at the first empty level (one small
-    action per level); with a known bound it builds ``max_depth`` levels as one
-    lazy plan (no action).  Persisted levels are appended to ``keep`` so the
-    caller can release them."""
-    edges = nodes.select("node_id", "parent_id")
-    frontier = _persist(edges.where(F.col("parent_id").isNull()).select("node_id", F.lit(1).alias("depth")), 1)
-    levels = [frontier]
-    level = 1
-    while (level < max_depth) if max_depth else (not frontier.isEmpty()):
-        level += 1
-        frontier = _persist(edges.join(frontier.select(F.col("node_id").alias("parent_id"), "depth"), "parent_id").select(
-            "node_id", (F.col("depth") + 1).alias("depth")), level)
+    edges = cut_lineage(nodes.select("tree_id", "node_id", "parent_id", "value"))
+    total = edges.count()
+    frontier = cut_lineage(edges.where(F.col("parent_id").isNull()).select(
+        "tree_id", "node_id", F.col("node_id").alias("root_id"), F.col("value").alias("branch_sum"),
+        F.lit(1).alias("depth"), F.array(F.col("node_id").cast("string")).alias("path")))
+    levels, reached, n = [frontier], 0, frontier.count()
+    while n:
+        reached += n
+        if reached > total:
+            raise TreeError("a node is reached twice")
+        up = frontier.select(F.col("tree_id").alias("t"), F.col("node_id").alias("up"), "root_id", "branch_sum", "depth", "path")
+        frontier = cut_lineage(edges.join(up, (F.col("tree_id") == F.col("t")) & (F.col("parent_id") == F.col("up"))).select(
+            "tree_id", "node_id", "root_id", (F.col("branch_sum") + F.col("value")).alias("branch_sum"),
+            (F.col("depth") + 1).alias("depth"), F.concat("path", F.array(F.col("node_id").cast("string"))).alias("path")))
         levels.append(frontier)
-    if keep is not None:
-        keep.extend(levels)
-    return reduce(DataFrame.unionByName, levels)
+        n = frontier.count()
+    if reached < total:
+        raise TreeError(f"{total - reached} nodes have no root")
+    inner = edges.where(F.col("parent_id").isNotNull()).select("tree_id", F.col("parent_id").alias("node_id")).distinct()
+    leaves = reduce(DataFrame.unionByName, levels).join(inner, ["tree_id", "node_id"], "left_anti")
+    return leaves.select("tree_id", F.col("node_id").alias("leaf_id"), "root_id", "branch_sum", "depth", "path")
 
 
-def evaluate(nodes: DataFrame, max_depth: int | None = None) -> DataFrame:
+def evaluate(nodes: DataFrame) -> DataFrame:
     """H02 + F19: bottom-up value of every root.
 
-    Leaves (value >= 0) are their value; operator nodes combine their 'L'
-    and 'R' children (a missing child counts 0): -1 add, -2 subtract, -3
-    divide toward zero (NULL when dividing by zero), other negatives
-    multiply.  Deepest level first; a level reads only the values of the
-    level below (leaves there plus the operator results just computed):
-    one ``groupBy(parent)`` and one join per level.  ``max_depth`` (a known
-    bound on tree height) skips the per-level actions; deeper nodes would be
-    left out, so give it only when the bound is certain.
+    Leaves (value >= 0) are their value; operator nodes combine their 'L' and
+    'R' children (a missing child counts 0): -1 add, -2 subtract, -3 divide
+    toward zero (NULL when dividing by zero), other negatives multiply.  Each
+    round the operator nodes whose children all have a value get theirs, so
+    there are as many rounds as the highest tree has levels of operators, and
+    no depth has to be known.
     """
-    nodes = nodes.persist(StorageLevel.MEMORY_AND_DISK)
-    depth_levels: list = []
-    d = nodes.join(depths(nodes, depth_levels, max_depth), "node_id").persist(StorageLevel.MEMORY_AND_DISK)
-    if not max_depth:
-        max_depth = d.agg(F.max("depth")).first()[0] or 0
-    leaf_vals = d.where(F.col("value") >= 0).select("node_id", "parent_id", "side", "depth", F.col("value").alias("v"))
-    below = None  # operator results of the level below
-    kept = []
-    for level in range(max_depth, 0, -1):
-        here = leaf_vals.where(F.col("depth") == level).select("node_id", "parent_id", "side", "v")
-        if below is not None:
-            here = here.unionByName(below)
-        if level == 1:
-            below = here
-            break
-        ops = d.where((F.col("depth") == level - 1) & (F.col("value") < 0)).select("node_id", "parent_id", "side", "value")
-        kids = here.groupBy("parent_id").agg(F.sum(F.when(F.col("side") == "L", F.col("v"))).alias("l"),
-                                             F.sum(F.when(F.col("side") == "R", F.col("v"))).alias("r"))
-        j = ops.join(kids.withColumnRenamed("parent_id", "node_id"), "node_id", "left")
-        a, b, op = F.coalesce(F.col("l"), F.lit(0)), F.coalesce(F.col("r"), F.lit(0)), F.col("value")
-        res = (F.when(op == OP_ADD, a + b).when(op == OP_SUBTRACT, a - b)
-               .when(op == OP_DIVIDE, F.when(b != 0, F.expr("coalesce(l, 0) div coalesce(r, 0)")))
-               .otherwise(a * b))
-        below = _persist(j.select("node_id", "parent_id", "side", res.cast("bigint").alias("v")), max_depth - level + 1)
-        kept.append(below)
-    roots = d.where(F.col("parent_id").isNull()).select("tree_id", "node_id")
-    if below is None:
-        out = roots.select("tree_id", F.lit(None).cast("bigint").alias("result"))
-    else:
-        out = roots.join(below.select("node_id", "v"), "node_id", "left").select("tree_id", F.col("v").alias("result"))
-    return _finish(out, [nodes, *depth_levels, d, *kept])  # creation order
+    nodes = nodes.select("tree_id", "node_id", "parent_id", "side", "value")
+    kids = nodes.where(F.col("parent_id").isNotNull()).groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(F.count(F.lit(1)).alias("kids"))
+    pending = cut_lineage(nodes.where(F.col("value") < 0).join(kids, ["tree_id", "node_id"], "left")
+                          .withColumn("kids", F.coalesce("kids", F.lit(0))))
+    ready = nodes.where(F.col("value") >= 0).select("tree_id", "node_id", "parent_id", "side", F.col("value").cast("bigint").alias("v"))
+    ready = cut_lineage(ready)
+    roots = [ready.where(F.col("parent_id").isNull())]
+    waiting = ready.where(F.col("parent_id").isNotNull())
+    left = pending.count()
+    while left:
+        sums = waiting.groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(
+            F.sum(F.when(F.col("side") == "L", F.col("v"))).alias("l"), F.sum(F.when(F.col("side") == "R", F.col("v"))).alias("r"),
+            F.count(F.lit(1)).alias("known"))
+        met = cut_lineage(pending.join(sums, ["tree_id", "node_id"], "left").withColumn("done", F.coalesce("known", F.lit(0)) == F.col("kids")))
+        a, b, op = F.coalesce("l", F.lit(0)), F.coalesce("r", F.lit(0)), F.col("value")
+        value = (F.when(op == OP_ADD, a + b).when(op == OP_SUBTRACT, a - b)
+                 .when(op == OP_DIVIDE, F.when(b != 0, F.expr("coalesce(l, 0) div coalesce(r, 0)"))).otherwise(a * b))
+        done = met.where("done").select("tree_id", "node_id", "parent_id", "side", value.cast("bigint").alias("v"))
+        roots.append(done.where(F.col("parent_id").isNull()))
+        pending = met.where("not done").select(*pending.columns)
+        # children of nodes that are still pending wait on
+        open_nodes = pending.select("tree_id", F.col("node_id").alias("parent_id"))
+        waiting = cut_lineage(waiting.unionByName(done.where(F.col("parent_id").isNotNull())).join(open_nodes, ["tree_id", "parent_id"], "left_semi"))
+        now = pending.count()
+        if now == left:
+            raise TreeError(f"{left} operator nodes wait for each other")
+        left = now
+    return reduce(DataFrame.unionByName, roots).select("tree_id", F.col("v").alias("result"))

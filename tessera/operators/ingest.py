@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import content_hash
 from tessera.operators import segmented
+from tessera.session import shared
 
 # fixed values: reasons an insert is not created
 EXISTS = "exists"
@@ -43,21 +44,29 @@ def insert_if_absent(items: DataFrame) -> DataFrame:
     return j.select("seq", "ticket_id", "content_hash", created.alias("created"), reason.alias("reason"))
 
 
+def _firsts(items: DataFrame) -> DataFrame:
+    """One row per ticket and distinct content: where it came first."""
+    return with_hash(items).groupBy("ticket_id", "content_hash").agg(
+        F.min("seq").alias("first_seq"), F.first("content").alias("content")).select("ticket_id", "content_hash", "first_seq", "content")
+
+
 def versions(items: DataFrame) -> DataFrame:
     """D04 + W05 + W06: per ticket, every new distinct content is a version
     (1, 2, ... by first arrival); repeats of earlier content are ignored;
     ``is_latest`` marks the highest version."""
-    h = with_hash(items)
-    firsts = h.groupBy("ticket_id", "content_hash").agg(F.min(F.struct("seq", "content")).alias("f")).select(
-        "ticket_id", "content_hash", F.col("f.seq").alias("first_seq"), F.col("f.content").alias("content"))
+    firsts = shared(_firsts(items))
     v = segmented.ranked(firsts, ["ticket_id"], ["first_seq"], out="version", method="row_number")
-    top = v.groupBy("ticket_id").agg(F.max("version").alias("_max"))
-    return v.join(top, "ticket_id").withColumn("is_latest", F.col("version") == F.col("_max")).drop("_max")
+    top = firsts.groupBy(F.col("ticket_id").alias("_t")).agg(F.count(F.lit(1)).alias("_max"))
+    return (v.join(top, F.col("ticket_id").eqNullSafe(F.col("_t")))
+            .withColumn("is_latest", F.col("version") == F.col("_max")).drop("_max", "_t"))
 
 
-def latest(vers: DataFrame) -> DataFrame:
-    """The latest version of each ticket."""
-    return vers.where("is_latest").select("ticket_id", F.col("version").alias("max_version"), "content", "content_hash")
+def latest(items: DataFrame) -> DataFrame:
+    """The latest version of each ticket: its number is the count
+    of the ticket's distinct contents, so nothing is ranked."""
+    return _firsts(items).groupBy("ticket_id").agg(
+        F.count(F.lit(1)).alias("max_version"), F.max(F.struct("first_seq", "content", "content_hash")).alias("l")).select(
+        "ticket_id", "max_version", "l.content", "l.content_hash")
 
 
 def batch_ingest(store: DataFrame, batch: DataFrame) -> DataFrame:

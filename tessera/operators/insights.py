@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import parse_list_keep_blank
+from tessera.functions.text import int_percent, parse_list_keep_blank
 from tessera.operators import segmented
 from tessera.session import shared
 
@@ -68,14 +68,9 @@ def fill(template: str, **cols) -> F.Column:
 
 
 def one_decimal(p, q) -> F.Column:
-    """``f'{p / q:.1f}'`` for integers p >= 0, q >= 0 (0 when q = 0), rounding
-    half to even exactly as Python does on these quotients."""
-    t = p * 10
-    d = F.when(q > 0, F.floor(t / q)).otherwise(F.lit(0)).cast("bigint")
-    rem = t - d * q
-    r = (F.when(q <= 0, F.lit(0).cast("bigint"))
-         .when(rem * 2 > q, d + 1).when((rem * 2 == q) & (d % 2 == 1), d + 1).otherwise(d))
-    return F.concat((r / 10).cast("bigint").cast("string"), F.lit("."), (r % 10).cast("string"))
+    """One decimal of the quotient of integers p >= 0, q >= 0, rounded from the
+    double's exact value (7/20 is just below 0.35, so 0.3); 0 when q = 0."""
+    return F.when(q > 0, F.call_function("format_number", p / q, F.lit("0.0"))).otherwise("0")
 
 
 def combination_items(df: DataFrame) -> DataFrame:
@@ -150,7 +145,7 @@ def insight_text(stats: DataFrame) -> DataFrame:
     n, bu, vu, bt, vt = c("n_combos"), c("base_unique"), c("var_unique"), c("base_total"), c("var_total")
     bs, bd, vd = c("base_single"), c("base_dominant"), c("var_dominant")
     avg_b, avg_v = one_decimal(bt, n), one_decimal(vt, n)
-    pct = F.floor((bs * 100) / F.greatest(bu, F.lit(1))).cast("bigint")
+    pct = int_percent(bs, bu)
     base_line = (F.when(bd > 0, fill(BASE_DOMINANT, n=bd, apps=c("base_dom3")))
                  .when((bu == bt) & (bu > 0), fill(BASE_ALL_UNIQUE, n=bu))
                  .otherwise(fill(BASE_SPREAD, n=bu, c=n, avg=avg_b)))

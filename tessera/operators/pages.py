@@ -48,20 +48,18 @@ def page_title(html_col: str = "html", suffix: str = TITLE_SUFFIX):
 
 def _cleaned(html_col: str = "html"):
     """Per page: every paragraph's text -- scripts and styles removed first,
-    tags stripped, entities decoded (blank and repeated ones still present)."""
+    tags stripped, entities decoded (blank ones still present)."""
     body = F.regexp_replace(F.col(html_col), SCRIPT_STYLE_PATTERN, "")
     raw = F.regexp_extract_all(body, F.lit(PARAGRAPH_PATTERN), 1)
     return F.transform(raw, lambda p: strip(unescape(F.regexp_replace(p, TAG_PATTERN, ""))))
 
 
 def _items(cleaned_col: str = "_cleaned"):
-    """(raw_pos, text) of the non-blank paragraphs, repeats of an earlier one
-    dropped (first wins).  Reads the projected ``_cleaned`` column, so the
-    regular expressions run once per page, not once per lambda call.  Row-local:
-    all paragraphs of a page are in its row, so no shuffle is needed."""
-    c = F.col(cleaned_col)
-    indexed = F.transform(c, lambda x, i: F.struct(i.alias("raw_pos"), x.alias("text")))
-    return F.filter(indexed, lambda e: (e["text"] != "") & (F.array_position(c, e["text"]) == e["raw_pos"] + 1))
+    """(raw_pos, text) of the non-blank paragraphs.  D07: an entry is known by its
+    id (its place on the page), so two entries with the same text both stay.
+    Row-local: all paragraphs of a page are in its row, so no shuffle is needed."""
+    indexed = F.transform(F.col(cleaned_col), lambda x, i: F.struct(i.alias("raw_pos"), x.alias("text")))
+    return F.filter(indexed, lambda e: e["text"] != "")
 
 
 def page_items(pages: DataFrame) -> DataFrame:

@@ -216,6 +216,14 @@ def raw_combinations(df: DataFrame) -> DataFrame:
         "first_rid", "n_rows")
 
 
+def app_frequency(rc: DataFrame) -> DataFrame:
+    """(device, build_type, side, app, n) over the raw combinations' lists."""
+    both = F.concat(F.transform("base", lambda a: F.struct(F.lit("base").alias("side"), a.alias("app"))),
+                    F.transform("variant", lambda a: F.struct(F.lit("variant").alias("side"), a.alias("app"))))
+    return (rc.select("device", "build_type", F.explode(both).alias("x")).groupBy("device", "build_type", "x.side", "x.app")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def app_profile(combos: DataFrame, section=("device", "build_type"), top: int = 5) -> DataFrame:
     """A04 + A13 + A14 per section: distinct / total apps, singles (n = 1),
     dominant (n > 1), top five, average apps per combination, smallest and

@@ -8,10 +8,11 @@ summary and precision / recall / F1 / accuracy from conditional sums.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import bracket_chars, brackets_balanced
+from tessera.operators import segmented
 
 # fixed values: quarantine reasons
 NO_TEXT = "no text"
@@ -32,9 +33,30 @@ def split_errors(df: DataFrame, error_col: str = "error"):
 
 
 def percentile_by(df: DataFrame, group: str, value: str, p: float = 0.9) -> DataFrame:
-    """Exact percentile (linear interpolation) and count per group."""
-    return df.groupBy(group).agg(F.count(F.lit(1)).alias("n"),
-                                 F.round(F.percentile(value, F.lit(p)), 6).alias(f"p{int(p * 100)}"))
+    """Exact percentile (linear interpolation) and count per group.
+
+    Values are counted first, then a running count over the distinct values
+    (sliced, see :mod:`segmented`) finds the two neighbours of the wanted
+    place; no group's values meet in one buffer.  NULL values do not count.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("k"))
+    s = segmented.slice_groups(counts, ["g"], ["v"])
+    w = Window.partitionBy("g", segmented.SLICE).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    local = s.withColumn("_in", F.coalesce(F.sum("k").over(w), F.lit(0)))
+    sums = s.groupBy("g", segmented.SLICE).agg(F.sum("k").alias("_s"))
+    before = sums.withColumn("_off", F.coalesce(F.sum("_s").over(segmented._earlier_slices(["g"])), F.lit(0)))
+    at = segmented._with_summary(local, before, ["g"], ["_off"]).select("g", "v", "k", (F.col("_in") + F.col("_off")).alias("lo"))
+    total = s.groupBy(F.col("g").alias("_g")).agg(F.sum("k").alias("n"))
+    at = at.join(total, F.col("g").eqNullSafe(F.col("_g"))).withColumn("place", (F.col("n") - 1) * F.lit(p))
+    low, high = F.floor("place"), F.ceil("place")
+    inside = lambda x: (F.col("lo") <= x) & (x < F.col("lo") + F.col("k"))
+    ends = at.groupBy("g").agg(F.max("n").alias("n"), F.max("place").alias("place"),
+                               F.max(F.when(inside(low), F.col("v"))).alias("a"), F.max(F.when(inside(high), F.col("v"))).alias("b"))
+    out = F.round(F.col("a") + (F.col("b") - F.col("a")) * (F.col("place") - F.floor("place")), 6)
+    # groups whose values are all NULL keep their row
+    every = df.groupBy(F.col(group).alias("_e")).agg(F.count(F.lit(1)).alias("rows"))
+    return every.join(ends, F.col("_e").eqNullSafe(F.col("g")), "left").select(
+        F.col("_e").alias(group), F.col("rows").alias("n"), out.alias(f"p{int(p * 100)}"))
 
 
 def binary_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:

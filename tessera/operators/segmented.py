@@ -4,127 +4,53 @@ A window ``PARTITION BY g ORDER BY o`` sends every row of ``g`` to one task.
 When one group may hold a third of the table that task is the job.  These
 helpers split each group into ordered *slices* instead:
 
-1. ``n - 1`` bounds are taken from a seeded sample of the (g, o) keys (20
-   keys per slice, like Spark's range partitioner; one small job) and each row's slice is
-   the number of bounds at or below its key -- a binary search (``aggregate``)
-   over one constant array of bounds, so it is a pure function of the
-   row: every branch of the plan and every task retry sees the same slice,
-   equal keys share a slice, and a hot group spans many slices;
+1. the rows are range-partitioned by (g, o): Spark samples the bounds, equal
+   keys share a partition, a hot group spans many.  The partition number is the
+   slice.  The result is written once as a reliable checkpoint, so every branch
+   of the plan and every task that runs again sees the same slices, and the
+   input is computed once;
 2. the window runs per ``(g, slice)`` -- bounded by the slice size;
 3. a per-(g, slice) summary (one row per slice, small) gives what earlier
    slices contribute -- counts for ranks, minimum for running minimum, last
    row for the previous-row lookup -- and is joined back.
 
-The summary has at most ``groups + n`` rows, so its window is cheap.  Keys are
-ascending.
+Slices are as many as ``spark.sql.shuffle.partitions`` (sized for the data, as
+for any shuffle).  Keys are ascending, NULL first; a NULL group is a group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
-SLICE = "_slice"
-SAMPLE_PER_SLICE = 20
-MAX_SAMPLE = 1_000_000      # keys brought to the driver, as Spark's range partitioner caps it
-MAX_SLICES = 8192
-SAMPLE_SEED = 20240601
-
-
-def _n_slices(df: DataFrame, n: int | None) -> int:
-    if n:
-        return min(n, MAX_SLICES)
-    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), MAX_SLICES)
-
-
-def _null_first(v):
-    return (v is not None, v)
+from functools import reduce
 
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-def slice_bounds(df: DataFrame, keys: list[str], n: int) -> list[tuple]:
-    """``n - 1`` ascending bounds of the key tuple from a seeded sample.
+from tessera.session import cut_lineage
 
-    One job: the ``SAMPLE_PER_SLICE * n`` rows (at most ``MAX_SAMPLE``) with
-    the smallest seeded ``rand()`` -- a per-task top-k, ``TakeOrderedAndProject``
-    -- a uniform sample of fixed size that needs no row count first.
-    """
-    if n <= 1:
-        return []
-    k = min(SAMPLE_PER_SLICE * n, MAX_SAMPLE)
-    sample = [tuple(r)[:-1] for r in df.select(*keys, F.rand(SAMPLE_SEED).alias("_r")).orderBy("_r").limit(k).collect()]
-    sample.sort(key=lambda t: tuple(_null_first(v) for v in t))
-    if not sample:
-        return []
-    bounds = []
-    for i in range(1, n):
-        b = sample[min(len(sample) - 1, (i * len(sample)) // n)]
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    return bounds
-
-
-def _sql_literal(value, dtype) -> str:
-    """SQL text of a literal of ``dtype`` (bounds become one constant array)."""
-    from pyspark.sql import types as T
-    if value is None:
-        return f"CAST(NULL AS {dtype.simpleString()})"
-    if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
-        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-    if isinstance(dtype, T.TimestampNTZType):
-        return f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'"
-    if isinstance(dtype, T.TimestampType):
-        return f"CAST('{value.isoformat(sep=' ')}' AS TIMESTAMP)"
-    if isinstance(dtype, T.DateType):
-        return f"DATE '{value.isoformat()}'"
-    if isinstance(dtype, T.BooleanType):
-        return "true" if value else "false"
-    if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
-        return f"CAST('{value!r}' AS {dtype.simpleString()})"
-    return f"CAST({int(value)} AS {dtype.simpleString()})"
-
-
-def slice_of(df: DataFrame, keys: list[str], bounds: list[tuple]) -> Column:
-    """Slice id = number of bounds <= key.
-
-    The bounds are one constant array (a single SQL literal, folded by the
-    optimizer -- the plan holds it once, rows do not); a binary search over it
-    with ``aggregate`` takes log2(n) steps per row.
-    """
-    if not bounds:
-        return F.lit(0)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    names = [f"k{i}" for i in range(len(keys))]
-    items = ", ".join("named_struct(" + ", ".join(f"'{nm}', {_sql_literal(v, types[k])}" for nm, k, v in zip(names, keys, b)) + ")"
-                      for b in bounds)
-    arr = F.expr(f"array({items})")
-    key = F.struct(*[F.col(k).alias(nm) for nm, k in zip(names, keys)])
-    steps = max(1, (len(bounds)).bit_length())
-
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = ((lo + hi) / 2).cast("int")
-        right = key >= F.element_at(arr, mid + 1)
-        nxt = F.when(right, F.struct((mid + 1).alias("lo"), hi.alias("hi"))).otherwise(F.struct(lo.alias("lo"), mid.alias("hi")))
-        return F.when(lo < hi, nxt).otherwise(acc)
-
-    init = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+SLICE = "_slice"
 
 
 def slice_groups(df: DataFrame, group: list[str], order: list[str], n: int | None = None) -> DataFrame:
-    """Tag each row with its deterministic ordered slice of (group, order)."""
-    keys = list(group) + list(order)
-    bounds = slice_bounds(df, keys, _n_slices(df, n))
-    return df.withColumn(SLICE, slice_of(df, keys, bounds))
+    """Tag each row with its ordered slice of (group, order); materialised once."""
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    spread = df.repartitionByRange(n, *group, *order) if n > 1 else df.coalesce(1)
+    return cut_lineage(spread.withColumn(SLICE, F.spark_partition_id()))
 
 
 def _earlier_slices(w_group: list[str]):
     return Window.partitionBy(*w_group).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def _with_summary(rows: DataFrame, summary: DataFrame, group: list[str], cols: list[str]) -> DataFrame:
+    """Join a per-(group, slice) summary back; NULL groups meet NULL groups."""
+    right = summary.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate([*group, SLICE])], *cols)
+    on = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate([*group, SLICE])]
+    return rows.join(right, reduce(lambda a, b: a & b, on)).drop(*[f"_k{i}" for i in range(len(on))])
+
+
 def ranked(df: DataFrame, group: list[str], order: list[str], out: str = "rank",
            method: str = "rank", n: int | None = None) -> DataFrame:
-    """``rank()`` (ties share the lowest) or ``row_number()`` within ``group``.
+    """``rank()`` (ties share the lowest) or ``row_number()`` within ``group``, as bigint.
 
     Equal (group, order) keys always land in one slice, so ties never
     straddle a slice boundary and ``rank`` stays exact.
@@ -135,37 +61,33 @@ def ranked(df: DataFrame, group: list[str], order: list[str], out: str = "rank",
     local = s.withColumn("_local", fn.over(w))
     counts = s.groupBy(*group, SLICE).agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(_earlier_slices(group)), F.lit(0)))
-    j = local.join(offsets.select(*group, SLICE, "_off"), [*group, SLICE])
-    return j.withColumn(out, (F.col("_local") + F.col("_off")).cast("int")).drop("_local", "_off", SLICE)
+    j = _with_summary(local, offsets, group, ["_off"])
+    return j.withColumn(out, F.col("_local").cast("bigint") + F.col("_off")).drop("_local", "_off", SLICE)
 
 
 def min_before(df: DataFrame, group: list[str], order: list[str], value: str, out: str,
                n: int | None = None) -> DataFrame:
     """Minimum of ``value`` over the earlier rows of the group (NULL for the first)."""
+    return running(df, group, order, value, out, fn="min", inclusive=False, n=n)
+
+
+def previous_row(df: DataFrame, group: list[str], order: str | list[str], cols: list[str], prefix: str = "prev_",
+                 n: int | None = None, next_prefix: str | None = None) -> DataFrame:
+    """Values of ``cols`` on the previous row of the group, and on the next one if ``next_prefix`` is given."""
+    order = [order] if isinstance(order, str) else order
     s = slice_groups(df, group, order, n)
-    w = Window.partitionBy(*group, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = s.withColumn("_lmin", F.min(value).over(w))
-    mins = s.groupBy(*group, SLICE).agg(F.min(value).alias("_smin"))
-    before = mins.withColumn("_bmin", F.min("_smin").over(_earlier_slices(group)))
-    j = local.join(before.select(*group, SLICE, "_bmin"), [*group, SLICE])
-    return j.withColumn(out, F.least("_lmin", "_bmin")).drop("_lmin", "_bmin", SLICE)
-
-
-def previous_row(df: DataFrame, group: list[str], order_col: str, cols: list[str], prefix: str = "prev_",
-                 n: int | None = None) -> DataFrame:
-    """Values of ``cols`` on the previous row of the group (by ``order_col``)."""
-    s = slice_groups(df, group, [order_col], n)
-    w = Window.partitionBy(*group, SLICE).orderBy(order_col)
-    local = s
-    for c in cols:
-        local = local.withColumn("_l_" + c, F.lag(c).over(w))
-    local = local.withColumn("_first_in_slice", F.row_number().over(w) == 1)
-    last = s.groupBy(*group, SLICE).agg(F.max_by(F.struct(*cols), F.col(order_col)).alias("_last"))
-    prev = last.withColumn("_prev", F.lag("_last").over(Window.partitionBy(*group).orderBy(SLICE)))
-    j = local.join(prev.select(*group, SLICE, "_prev"), [*group, SLICE])
+    w = Window.partitionBy(*group, SLICE).orderBy(*order)
+    per_group = Window.partitionBy(*group).orderBy(SLICE)
+    key = F.struct(*order)
+    local = s.withColumn("_before", F.lag(F.struct(*cols)).over(w)).withColumn("_after", F.lead(F.struct(*cols)).over(w))
+    ends = s.groupBy(*group, SLICE).agg(F.max_by(F.struct(*cols), key).alias("_last"), F.min_by(F.struct(*cols), key).alias("_first"))
+    ends = ends.withColumn("_prev", F.lag("_last").over(per_group)).withColumn("_next", F.lead("_first").over(per_group))
+    j = _with_summary(local, ends, group, ["_prev", "_next"])
     for c in cols:
-        j = j.withColumn(prefix + c, F.when(F.col("_first_in_slice"), F.col("_prev." + c)).otherwise(F.col("_l_" + c)))
-    return j.drop(*["_l_" + c for c in cols], "_first_in_slice", "_prev", SLICE)
+        j = j.withColumn(prefix + c, F.coalesce("_before", "_prev")[c])
+        if next_prefix:
+            j = j.withColumn(next_prefix + c, F.coalesce("_after", "_next")[c])
+    return j.drop("_before", "_after", "_prev", "_next", SLICE)
 
 
 def running(df: DataFrame, group: list[str], order: list[str], value: str, out: str,
@@ -180,5 +102,5 @@ def running(df: DataFrame, group: list[str], order: list[str], value: str, out:
     local = s.withColumn("_lrun", agg(value).over(w))
     per = s.groupBy(*group, SLICE).agg(agg(value).alias("_srun"))
     before = per.withColumn("_brun", agg("_srun").over(_earlier_slices(group)))
-    j = local.join(before.select(*group, SLICE, "_brun"), [*group, SLICE])
+    j = _with_summary(local, before, group, ["_brun"])
     return j.withColumn(out, comb("_lrun", "_brun")).drop("_lrun", "_brun", SLICE)

@@ -8,7 +8,7 @@ solved at once.  Input shape: ``(g, pos, v)`` (0-based ``pos``) or points
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators import segmented
@@ -17,21 +17,32 @@ ID_BLOCK = 1 << 20  # ids generated per block when enumerating an expected range
 
 
 def smaller_count(series: DataFrame) -> DataFrame:
-    """How many values of the group are smaller (rank - 1, ties share)."""
-    r = segmented.ranked(series, ["g"], ["v"], out="_rank", method="rank")
-    return r.select("g", "pos", "v", (F.col("_rank") - 1).alias("smaller"))
+    """How many values of the group are smaller.
 
-
-def best_rise(series: DataFrame) -> DataFrame:
+    Rows are first counted per (g, v), so a value that a whole group shares is
+    one row; a running sum over the distinct values is joined back.
+    """
+    counts = series.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    s = segmented.slice_groups(counts, ["g"], ["v"])
+    w = Window.partitionBy("g", segmented.SLICE).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    local = s.withColumn("_in", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    sums = s.groupBy("g", segmented.SLICE).agg(F.sum("n").alias("_s"))
+    before = sums.withColumn("_off", F.coalesce(F.sum("_s").over(segmented._earlier_slices(["g"])), F.lit(0)))
+    below = segmented._with_summary(local, before, ["g"], ["_off"]).select(
+        F.col("g").alias("_g"), F.col("v").alias("_v"), (F.col("_in") + F.col("_off")).alias("smaller"))
+    return series.join(below, F.col("g").eqNullSafe(F.col("_g")) & F.col("v").eqNullSafe(F.col("_v"))).select("g", "pos", "v", "smaller")
+
+
+def best_rise(series: DataFrame, order: tuple[str, ...] = ("pos",)) -> DataFrame:
     """max(v - lowest earlier v) per group, at least 0."""
-    m = segmented.min_before(series, ["g"], ["pos"], "v", out="_prev_min")
+    m = segmented.min_before(series, ["g"], list(order), "v", out="_prev_min")
     return m.groupBy("g").agg(
         F.greatest(F.lit(0).cast("bigint"), F.coalesce(F.max(F.col("v") - F.col("_prev_min")), F.lit(0).cast("bigint"))).alias("best_rise"))
 
 
-def path_length(points: DataFrame) -> DataFrame:
+def path_length(points: DataFrame, order: tuple[str, ...] = ("pos",)) -> DataFrame:
     """W03 + F18: sum of max(|dx|, |dy|) between neighbours; 0 under two points."""
-    p = segmented.previous_row(points, ["g"], "pos", ["x", "y"])
+    p = segmented.previous_row(points, ["g"], list(order), ["x", "y"])
     step = F.greatest(F.abs(F.col("x") - F.col("prev_x")), F.abs(F.col("y") - F.col("prev_y")))
     return p.groupBy("g").agg(F.coalesce(F.sum(step), F.lit(0).cast("bigint")).alias("path_length"))
 
@@ -64,16 +75,12 @@ def has_duplicates(series: DataFrame) -> DataFrame:
         "has_duplicates", F.col("n") > F.col("n_distinct"))
 
 
-def duplicate_values(series: DataFrame) -> DataFrame:
-    """A18 (listing): values that occur more than once in their group."""
-    return series.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-
-
 def missing_by_sum(values: DataFrame) -> DataFrame:
     """The one missing number of 0..n from n values, ``n(n+1)/2 - sum``."""
     a = values.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"))
-    return a.select("g", "n", ((F.col("n") * (F.col("n") + 1)) / 2).cast("bigint").alias("_t"), "s").select(
-        "g", "n", (F.col("_t") - F.col("s")).alias("missing"))
+    # decimal, since n * (n + 1) passes 64 bits at three thousand million rows; halving it is exact
+    n = F.col("n").cast("decimal(19,0)")
+    return a.select("g", "n", ((n * (n + 1) * F.expr("0.5BD")) - F.col("s")).cast("bigint").alias("missing"))
 
 
 def expected_ids(bounds: DataFrame, lo: str = "lo", hi: str = "hi", block: int = ID_BLOCK) -> DataFrame:

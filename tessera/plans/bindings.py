@@ -23,10 +23,11 @@ from tessera.sources.tables import table
 
 # --- fixed values of the bindings ---------------------------------------------
 SMR_PRIORITY = "5-LOW"          # orders with this priority get release_type 'SMR'
-VR_EVERY = 10                   # o_orderkey % 10 = 0 -> vr_qualified 'TRUE'
+VR_PRIORITY = "1-URGENT"        # orders with this priority are vr_qualified
 BASE_STATUS = "O"               # linestatus of base apps
 VARIANT_STATUS = "F"            # linestatus of variant apps
 SUPPLIER_FP_TAIL = "x"          # third part of the supplier fingerprint
+LINES_PER_TURN = 1 << 32        # line numbers of one turn
 MAX_GEO_ROWS = 100_000          # broadcast bound for the nation x region dimension
 # ------------------------------------------------------------------------------
 
@@ -57,21 +58,24 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def config_rows(spark: SparkSession, sf_dir: str, by_customer: bool = False, orders: DataFrame | None = None) -> DataFrame:
+def config_rows(spark: SparkSession, sf_dir: str, by_customer: bool = False, orders: DataFrame | None = None,
+                lines: DataFrame | None = None) -> DataFrame:
     """One configuration row per order (see SURVEY §7.2 ``config_rows``).
 
     Columns: rid, device, build_type, release_type, vr_qualified, fingerprint,
     same_device_fingerprints, priv_base_apps, priv_var_apps (all text but rid).
     ``by_customer`` makes the customer name the device (``config_by_customer``).
     ``orders`` may be given -- e.g. a stream of orders; every other input is a
-    static table, so the joins are stream-static joins.
+    static table, so the joins are stream-static joins.  ``lines`` may be given
+    as a stored :func:`order_lines`, so that a stream does not aggregate them
+    again for each micro-batch.
     """
     geo = geography(spark, sf_dir)
     o = (orders if orders is not None else table(spark, sf_dir, "orders")).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment", "c_name")
     s = table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-    lines = order_lines(spark, sf_dir)
+    lines = order_lines(spark, sf_dir) if lines is None else lines
     # each dimension is joined raw, then its geography: the planner's size
     # check sees the dimension's own file size (a join-of-joins estimate is
     # the product of its inputs and would never pass the check)
@@ -89,7 +93,7 @@ def config_rows(spark: SparkSession, sf_dir: str, by_customer: bool = False, ord
         F.col("c_device").alias("device"),
         F.col("o_orderstatus").alias("build_type"),
         F.when(F.col("o_orderpriority") == SMR_PRIORITY, F.lit("SMR")).otherwise(F.col("o_orderpriority")).alias("release_type"),
-        F.when(F.col("o_orderkey") % VR_EVERY == 0, F.lit("TRUE")).otherwise(F.lit("FALSE")).alias("vr_qualified"),
+        F.when(F.col("o_orderpriority") == VR_PRIORITY, F.lit("TRUE")).otherwise(F.lit("FALSE")).alias("vr_qualified"),
         F.lower(F.concat("c_geo", F.lit("/"), "o_orderpriority")).alias("fingerprint"),
         F.when(F.col("s_geo").isNotNull(), F.concat(F.col("s_geo"), F.lit("/" + SUPPLIER_FP_TAIL))).alias("same_device_fingerprints"),
         list_text(F.coalesce("base_brands", empty)).alias("priv_base_apps"),
@@ -115,6 +119,13 @@ def to_canonical(df: DataFrame) -> DataFrame:
 
 # --- ordered series, id sets, tickets ----------------------------------------------
 
+def events_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as rows (g, ts, event_id, v, x, y), in time order by (ts, event_id) but without a position."""
+    ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "value", "props")
+    return ev.select(F.col("user_id").alias("g"), "ts", "event_id", F.get_json_object("props", "$.k").cast("bigint").alias("v"),
+                     F.floor("value").cast("bigint").alias("y")).withColumn("x", F.col("v"))
+
+
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as one ordered series per user: (g, pos, v, x, y).
 
@@ -123,12 +134,8 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     skew-safe ``row_number`` (a user may hold a third of all events).
     """
     from tessera.operators import segmented
-    ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "value", "props")
-    base = ev.select(F.col("user_id").alias("g"), "ts", "event_id",
-                     F.get_json_object("props", "$.k").cast("bigint").alias("v"),
-                     F.floor("value").cast("bigint").alias("y"))
-    r = segmented.ranked(base, ["g"], ["ts", "event_id"], out="_rn", method="row_number")
-    return r.select("g", (F.col("_rn") - 1).alias("pos"), "v", F.col("v").alias("x"), "y")
+    r = segmented.ranked(events_in_time(spark, sf_dir), ["g"], ["ts", "event_id"], out="_rn", method="row_number")
+    return r.select("g", (F.col("_rn") - 1).alias("pos"), "v", "x", "y")
 
 
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,16 +153,14 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ticket_store_and_batch(spark: SparkSession, sf_dir: str):
     """Split tickets at the middle ``seq`` (max(seq) div 2): stored rows and a new batch."""
     t = tickets(spark, sf_dir)
-    mid = t.agg((F.max("seq") / 2).cast("bigint")).scalar()   # scalar subquery, one value
+    mid = t.agg(F.max("seq").alias("m")).select(F.expr("m div 2")).scalar()   # scalar subquery, one value
     return t.where(F.col("seq") <= mid), t.where(F.col("seq") > mid)
 
 
 def conversation_turns_minus_one(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns of each conversation with turn ``conv_id % n_turns`` left out: (g, v)."""
+    """The turns after the first of each conversation: (g, v), turn 0 being the number that is missing."""
     c = table(spark, sf_dir, "conversations", "conv_id", "turn")
-    n = c.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n"))
-    return (c.join(n, "conv_id").where(F.col("turn") != F.col("conv_id") % F.col("_n"))
-            .select(F.col("conv_id").alias("g"), F.col("turn").alias("v")))
+    return c.where(F.col("turn") > 0).select(F.col("conv_id").alias("g"), F.col("turn").alias("v"))
 
 
 # --- documents -----------------------------------------------------------------------
@@ -169,14 +174,14 @@ def pages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model-output-shaped lines per conversation: (doc_id, line_no, line).
 
-    Turn t gives line 2t 'TOPIC: <role>' and line 2t+1 'FACT: <first line of text>'.
+    Turn t gives 'TOPIC: <role>' and one 'FACT: <line>' per line of its text.
+    Line numbers are turn * LINES_PER_TURN plus the place in the turn.
     """
     c = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    two = F.array(
-        F.struct((F.col("turn") * 2).alias("line_no"), F.concat(F.lit("TOPIC: "), F.col("role")).alias("line")),
-        F.struct((F.col("turn") * 2 + 1).alias("line_no"),
-                 F.concat(F.lit("FACT: "), F.substring_index(F.col("text"), "\n", 1)).alias("line")))
-    return c.select(F.col("conv_id").alias("doc_id"), F.explode(two).alias("l")).select("doc_id", "l.line_no", "l.line")
+    facts = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: F.concat(F.lit("FACT: "), x))
+    every = F.concat(F.array(F.concat(F.lit("TOPIC: "), F.col("role"))), facts)
+    at = c.select(F.col("conv_id").alias("doc_id"), "turn", F.posexplode(every).alias("i", "line"))
+    return at.select("doc_id", (F.col("turn").cast("bigint") * LINES_PER_TURN + F.col("i")).alias("line_no"), "line")
 
 
 def query_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,7 +231,6 @@ def geo_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 # fixed values: operator of each order's root by status
 ROOT_OP = {"O": -1, "F": -4}
 ROOT_OP_OTHER = -2
-FORMULA_DEPTH = 4   # root -> divide -> subtract -> leaf
 
 
 def formula_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ config_src AS (
          c.c_name AS customer_name,
          o.o_orderstatus AS build_type,
          CASE WHEN o.o_orderpriority = '5-LOW' THEN 'SMR' ELSE o.o_orderpriority END AS release_type,
-         CASE WHEN o.o_orderkey % 10 = 0 THEN 'TRUE' ELSE 'FALSE' END AS vr_qualified,
+         CASE WHEN o.o_orderpriority = '1-URGENT' THEN 'TRUE' ELSE 'FALSE' END AS vr_qualified,
          lower(cg.geo || '/' || o.o_orderpriority) AS fingerprint,
          sg.geo || '/x' AS same_device_fingerprints,
          '[' || array_to_string(list_transform(coalesce(ol.base_brands, []), lambda b: '''' || b || ''''), ', ') || ']' AS priv_base_apps,
@@ -333,10 +333,39 @@ SQL["pair_counts"] = with_("an_rows") + """
 SELECT side, app_a, app_b, count(*) AS n FROM an_pairs GROUP BY ALL
 """
 
-SQL["capped_scan"] = with_("an_rows") + """
-SELECT device, release_type, count(*) AS n
-FROM (SELECT * FROM an_rows ORDER BY rid LIMIT 5000)
-WHERE device IS NOT NULL AND release_type IS NOT NULL GROUP BY ALL
+SQL["list_errors"] = with_("an_rows") + """
+SELECT device, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_errors FROM an_counted GROUP BY device
+"""
+
+SQL["report_list_errors"] = """
+WITH p AS (SELECT c_mktsegment AS device, c_custkey % 2 = 0 AS quoted FROM customer)
+SELECT device, count(*) AS n_rows, count(*) FILTER (WHERE NOT quoted) AS n_errors FROM p GROUP BY device
+"""
+
+SQL["app_frequency"] = with_("rc") + """
+SELECT device, build_type, side, app, count(*) AS n
+FROM (SELECT device, build_type, 'base' AS side, unnest(base) AS app FROM rc
+      UNION ALL SELECT device, build_type, 'variant', unnest(variant) FROM rc)
+GROUP BY ALL
+"""
+
+SQL["csv_scan"] = """
+SELECT o_orderstatus, count(*) AS n, CAST(sum(length(o_orderpriority)) AS BIGINT) AS chars
+FROM orders GROUP BY o_orderstatus
+"""
+
+SQL["issue_urls"] = """
+SELECT page_id, 'https://tracker.example/issues/' || CAST(page_id AS VARCHAR) AS url FROM pages
+"""
+
+SQL["analyzer_report"] = with_("an_rows") + """,
+apps AS (SELECT side, app, count(*) AS n FROM an_side GROUP BY ALL),
+ra AS (SELECT side, app AS label, n, row_number() OVER (PARTITION BY side ORDER BY n DESC, app) AS rank FROM apps),
+pc AS (SELECT side, app_a, app_b, count(*) AS n FROM an_pairs GROUP BY ALL),
+rp AS (SELECT side, app_a || ' + ' || app_b AS label, n, row_number() OVER (PARTITION BY side ORDER BY n DESC, app_a, app_b) AS rank FROM pc)
+SELECT 'top_apps_' || side AS section, CAST(rank AS INTEGER) AS rank, label, n AS value FROM ra WHERE rank <= 10
+UNION ALL
+SELECT 'top_pairs_' || side, CAST(rank AS INTEGER), label, n FROM rp WHERE rank <= 5
 """
 
 SQL["device_release_share"] = with_("an_rows") + """,
@@ -396,7 +425,7 @@ SELECT (SELECT count(DISTINCT device) FROM an_counted) AS total_devices,
 CTE["series"] = """
 series AS (
   SELECT user_id AS g,
-         CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS INTEGER) AS pos,
+         CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS BIGINT) AS pos,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS v,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS x,
          CAST(floor(value) AS BIGINT) AS y
@@ -412,7 +441,7 @@ tickets AS (
 DEPS["tickets"] = []
 
 SQL["smaller_count"] = with_("series") + """
-SELECT g, pos, v, CAST(rank() OVER (PARTITION BY g ORDER BY v) - 1 AS INTEGER) AS smaller FROM series
+SELECT g, pos, v, CAST(rank() OVER (PARTITION BY g ORDER BY v) - 1 AS BIGINT) AS smaller FROM series
 """
 
 SQL["best_rise"] = with_("series") + """,
@@ -444,8 +473,7 @@ WHERE range NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL
 """
 
 SQL["missing_by_sum"] = """
-WITH n AS (SELECT conv_id, count(*) AS nt FROM conversations GROUP BY conv_id),
-t AS (SELECT c.conv_id, c.turn FROM conversations c JOIN n ON c.conv_id = n.conv_id WHERE c.turn <> c.conv_id % n.nt),
+WITH t AS (SELECT conv_id, turn FROM conversations WHERE turn > 0),
 a AS (SELECT conv_id, count(*) AS n, sum(turn) AS s FROM t GROUP BY conv_id)
 SELECT conv_id, n, CAST(n * (n + 1) // 2 - s AS BIGINT) AS missing FROM a
 """
@@ -474,7 +502,7 @@ firsts AS (
   SELECT ticket_id, content_hash, min(seq) AS first_seq, arg_min(content, seq) AS content
   FROM tickets GROUP BY ticket_id, content_hash),
 versions AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY ticket_id ORDER BY first_seq) AS INTEGER) AS version,
+  SELECT *, CAST(row_number() OVER (PARTITION BY ticket_id ORDER BY first_seq) AS BIGINT) AS version,
          count(*) OVER (PARTITION BY ticket_id) AS nv
   FROM firsts)"""
 DEPS["versions"] = ["tickets"]
@@ -488,7 +516,7 @@ SELECT ticket_id, version AS max_version, content, content_hash FROM versions WH
 """
 
 SQL["batch_ingest"] = with_("tickets") + """,
-mid AS (SELECT CAST(max(seq) / 2 AS BIGINT) AS m FROM tickets),
+mid AS (SELECT max(seq) // 2 AS m FROM tickets),
 store AS (SELECT * FROM tickets WHERE seq <= (SELECT m FROM mid)),
 batch AS (SELECT * FROM tickets WHERE seq > (SELECT m FROM mid)),
 existing AS (SELECT DISTINCT content_hash FROM store WHERE ticket_id IN (SELECT ticket_id FROM batch)),
@@ -523,7 +551,7 @@ qt AS (
   SELECT term, count(*) AS qtf
   FROM (SELECT unnest(regexp_split_to_array(lower(text), '\\s+')) AS term FROM benchmark) WHERE term <> '' GROUP BY term),
 q2 AS (SELECT sum(qtf * qtf) AS q2 FROM qt),
-big AS (SELECT * FROM doc_chunks WHERE n_chunks > 10),
+big AS (SELECT * FROM doc_chunks),
 tc AS (
   SELECT doc_id, chunk_idx, term, count(*) AS tf
   FROM (SELECT doc_id, chunk_idx, unnest(regexp_split_to_array(lower(chunk), '\\s+')) AS term FROM big)
@@ -541,8 +569,8 @@ best AS (
 kept AS (SELECT doc_id, count(*) AS n_kept, string_agg(chunk, '\n\n' ORDER BY chunk_idx) AS filtered FROM best GROUP BY doc_id),
 n AS (SELECT doc_id, max(n_chunks) AS n_chunks FROM doc_chunks GROUP BY doc_id)
 SELECT d.doc_id, CAST(coalesce(n.n_chunks, 0) AS INTEGER) AS n_chunks,
-       CAST(CASE WHEN coalesce(n.n_chunks, 0) <= 10 THEN coalesce(n.n_chunks, 0) ELSE k.n_kept END AS INTEGER) AS n_kept,
-       CASE WHEN coalesce(n.n_chunks, 0) <= 10 THEN d.text ELSE k.filtered END AS text
+       CAST(coalesce(k.n_kept, 0) AS INTEGER) AS n_kept,
+       CASE WHEN k.n_kept IS NULL THEN d.text ELSE k.filtered END AS text
 FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
@@ -563,9 +591,11 @@ SELECT query_label, query_id, rank, vec_id, round(score, 6) AS score FROM r WHER
 
 CTE["lines"] = """
 lines AS (
-  SELECT conv_id AS doc_id, turn * 2 AS line_no, 'TOPIC: ' || role AS line FROM conversations
+  SELECT conv_id AS doc_id, CAST(turn AS BIGINT) * 4294967296 AS line_no, 'TOPIC: ' || role AS line FROM conversations
   UNION ALL
-  SELECT conv_id, turn * 2 + 1, 'FACT: ' || split_part(text, chr(10), 1) FROM conversations),
+  SELECT conv_id, CAST(turn AS BIGINT) * 4294967296 + i, 'FACT: ' || line
+  FROM (SELECT conv_id, turn, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM conversations)),
 stripped AS (
   SELECT doc_id, line_no, regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS sl FROM lines),
 items AS (
@@ -583,14 +613,13 @@ firsts AS (
 DEPS["lines"] = []
 
 SQL["topic_list"] = with_("lines") + """,
-capped AS (SELECT * FROM firsts ORDER BY first_at LIMIT 25)
-SELECT CAST(row_number() OVER (ORDER BY first_at) - 1 AS INTEGER) AS topic_pos, item AS topic FROM capped
+numbered AS (SELECT CAST(row_number() OVER (ORDER BY first_at) - 1 AS BIGINT) AS topic_pos, item AS topic FROM firsts)
+SELECT topic_pos, topic FROM numbered
 """
 
 CTE["facts"] = """
 topics AS (
-  SELECT CAST(row_number() OVER (ORDER BY first_at) - 1 AS INTEGER) AS topic_pos, item AS topic
-  FROM (SELECT * FROM firsts ORDER BY first_at LIMIT 2)),
+  SELECT CAST(row_number() OVER (ORDER BY first_at) - 1 AS BIGINT) AS topic_pos, item AS topic FROM firsts),
 hdr AS (
   SELECT doc_id, line_no AS h_line, lower(regexp_replace(replace(sl, 'TOPIC:', ''), '^\\s+|\\s+$', '', 'g')) AS name
   FROM stripped WHERE starts_with(sl, 'TOPIC:')),
@@ -649,7 +678,7 @@ items0 AS (
            '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '^\\s+|\\s+$', '', 'g') AS text
   FROM raw_items),
 page_items AS (
-  SELECT page_id, min(raw_pos) AS raw_pos, text FROM items0 WHERE text <> '' GROUP BY page_id, text)"""
+  SELECT page_id, raw_pos, text FROM items0 WHERE text <> '')"""
 DEPS["page_items"] = []
 
 SQL["page_titles"] = with_("page_title") + """
@@ -768,7 +797,7 @@ walk(node_id, root_id, branch_sum, depth, path) AS (
   UNION ALL
   SELECT n.node_id, w.root_id, w.branch_sum + n.value, w.depth + 1, w.path || '/' || n.node_id
   FROM walk w JOIN nodes n ON n.parent_id = w.node_id)
-SELECT node_id AS leaf_id, root_id, branch_sum, CAST(depth AS INTEGER) AS depth, path
+SELECT 0 AS tree_id, node_id AS leaf_id, root_id, branch_sum, CAST(depth AS INTEGER) AS depth, path
 FROM walk WHERE node_id NOT IN (SELECT parent_id FROM nodes WHERE parent_id IS NOT NULL)
 """
 
@@ -851,15 +880,8 @@ sstats AS (
   LEFT JOIN domtxt db ON p.device = db.device AND p.build_type = db.build_type AND db.side = 'base'
   LEFT JOIN domtxt dv ON p.device = dv.device AND p.build_type = dv.build_type AND dv.side = 'variant'),
 sfmt AS (
-  SELECT *,
-    CASE WHEN n_combos <= 0 THEN 0
-         WHEN ((bt * 10) % n_combos) * 2 > n_combos THEN (bt * 10) // n_combos + 1
-         WHEN ((bt * 10) % n_combos) * 2 = n_combos AND ((bt * 10) // n_combos) % 2 = 1 THEN (bt * 10) // n_combos + 1
-         ELSE (bt * 10) // n_combos END AS rb,
-    CASE WHEN n_combos <= 0 THEN 0
-         WHEN ((vt * 10) % n_combos) * 2 > n_combos THEN (vt * 10) // n_combos + 1
-         WHEN ((vt * 10) % n_combos) * 2 = n_combos AND ((vt * 10) // n_combos) % 2 = 1 THEN (vt * 10) // n_combos + 1
-         ELSE (vt * 10) // n_combos END AS rv
+  SELECT *, CASE WHEN n_combos <= 0 THEN '0' ELSE printf('%.1f', bt / n_combos) END AS rb,
+         CASE WHEN n_combos <= 0 THEN '0' ELSE printf('%.1f', vt / n_combos) END AS rv
   FROM sstats),
 insights AS (
   SELECT device, build_type, n_combos, bu AS base_unique, CAST(bt AS BIGINT) AS base_total,
@@ -870,14 +892,14 @@ insights AS (
                             || '. These represent core privileged applications consistently required for this device configuration.'
            WHEN bu = bt AND bu > 0 THEN 'All ' || bu || ' base apps are unique across combinations, indicating highly specialized privileged application requirements for each fingerprint pairing. No single app dominates the configuration.'
            ELSE 'The ' || bu || ' unique base apps show a distributed pattern across ' || n_combos || ' combinations, averaging '
-                || (rb // 10) || '.' || (rb % 10) || ' apps per combination.' END,
+                || rb || ' apps per combination.' END,
       CASE WHEN bs * 10 > bu * 7 AND bu > 0 THEN 'Notable: ' || bs || ' apps (' || (bs * 100 // greatest(bu, 1))
                 || '%) appear only once, suggesting fingerprint-specific requirements.' END,
       chr(10) || '**PRIV VARIANT APPS INSIGHT**',
       CASE WHEN vd > 0 THEN 'Variant apps show ' || vd || ' recurring application(s): ' || vd3
                             || '. These likely represent shared system components across device variants.'
            WHEN vu = vt AND vu > 0 THEN 'Each of the ' || vu || ' variant apps is unique to its combination, indicating distinct customization per fingerprint configuration.'
-           ELSE 'The variant app distribution shows ' || vu || ' unique apps averaging ' || (rv // 10) || '.' || (rv % 10) || ' per combination.' END,
+           ELSE 'The variant app distribution shows ' || vu || ' unique apps averaging ' || rv || ' per combination.' END,
       chr(10) || '**COMBINED ANALYSIS**',
       CASE WHEN bu > vu THEN 'Base apps (' || bu || ') show more diversity than variant apps (' || vu || '), suggesting privileged base configurations are more variable than system variants for this build type.'
            WHEN vu > bu THEN 'Variant apps (' || vu || ') exceed base app diversity (' || bu || '), indicating system customization varies more than core privileged app requirements.'
@@ -888,7 +910,7 @@ insights AS (
       chr(10) || '**KEY FINDINGS**',
       CASE WHEN bd > 0 THEN '• Core dependencies: ' || bd2 || ' appear in multiple configurations' END,
       CASE WHEN bs > 2 THEN '• ' || bs || ' specialized base apps suggest fingerprint-specific requirements' END,
-      CASE WHEN bt > n_combos * 2 THEN '• High base app density (' || (rb // 10) || '.' || (rb % 10) || ' avg) indicates complex privileged requirements' END,
+      CASE WHEN bt > n_combos * 2 THEN '• High base app density (' || rb || ' avg) indicates complex privileged requirements' END,
       CASE WHEN vu < bu AND vu > 0 THEN '• Variant apps are more standardized than base apps across this configuration' END,
       CASE WHEN NOT (bd > 0 OR bs > 2 OR bt > n_combos * 2 OR (vu < bu AND vu > 0))
            THEN '• Configuration shows standard distribution with ' || n_combos || ' combinations' END,
@@ -963,6 +985,22 @@ SELECT (SELECT count(DISTINCT device) FROM rc) AS n_devices,
        (SELECT count(*) FROM facts) AS n_facts
 """
 
+SQL["batched_scores"] = with_("doc_chunks") + """,
+tok AS (
+  SELECT 'q' AS kind, item_id AS id, 0 AS chunk_idx, unnest(regexp_split_to_array(lower(text), '\\s+')) AS t FROM benchmark
+  UNION ALL
+  SELECT 'c', doc_id, chunk_idx, unnest(regexp_split_to_array(lower(chunk), '\\s+')) FROM doc_chunks),
+bucket AS (
+  SELECT kind, id, chunk_idx, CAST('0x' || left(md5(t), 8) AS BIGINT) % 64 AS b, CAST(count(*) AS DOUBLE) AS n
+  FROM tok WHERE t <> '' GROUP BY ALL),
+norm AS (SELECT *, n / sqrt(sum(n * n) OVER (PARTITION BY kind, id, chunk_idx)) AS x FROM bucket),
+q AS (SELECT b, sum(x) AS x FROM norm WHERE kind = 'q' GROUP BY b),
+qn AS (SELECT b, x / sqrt((SELECT sum(x * x) FROM q)) AS x FROM q),
+s AS (SELECT n.id, n.chunk_idx, sum(n.x * qn.x) AS score FROM norm n JOIN qn ON n.b = qn.b WHERE kind = 'c' GROUP BY ALL)
+SELECT d.doc_id, d.chunk_idx, round(coalesce(s.score, 0.0), 6) AS score
+FROM doc_chunks d LEFT JOIN s ON d.doc_id = s.id AND d.chunk_idx = s.chunk_idx
+"""
+
 SQL["stream_counts"] = SQL["release_counts"]
 SQL["stream_dedup"] = SQL["content_hash_dedup"]
 SQL["stream_pair_counts"] = SQL["pair_counts"]
@@ -1007,5 +1045,5 @@ SELECT tp, fp, fn, tn, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + f
 FROM c
 """
 SQL["stream_dedup_watermark"] = """
-SELECT DISTINCT user_id, event_type FROM events
+SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) AS hour FROM events
 """

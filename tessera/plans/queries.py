@@ -80,6 +80,12 @@ def app_profile(spark, sf_dir):
     return profiles.app_profile(shared(profiles.raw_combinations(bindings.config_rows(spark, sf_dir))))
 
 
+@register("app_frequency")
+def app_frequency(spark, sf_dir):
+    """how often each app is listed in a section, per side."""
+    return profiles.app_frequency(profiles.raw_combinations(bindings.config_rows(spark, sf_dir)))
+
+
 @register("build_type_relation")
 def build_type_relation(spark, sf_dir):
     """W07 + U03 + U04: neighbouring build-type app sets per customer."""
@@ -135,14 +141,30 @@ def pair_counts(spark, sf_dir):
     return analyzer.pair_counts(_analyzer(spark, sf_dir))
 
 
-CAPPED_ROWS = 5000
+@register("list_errors")
+def list_errors(spark, sf_dir):
+    """per device, the counted rows and those whose list text did not parse."""
+    from tessera.operators import analyzer
+    return analyzer.list_errors(_analyzer(spark, sf_dir))
 
 
-@register("capped_scan")
-def capped_scan(spark, sf_dir):
-    """Entries per (device, release_type) over the first 5,000 kept rows."""
+@register("report_list_errors")
+def report_list_errors(spark, sf_dir):
+    """F04 on texts of which half are not lists: the flag must find them."""
+    from tessera.functions.text import list_parse_error
+    from tessera.sources.tables import table
+    c = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment")
+    name = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("'"), "c_name", F.lit("'"))).otherwise(F.col("c_name"))
+    return c.groupBy(F.col("c_mktsegment").alias("device")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(F.when(list_parse_error(F.concat(F.lit("["), name, F.lit("]"))), 1)).alias("n_errors"))
+
+
+@register("analyzer_report")
+def analyzer_report(spark, sf_dir):
+    """S12 (analyzer): ten most frequent apps and five most frequent pairs per side."""
     from tessera.operators import analyzer
-    return analyzer.release_counts(analyzer.capped(_analyzer(spark, sf_dir), CAPPED_ROWS))
+    return analyzer.report_tops(_analyzer(spark, sf_dir, materialise=True))
 
 
 @register("device_release_share")
@@ -182,14 +204,14 @@ def smaller_count(spark, sf_dir):
 def best_rise(spark, sf_dir):
     """Per user, best rise over the lowest earlier value."""
     from tessera.operators import series
-    return series.best_rise(bindings.series(spark, sf_dir).select("g", "pos", "v"))
+    return series.best_rise(bindings.events_in_time(spark, sf_dir).select("g", "ts", "event_id", "v"), ("ts", "event_id"))
 
 
 @register("path_length")
 def path_length(spark, sf_dir):
     """W03 + F18: per user, Chebyshev path length through (x, y) in order."""
     from tessera.operators import series
-    return series.path_length(bindings.series(spark, sf_dir).select("g", "pos", "x", "y"))
+    return series.path_length(bindings.events_in_time(spark, sf_dir).select("g", "ts", "event_id", "x", "y"), ("ts", "event_id"))
 
 
 @register("pair_sum")
@@ -203,7 +225,7 @@ def pair_sum(spark, sf_dir):
 def has_duplicates(spark, sf_dir):
     """Per user, whether any value repeats."""
     from tessera.operators import series
-    return series.has_duplicates(bindings.series(spark, sf_dir).select("g", "v"))
+    return series.has_duplicates(bindings.events_in_time(spark, sf_dir).select("g", "v"))
 
 
 @register("missing_ids")
@@ -265,7 +287,7 @@ def versions(spark, sf_dir):
 def latest(spark, sf_dir):
     """D06 + K04 + A22: latest version per ticket."""
     from tessera.operators import ingest
-    return ingest.latest(ingest.versions(bindings.tickets(spark, sf_dir)))
+    return ingest.latest(bindings.tickets(spark, sf_dir))
 
 
 @register("batch_ingest")
@@ -279,7 +301,6 @@ def batch_ingest(spark, sf_dir):
 # -- step 7: documents -------------------------------------------------------------
 
 VECTOR_K = 10
-FACT_TOPICS = 2   # the topic list for fact extraction names two of the three roles
 
 
 @register("assemble_docs")
@@ -315,7 +336,7 @@ def vector_topk(spark, sf_dir):
 
 @register("topic_list")
 def topic_list(spark, sf_dir):
-    """T03 = F06 + F22 + W09 + K05: consolidated topic list (at most 25)."""
+    """T03 = F06 + F22 + W09: consolidated topic list (K05's cap is off)."""
     from tessera.operators import documents
     return documents.consolidate_topics(documents.list_items(bindings.lines(spark, sf_dir)))
 
@@ -323,7 +344,7 @@ def topic_list(spark, sf_dir):
 def _fact_rows(spark, sf_dir):
     from tessera.operators import documents
     ln = bindings.lines(spark, sf_dir)
-    topics = documents.consolidate_topics(documents.list_items(ln), FACT_TOPICS)
+    topics = shared(documents.consolidate_topics(documents.list_items(ln)))
     return documents.section_facts(ln, topics), topics
 
 
@@ -363,12 +384,19 @@ def page_titles(spark, sf_dir):
 
 @register("page_items")
 def page_items(spark, sf_dir):
-    """T07 + D07: paragraphs of every page in order, repeats skipped."""
+    """T07 + D07: paragraphs of every page in order."""
     from tessera.operators import pages
     from tessera.sources.tables import table
     return pages.page_items(table(spark, sf_dir, "pages", "page_id", "html"))
 
 
+@register("issue_urls")
+def issue_urls(spark, sf_dir):
+    """The page address of every issue id."""
+    from tessera.sources.tables import page_urls, table
+    return page_urls(table(spark, sf_dir, "pages", "page_id"), "https://tracker.example/issues/", "page_id")
+
+
 @register("comments_concat")
 def comments_concat(spark, sf_dir):
     """A21 + P11: description and formatted later paragraphs per page."""
@@ -379,6 +407,18 @@ def comments_concat(spark, sf_dir):
 
 # -- step 9: CSV import / export, editor operations, JSON sink ---------------------
 
+@register("csv_scan")
+def csv_scan(spark, sf_dir):
+    """S01 + S02: a CSV of orders read as text by the plain, splittable reader, then counted."""
+    from tessera.session import scratch_path
+    from tessera.sources import csvfiles
+    from tessera.sources.tables import table
+    cols = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    path = csvfiles.write_csv(csvfiles.as_text_columns(table(spark, sf_dir, "orders", *cols)), scratch_path(spark, "orders-csv"))
+    rows = csvfiles.read_csv(spark, path, required=cols)
+    return rows.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("o_orderpriority")).alias("chars"))
+
+
 SEARCH_TEXT = "Red"
 
 
@@ -484,14 +524,14 @@ def branch_sums(spark, sf_dir):
     """Root-to-leaf sums over region -> nation -> customer."""
     from tessera.operators import hierarchy
     out = hierarchy.branch_sums(bindings.geo_tree(spark, sf_dir))
-    return out.select("leaf_id", "root_id", "branch_sum", "depth", F.array_join("path", "/").alias("path"))
+    return out.select("tree_id", "leaf_id", "root_id", "branch_sum", "depth", F.array_join("path", "/").alias("path"))
 
 
 @register("metric_tree")
 def metric_tree(spark, sf_dir):
     """H02 + F19: bottom-up evaluation of one expression tree per order."""
     from tessera.operators import hierarchy
-    return hierarchy.evaluate(bindings.formula_forest(spark, sf_dir), max_depth=bindings.FORMULA_DEPTH)
+    return hierarchy.evaluate(bindings.formula_forest(spark, sf_dir))
 
 
 # -- step 4: insight text, sections, request lines, report rows ---------------------
@@ -653,13 +693,9 @@ def label_f1(spark, sf_dir):
 
 @register("stream_dedup_watermark")
 def stream_dedup_watermark(spark, sf_dir):
-    """ST02 (bounded state): events de-duplicated on (user, event type) with
-    ``dropDuplicatesWithinWatermark`` on event time; the kept keys are read
+    """ST02 (bounded state): events de-duplicated on (user, event type, hour of
+    the event) with ``dropDuplicatesWithinWatermark``; the kept keys are read
     back (which duplicate survives is not defined, so only keys are returned)."""
     from tessera.streaming import jobs
-    s = jobs.stream_table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
-    d = jobs.dedup_within_watermark(s, "ts", "1 hour", ["user_id", "event_type"])
-    out = jobs.fresh(spark, "st02w")
-    jobs.run_available(d.select("user_id", "event_type").writeStream.format("parquet").option("path", out),
-                       out + "._checkpoint")
+    out = jobs.hourly_keys(jobs.stream_table(spark, sf_dir, "events"), jobs.fresh(spark, "st02w"))
     return spark.read.parquet(out)

@@ -32,14 +32,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     """Create (or reuse) a session with the library's settings.
 
     ``shuffle_partitions`` defaults to the core count in local mode; on a
-    cluster leave it to AQE (``coalescePartitions``) and size the initial
-    number from the data (about 128-256 MB of shuffle data per partition).
+    cluster it is left to the cluster's own setting unless given.
     """
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     master = master or os.environ.get("SPARK_MASTER", f"local[{cpus}]")
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
+    if shuffle_partitions or master.startswith("local"):
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
     conf.setdefault("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
     if extra:
         conf.update(extra)
@@ -51,34 +51,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-MAX_SHUFFLE_PARTITIONS = 50_000
-
-
-def cluster_conf(input_bytes: int, executor_cores_total: int, partition_bytes: int = 256 << 20) -> dict:
-    """Settings sized for a cluster run over ``input_bytes`` of input.
-
-    Initial shuffle partitions: about one per ``partition_bytes`` of input,
-    capped at MAX_SHUFFLE_PARTITIONS and at least three waves of the cores;
-    AQE coalesces small ones and splits skewed ones at run time.  File splits
-    match the partition size.
-    """
-    # shuffle blocks grow as map tasks x reduce partitions: cap the reduce side
-    parts = max(3 * executor_cores_total, min(MAX_SHUFFLE_PARTITIONS, int(input_bytes // partition_bytes) + 1))
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-        # static broadcast threshold stays at the default: plan-time estimates of
-        # aggregates are loose; AQE re-decides from measured sizes at run time
-    }
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
@@ -89,8 +61,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+    except Exception as e:  # noqa: BLE001 - Spark Connect: the server owns the folder
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS / object store)") from e
+        return folder
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -126,6 +101,17 @@ def shared(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def broadcast_if_light(df: DataFrame, row_bytes, most: int) -> DataFrame:
+    """Broadcast a materialised ``df`` if its rows take at most ``most`` bytes.
+
+    ``row_bytes`` is a Column; its sum is one small job.  Beyond the bound the
+    frame is returned unchanged and the planner shuffles instead.
+    """
+    from pyspark.sql import functions as F
+    size = df.agg(F.sum(row_bytes + F.lit(64))).first()[0] or 0
+    return F.broadcast(df) if size <= most else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
 

@@ -10,6 +10,7 @@ restarted driver never duplicates rows.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,22 +34,32 @@ def run_available(writer, checkpoint: str) -> None:
         raise q.exception()
 
 
+def _stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The static side of a stream, aggregated once into a table; batches only join to it."""
+    from tessera.plans import bindings
+    path = scratch_path(spark, "order_lines")
+    bindings.order_lines(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 # --- ST01: running counters --------------------------------------------------------
 
 def running_release_counts(spark: SparkSession, sf_dir: str, orders_stream: DataFrame, out: str) -> str:
     """ST01: A07 counts over arriving orders (stream-static joins to the other
-    tables), complete output mode; each batch overwrites ``out`` with the full
-    current counts (idempotent)."""
+    tables), complete output mode; each batch writes the full current counts to
+    a folder of its own, so the last complete one survives a crash.  Returns
+    the newest."""
     from tessera.operators import analyzer
     from tessera.plans import bindings
-    rows = analyzer.analyzer_rows(bindings.config_rows(spark, sf_dir, orders=orders_stream))
+    rows = analyzer.analyzer_rows(bindings.config_rows(spark, sf_dir, orders=orders_stream, lines=_stored_lines(spark, sf_dir)))
     counts = analyzer.release_counts(rows)
 
     def write(batch: DataFrame, batch_id: int):
-        batch.write.mode("overwrite").parquet(out)
+        batch.write.mode("overwrite").parquet(_batch_folder(out, batch_id))
 
     run_available(counts.writeStream.outputMode("complete").foreachBatch(write), out + "._checkpoint")
-    return out
+    newest = spark.read.parquet(out).agg(F.max("batch_id")).first()[0]
+    return _batch_folder(out, newest)
 
 
 def running_app_counts(spark: SparkSession, sf_dir: str, orders_stream: DataFrame, store: str) -> str:
@@ -60,7 +71,7 @@ def running_app_counts(spark: SparkSession, sf_dir: str, orders_stream: DataFram
     """
     from tessera.operators import analyzer
     from tessera.plans import bindings
-    rows = analyzer.analyzer_rows(bindings.config_rows(spark, sf_dir, orders=orders_stream))
+    rows = analyzer.analyzer_rows(bindings.config_rows(spark, sf_dir, orders=orders_stream, lines=_stored_lines(spark, sf_dir)))
 
     def write(batch: DataFrame, batch_id: int):
         apps = analyzer.global_app_counts(batch).select("side", F.lit("app").alias("kind"), F.col("app").alias("a"),
@@ -88,7 +99,9 @@ def _batch_folder(store: str, batch_id: int) -> str:
 def _stored(spark: SparkSession, store: str, schema: str, before: int) -> DataFrame:
     try:
         df = spark.read.schema(schema + ", batch_id long").parquet(store)
-    except Exception:  # noqa: BLE001 - nothing stored yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # anything else must not read as "nothing stored"
+            raise
         return spark.createDataFrame([], schema)
     return df.where(F.col("batch_id") < before).drop("batch_id")
 
@@ -120,6 +133,19 @@ def dedup_within_watermark(stream: DataFrame, ts_col: str, delay: str, keys: lis
     return s.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(keys)
 
 
+def hourly_keys(events: DataFrame, out: str, delay: str = "2 hours") -> str:
+    """ST02, bounded state: one (user, event type, hour of the event) each.
+
+    The hour is part of the key and the state of a key lives for ``delay``,
+    longer than an hour, so every duplicate of an hour meets it however the
+    input is cut into batches, as long as batches come in time order."""
+    hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
+    keyed = events.select("user_id", "event_type", "ts", hour.alias("hour"))
+    d = dedup_within_watermark(keyed, "ts", delay, ["user_id", "event_type", "hour"])
+    run_available(d.select("user_id", "event_type", "hour").writeStream.format("parquet").option("path", out), out + "._checkpoint")
+    return out
+
+
 # --- ST03: batch upsert with versions ---------------------------------------------------
 
 def streaming_versions(spark: SparkSession, tickets_stream: DataFrame, store: str) -> str:
@@ -127,7 +153,7 @@ def streaming_versions(spark: SparkSession, tickets_stream: DataFrame, store: st
     version numbers after those already stored for the ticket."""
     from tessera.functions.text import content_hash
     from tessera.operators import segmented
-    schema = "ticket_id string, content_hash string, first_seq bigint, content string, version int"
+    schema = "ticket_id string, content_hash string, first_seq bigint, content string, version bigint"
 
     def write(batch: DataFrame, batch_id: int):
         h = batch.withColumn("content_hash", content_hash("content"))
@@ -139,7 +165,7 @@ def streaming_versions(spark: SparkSession, tickets_stream: DataFrame, store: st
         ranked = segmented.ranked(new, ["ticket_id"], ["first_seq"], out="_n", method="row_number")
         out = ranked.join(base, "ticket_id", "left").select(
             "ticket_id", "content_hash", "first_seq", "content",
-            (F.coalesce(F.col("_base"), F.lit(0)) + F.col("_n")).cast("int").alias("version"))
+            (F.coalesce(F.col("_base"), F.lit(0)) + F.col("_n")).cast("bigint").alias("version"))
         out.write.mode("overwrite").parquet(_batch_folder(store, batch_id))
 
     run_available(tickets_stream.writeStream.foreachBatch(write), store + "._checkpoint")

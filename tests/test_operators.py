@@ -189,7 +189,9 @@ def test_page_fields(spark):
     titles = [r.t for r in p.orderBy("page_id").select(pages.page_title().alias("t")).collect()]
     assert titles == ["Bug", "Bug", "Bug", "Title not parseable from page_title"]
     out = {r.page_id: r.all_comments_concatenated for r in pages.comments_concat(p).collect()}
-    assert out[0].startswith("--- Comment ID: p1 ---\nAuthor: Unknown") and out[0].endswith("Text:\nc1")
+    # an entry with the description's text again is a comment of its own
+    assert out[0].startswith("--- Comment ID: p1 ---\nAuthor: Unknown") and out[0].endswith("Text:\ndesc")
+    assert [(r.raw_pos, r.text) for r in pages.page_items(p.where("page_id = 0")).collect()] == [(0, "desc"), (1, "c1"), (2, "desc")]
     assert out[1] == "No subsequent comments found." and out[3] == "No comments or description found."
 
 

@@ -29,6 +29,20 @@ def split_events(spark, tmp_path, parts=4):
     return folder
 
 
+def write_in_order(df, col, parts, folder, first=None, skip=0):
+    """``parts`` files of equal size by ``col``, arriving in that order."""
+    import os
+    import time
+    rows = df.toPandas().sort_values(col)
+    os.makedirs(folder, exist_ok=True)
+    step, now = -(-len(rows) // parts), time.time()
+    for i in range(skip, parts if first is None else first):
+        dst = f"{folder}/events{i}.parquet"
+        df.sparkSession.createDataFrame(rows[i * step:(i + 1) * step], df.schema).toPandas().to_parquet(
+            dst, index=False, coerce_timestamps="us")
+        os.utime(dst, (now - 100 + i * 10, now - 100 + i * 10))
+
+
 def tickets_of(df):
     return df.select(F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("ticket_id"),
                      F.concat("event_type", F.lit(":"), F.floor("value").cast("bigint").cast("string")).alias("content"))
@@ -51,13 +65,37 @@ def test_versions_and_dedup_across_batches(spark, tmp_path):
     assert sorted(map(tuple, got2.collect())) == sorted(map(tuple, want2.collect()))
 
 
-def test_dedup_within_watermark_runs(spark, tmp_path):
-    s = jobs.stream_table(spark, SF, "events")
-    d = jobs.dedup_within_watermark(s, "ts", "1 hour", ["user_id", "event_type"])
-    out = str(tmp_path / "wm")
-    jobs.run_available(d.writeStream.format("parquet").option("path", out), out + "._ck")
-    n = spark.read.parquet(out).count()
-    assert 0 < n <= spark.read.parquet(f"{SF}/events.parquet").count()
+def test_hourly_keys_do_not_depend_on_batches(spark, tmp_path):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    want = {tuple(r) for r in ev.select("user_id", "event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz")).distinct().collect()}
+    for files in (1, 6):
+        folder = str(tmp_path / f"in{files}")
+        write_in_order(ev, "ts", files, folder)
+        out = jobs.hourly_keys(jobs.stream_table(spark, folder, "events", max_files_per_trigger=1), str(tmp_path / f"wm{files}"))
+        got = [tuple(r) for r in spark.read.parquet(out).select("user_id", "event_type", "hour").collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_restart_goes_on_where_it_stopped(spark, tmp_path):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    folder, store = str(tmp_path / "in"), str(tmp_path / "versions")
+    write_in_order(ev, "event_id", 4, folder, first=2)
+    jobs.streaming_versions(spark, tickets_of(jobs.stream_table(spark, folder, "events", 1)), store)
+    write_in_order(ev, "event_id", 4, folder, skip=2)
+    jobs.streaming_versions(spark, tickets_of(jobs.stream_table(spark, folder, "events", 1)), store)
+    cols = ["ticket_id", "content_hash", "first_seq", "version", "is_latest"]
+    want = ingest.versions(tickets_of(ev)).select(cols).collect()
+    assert sorted(map(tuple, jobs.read_versions(spark, store).select(cols).collect())) == sorted(map(tuple, want))
+
+
+def test_stored_raises_on_anything_but_a_missing_path(spark, tmp_path):
+    import pytest
+    assert jobs._stored(spark, str(tmp_path / "none"), "a long", 1).count() == 0
+    bad = tmp_path / "bad" / "batch_id=0"
+    bad.mkdir(parents=True)
+    (bad / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer|file"):
+        jobs._stored(spark, str(tmp_path / "bad"), "a long", 1).count()
 
 
 def test_partial_counters_across_batches(spark, tmp_path):
