@@ -55,24 +55,32 @@ def _slots(h2: np.ndarray, shift: np.ndarray, n: int) -> np.ndarray:
 def build_mph(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
     """Displacements (int64, one per group) of a minimal perfect hash of the keys (h1, h2), uint64 each."""
     n = len(h1)
-    groups = max(1, -(-n // 4))
+    groups = max(1, -(-n // 3))
     of = (h1 % np.uint64(groups)).astype(np.int64)
     order = np.argsort(of, kind="stable")
     lo = np.searchsorted(of[order], np.arange(groups + 1))
     sizes = np.diff(lo)
     shift, used = np.zeros(groups, np.int64), np.zeros(n, bool)
-    for g in np.argsort(-sizes, kind="stable"):
-        own = h2[order[lo[g]:lo[g + 1]]]
-        if len(own) < 2:
-            break
-        for d in range(1 << 22):
-            s = _slots(own, np.full(len(own), d, np.int64), n)
-            if not used[s].any() and len(set(s.tolist())) == len(s):
+    for size in sorted(set(sizes.tolist()) - {0, 1}, reverse=True):
+        left = np.flatnonzero(sizes == size)
+        keys = h2[order[lo[left][:, None] + np.arange(size)]]
+        for d in range(1 << 22):  # all groups of this size try the same displacement at once
+            slots = _slots(keys, np.full(keys.shape, d, np.int64), n)
+            fits = ~used[slots].any(axis=1) & (np.diff(np.sort(slots, axis=1), axis=1) > 0).all(axis=1)
+            # of groups that want one slot the first gets it
+            at = np.flatnonzero(fits)
+            flat = slots[at].ravel()
+            _, first = np.unique(flat, return_index=True)
+            won = np.bincount(first // size, minlength=len(at)) == size
+            used[slots[at[won]].ravel()] = True
+            shift[left[at[won]]] = d
+            rest = np.ones(len(left), bool)
+            rest[at[won]] = False
+            left, keys = left[rest], keys[rest]
+            if not len(left):
                 break
         else:
             raise ValueError("keys are not distinct")
-        shift[g] = d
-        used[s] = True
     single = np.flatnonzero(sizes == 1)
     shift[single] = -np.flatnonzero(~used)[:len(single)] - 1
     return shift
