@@ -202,3 +202,21 @@ def request_lines(df: DataFrame) -> DataFrame:
                 nb=F.size("base"), b=preview("base"), bm=more("base"),
                 nv=F.size("variant"), v=preview("variant"), vm=more("variant"))
     return numbered.select(*SECTION, "combo_no", line.alias("text"))
+
+
+def request_summary(rc: DataFrame, top: int = 3) -> DataFrame:
+    """the data summary and statistics of each section's request, per side:
+    combinations, distinct codes, unique and total apps, the most common ones
+    (count desc, name asc) and how many occur more than once."""
+    from tessera.operators.profiles import app_frequency, top_k
+    rc = shared(rc)
+    heads = rc.groupBy(*SECTION).agg(F.count(F.lit(1)).alias("n_combinations"), F.count_distinct("fp_code").alias("n_fp_codes"),
+                                     F.count_distinct("sdp_code").alias("n_sdp_codes"))
+    freq = shared(app_frequency(rc))
+    stats = freq.groupBy(*SECTION, "side").agg(F.count(F.lit(1)).alias("n_unique"), F.sum("n").alias("n_total"),
+                                               F.count(F.when(F.col("n") > 1, 1)).alias("n_dominant"))
+    best = top_k(freq, [*SECTION, "side"], [F.desc("n"), F.asc("app")], top)
+    names = best.groupBy(*SECTION, "side").agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.struct("rank", "app", "n"))), lambda x: F.concat(x["app"], F.lit(" ("), x["n"].cast("string"), F.lit(")"))),
+        ", ").alias("most_common"))
+    return heads.join(stats, SECTION).join(names, [*SECTION, "side"])

@@ -349,6 +349,22 @@ FROM (SELECT device, build_type, 'base' AS side, unnest(base) AS app FROM rc
 GROUP BY ALL
 """
 
+SQL["request_summary"] = with_("rc") + """,
+heads AS (
+  SELECT device, build_type, count(*) AS n_combinations, count(DISTINCT fp_code) AS n_fp_codes, count(DISTINCT sdp_code) AS n_sdp_codes
+  FROM rc GROUP BY ALL),
+f AS (
+  SELECT device, build_type, side, app, count(*) AS n
+  FROM (SELECT device, build_type, 'base' AS side, unnest(base) AS app FROM rc
+        UNION ALL SELECT device, build_type, 'variant', unnest(variant) FROM rc)
+  GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY device, build_type, side ORDER BY n DESC, app) AS k FROM f)
+SELECT h.*, r.side, count(*) AS n_unique, CAST(sum(n) AS BIGINT) AS n_total, count(*) FILTER (WHERE n > 1) AS n_dominant,
+       string_agg(app || ' (' || n || ')', ', ' ORDER BY k) FILTER (WHERE k <= 3) AS most_common
+FROM heads h JOIN r ON h.device = r.device AND h.build_type = r.build_type
+GROUP BY h.device, h.build_type, h.n_combinations, h.n_fp_codes, h.n_sdp_codes, r.side
+"""
+
 SQL["csv_scan"] = """
 SELECT o_orderstatus, count(*) AS n, CAST(sum(length(o_orderpriority)) AS BIGINT) AS chars
 FROM orders GROUP BY o_orderstatus

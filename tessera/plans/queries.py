@@ -557,6 +557,13 @@ def request_rows(spark, sf_dir):
     return insights.request_lines(shared(bindings.config_rows(spark, sf_dir)))
 
 
+@register("request_summary")
+def request_summary(spark, sf_dir):
+    """summary and statistics lines of each section's request, as rows."""
+    from tessera.operators import insights
+    return insights.request_summary(profiles.raw_combinations(bindings.config_rows(spark, sf_dir)))
+
+
 @register("report_rows")
 def report_rows(spark, sf_dir):
     """The report's numbers as (section, rank, label, value) rows."""
