@@ -208,11 +208,11 @@ def request_summary(rc: DataFrame, top: int = 3) -> DataFrame:
     """the data summary and statistics of each section's request, per side:
     combinations, distinct codes, unique and total apps, the most common ones
     (count desc, name asc) and how many occur more than once."""
-    from tessera.operators.profiles import app_frequency, top_k
+    from tessera.operators.profiles import app_counts, top_k
     rc = shared(rc)
     heads = rc.groupBy(*SECTION).agg(F.count(F.lit(1)).alias("n_combinations"), F.count_distinct("fp_code").alias("n_fp_codes"),
                                      F.count_distinct("sdp_code").alias("n_sdp_codes"))
-    freq = shared(app_frequency(rc))
+    freq = shared(app_counts(rc, SECTION))
     stats = freq.groupBy(*SECTION, "side").agg(F.count(F.lit(1)).alias("n_unique"), F.sum("n").alias("n_total"),
                                                F.count(F.when(F.col("n") > 1, 1)).alias("n_dominant"))
     best = top_k(freq, [*SECTION, "side"], [F.desc("n"), F.asc("app")], top)

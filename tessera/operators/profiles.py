@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import fingerprint_code, parse_list
+from tessera.session import shared
 from tessera.sources.tables import require_columns
 
 REPORT_COLUMNS = ("fingerprint", "same_device_fingerprints", "priv_base_apps",
@@ -78,6 +79,8 @@ def merge_duplicates(df: DataFrame) -> DataFrame:
     """
     raw = F.struct("rid", "fingerprint", "same_device_fingerprints", "priv_base_apps", "priv_var_apps")
     rows = _side_rows(df, MERGE_KEYS, extra=(raw.alias("raw"),))
+    # the raw values travel on the first app's row only
+    rows = rows.withColumn("raw", F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, F.col("raw")))
     merged = rows.groupBy(*MERGE_KEYS).agg(
         F.min("raw").alias("first"),
         F.count(F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, F.lit(1))).alias("n_rows"),
@@ -102,12 +105,13 @@ def merged_report_rows(df: DataFrame) -> DataFrame:
 def level_statistics(merged: DataFrame) -> DataFrame:
     """A05 at three levels (A06): overall, per device, per build type x device.
 
-    One ``GROUPING SETS ((), (device), (build_type, device))`` aggregate over
-    the exploded lists, where every merged row also contributes one marker
-    row (``side`` NULL): rows = markers, totals = app rows per side (merged
-    lists are distinct), distinct apps = ``count(DISTINCT)`` per side.  One
-    pass over ``merged``; averages are 0 for no rows.  A NULL device is an
-    ordinary group; ``level`` tells it from the total.
+    The exploded lists are first counted per (device, build_type, side, app),
+    where every merged row also contributes one marker (``side`` NULL); one
+    ``GROUPING SETS ((), (device), (build_type, device))`` aggregate over those
+    counts gives rows = markers, totals = app rows per side (merged lists are
+    distinct) and distinct apps = ``count(DISTINCT)`` per side.  One pass over
+    ``merged``; averages are 0 for no rows.  A NULL device is an ordinary
+    group; ``level`` tells it from the total.
     """
     sets = [[], ["device"], ["build_type", "device"]]
     marker = F.array(F.struct(F.lit(None).cast("string").alias("side"), F.lit(None).cast("string").alias("app")))
@@ -116,13 +120,18 @@ def level_statistics(merged: DataFrame) -> DataFrame:
         F.transform("base", lambda a: F.struct(F.lit("base").alias("side"), a.alias("app"))),
         F.transform("variant", lambda a: F.struct(F.lit("variant").alias("side"), a.alias("app"))))
     ex = merged.select("device", "build_type", F.explode(apps).alias("sa")).select("device", "build_type", "sa.side", "sa.app")
+    ex = ex.groupBy("device", "build_type", "side", "app").agg(F.count(F.lit(1)).alias("k"))
     base_app = F.when(F.col("side") == "base", F.col("app"))
     var_app = F.when(F.col("side") == "variant", F.col("app"))
+
+    def total(which):
+        return F.coalesce(F.sum(F.when(which, F.col("k"))), F.lit(0).cast("bigint"))
+
     g = ex.groupingSets(sets, "build_type", "device").agg(
         F.grouping_id().alias("gid"),
-        F.count(F.when(F.col("side").isNull(), 1)).alias("total_rows"),
-        F.count(base_app).alias("total_base"), F.count_distinct(base_app).alias("unique_base"),
-        F.count(var_app).alias("total_var"), F.count_distinct(var_app).alias("unique_var"))
+        total(F.col("side").isNull()).alias("total_rows"),
+        total(base_app.isNotNull()).alias("total_base"), F.count_distinct(base_app).alias("unique_base"),
+        total(var_app.isNotNull()).alias("total_var"), F.count_distinct(var_app).alias("unique_var"))
     return g.select(
         _level_from(F.col("gid")), "device", "build_type", "total_rows", "total_base", "unique_base",
         "total_var", "unique_var",
@@ -216,20 +225,12 @@ def raw_combinations(df: DataFrame) -> DataFrame:
         "first_rid", "n_rows")
 
 
-def app_frequency(rc: DataFrame) -> DataFrame:
-    """(device, build_type, side, app, n) over the raw combinations' lists."""
-    both = F.concat(F.transform("base", lambda a: F.struct(F.lit("base").alias("side"), a.alias("app"))),
-                    F.transform("variant", lambda a: F.struct(F.lit("variant").alias("side"), a.alias("app"))))
-    return (rc.select("device", "build_type", F.explode(both).alias("x")).groupBy("device", "build_type", "x.side", "x.app")
-            .agg(F.count(F.lit(1)).alias("n")))
-
-
 def app_profile(combos: DataFrame, section=("device", "build_type"), top: int = 5) -> DataFrame:
     """A04 + A13 + A14 per section: distinct / total apps, singles (n = 1),
     dominant (n > 1), top five, average apps per combination, smallest and
     largest combination (total apps), for base and variant."""
     section = list(section)
-    counts = app_counts(combos, section)
+    counts = shared(app_counts(combos, section))  # one row per app of a section
     topn = top_k(counts, section + ["side"], [F.desc("n"), F.asc("app")], top)
     top_text = topn.groupBy(*section, "side").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", F.concat_ws(":", "app", F.col("n").cast("string")).alias("t")))),

@@ -83,7 +83,7 @@ def app_profile(spark, sf_dir):
 @register("app_frequency")
 def app_frequency(spark, sf_dir):
     """how often each app is listed in a section, per side."""
-    return profiles.app_frequency(profiles.raw_combinations(bindings.config_rows(spark, sf_dir)))
+    return profiles.app_counts(profiles.raw_combinations(bindings.config_rows(spark, sf_dir)), ["device", "build_type"])
 
 
 @register("build_type_relation")
