@@ -341,3 +341,25 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     out = full.join(least, F.col("label") == F.col("g")).select("id", "n", "component_id")
     out = out.union(rows.where("n = 0").select("id", "n", "id"))
     return out.select(F.col("id").cast(docs.schema["id"].dataType).alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+
+
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS k
+  FROM w),
+n AS (SELECT w.doc_id, count(s.k) AS n FROM w LEFT JOIN s ON w.doc_id = s.doc_id GROUP BY w.doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (
+  SELECT x, y FROM o JOIN n nx ON o.x = nx.doc_id JOIN n ny ON o.y = ny.doc_id WHERE 100 * c >= 90 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(doc_id, reached) AS (
+  SELECT doc_id, doc_id FROM n
+  UNION
+  SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.reached)
+SELECT n.doc_id, n.n AS n_shingles, min(r.reached) AS component_id FROM n JOIN r ON n.doc_id = r.doc_id GROUP BY n.doc_id, n.n
+"""

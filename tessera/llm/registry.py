@@ -59,4 +59,4 @@ QUERIES = {q.__name__: q for q in (
     op8_jaccard_join, op9_secret_scan, op10_exact_dedup,
 )}
 
-SQL = {"op1_quality_rules": quality_rules.SQL, "op10_exact_dedup": exact_dedup.SQL}
+SQL = {"op1_quality_rules": quality_rules.SQL, "op8_jaccard_join": jaccard_join.SQL, "op10_exact_dedup": exact_dedup.SQL}
