@@ -19,7 +19,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents without a language: no text or no letter.  Learns from its own input."""
     profiles = language_id.learn_from_rest(docs)
-    return language_id.predict(docs, profiles, keep=COLUMNS[1:]).where(F.col("lang_pred") != language_id.UNKNOWN).select(*COLUMNS)
+    found = language_id.predict(docs, profiles, keep=COLUMNS[2:], keep_text=True)
+    return found.where(F.col("lang_pred") != language_id.UNKNOWN).select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

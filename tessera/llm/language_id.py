@@ -13,6 +13,7 @@ import functools
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -92,7 +93,7 @@ def learn(docs: DataFrame, profile: int = PROFILE, learn_docs: int = LEARN_DOCS)
     return {k: np.array(v, np.int64) for k, v in sorted(out.items())}
 
 
-def _classify(profiles: dict[str, np.ndarray], size: int):
+def _classify(profiles: dict[str, np.ndarray], size: int, keep_text: bool = False):
     langs = list(profiles)
     codes = np.unique(np.concatenate([*profiles.values(), np.zeros(0, np.int64)]))
     ranks = np.full((len(langs), len(codes) + 1), size, np.int64)
@@ -111,26 +112,29 @@ def _classify(profiles: dict[str, np.ndarray], size: int):
         return langs[best], 1.0 - float(far[best]) / (size * len(own))
 
     def run(batches):
-        for pdf in batches:
-            found = [one(t) for t in pdf.pop("text")]
-            yield pdf.assign(lang_pred=[x[0] for x in found], score=[x[1] for x in found])
+        for batch in batches:
+            text, found = batch.column(batch.num_columns - 1), []
+            for lo in range(0, batch.num_rows, 256):
+                found += [one(t) for t in text.slice(lo, 256).to_pylist()]
+            own = batch.columns if keep_text else batch.columns[:-1]
+            yield pa.RecordBatch.from_arrays(
+                [*own, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
+                names=[*batch.schema.names[:len(own)], "lang_pred", "score"])
     return run
 
 
-def predict(docs: DataFrame, profiles: dict[str, np.ndarray], profile: int = PROFILE, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns ``keep``, lang_pred, score of every row from its whole text alone.
+def predict(docs: DataFrame, profiles: dict[str, np.ndarray], profile: int = PROFILE, keep: tuple[str, ...] = (),
+            keep_text: bool = False) -> DataFrame:
+    """doc_id, the columns ``keep``, text if asked for, lang_pred, score of every row from its whole text alone.
 
     A null text, or one without a letter, is ``und`` with score 0, as is every
     text when nothing was learned.  Equal distances go to the first language
     name.  Repeated rows are all answered; other columns are not read.
     """
-    # everything but the text passes as one struct, so Pandas changes none of its types
-    row = F.to_json(F.struct("doc_id", *keep))
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in ("doc_id", *keep))
-    out = docs.select(row.alias("row"), F.col("text").alias("text")).mapInPandas(
-        _classify(profiles, profile), "row string, lang_pred string, score double")
-    out = out.select(F.from_json("row", kinds).alias("row"), "lang_pred", "score")
-    return out.select("row.doc_id", *[F.col("row")[c].alias(c) for c in keep], "lang_pred", "score")
+    columns = ["doc_id", *keep, "text"]
+    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns]
+    schema = ", ".join(kinds[:len(kinds) - (not keep_text)] + ["lang_pred string", "score double"])
+    return docs.select(*columns).mapInArrow(_classify(profiles, profile, keep_text), schema)
 
 
 def held_out():

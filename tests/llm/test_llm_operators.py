@@ -257,9 +257,9 @@ def test_grams_and_distance():
     text = {"".join(chr((c >> s) & 0x1FFFFF) for s in (42, 21, 0) if c >> s): k for c, k in zip(codes.tolist(), n.tolist(), strict=True)}
     assert text == {"a": 2, "b": 1, " a": 2, "ab": 1, "b ": 1, "a ": 1, " ab": 1, "ab ": 1, " a ": 1}
     run = language_id._classify({"x": np.array([97, 98]), "y": np.array([99])}, 4)
-    import pandas as pd
-    out = next(run([pd.DataFrame({"text": ["ab", "", None, "12"]})]))
-    assert out["lang_pred"].tolist() == ["x", "und", "und", "und"]
+    import pyarrow as pa
+    out = next(run([pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4], "text": ["ab", "", None, "12"]})]))
+    assert out.column("lang_pred").to_pylist() == ["x", "und", "und", "und"] and out.schema.names == ["doc_id", "lang_pred", "score"]
 
 
 # -- op 6 ------------------------------------------------------------------------
