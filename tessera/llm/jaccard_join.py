@@ -2,9 +2,11 @@
 
 Every document becomes the set of its word shingles (64-bit hashes); documents
 with equal sets form one class.  All sets are sorted by one global order, rare
-shingles first (counts of all documents in a fixed-size table decide, then the
-hash).  Two sets that link share a shingle in their prefixes, so classes meet
-by prefix shingle:
+shingles first.  Counts of all documents in a fixed-size table decide, then the
+hash; shingles that still are frequent among the prefixes under that order are
+moved behind all others.  Any one order gives the same links; a better one gives
+fewer candidates.  Two sets that link share a shingle in their prefixes, so
+classes meet by prefix shingle:
 
 1. each class meets the least class of every prefix shingle (a star, not all
    pairs); what links is joined into components;
@@ -12,7 +14,9 @@ by prefix shingle:
    a large group of near copies costs a few pairs per member, and no link
    between components is lost.
 
-A pair must pass the bounds on lengths and on the places of the shared shingle.
+A pair must pass the bounds on lengths and on the places of the shared shingle:
+before the *first* shingle that two sets share, neither holds one of the
+other's, so what remains from there on limits the overlap.
 The rest is verified: the partners of one class, their sets stored as a prefix
 tree in the global order, are traversed; partners share the overlap counted
 along a common path, and a subtree is left as soon as the elements remaining
@@ -35,6 +39,7 @@ WIDTH = 3
 PERCENT = 90
 SKETCH_BITS = 22  # counters of the shingle counts: 4 MB, whatever the input
 CHUNK_BITS = 16
+FREQUENT, FREQUENT_MOST = 4, 1_000_000  # prefixes that make a shingle frequent; how many of these are told to the tasks (12 MB)
 MEET = 512  # counter rows added in one group
 PARTNERS = 256  # per verification group
 
@@ -151,15 +156,39 @@ def shingle_weights(rows: DataFrame) -> np.ndarray:
     for r in rows.collect():
         total[r["chunk"]] += np.frombuffer(r["counts"], "<u4")
     total = total.ravel()
-    return np.where(total > 0, 1 + np.floor(8 * np.log2(np.maximum(total, 1))), 0).astype(np.uint8)
+    return np.where(total > 0, 1 + np.floor(4 * np.log2(np.maximum(total, 1))), 0).astype(np.uint8)
 
 
-def in_order(s: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The set in the global order: rare first, then by hash."""
-    return s[np.argsort(weights[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")]
+class Order:
+    """The global order: by level, then by hash.  Levels come from the count table, and from ``frequent`` shingles' own counts."""
 
+    def __init__(self, weights: np.ndarray, frequent: np.ndarray | None = None, counts: np.ndarray | None = None):
+        self.weights = weights
+        self.frequent = np.zeros(0, np.uint64) if frequent is None else np.sort(frequent)
+        if len(self.frequent):
+            by = counts[np.argsort(frequent)]
+            self.levels = (128 + np.floor(4 * np.log2(by))).clip(128, 255).astype(np.uint8)
 
-def _prefixes(weights: np.ndarray, percent: int):
+    def levels_of(self, s: np.ndarray) -> np.ndarray:
+        out = self.weights[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+        if len(self.frequent):
+            at = np.minimum(np.searchsorted(self.frequent, s), len(self.frequent) - 1)
+            out = np.where(self.frequent[at] == s, self.levels[at], out)
+        return out
+
+    def sorted(self, s: np.ndarray) -> np.ndarray:
+        return s[np.argsort(self.levels_of(s), kind="stable")]
+
+
+def refined_order(prefixes: DataFrame, weights: np.ndarray) -> Order:
+    """Order that puts shingles in FREQUENT prefixes or more last; the FREQUENT_MOST commonest of them reach the driver."""
+    common = (prefixes.select(F.explode_outer("prefix").alias("shingle")).where("shingle is not null").groupBy("shingle")
+              .agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= FREQUENT))
+    found = common.orderBy(F.desc("k"), "shingle").limit(FREQUENT_MOST).toArrow()
+    return Order(weights, found.column("shingle").to_numpy().view(np.uint64), found.column("k").to_numpy())
+
+
+def _prefixes(order: Order, percent: int):
     def run(batches):
         for _, _, sets in _sets(batches):
             out = [], [], []
@@ -167,8 +196,8 @@ def _prefixes(weights: np.ndarray, percent: int):
                 n = len(s)
                 if n * (100 - percent) < percent:  # too small to link with a different set
                     continue
-                own = in_order(s, weights)[:n - (-(-percent * n // 100)) + 1]
-                w = weights[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                own = order.sorted(s)[:n - (-(-percent * n // 100)) + 1]
+                w = order.levels_of(own)
                 out[0].append(_set_id(s))
                 out[1].append(n)
                 # a shingle counted once has no partner
@@ -188,7 +217,7 @@ def need(n, m, percent: int):
 def _may_link(percent: int):
     """Bounds on the lengths and on the places of the shared shingle."""
     short, long = F.least("n", "m"), F.greatest("n", "m")
-    most = F.least("place", "other_place") + 1 + F.least(F.col("n") - F.col("place"), F.col("m") - F.col("other_place")) - 1
+    most = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("other_place"))  # at the first shared shingle
     return (short * 100 >= long * percent) & (most >= need(F.col("n"), F.col("m"), percent))
 
 
@@ -243,7 +272,7 @@ def _verify(percent: int):
     return run
 
 
-def _linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, weights: np.ndarray, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, order: Order, percent: int) -> DataFrame:
     """The pairs (a, b) of set ids that link, verified by whole sets."""
     pairs = kept_table(pairs)
     if pairs.isEmpty():
@@ -257,7 +286,7 @@ def _linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, weights: np.ndar
     def elements(batches):
         for batch, lo, sets in _sets(batches):
             sid = batch.column("sid").slice(lo, len(sets)).to_pylist()
-            keep = [(x, in_order(s, weights).tobytes()) for x, s in zip(sid, sets, strict=True) if _set_id(s) == x]
+            keep = [(x, order.sorted(s).tobytes()) for x, s in zip(sid, sets, strict=True) if _set_id(s) == x]
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keep], pa.binary()), pa.array([k[1] for k in keep], pa.binary())],
                                              names=["sid", "elements"])
 
@@ -308,7 +337,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
     scanned = kept_table(docs.mapInArrow(_scan, _SCAN))
     rows, weights = scanned.where("sid is not null").select("id", "n", "sid"), shingle_weights(scanned)
-    prefixes = kept_table(docs.select("text").mapInArrow(_prefixes(weights, percent), "sid binary, n bigint, prefix array<bigint>"))
+    schema = "sid binary, n bigint, prefix array<bigint>"
+    order = refined_order(docs.select("text").mapInArrow(_prefixes(Order(weights), percent), schema), weights)
+    prefixes = kept_table(docs.select("text").mapInArrow(_prefixes(order, percent), schema))
     postings = prefixes.select("sid", "n", F.posexplode_outer("prefix").alias("place", "shingle")).where("shingle is not null")
     met = (postings.select("shingle", F.xxhash64("sid").alias("s")).groupBy("shingle").agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
            .where("lo <> hi").select(F.col("shingle").alias("met")))
@@ -319,7 +350,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     stars = (postings.join(centre, F.col("shingle") == F.col("of")).where((F.col("sid") != F.col("a")) & _may_link(percent))
              .select("a", F.col("sid").alias("b")).distinct())
     stars = kept_table(stars)
-    links = _linked(stars, rows, docs, weights, percent)
+    links = _linked(stars, rows, docs, order, percent)
     label = components(links)
 
     # classes of one shingle in different components, not yet compared
@@ -331,7 +362,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                          F.col("place").alias("other_place"), F.col("label").alias("other_label"))
     again = (named.join(other, (F.col("shingle") == F.col("of")) & (F.col("sid") < F.col("b")) & (F.col("label") != F.col("other_label")) & _may_link(percent))
              .select(F.col("sid").alias("a"), "b").distinct().join(stars, ["a", "b"], "left_anti"))
-    more = _linked(again, rows, docs, weights, percent)
+    more = _linked(again, rows, docs, order, percent)
     if not more.isEmpty():
         label = components(links.union(more))
 
