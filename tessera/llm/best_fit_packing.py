@@ -45,10 +45,10 @@ def _cut(path: str, end_id: int, cap: int, with_ids: bool):
         block, enc = TaskContext.get().partitionId(), encoder(path)
         end, seen = np.array([end_id], "<u4").tobytes(), np.zeros(cap + 1, np.int64)
         for batch in batches:
-            docs, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for lo in range(0, len(docs), 64):
+            for lo in range(0, batch.num_rows, 64):
+                docs, texts = (batch.column(c).slice(lo, 64).to_pylist() for c in ("doc_id", "text"))
                 rows = []
-                for d, raw in zip(docs[lo:lo + 64], enc.encode(texts[lo:lo + 64]), strict=True):
+                for d, raw in zip(docs, enc.encode(texts), strict=True):
                     raw += end
                     n = len(raw) // 4
                     first = n % cap or cap

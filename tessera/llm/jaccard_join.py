@@ -8,11 +8,12 @@ moved behind all others.  Any one order gives the same links; a better one gives
 fewer candidates.  Two sets that link share a shingle in their prefixes, so
 classes meet by prefix shingle:
 
-1. each class meets the least class of every prefix shingle (a star, not all
-   pairs); what links is joined into components;
-2. only classes of one prefix shingle in *different* components meet again, so
-   a large group of near copies costs a few pairs per member, and no link
-   between components is lost.
+1. in two turns each class meets CENTRES classes of every prefix shingle (stars,
+   not all pairs) that are not yet in its component; what links is joined into
+   components;
+2. in the last turn the classes of one prefix shingle that still are in
+   *different* components meet, so a large group of near copies costs a few
+   pairs per member, and no link between components is lost.
 
 A pair must pass the bounds on lengths and on the places of the shared shingle:
 before the *first* shingle that two sets share, neither holds one of the
@@ -32,6 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tessera.llm.common import broadcast_if_light, kept_table
 
@@ -39,7 +41,8 @@ WIDTH = 3
 PERCENT = 90
 SKETCH_BITS = 22  # counters of the shingle counts: 4 MB, whatever the input
 CHUNK_BITS = 16
-FREQUENT, FREQUENT_MOST = 4, 1_000_000  # prefixes that make a shingle frequent; how many of these are told to the tasks (12 MB)
+FREQUENT, FREQUENT_MOST = 3, 1_000_000  # prefixes that make a shingle frequent; how many of these are told to the tasks (12 MB)
+CENTRES, TURNS = 8, 2
 MEET = 512  # counter rows added in one group
 PARTNERS = 256  # per verification group
 
@@ -102,11 +105,10 @@ def _set_id(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def _sets(batches, column="text", step=64):
+def _sets(batches, step=64):
     for batch in batches:
-        texts = batch.column(column).to_pylist()
-        for lo in range(0, len(texts), step):
-            yield batch, lo, shingle_sets(texts[lo:lo + step])
+        for lo in range(0, batch.num_rows, step):
+            yield batch, lo, shingle_sets(batch.column("text").slice(lo, step).to_pylist())
 
 
 _SCAN = "id bigint, n bigint, sid binary, chunk int, part int, counts binary"
@@ -274,9 +276,6 @@ def _verify(percent: int):
 
 def _linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, order: Order, percent: int) -> DataFrame:
     """The pairs (a, b) of set ids that link, verified by whole sets."""
-    pairs = kept_table(pairs)
-    if pairs.isEmpty():
-        return pairs
     wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
     reps = (rows.join(wanted, F.col("sid") == F.col("w"), "left_semi").groupBy("sid")
             .agg(F.min("id").alias("rep")))
@@ -343,29 +342,37 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     postings = prefixes.select("sid", "n", F.posexplode_outer("prefix").alias("place", "shingle")).where("shingle is not null")
     met = (postings.select("shingle", F.xxhash64("sid").alias("s")).groupBy("shingle").agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
            .where("lo <> hi").select(F.col("shingle").alias("met")))
+    met = broadcast_if_light(kept_table(met), F.lit(16))
     postings = kept_table(postings.join(met, F.col("shingle") == F.col("met"), "left_semi")
                           .groupBy("shingle", "sid").agg(F.first("n").alias("n"), F.first("place").alias("place")))
-    centre = postings.groupBy("shingle").agg(F.min(F.struct("sid", "n", "place")).alias("c")).select(
-        F.col("shingle").alias("of"), F.col("c.sid").alias("a"), F.col("c.n").alias("m"), F.col("c.place").alias("other_place"))
-    stars = (postings.join(centre, F.col("shingle") == F.col("of")).where((F.col("sid") != F.col("a")) & _may_link(percent))
-             .select("a", F.col("sid").alias("b")).distinct())
-    stars = kept_table(stars)
-    links = _linked(stars, rows, docs, order, percent)
-    label = components(links)
-
-    # classes of one shingle in different components, not yet compared
-    named = (postings.join(label.withColumnRenamed("sid", "l"), F.col("sid") == F.col("l"), "left")
-             .select("shingle", "sid", "n", "place", F.coalesce("label", "sid").alias("label")))
-    split = named.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(F.col("shingle").alias("met"))
-    named = kept_table(named.join(split, F.col("shingle") == F.col("met"), "left_semi"))
-    other = named.select(F.col("shingle").alias("of"), F.col("sid").alias("b"), F.col("n").alias("m"),
-                         F.col("place").alias("other_place"), F.col("label").alias("other_label"))
-    again = (named.join(other, (F.col("shingle") == F.col("of")) & (F.col("sid") < F.col("b")) & (F.col("label") != F.col("other_label")) & _may_link(percent))
-             .select(F.col("sid").alias("a"), "b").distinct().join(stars, ["a", "b"], "left_anti"))
-    more = _linked(again, rows, docs, order, percent)
-    if not more.isEmpty():
-        label = components(links.union(more))
-
+    links, label, tried = None, None, None
+    for turn in range(TURNS + 1):
+        named = postings if label is None else postings.join(label.withColumnRenamed("sid", "l"), F.col("sid") == F.col("l"), "left")
+        named = named.select("shingle", "sid", "n", "place", (F.col("sid") if label is None else F.coalesce("label", "sid")).alias("label"))
+        split = named.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(F.col("shingle").alias("met"))
+        named = kept_table(named.join(split, F.col("shingle") == F.col("met"), "left_semi"))
+        centres = named
+        if turn < TURNS:  # a few classes of each shingle; in the last turn every class
+            by = W.partitionBy("shingle").orderBy(F.xxhash64("sid", F.lit(turn)), "sid")
+            centres = named.withColumn("k", F.row_number().over(by)).where(F.col("k") <= CENTRES)
+        centres = centres.select(F.col("shingle").alias("of"), F.col("sid").alias("a"), F.col("n").alias("m"),
+                                 F.col("place").alias("other_place"), F.col("label").alias("other_label"))
+        last = F.col("a") < F.col("sid") if turn == TURNS else F.lit(True)
+        pairs = (named.join(centres, (F.col("shingle") == F.col("of")) & (F.col("label") != F.col("other_label")) & last & _may_link(percent))
+                 .groupBy(F.least("a", "sid").alias("x"), F.greatest("a", "sid").alias("y")).agg(F.min("a").alias("a"))
+                 .select("x", "y", "a", F.when(F.col("a") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("b")))
+        if tried is not None:
+            pairs = pairs.join(tried, ["x", "y"], "left_anti")
+        pairs = kept_table(pairs)
+        if pairs.isEmpty():
+            continue
+        tried = pairs.select("x", "y") if tried is None else tried.union(pairs.select("x", "y"))
+        found = _linked(pairs.select("a", "b"), rows, docs, order, percent)
+        links = found if links is None else links.union(found)
+        label = components(links)
+
+    if label is None:
+        label = rows.where("false").select("sid", F.col("sid").alias("label"))
     full = rows.where("n > 0").join(label.withColumnRenamed("sid", "l"), F.col("sid") == F.col("l"), "left").select(
         "id", "n", F.coalesce("label", "sid").alias("label"))
     least = full.groupBy("label").agg(F.min("id").alias("component_id")).withColumnRenamed("label", "g")

@@ -143,9 +143,9 @@ def _encode(path: str, end_id: int, shard_ids: int, id_bytes: int):
                 names=["part", "seq", "n_ids", "doc_ids", "copies", "offsets", "payload"])
 
         for batch in batches:
-            doc, text = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for lo in range(0, len(doc), 64):
-                for d, raw in zip(doc[lo:lo + 64], enc.encode(text[lo:lo + 64]), strict=True):
+            for lo in range(0, batch.num_rows, 64):
+                doc, text = (batch.column(c).slice(lo, 64).to_pylist() for c in ("doc_id", "text"))
+                for d, raw in zip(doc, enc.encode(text), strict=True):
                     raw += end
                     copy = copy + 1 if d == last else 0
                     last = d
