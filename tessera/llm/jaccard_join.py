@@ -17,7 +17,9 @@ classes meet by prefix shingle:
 
 A pair must pass the bounds on lengths and on the places of the shared shingle:
 before the *first* shingle that two sets share, neither holds one of the
-other's, so what remains from there on limits the overlap.
+other's, so what remains from there on limits the overlap.  The parities of the
+elements by 256 bits give another bound: each differing bit is a differing
+element.
 The rest is verified: the partners of one class, their sets stored as a prefix
 tree in the global order, are traversed; partners share the overlap counted
 along a common path, and a subtree is left as soon as the elements remaining
@@ -190,10 +192,16 @@ def refined_order(prefixes: DataFrame, weights: np.ndarray) -> Order:
     return Order(weights, found.column("shingle").to_numpy().view(np.uint64), found.column("k").to_numpy())
 
 
+def parity(s: np.ndarray) -> list[int]:
+    """256 bits, each the parity of the elements that fall on it: two sets differ in as many elements, at least, as bits."""
+    bits = np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(bits.astype(np.uint8)).view("<i8").tolist()
+
+
 def _prefixes(order: Order, percent: int):
     def run(batches):
         for _, _, sets in _sets(batches):
-            out = [], [], []
+            out = [], [], [], []
             for s in sets:
                 n = len(s)
                 if n * (100 - percent) < percent:  # too small to link with a different set
@@ -204,10 +212,12 @@ def _prefixes(order: Order, percent: int):
                 out[1].append(n)
                 # a shingle counted once has no partner
                 out[2].append(pa.array(own.view(np.int64), mask=w <= 1))
+                out[3].append(parity(s))
             if out[0]:
                 ends = np.cumsum([0] + [len(x) for x in out[2]]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64()),
-                                                  pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays(out[2]))], names=["sid", "n", "prefix"])
+                                                  pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays(out[2])),
+                                                  pa.array(out[3], pa.list_(pa.int64()))], names=["sid", "n", "prefix", "bits"])
     return run
 
 
@@ -217,10 +227,12 @@ def need(n, m, percent: int):
 
 
 def _may_link(percent: int):
-    """Bounds on the lengths and on the places of the shared shingle."""
+    """Bounds on the lengths, on the places of the shared shingle and on the parity bits."""
     short, long = F.least("n", "m"), F.greatest("n", "m")
     most = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("other_place"))  # at the first shared shingle
-    return (short * 100 >= long * percent) & (most >= need(F.col("n"), F.col("m"), percent))
+    least = need(F.col("n"), F.col("m"), percent)
+    differ = sum((F.bit_count(F.get("bits", F.lit(k)).bitwiseXOR(F.get("other_bits", F.lit(k)))) for k in range(4)), F.lit(0))
+    return (short * 100 >= long * percent) & (most >= least) & (F.col("n") + F.col("m") - differ >= least * 2)
 
 
 def tree_links(probe: np.ndarray, partners: list[np.ndarray], rank, percent: int) -> list[bool]:
@@ -336,19 +348,19 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
     scanned = kept_table(docs.mapInArrow(_scan, _SCAN))
     rows, weights = scanned.where("sid is not null").select("id", "n", "sid"), shingle_weights(scanned)
-    schema = "sid binary, n bigint, prefix array<bigint>"
+    schema = "sid binary, n bigint, prefix array<bigint>, bits array<bigint>"
     order = refined_order(docs.select("text").mapInArrow(_prefixes(Order(weights), percent), schema), weights)
     prefixes = kept_table(docs.select("text").mapInArrow(_prefixes(order, percent), schema))
-    postings = prefixes.select("sid", "n", F.posexplode_outer("prefix").alias("place", "shingle")).where("shingle is not null")
+    postings = prefixes.select("sid", "n", "bits", F.posexplode_outer("prefix").alias("place", "shingle")).where("shingle is not null")
     met = (postings.select("shingle", F.xxhash64("sid").alias("s")).groupBy("shingle").agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
            .where("lo <> hi").select(F.col("shingle").alias("met")))
     met = broadcast_if_light(kept_table(met), F.lit(16))
     postings = kept_table(postings.join(met, F.col("shingle") == F.col("met"), "left_semi")
-                          .groupBy("shingle", "sid").agg(F.first("n").alias("n"), F.first("place").alias("place")))
+                          .groupBy("shingle", "sid").agg(F.first("n").alias("n"), F.first("place").alias("place"), F.first("bits").alias("bits")))
     links, label, tried = None, None, None
     for turn in range(TURNS + 1):
         named = postings if label is None else postings.join(label.withColumnRenamed("sid", "l"), F.col("sid") == F.col("l"), "left")
-        named = named.select("shingle", "sid", "n", "place", (F.col("sid") if label is None else F.coalesce("label", "sid")).alias("label"))
+        named = named.select("shingle", "sid", "n", "place", "bits", (F.col("sid") if label is None else F.coalesce("label", "sid")).alias("label"))
         split = named.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(F.col("shingle").alias("met"))
         named = kept_table(named.join(split, F.col("shingle") == F.col("met"), "left_semi"))
         centres = named
@@ -356,7 +368,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             by = W.partitionBy("shingle").orderBy(F.xxhash64("sid", F.lit(turn)), "sid")
             centres = named.withColumn("k", F.row_number().over(by)).where(F.col("k") <= CENTRES)
         centres = centres.select(F.col("shingle").alias("of"), F.col("sid").alias("a"), F.col("n").alias("m"),
-                                 F.col("place").alias("other_place"), F.col("label").alias("other_label"))
+                                 F.col("place").alias("other_place"), F.col("bits").alias("other_bits"), F.col("label").alias("other_label"))
         last = F.col("a") < F.col("sid") if turn == TURNS else F.lit(True)
         pairs = (named.join(centres, (F.col("shingle") == F.col("of")) & (F.col("label") != F.col("other_label")) & last & _may_link(percent))
                  .groupBy(F.least("a", "sid").alias("x"), F.greatest("a", "sid").alias("y")).agg(F.min("a").alias("a"))
