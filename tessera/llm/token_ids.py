@@ -17,7 +17,7 @@ import unicodedata
 
 import numpy as np
 
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 250_000
 BATCH_PIECES = 1024
 
 # The pre-token rules of the two vocabularies, for plain characters.
