@@ -111,6 +111,8 @@ def _sets(batches, step=64):
     for batch in batches:
         for lo in range(0, batch.num_rows, step):
             yield batch, lo, shingle_sets(batch.column("text").slice(lo, step).to_pylist())
+    _POWERS[:] = [np.ones(1, np.uint64)] * 2  # workers live on: give back what long texts took
+    pa.default_memory_pool().release_unused()
 
 
 _SCAN = "id bigint, n bigint, sid binary, chunk int, part int, counts binary"
