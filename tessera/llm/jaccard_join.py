@@ -8,7 +8,7 @@ moved behind all others.  Any one order gives the same links; a better one gives
 fewer candidates.  Two sets that link share a shingle in their prefixes, so
 classes meet by prefix shingle:
 
-1. in two turns each class meets CENTRES classes of every prefix shingle (stars,
+1. in a first turn each class meets CENTRES classes of every prefix shingle (stars,
    not all pairs) that are not yet in its component; what links is joined into
    components;
 2. in the last turn the classes of one prefix shingle that still are in
@@ -44,7 +44,7 @@ PERCENT = 90
 SKETCH_BITS = 22  # counters of the shingle counts: 4 MB, whatever the input
 CHUNK_BITS = 16
 FREQUENT, FREQUENT_MOST = 3, 1_000_000  # prefixes that make a shingle frequent; how many of these are told to the tasks (12 MB)
-CENTRES, TURNS = 8, 2
+CENTRES, TURNS = 8, 1
 MEET = 512  # counter rows added in one group
 PARTNERS = 256  # per verification group
 
