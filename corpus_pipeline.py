@@ -25,7 +25,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops recurring lines, and documents of which only short lines are left."""
-    out = line_templates.drop_recurring_lines(docs, keep=COLUMNS[2:4])
+    out = line_templates.drop_recurring_lines(docs, keep=COLUMNS[2:4], short=True)
     out = out.where((F.col("n_dropped") == 0) | (F.col("n_long") > 0))
     return out.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 

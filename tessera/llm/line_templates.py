@@ -10,6 +10,9 @@ are set aside, so a leaf needs few heads.  A template in ``min_docs`` documents
 or more is boilerplate: its lines stay in its first document and are dropped
 from all others.
 
+Lines too short for a template (``short``) are judged as well: each is its own
+leaf, and only lines of the same tokens, digits included, are one.
+
 Everything is columns, aggregates and joins.  Lines travel as hashes.  Text is
 moved only if the lists of wanted or dropped line numbers are too large to be
 sent to it.
@@ -31,25 +34,31 @@ TOKEN = r"[^\x20\x09-\x0D]"
 OTHER_SPACE = r"[\x09\x0B-\x0D]"
 
 
+def _plain(text: Column) -> Column:
+    """Whole text with only blanks and line ends as white space."""
+    return F.when(text.rlike(OTHER_SPACE), F.regexp_replace(text, OTHER_SPACE, " ")).otherwise(text)
+
+
 def _masked(text: Column) -> Column:
     """Whole text with every token that holds a digit made a field, and only blanks and line ends as white space."""
-    text = F.when(text.rlike("[0-9]"), F.regexp_replace(text, f"{TOKEN}*[0-9]{TOKEN}*", FIELD)).otherwise(text)
-    return F.when(text.rlike(OTHER_SPACE), F.regexp_replace(text, OTHER_SPACE, " ")).otherwise(text)
+    return _plain(F.when(text.rlike("[0-9]"), F.regexp_replace(text, f"{TOKEN}*[0-9]{TOKEN}*", FIELD)).otherwise(text))
 
 
 def _tokens(line: Column) -> Column:
     return F.filter(F.split(line, " "), lambda w: w != "")
 
 
-def _lines(docs: DataFrame, min_tokens: int, leading: int) -> DataFrame:
-    """doc_id, th, line, leaf, own of every line with enough tokens."""
+def _lines(docs: DataFrame, min_tokens: int, leading: int, short: bool) -> DataFrame:
+    """doc_id, th, line, leaf, own of every line with enough tokens; with ``short``, of every line with a token."""
     tokens = F.transform(F.split(_masked(F.col("text")), "\n"), _tokens)
     # the inner transform binds the tokens, which the outer one reads several times
-    info = F.transform(tokens, lambda t: F.struct(
+    info = F.zip_with(tokens, F.split(_plain(F.col("text")), "\n"), lambda t, line: F.struct(
         F.size(t).alias("n"), F.xxhash64(F.size(t), *[F.get(t, F.lit(k)) for k in range(leading)]).alias("leaf"),
-        F.xxhash64(t).alias("own")))
-    rows = docs.select("doc_id", "th", F.posexplode_outer(info).alias("line", "x")).where(F.col("x.n") >= min_tokens)
-    return rows.select("doc_id", "th", "line", "x.leaf", "x.own")
+        F.xxhash64(t).alias("own"), F.when(F.array_contains(t, FIELD), F.xxhash64(_tokens(line))).alias("raw")))
+    rows = docs.select("doc_id", "th", F.posexplode_outer(info).alias("line", "x")).where(F.col("x.n") >= (1 if short else min_tokens))
+    exact, same = F.col("x.n") < min_tokens, F.coalesce("x.raw", "x.own")
+    return rows.select("doc_id", "th", "line", F.when(exact, same).otherwise(F.col("x.leaf")).alias("leaf"),
+                       F.when(exact, same).otherwise(F.col("x.own")).alias("own"))
 
 
 def _with_key(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -89,9 +98,10 @@ def templates(docs: DataFrame, lines: DataFrame, similar: float = SIMILAR) -> Da
     return done if done is not None else full.select("leaf", "own", F.col("own").alias("head")).limit(0)
 
 
-def dropped_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, leading: int = LEADING, similar: float = SIMILAR, min_docs: int = MIN_DOCS) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, leading: int = LEADING, similar: float = SIMILAR, min_docs: int = MIN_DOCS,
+                  short: bool = False) -> DataFrame:
     """doc_id, th, line of every line whose template recurs and whose document is not its first."""
-    lines = kept_table(_lines(docs, min_tokens, leading))
+    lines = kept_table(_lines(docs, min_tokens, leading, short))
     heads = templates(docs, lines, similar).withColumnRenamed("leaf", "l").withColumnRenamed("own", "o")
     lines = lines.join(heads, (F.col("leaf") == F.col("l")) & (F.col("own") == F.col("o")), "left").select(
         "doc_id", "th", "line", "leaf", F.coalesce("head", "own").alias("template"))
@@ -104,16 +114,17 @@ def dropped_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, leading: int =
 
 
 def drop_recurring_lines(docs: DataFrame, keep: tuple[str, ...] = (), min_tokens: int = MIN_TOKENS, leading: int = LEADING,
-                         similar: float = SIMILAR, min_docs: int = MIN_DOCS) -> DataFrame:
+                         similar: float = SIMILAR, min_docs: int = MIN_DOCS, short: bool = False) -> DataFrame:
     """doc_id, the columns ``keep``, text without the dropped lines, n_lines, n_dropped, n_long of every row.
 
-    ``n_long`` counts the lines left that have enough tokens to be judged.  Null
+    ``n_long`` counts the lines left that have ``min_tokens`` or more.  With
+    ``short`` the lines below that are judged too, by all their tokens.  Null
     counts as empty (no line dropped).  Rows that repeat an id and its text are
     one document and change alike; a null id sorts first.  Other columns are not
     read; an empty table gives an empty result.
     """
     keyed = _with_key(docs, ["doc_id"])
-    gone = dropped_lines(keyed, min_tokens, leading, similar, min_docs)
+    gone = dropped_lines(keyed, min_tokens, leading, similar, min_docs, short)
     gone = gone.groupBy("doc_id", "th").agg(F.collect_set("line").alias("gone"))  # bounded by the document's lines
     gone = kept_table(gone.select(F.col("doc_id").alias("d"), F.col("th").alias("h"), "gone"))
     gone = broadcast_if_light(gone, F.size("gone") * 4)
