@@ -13,6 +13,7 @@ from tessera.llm import best_fit_packing, jaccard_join, language_id, line_templa
 from tessera.session import scratch_path
 from tessera.sources.tables import table
 
+NEAR = {"percent": 80, "width": 5}  # the stage's own; 90 and three words are op8's contract
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -32,7 +33,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the least id of each group of near copies."""
-    found = jaccard_join.jaccard_components(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    found = jaccard_join.jaccard_components(docs, **NEAR).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     return docs.select(*COLUMNS).join(found, "doc_id", "left_semi")
 
 

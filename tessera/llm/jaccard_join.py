@@ -107,10 +107,10 @@ def _set_id(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def _sets(batches, step=64):
+def _sets(batches, width, step=64):
     for batch in batches:
         for lo in range(0, batch.num_rows, step):
-            yield batch, lo, shingle_sets(batch.column("text").slice(lo, step).to_pylist())
+            yield batch, lo, shingle_sets(batch.column("text").slice(lo, step).to_pylist(), width)
     _POWERS[:] = [np.ones(1, np.uint64)] * 2  # workers live on: give back what long texts took
     pa.default_memory_pool().release_unused()
 
@@ -118,31 +118,33 @@ def _sets(batches, step=64):
 _SCAN = "id bigint, n bigint, sid binary, chunk int, part int, counts binary"
 
 
-def _scan(batches):
-    """A row (id, n, sid) per document and, per task, the counts of its shingles in 2^SKETCH_BITS counters (chunk, part, counts)."""
-    from pyspark import TaskContext
-    count, waiting, size = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
-    names = [c.split()[0] for c in _SCAN.split(", ")]
-
-    def batch_of(*columns):
-        n = len(next(c for c in columns if c is not None))
-        return pa.RecordBatch.from_arrays([pa.nulls(n, k) if c is None else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-    for batch, lo, sets in _sets(batches):
-        yield batch_of(batch.column("id").slice(lo, len(sets)).to_pylist(), [len(x) for x in sets], [_set_id(x) for x in sets], None, None, None)
-        waiting += sets
-        size += sum(map(len, sets))
-        if size > 1 << SKETCH_BITS - 1:
+def _scan(width: int):
+    def run(batches):
+        """A row (id, n, sid) per document and, per task, the counts of its shingles in 2^SKETCH_BITS counters (chunk, part, counts)."""
+        from pyspark import TaskContext
+        count, waiting, size = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
+        names = [c.split()[0] for c in _SCAN.split(", ")]
+
+        def batch_of(*columns):
+            n = len(next(c for c in columns if c is not None))
+            return pa.RecordBatch.from_arrays([pa.nulls(n, k) if c is None else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+        for batch, lo, sets in _sets(batches, width):
+            yield batch_of(batch.column("id").slice(lo, len(sets)).to_pylist(), [len(x) for x in sets], [_set_id(x) for x in sets], None, None, None)
+            waiting += sets
+            size += sum(map(len, sets))
+            if size > 1 << SKETCH_BITS - 1:
+                count += np.bincount((np.concatenate(waiting) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(count)).astype(np.uint32)
+                waiting, size = [], 0
+        if size:
             count += np.bincount((np.concatenate(waiting) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(count)).astype(np.uint32)
-            waiting, size = [], 0
-    if size:
-        count += np.bincount((np.concatenate(waiting) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(count)).astype(np.uint32)
-    if count.any():
-        task, chunks = TaskContext.get().partitionId(), count.reshape(-1, 1 << CHUNK_BITS)
-        # few counters of a task pass 255: a byte each travels
-        yield batch_of(None, None, None, range(len(chunks)), [task // MEET] * len(chunks),
-                       [np.minimum(c, 255).astype(np.uint8).tobytes() for c in chunks])
+        if count.any():
+            task, chunks = TaskContext.get().partitionId(), count.reshape(-1, 1 << CHUNK_BITS)
+            # few counters of a task pass 255: a byte each travels
+            yield batch_of(None, None, None, range(len(chunks)), [task // MEET] * len(chunks),
+                           [np.minimum(c, 255).astype(np.uint8).tobytes() for c in chunks])
+    return run
 
 
 def _add(width: str):
@@ -200,9 +202,9 @@ def parity(s: np.ndarray) -> list[int]:
     return np.packbits(bits.astype(np.uint8)).view("<i8").tolist()
 
 
-def _prefixes(order: Order, percent: int):
+def _prefixes(order: Order, percent: int, width: int):
     def run(batches):
-        for _, _, sets in _sets(batches):
+        for _, _, sets in _sets(batches, width):
             out = [], [], [], []
             for s in sets:
                 n = len(s)
@@ -288,7 +290,7 @@ def _verify(percent: int):
     return run
 
 
-def _linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, order: Order, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, order: Order, percent: int, width: int) -> DataFrame:
     """The pairs (a, b) of set ids that link, verified by whole sets."""
     wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
     reps = (rows.join(wanted, F.col("sid") == F.col("w"), "left_semi").groupBy("sid")
@@ -297,7 +299,7 @@ def _linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, order: Order, pe
     texts = docs.join(reps, F.col("id").eqNullSafe(F.col("rep"))).select("sid", "text")
 
     def elements(batches):
-        for batch, lo, sets in _sets(batches):
+        for batch, lo, sets in _sets(batches, width):
             sid = batch.column("sid").slice(lo, len(sets)).to_pylist()
             keep = [(x, order.sorted(s).tobytes()) for x, s in zip(sid, sets, strict=True) if _set_id(s) == x]
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keep], pa.binary()), pa.array([k[1] for k in keep], pa.binary())],
@@ -339,7 +341,7 @@ def components(links: DataFrame) -> DataFrame:
     return kept_table(label.union(label.select(F.col("label").alias("sid"), "label").distinct()))
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
 
     A text without words (or null) has an empty set, links with nothing and is
@@ -348,11 +350,11 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     null id.  Other columns are not read; an empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
-    scanned = kept_table(docs.mapInArrow(_scan, _SCAN))
+    scanned = kept_table(docs.mapInArrow(_scan(width), _SCAN))
     rows, weights = scanned.where("sid is not null").select("id", "n", "sid"), shingle_weights(scanned)
     schema = "sid binary, n bigint, prefix array<bigint>, bits array<bigint>"
-    order = refined_order(docs.select("text").mapInArrow(_prefixes(Order(weights), percent), schema), weights)
-    prefixes = kept_table(docs.select("text").mapInArrow(_prefixes(order, percent), schema))
+    order = refined_order(docs.select("text").mapInArrow(_prefixes(Order(weights), percent, width), schema), weights)
+    prefixes = kept_table(docs.select("text").mapInArrow(_prefixes(order, percent, width), schema))
     postings = prefixes.select("sid", "n", "bits", F.posexplode_outer("prefix").alias("place", "shingle")).where("shingle is not null")
     met = (postings.select("shingle", F.xxhash64("sid").alias("s")).groupBy("shingle").agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
            .where("lo <> hi").select(F.col("shingle").alias("met")))
@@ -381,7 +383,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         if pairs.isEmpty():
             continue
         tried = pairs.select("x", "y") if tried is None else tried.union(pairs.select("x", "y"))
-        found = _linked(pairs.select("a", "b"), rows, docs, order, percent)
+        found = _linked(pairs.select("a", "b"), rows, docs, order, percent, width)
         links = found if links is None else links.union(found)
         label = components(links)
 

@@ -1,6 +1,6 @@
 """Cases in which an operator or a stage once did less than the whole job."""
 
-import collections
+import random
 import re
 
 import corpus_pipeline as P
@@ -29,3 +29,44 @@ def test_short_lines_that_repeat_go(spark, tmp_path):
     got = {r["doc_id"]: r["text"] for r in registry.op6_line_templates(spark, saved(spark, tmp_path / "d", rows)).collect()}
     assert got == want
     assert {r["doc_id"]: r["text"] for r in P.lines(spark, frame(spark, rows), "").collect()} == want
+
+
+# -- near_duplicates stage ----------------------------------------------------------
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_near(rows, width=5, percent=80):
+    """The least id of each component, links by ``width`` words and ``percent``."""
+    s, up = {}, {}
+    for i, t in rows:
+        w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        s[i] = {tuple(w[k:k + width]) for k in range(max(1, len(w) - width + 1))} if w else set()
+        up[i] = i
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    ids = sorted(s)
+    for a, i in enumerate(ids):
+        for j in ids[:a]:
+            if s[i] and s[j] and 100 * len(s[i] & s[j]) >= percent * len(s[i] | s[j]):
+                x, y = sorted((root(i), root(j)))
+                up[y] = x
+    return {i for i in ids if root(i) == i}
+
+
+def test_near_copies_of_the_stage_are_five_words_and_80(spark):
+    r, rows = random.Random(4), []
+    for k in range(30):
+        base = [f"w{r.randint(0, 400)}" for _ in range(r.choice([3, 40, 100, 150]))]
+        for c in range(3):
+            w = list(base)
+            for _ in range(c):
+                w[r.randrange(len(w))] = "other"
+            rows.append((10 * k + c, " ".join(w)))
+    want = brute_near(rows)
+    assert want != brute_near(rows, 3, 90)
+    got = [x["doc_id"] for x in P.near_duplicates(spark, frame(spark, rows), "").collect()]
+    assert sorted(got) == sorted(want)
