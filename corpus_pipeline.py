@@ -38,8 +38,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents to the tempered shares of source, language and topic."""
-    return source_mixing.mix(docs, keep=COLUMNS).where("kept").select(*COLUMNS)
+    """Samples documents to the tempered shares of source, language and topic, with all tokens as the budget.
+
+    A document is taken once at most, so cells that should grow stay whole.
+    """
+    return source_mixing.mix(docs, budget=source_mixing.WHOLE, keep=COLUMNS).where("kept").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

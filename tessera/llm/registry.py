@@ -14,7 +14,7 @@ def op1_quality_rules(spark, sf_dir):
 
 
 def op2_source_mixing(spark, sf_dir):
-    return source_mixing.mix(documents(spark, sf_dir))
+    return source_mixing.mix(documents(spark, sf_dir), budget=source_mixing.WHOLE)
 
 
 def op3_token_file(spark, sf_dir):

@@ -23,6 +23,7 @@ from tessera.llm.common import broadcast_if_light, kept_table, words
 DIMENSIONS = ("source", "lang", "topic")
 TEMPER = {"source": 0.7, "lang": 0.8, "topic": 0.9}  # target share of a value: its token share to this power
 NONE = "(none)"
+WHOLE = "whole"  # the budget of all tokens there are
 TOLERANCE, ROUNDS, ROUNDS_PER_JOB = 1e-7, 40, 4
 CELLS_PER_PARTITION = 100_000
 
@@ -94,13 +95,15 @@ def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], toleran
     return now.select(*names, "weight")
 
 
-def mix(docs: DataFrame, targets: dict[str, float | dict[str, float]] | None = None, budget: float | None = None,
+def mix(docs: DataFrame, targets: dict[str, float | dict[str, float]] | None = None, budget: float | str | None = None,
         keep: tuple[str, ...] = ("doc_id",), seed: int = 0) -> DataFrame:
-    """The columns ``keep`` of every document, with mix_source, mix_lang, mix_topic, mix_tokens, weight, probability, kept.
+    """The columns ``keep`` of every document, with mix_source, mix_lang, mix_topic, mix_tokens, weight, probability, kept, repeats.
 
     ``weight`` is the raked weight per token.  Without ``budget`` the
-    probabilities are the largest that keep every ratio; with one (in tokens)
-    they aim at it and are cut at 1.  Null sources and languages are the value
+    probabilities are the largest that keep every ratio, so the rarest cell
+    limits all; with one (in tokens, or ``WHOLE``) they aim at it and are cut at
+    1.  ``repeats`` is not cut: it says how often a document is to be taken for
+    expected token shares that equal the targets (0 where not kept).  Null sources and languages are the value
     ``(none)``.  A document without words has weight 0 and is not kept (there is
     nothing to sample).  Repeated rows draw alike; a null id draws as such.
     """
@@ -108,13 +111,16 @@ def mix(docs: DataFrame, targets: dict[str, float | dict[str, float]] | None = N
     rows = _features(docs, list(keep))
     cells = rows.where("n_tokens > 0").groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
     raked = kept_table(rake(cells, targets).withColumn("ratio", F.col("weight") / F.col("tokens")))
-    most, total = raked.agg(F.max("ratio"), F.sum("weight")).first()
-    scale = (1 / most if budget is None else budget / total) if most else 0.0
+    most, total, tokens = raked.agg(F.max("ratio"), F.sum("weight"), F.sum("tokens")).first()
+    aim = tokens if budget == WHOLE else budget
+    scale = (1 / most if aim is None else aim / total) if most else 0.0
     raked = raked.select(*[F.col(d).alias(f"c_{d}") for d in DIMENSIONS], "ratio")
     raked = broadcast_if_light(raked, F.length(F.concat(*[f"c_{d}" for d in DIMENSIONS])))
     draw = F.shiftrightunsigned(F.xxhash64(F.col("key").cast("string"), F.lit(f"mix {seed}")), 11) / F.lit(float(1 << 53))
     met = rows.join(raked, (F.col("source") == F.col("c_source")) & (F.col("lang") == F.col("c_lang")) & (F.col("topic") == F.col("c_topic")), "left")
     met = met.withColumn("weight", F.when(F.col("n_tokens") > 0, F.coalesce("ratio", F.lit(0.0))).otherwise(0.0))
-    met = met.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * scale))
+    times = F.col("weight") * scale
+    met = met.withColumn("probability", F.least(F.lit(1.0), times))
     return met.select("row.*", F.col("source").alias("mix_source"), F.col("lang").alias("mix_lang"), F.col("topic").alias("mix_topic"),
-                      F.col("n_tokens").alias("mix_tokens"), "weight", "probability", (draw < F.col("probability")).alias("kept"))
+                      F.col("n_tokens").alias("mix_tokens"), "weight", "probability", (draw < F.col("probability")).alias("kept"),
+                      (F.floor(times) + (draw < times - F.floor(times)).cast("long")).alias("repeats"))

@@ -1,11 +1,13 @@
 """Cases in which an operator or a stage once did less than the whole job."""
 
+import collections
 import random
 import re
 
 import corpus_pipeline as P
 from tessera.llm import registry
 
+SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -70,3 +72,26 @@ def test_near_copies_of_the_stage_are_five_words_and_80(spark):
     assert want != brute_near(rows, 3, 90)
     got = [x["doc_id"] for x in P.near_duplicates(spark, frame(spark, rows), "").collect()]
     assert sorted(got) == sorted(want)
+
+
+# -- op 2 and the mixing stage ------------------------------------------------------
+
+def test_one_rare_cell_does_not_throttle_all(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = spark.createDataFrame([(99_999, "!! " + "word " * 29, "xx", "odd0", 148)], DOCS)
+    n, base = docs.count(), P.mixing(spark, docs, SF).count()
+    got = P.mixing(spark, docs.unionByName(odd), SF)
+    assert base > 0.7 * n and got.count() > 0.7 * n and got.where("doc_id = 99999").count() == 1
+    docs.unionByName(odd).write.parquet(f"{tmp_path}/d/documents.parquet")
+    rows = registry.op2_source_mixing(spark, f"{tmp_path}/d").collect()
+    assert sum(r["kept"] for r in rows) > 0.7 * n
+    tokens, wanted, taken = collections.Counter(), collections.Counter(), 0
+    for r in rows:
+        assert r["repeats"] >= r["kept"] and (r["repeats"] > 0) == r["kept"]
+        assert abs(r["repeats"] - r["weight"]) < 1 + 1e-6
+        tokens[r["mix_source"]] += r["mix_tokens"]
+        wanted[r["mix_source"]] += r["mix_tokens"] * r["weight"]
+        taken += r["mix_tokens"] * r["repeats"]
+    z, whole = sum(v ** 0.7 for v in tokens.values()), sum(tokens.values())
+    assert all(abs(wanted[v] / whole - tokens[v] ** 0.7 / z) < 1e-3 for v in tokens)
+    assert abs(taken / whole - 1) < 0.2
