@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import best_fit_packing, jaccard_join, language_id, line_templates, source_mixing
+from tessera.llm.common import WORD
 from tessera.session import scratch_path
 from tessera.sources.tables import table
 
@@ -25,9 +26,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops recurring lines, and documents of which only short lines are left."""
+    """Drops recurring lines, and documents of which these leave no word."""
     out = line_templates.drop_recurring_lines(docs, keep=COLUMNS[2:4], short=True)
-    out = out.where((F.col("n_dropped") == 0) | (F.col("n_long") > 0))
+    out = out.where((F.col("n_dropped") == 0) | F.col("text").rlike(WORD))
     return out.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
 

@@ -33,6 +33,13 @@ def test_short_lines_that_repeat_go(spark, tmp_path):
     assert {r["doc_id"]: r["text"] for r in P.lines(spark, frame(spark, rows), "").collect()} == want
 
 
+def test_documents_with_lines_of_their_own_stay(spark):
+    licence = "This text is free for all to use"
+    rows = [(1, f"{licence}\nOne"), (2, f"{licence}\nRoses are red\nviolets blue"), (3, f"{licence}\n\n"), (4, f"{licence}\nOne")]
+    got = {r["doc_id"]: r["text"] for r in P.lines(spark, frame(spark, rows), "").collect()}
+    assert got == {1: rows[0][1], 2: "Roses are red\nviolets blue"}
+
+
 # -- near_duplicates stage ----------------------------------------------------------
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
