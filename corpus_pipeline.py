@@ -27,7 +27,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops recurring lines, and documents of which these leave no word."""
-    out = line_templates.drop_recurring_lines(docs, keep=COLUMNS[2:4], short=True)
+    out = line_templates.drop_recurring_lines(docs, keep=COLUMNS[2:4], **line_templates.WHOLE_JOB)
     out = out.where((F.col("n_dropped") == 0) | F.col("text").rlike(WORD))
     return out.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 

@@ -34,7 +34,7 @@ def op5_best_fit_packing(spark, sf_dir):
 
 
 def op6_line_templates(spark, sf_dir):
-    return line_templates.drop_recurring_lines(documents(spark, sf_dir), short=True).drop("n_long")
+    return line_templates.drop_recurring_lines(documents(spark, sf_dir), **line_templates.WHOLE_JOB).drop("n_long")
 
 
 def op7_html_text(spark, sf_dir):

@@ -40,6 +40,15 @@ def test_documents_with_lines_of_their_own_stay(spark):
     assert got == {1: rows[0][1], 2: "Roses are red\nviolets blue"}
 
 
+def test_rows_of_fields_and_two_alike_stay(spark, tmp_path):
+    rows = [(1, "2019 12 30 44 51\nHe went to the store\nA copy of this line is here"), (2, "2020 17 22 9 80\nHe went to the park\nA copy of this line is here"),
+            (3, "2019 12 30 44 51\nShe sold 7 of the old blue chairs today"), (4, "She sold 8 of the old blue chairs today")]
+    rows += [(10 + k, f"user u{k} logged in from host a at {k}:00") for k in range(5)]
+    want = dict(rows) | {2: "2020 17 22 9 80\nHe went to the park", 3: "She sold 7 of the old blue chairs today"} | {10 + k: "" for k in range(1, 5)}
+    got = {r["doc_id"]: r["text"] for r in registry.op6_line_templates(spark, saved(spark, tmp_path / "d", rows)).collect()}
+    assert got == want
+
+
 # -- near_duplicates stage ----------------------------------------------------------
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
