@@ -5,7 +5,7 @@ import random
 import re
 
 import corpus_pipeline as P
-from tessera.llm import registry
+from tessera.llm import html_text, registry
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -111,3 +111,20 @@ def test_one_rare_cell_does_not_throttle_all(spark, tmp_path):
     z, whole = sum(v ** 0.7 for v in tokens.values()), sum(tokens.values())
     assert all(abs(wanted[v] / whole - tokens[v] ** 0.7 / z) < 1e-3 for v in tokens)
     assert abs(taken / whole - 1) < 0.2
+
+
+# -- op 7 ---------------------------------------------------------------------------
+
+def test_wrappers_named_for_layout_keep_their_page():
+    text = "<h1>Title</h1><p>A long passage of text that makes up the page.</p>"
+    want = "Title\nA long passage of text that makes up the page."
+    for page in (f"<body class='no-sidebar'>{text}</body>", f"<div class='content with-sidebar'>{text}</div>",
+                 f"<article class='post comments-open'>{text}</article>", f"<div id='page' class='site has-menu'>{text}</div>",
+                 f"<form id=f>{text}</form>", f"<div class='menu'><main>{text}</main></div>",
+                 f"<article>{text.replace('<h1>Title</h1>', '<header><h1>Title</h1></header>')}</article>",
+                 f"<article>{text.replace('<h1>Title</h1>', '<div class=article-header>Title</div>')}</article>"):
+        assert html_text.main_text(page) == want, page
+    long = "much " * 99
+    for other in (f"<nav>{long}</nav>", f"<div class='comments-area'><p>{long}</p></div>", "<div class='sidebar-left'>x</div>", "<header>Site</header>",
+                  "<div class='widget ad'>x</div>", "<aside><article>card</article></aside>", "<div id=menu>x</div>"):
+        assert html_text.main_text(f"<body>{other}<article>{text}</article></body>") == want, other
