@@ -128,3 +128,15 @@ def test_wrappers_named_for_layout_keep_their_page():
     for other in (f"<nav>{long}</nav>", f"<div class='comments-area'><p>{long}</p></div>", "<div class='sidebar-left'>x</div>", "<header>Site</header>",
                   "<div class='widget ad'>x</div>", "<aside><article>card</article></aside>", "<div id=menu>x</div>"):
         assert html_text.main_text(f"<body>{other}<article>{text}</article></body>") == want, other
+
+
+def test_template_without_article_keeps_whole_article(spark):
+    def page(k, h1):
+        return (f"<html><body><div class=top>Site name</div><ul class=nav><li><a href=x>Home</a></ul><div class=content><h1>{h1}</h1><p>First part {k} of a text<p>"
+                f"second part {k}<blockquote>A word {k}</blockquote><p>third and much longer part {k} of the text</div><p class=foot>fine print</p></body></html>")
+    rows = [(100 * g + k, f"http://h{g}.example/{k}", page(k, "Title" if g == 0 else f"Title {k}")) for g in (0, 1) for k in range(5)]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, _, _ in rows:
+        k = i % 100
+        assert got[i] == "\n".join(["Title" if i < 100 else f"Title {k}", f"First part {k} of a text", f"second part {k}", f"A word {k}",
+                                    f"third and much longer part {k} of the text"])
