@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import best_fit_packing, jaccard_join, language_id, line_templates, source_mixing
-from tessera.llm.common import WORD
+from tessera.llm.common import WORD, broadcast_if_light, kept_table
 from tessera.session import scratch_path
 from tessera.sources.tables import table
 
@@ -33,9 +33,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group of near copies."""
-    found = jaccard_join.jaccard_components(docs, **NEAR).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(found, "doc_id", "left_semi")
+    """Keeps one document of each group of near copies: the least id, a null id last; of rows that repeat it, one."""
+    found = kept_table(jaccard_join.representatives(docs, **NEAR))
+    rows = docs.select(*COLUMNS, jaccard_join.text_hash().alias("th"))
+    same = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("th") == F.col("keep_th"))
+    out = rows.join(found.where("copies = 1"), same, "left_semi").select(*COLUMNS)
+    repeated = found.where("copies > 1")
+    if repeated.isEmpty():
+        return out
+    repeated = rows.join(broadcast_if_light(repeated, F.lit(24)), same, "left_semi")
+    return out.union(repeated.groupBy("doc_id", "th").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

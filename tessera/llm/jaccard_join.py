@@ -33,7 +33,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -115,15 +115,15 @@ def _sets(batches, width, step=64):
     pa.default_memory_pool().release_unused()
 
 
-_SCAN = "id bigint, n bigint, sid binary, chunk int, part int, counts binary"
+_SCAN = "id bigint, th bigint, n bigint, sid binary, chunk int, part int, counts binary"
 
 
 def _scan(width: int):
     def run(batches):
-        """A row (id, n, sid) per document and, per task, the counts of its shingles in 2^SKETCH_BITS counters (chunk, part, counts)."""
+        """A row (id, th, n, sid) per document and, per task, the counts of its shingles in 2^SKETCH_BITS counters (chunk, part, counts)."""
         from pyspark import TaskContext
         count, waiting, size = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
         names = [c.split()[0] for c in _SCAN.split(", ")]
 
         def batch_of(*columns):
@@ -131,7 +131,7 @@ def _scan(width: int):
             return pa.RecordBatch.from_arrays([pa.nulls(n, k) if c is None else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
         for batch, lo, sets in _sets(batches, width):
-            yield batch_of(batch.column("id").slice(lo, len(sets)).to_pylist(), [len(x) for x in sets], [_set_id(x) for x in sets], None, None, None)
+            yield batch_of(*[batch.column(c).slice(lo, len(sets)).to_pylist() for c in ("id", "th")], [len(x) for x in sets], [_set_id(x) for x in sets], None, None, None)
             waiting += sets
             size += sum(map(len, sets))
             if size > 1 << SKETCH_BITS - 1:
@@ -142,7 +142,7 @@ def _scan(width: int):
         if count.any():
             task, chunks = TaskContext.get().partitionId(), count.reshape(-1, 1 << CHUNK_BITS)
             # few counters of a task pass 255: a byte each travels
-            yield batch_of(None, None, None, range(len(chunks)), [task // MEET] * len(chunks),
+            yield batch_of(None, None, None, None, range(len(chunks)), [task // MEET] * len(chunks),
                            [np.minimum(c, 255).astype(np.uint8).tobytes() for c in chunks])
     return run
 
@@ -341,17 +341,16 @@ def components(links: DataFrame) -> DataFrame:
     return kept_table(label.union(label.select(F.col("label").alias("sid"), "label").distinct()))
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
+def text_hash() -> Column:
+    """With its id, what tells a document apart."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
-    A text without words (or null) has an empty set, links with nothing and is
-    its own component.  Equal sets always link.  Rows that repeat an id are
-    separate documents under one id; a component whose ids are all null has a
-    null id.  Other columns are not read; an empty table gives an empty result.
-    """
-    docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
+
+def _labelled(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """(id, th, n, label) of the rows with words, and (id, th, n, sid) of those without."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"), text_hash().alias("th"))
     scanned = kept_table(docs.mapInArrow(_scan(width), _SCAN))
-    rows, weights = scanned.where("sid is not null").select("id", "n", "sid"), shingle_weights(scanned)
+    rows, weights = scanned.where("sid is not null").select("id", "th", "n", "sid"), shingle_weights(scanned)
     schema = "sid binary, n bigint, prefix array<bigint>, bits array<bigint>"
     order = refined_order(docs.select("text").mapInArrow(_prefixes(Order(weights), percent, width), schema), weights)
     prefixes = kept_table(docs.select("text").mapInArrow(_prefixes(order, percent, width), schema))
@@ -390,11 +389,36 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     if label is None:
         label = rows.where("false").select("sid", F.col("sid").alias("label"))
     full = rows.where("n > 0").join(label.withColumnRenamed("sid", "l"), F.col("sid") == F.col("l"), "left").select(
-        "id", "n", F.coalesce("label", "sid").alias("label"))
+        "id", "th", "n", F.coalesce("label", "sid").alias("label"))
+    return full, rows.where("n = 0")
+
+
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
+
+    A text without words (or null) has an empty set, links with nothing and is
+    its own component.  Equal sets always link.  Rows that repeat an id are
+    separate documents under one id; a component whose ids are all null has a
+    null id.  Other columns are not read; an empty table gives an empty result.
+    """
+    full, empty = _labelled(docs, percent, width)
     least = full.groupBy("label").agg(F.min("id").alias("component_id")).withColumnRenamed("label", "g")
     out = full.join(least, F.col("label") == F.col("g")).select("id", "n", "component_id")
-    out = out.union(rows.where("n = 0").select("id", "n", "id"))
-    return out.select(F.col("id").cast(docs.schema["id"].dataType).alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+    out = out.union(empty.select("id", "n", "id"))
+    return out.select(F.col("id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+
+
+def representatives(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+    """keep_id, keep_th, copies: the document (id and text hash) that stands for each component, and how many rows repeat it.
+
+    It is the one with the least id, a null id last; under one id the least
+    text hash.  A text without words stands for itself.
+    """
+    full, empty = _labelled(docs, percent, width)
+    each = full.groupBy("label", "id", "th").agg(F.count(F.lit(1)).alias("copies"))
+    first = each.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th", "copies")).alias("f")).select("f.id", "f.th", "f.copies")
+    first = first.union(empty.groupBy("id", "th").agg(F.count(F.lit(1)).alias("copies")))
+    return first.toDF("keep_id", "keep_th", "copies")
 
 
 SQL = r"""

@@ -90,6 +90,14 @@ def test_near_copies_of_the_stage_are_five_words_and_80(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_null_ids_and_repeated_rows_leave_one_of_each_group(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(30)) for x in "abcd")
+    rows = [(None, a), (None, b), (3, b), (5, c), (5, c), (6, c), (7, a.upper() + " x"), (8, d), (8, "a text of its own here"), (None, "only null"),
+            (None, "only null"), (9, "")]
+    got = [(r["doc_id"], r["text"]) for r in P.near_duplicates(spark, frame(spark, rows), "").collect()]
+    assert collections.Counter(got) == collections.Counter([(7, rows[6][1]), (3, b), (5, c), (8, d), (8, rows[8][1]), (None, "only null"), (9, "")])
+
+
 # -- op 2 and the mixing stage ------------------------------------------------------
 
 def test_one_rare_cell_does_not_throttle_all(spark, tmp_path):
