@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tessera.llm import (best_fit_packing, exact_dedup, html_text, jaccard_join, language_id, line_templates,
-                         quality_rules, secret_scan, source_mixing, token_file)
+from tessera.llm import (best_fit_packing, bottom_k, collocations, exact_dedup, html_text, jaccard_join, language_id, line_templates,
+                         periodic_runs, quality_rules, secret_scan, source_mixing, token_file)
 from tessera.llm.common import documents
 from tessera.session import scratch_path
 from tessera.sources.tables import table
@@ -54,9 +54,22 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def op12_bottom_k(spark, sf_dir):
+    return bottom_k.near_duplicates(documents(spark, sf_dir))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.digest(periodic_runs.periodic_runs(periodic_runs.planted(documents(spark, sf_dir))))
+
+
 QUERIES = {q.__name__: q for q in (
     op1_quality_rules, op2_source_mixing, op3_token_file, op4_language_id, op5_best_fit_packing, op6_line_templates, op7_html_text,
-    op8_jaccard_join, op9_secret_scan, op10_exact_dedup,
+    op8_jaccard_join, op9_secret_scan, op10_exact_dedup, op11_collocations, op12_bottom_k, op13_periodic_runs,
 )}
 
-SQL = {"op1_quality_rules": quality_rules.SQL, "op8_jaccard_join": jaccard_join.SQL, "op10_exact_dedup": exact_dedup.SQL}
+SQL = {"op1_quality_rules": quality_rules.SQL, "op8_jaccard_join": jaccard_join.SQL, "op10_exact_dedup": exact_dedup.SQL,
+       "op11_collocations": collocations.SQL, "op12_bottom_k": bottom_k.SQL}
