@@ -37,9 +37,9 @@ from tessera.llm.jaccard_join import _set_id, _sets, components
 
 WIDTH = 5
 PERCENT = 85
-K_FIRST, K_SECOND = 32, 256
+K_FIRST, K_SECOND = 32, 1024
 MISS = 1e-12  # chance that a linking pair shares fewer retained values than is asked for
-CENTRES, TURNS = 4, 2
+CENTRES, TURNS = 4, 1
 PARTNERS = 256  # pairs of one class that meet one copy of its set
 
 
