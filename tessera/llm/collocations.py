@@ -10,6 +10,12 @@ subtrees, the largest first, are spilled as sorted runs: the counts of a prefix
 are the sums below its node, so a run lists every phrase of the subtree, from
 one word up to ``max_words``, in the order of the words.
 
+A phrase is frequent only if all its neighbouring pairs of words are.  So a first
+pass counts words and pairs as 64-bit hashes and marks the frequent ones in a
+bit table of a fixed size; in the second pass a phrase ends before a pair that is
+not marked.  Hashes and bits that meet by chance only let a phrase pass that the
+exact counts drop later, so the table's size changes the work and no result.
+
 Runs of all tasks meet by phrase: Spark's shuffle is the partition by prefix
 (the whole phrase is hashed, so a frequent prefix is spread over partitions and
 a phrase is one row a run, however often it occurs) and its aggregate the merge.
@@ -19,6 +25,8 @@ and windows over the frequent rest.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -36,12 +44,38 @@ NO_LANG = "und"
 BURST = 2_048  # entries of a container
 MAX_ENTRIES = 600_000  # entries of a task's tries before subtrees are spilled: about 100 MB
 STEP_BYTES = 1 << 20  # text that is counted before it goes into the trie
+HASHES = 1 << 19  # pair hashes a task adds up before it sends them
+FILTER_BITS = 27  # 2^27 bits, 16 MB, whatever the input
 
 BREAK = b"."
 # The characters that end a piece, [.,;:!?\x0A-\x0D], and the white space between words, [\x20\x09].
 _TABLE = bytes.maketrans(b",;:!?\n\x0b\x0c\rABCDEFGHIJKLMNOPQRSTUVWXYZ", BREAK * 9 + b"abcdefghijklmnopqrstuvwxyz")
 
 
+_M = np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _M
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _hash(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+
+
+class Frequent:
+    """The bit table of the frequent words and pairs: a bit that is not set belongs to no frequent one."""
+
+    def __init__(self, table: np.ndarray):
+        self.table = table  # 64-bit words
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        word = self.table[(h & np.uint64(len(self.table) - 1)).astype(np.int64)]
+        return (word >> (h >> np.uint64(58)) & np.uint64(1)) == 1
+
+
 def tokens(text: bytes) -> list[bytes]:
     """The words of a text, A-Z in lower case, with BREAK between pieces (BREAK cannot be part of a word)."""
     return text.translate(_TABLE).replace(BREAK, b" . ").split()
@@ -84,37 +118,73 @@ class HatTrie:
         return rest, np.fromiter((c for b in boxes for c in b.values()), np.int64, n)
 
 
-class Counter:
-    """The tries of one task, by language, and the word ids they share."""
-
-    def __init__(self, max_words: int, max_entries: int):
-        self.k, self.limit = max_words, max_entries
-        self.bits = 62 // max_words
-        self.clear()
+class Vocabulary:
+    """Word ids of one task and the hashes of its words."""
 
-    def clear(self):
+    def __init__(self):
         self.words: list[bytes] = [b""]  # id 0: the end of the piece
         self.ids: dict[bytes, int] = {b"": 0}
-        self.tries: dict[str, HatTrie] = {}
-        self.entries = 0
+        self.hashes = np.zeros(1, np.uint64)
 
-    def add(self, lang: str, found: list[bytes]):
-        """Counts the tokens of some texts (each ended by BREAK)."""
+    def encode(self, found: list[bytes]) -> np.ndarray:
         coded = pa.array(found, pa.binary()).dictionary_encode()
         own = coded.dictionary.to_pylist()
+        known = len(self.words)
         to = np.empty(len(own), np.int64)
         for i, x in enumerate(own):
             to[i] = 0 if x == BREAK else self.ids.setdefault(x, len(self.ids))
             if to[i] == len(self.words):
                 self.words.append(x)
-        w = to[coded.indices.to_numpy()]
-        key, ended = w.copy(), w == 0
+        if len(self.words) > known:
+            new = np.fromiter((_hash(x) for x in self.words[known:]), np.uint64, len(self.words) - known)
+            self.hashes = np.concatenate([self.hashes, new])
+        return to[coded.indices.to_numpy()]
+
+    def hashed(self, lang: str, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words and of the pairs that start at each place (pairs across pieces are to be ignored)."""
+        with np.errstate(over="ignore"):
+            h = self.hashes[w]
+            one = _mix(h + np.uint64(_hash(lang.encode())))
+            two = one.copy()
+            two[:-1] = _mix(one[:-1] * _M + h[1:])
+        return one, two
+
+
+class Counter:
+    """The tries of one task, by language, over one vocabulary."""
+
+    def __init__(self, max_words: int, max_entries: int, frequent: Frequent | None = None):
+        self.k, self.limit, self.frequent = max_words, max_entries, frequent
+        self.bits = 62 // max_words
+        self.clear()
+
+    def clear(self):
+        self.vocabulary = Vocabulary()
+        self.tries: dict[str, HatTrie] = {}
+        self.total: dict[str, int] = {}
+        self.entries = 0
+
+    def add(self, lang: str, found: list[bytes]):
+        """Counts the tokens of some texts (each ended by BREAK)."""
+        w = self.vocabulary.encode(found)
+        key, ended, start = w.copy(), np.zeros(len(w), bool), w > 0
+        self.total[lang] = self.total.get(lang, 0) + int(start.sum())
+        if self.frequent:
+            one, two = self.vocabulary.hashed(lang, w)
+            start &= self.frequent(one)
+            goes_on = self.frequent(two)
         for k in range(1, self.k):
             after = np.zeros_like(w)
             after[:-k] = w[k:]
             ended |= after == 0
+            if self.frequent:  # the pair of the words k - 1 and k
+                pair = np.zeros(len(w), bool)
+                pair[:len(w) - k + 1] = goes_on[k - 1:]
+                ended |= ~pair
             key = key << self.bits | np.where(ended, 0, after)
-        key, counts = np.unique(key[w > 0], return_counts=True)
+        key, counts = np.unique(key[start], return_counts=True)
+        if not len(key):
+            return
         shift = self.bits * (self.k - 1)
         first = key >> shift
         rest = key & ((1 << shift) - 1)
@@ -124,7 +194,7 @@ class Counter:
             self.entries += trie.add(int(first[lo]), rest[lo:hi].tolist(), counts[lo:hi].tolist(), shift - self.bits)
 
     def full(self) -> bool:
-        return self.entries > self.limit or len(self.words) >> (self.bits - 1) > 0
+        return self.entries > self.limit or len(self.vocabulary.words) >> (self.bits - 1) > 0
 
     def spill(self, down_to: int):
         """Sorted runs (lang, phrase, count) of the largest subtrees, until ``down_to`` entries are left."""
@@ -135,10 +205,16 @@ class Counter:
                 break
             chosen.setdefault(lang, []).append(first)
             self.entries -= n
-        order = np.argsort(np.array(self.words, object)) if chosen else []
-        rank = np.empty(len(self.words), np.int64)
-        rank[order] = np.arange(len(order))
-        spelled = pa.array([self.words[i] for i in order], pa.binary()).cast(pa.string())  # by rank; the end of a piece is the least
+        if not down_to:
+            yield from ((lang, [""], [n]) for lang, n in self.total.items() if n)
+            self.total = {}
+        if not chosen:
+            return
+        words = self.vocabulary.words
+        order = pc.sort_indices(pa.array(words, pa.binary()))
+        rank = np.empty(len(words), np.int64)
+        rank[order.to_numpy()] = np.arange(len(words))
+        spelled = pa.array(words, pa.binary()).take(order).cast(pa.string())  # by rank; the end of a piece is the least
         for lang, firsts in chosen.items():
             trie, shift = self.tries[lang], self.bits * (self.k - 1)
             keys, counts = [], []
@@ -150,7 +226,6 @@ class Counter:
             columns = [rank[key >> self.bits * (self.k - 1 - j) & ((1 << self.bits) - 1)] for j in range(self.k)]
             sort = np.lexsort(columns[::-1])
             columns, count = [c[sort] for c in columns], count[sort]
-            yield lang, [""], [int(count.sum())]
             phrase, differs = None, np.zeros(len(count), bool)
             differs[0] = True
             for j in range(self.k):
@@ -166,48 +241,90 @@ class Counter:
                     yield lang, phrase, total[whole]
 
 
-def _runs(max_words: int, max_entries: int):
+def _steps(batches):
+    """{language: tokens} of about STEP_BYTES of whole texts each."""
+    waiting, size = {}, 0
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            found = tokens(text.encode("utf-8", "surrogatepass")) if text else []
+            if found:
+                own = waiting.setdefault(lang, [])
+                own += found
+                own.append(BREAK)
+                size += len(text)
+            if size > STEP_BYTES:
+                yield waiting
+                waiting, size = {}, 0
+    yield waiting
+    pa.default_memory_pool().release_unused()
+
+
+def _hash_counts(batches):
+    """Rows (h, n): occurrences of words and pairs by hash."""
+    vocabulary, hashes, counts, size = Vocabulary(), [], [], 0
+
+    def rows():
+        h, at = np.unique(np.concatenate(hashes), return_inverse=True)
+        n = np.bincount(at, np.concatenate(counts))
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+    for step in _steps(batches):
+        for lang, found in step.items():
+            w = vocabulary.encode(found)
+            one, two = vocabulary.hashed(lang, w)
+            pair = (w[:-1] > 0) & (w[1:] > 0)
+            h, n = np.unique(np.concatenate([one[w > 0], two[:-1][pair]]), return_counts=True)
+            hashes.append(h)
+            counts.append(n)
+            size += len(h)
+        if len(vocabulary.words) > HASHES:
+            vocabulary = Vocabulary()
+        if size > HASHES:
+            yield rows()
+            hashes, counts, size = [], [], 0
+    if size:
+        yield rows()
+
+
+def frequent_pairs(rows: DataFrame, min_count: int, bits: int = FILTER_BITS) -> Frequent:
+    """The bit table of words and pairs that occur ``min_count`` times or more: at most 2^bits / 64 rows reach the driver."""
+    often = rows.mapInArrow(_hash_counts, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    words = often.select(F.col("h").bitwiseAND((1 << bits - 6) - 1).cast("int").alias("word"), F.shiftrightunsigned("h", 58).cast("int").alias("bit"))
+    words = words.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask")).toArrow()
+    table = np.zeros(1 << bits - 6, np.uint64)
+    table[words.column("word").to_numpy()] = words.column("mask").to_numpy().view(np.uint64)
+    return Frequent(table)
+
+
+def _runs(max_words: int, max_entries: int, frequent: Frequent | None):
     names = ["lang", "phrase", "n"]
 
     def run(batches):
-        counter, waiting, size = Counter(max_words, max_entries), {}, 0
-
-        def flush():
-            for lang, found in waiting.items():
-                counter.add(lang, found)
-            waiting.clear()
+        counter = Counter(max_words, max_entries, frequent)
 
         def rows(down_to):
             for lang, phrase, n in counter.spill(down_to):
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(phrase, pa.string()), pa.array(n, pa.int64())], names=names)
 
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                found = tokens(text.encode("utf-8", "surrogatepass")) if text else []
-                if found:
-                    own = waiting.setdefault(lang, [])
-                    own += found
-                    own.append(BREAK)
-                    size += len(text)
-                if size > STEP_BYTES:
-                    flush()
-                    size = 0
-                    if counter.full():
-                        yield from rows(max_entries // 2 if counter.entries > max_entries else 0)
-                        if not counter.entries:
-                            counter.clear()
-        flush()
+        for step in _steps(batches):
+            for lang, found in step.items():
+                counter.add(lang, found)
+            if counter.full():
+                yield from rows(max_entries // 2 if counter.entries > max_entries else 0)
+                if not counter.entries:
+                    counter.clear()
         yield from rows(0)
         counter.clear()
-        pa.default_memory_pool().release_unused()
     return run
 
 
-def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = 1, max_entries: int = MAX_ENTRIES) -> DataFrame:
-    """lang, phrase, f: occurrences of every phrase of up to ``max_words`` words within pieces; the empty phrase has the count of all words."""
+def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = 1, max_entries: int = MAX_ENTRIES,
+                  filter_bits: int = FILTER_BITS) -> DataFrame:
+    """lang, phrase, f: the phrases of up to ``max_words`` words that occur ``min_count`` times within pieces; the empty phrase has the count of all words."""
     rows = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), F.col("text").alias("text"))
-    runs = rows.mapInArrow(_runs(max_words, max_entries), "lang string, phrase string, n bigint")
-    return runs.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+    frequent = frequent_pairs(rows, min_count, filter_bits) if min_count > 1 else None
+    runs = rows.mapInArrow(_runs(max_words, max_entries, frequent), "lang string, phrase string, n bigint")
+    return runs.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where((F.col("f") >= min_count) | (F.col("phrase") == ""))
 
 
 def collocations(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, contained_percent: int = CONTAINED_PERCENT,

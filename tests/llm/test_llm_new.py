@@ -60,6 +60,15 @@ def test_phrase_counts_when_containers_burst_and_subtrees_spill(spark, monkeypat
             assert {(r["lang"], r["phrase"]): r["f"] for r in collocations.phrase_counts(df, longest).collect()} == want
 
 
+def test_bit_table_of_any_size_loses_nothing(spark):
+    rows = talk(500, 3)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    want = {k: v for k, v in brute_counts([(x, t) for _, t, x in rows], 3).items() if v >= 6}
+    for bits in (7, 12, 20):
+        got = collocations.phrase_counts(df, 3, 6, max_entries=200, filter_bits=bits)
+        assert {(r["lang"], r["phrase"]): r["f"] for r in got.collect()} == want and len(want) > 30
+
+
 def test_collocations_match_sql(spark, tmp_path):
     rows = talk(400, 7) + [(i, "hot dog stand, hot dog", "en") for i in range(30)] + [(None, None, None), (7, "", "en")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
