@@ -9,8 +9,6 @@ as broadcasts only after their size is checked.
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +16,8 @@ from pyspark.sql import functions as F
 from tessera.functions.text import (CHUNK_SIZE, CHUNK_STEP, FACT_PREFIX, MIN_FACT_LENGTH, NONE_MARK, TOPIC_PREFIX,
                                     chunk_starts, chunks, list_item, strip)
 from tessera.functions.vectors import dot, l2_normalize
-from tessera.operators import segmented
+from tessera.operators import segmented, vector_index
+from tessera.operators.containment import first_containing
 from tessera.operators.profiles import top_k
 from tessera.session import broadcast_if_light, shared
 
@@ -28,10 +27,8 @@ CHUNK_SEPARATOR = "\n\n"
 TOP_CHUNKS = 15
 EMBED_DIM = 64
 EMBED_BATCH = 16
-# bytes up to which the query terms are broadcast; query vectors and topics of one pass
+# bytes up to which the query terms are broadcast
 QUERY_TERM_BYTES = 64 << 20
-VECTOR_BLOCK = 1_000
-TOPIC_BLOCK = 10_000
 # ------------------------------------------------------------------------------
 
 
@@ -107,27 +104,10 @@ def vector_topk(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """T02 + J06 + F10 + F11 + W11: the ``k`` rows with the highest dot product
     against each (L2-normalised) query vector; ties to the lower ``vec_id``.
 
-    The queries are taken in blocks of about ``VECTOR_BLOCK``: one block is one
-    array value (a scalar subquery, computed once) and each vector row is scored
-    against it in one expression.  ``row_number() <= k`` plans as a partial
-    ``WindowGroupLimit`` before the shuffle, so each map task forwards at most
-    ``k`` rows per query.
+    The vectors are indexed by pivots and only cells whose bound reaches the
+    k-th score are scored (:mod:`tessera.operators.vector_index`).
     """
-    queries = shared(queries)
-    blocks = queries.count() // VECTOR_BLOCK + 1
-    of = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    return reduce(DataFrame.unionByName, [_vector_block(vectors, queries.where(of == b), k) for b in range(blocks)])
-
-
-def _vector_block(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    packed = queries.select(F.struct("query_id", "query_label", l2_normalize("query_vec").alias("qv")).alias("q")).agg(
-        F.collect_list("q")).scalar()
-    # the scalar is projected first: subqueries may not sit inside a lambda
-    scored = vectors.select("vec_id", "embedding", packed.alias("_qs")).select("vec_id", F.explode(F.transform("_qs", lambda q: F.struct(
-        q["query_id"].alias("query_id"), q["query_label"].alias("query_label"),
-        dot(F.col("embedding"), q["qv"]).alias("score")))).alias("s")).select("vec_id", "s.*")
-    best = top_k(scored, ["query_id"], [F.desc("score"), F.asc("vec_id")], k)
-    return best.select("query_label", "query_id", "rank", "vec_id", F.round("score", 6).alias("score"))
+    return vector_index.search(vector_index.build(vectors), queries, k)
 
 
 def list_items(lines: DataFrame, prefix: str = TOPIC_PREFIX) -> DataFrame:
@@ -159,18 +139,8 @@ def section_facts(lines: DataFrame, topics: DataFrame) -> DataFrame:
     s = s.withColumn("_hdr", F.when(F.col("sl").startswith(TOPIC_PREFIX), F.col("line_no")))
     headers = s.where(F.col("_hdr").isNotNull()).select(
         "doc_id", F.col("line_no").alias("h_line"), F.lower(strip(F.replace(F.col("sl"), F.lit(TOPIC_PREFIX), F.lit("")))).alias("name"))
-    # each *distinct* header name meets the topic list, in blocks that are one
-    # sorted array value each (scalar subquery), and keeps its first match
-    topics = shared(topics)
-    names = headers.select("name").distinct()
-    blocks = (topics.agg(F.max("topic_pos")).first()[0] or 0) // TOPIC_BLOCK + 1
-    hits = F.filter("_topics", lambda t: F.col("name").contains(t["lt"]) | t["lt"].contains(F.col("name")))
-    found = []
-    for b in range(blocks):
-        block = topics.where(F.expr(f"topic_pos div {TOPIC_BLOCK}") == b)
-        packed = block.agg(F.sort_array(F.collect_list(F.struct("topic_pos", "topic", F.lower("topic").alias("lt"))))).scalar()
-        found.append(names.select("name", packed.alias("_topics")).select("name", F.get(hits, 0).alias("t")).where("t is not null"))
-    first = reduce(DataFrame.unionByName, found).groupBy("name").agg(F.min("t").alias("t")).select("name", F.col("t.topic").alias("topic"))
+    # each *distinct* header name meets the topics that share its rarest gram, or whose rarest gram it holds
+    first = first_containing(headers.select("name"), topics)
     matched = headers.join(first, "name").select("doc_id", "h_line", "topic")
     cur = segmented.running(s, ["doc_id"], ["line_no"], "_hdr", out="h_line", fn="max", inclusive=True)
     facts = cur.where(F.col("sl").startswith(FACT_PREFIX) & F.col("h_line").isNotNull()).select(

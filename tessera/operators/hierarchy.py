@@ -3,8 +3,8 @@
 Input: ``(tree_id, node_id, parent_id, side, value)`` -- one row per node,
 ``parent_id`` NULL at a root, ``side`` 'L' / 'R' under an operator node.  Node
 ids are unique within a tree only, so every join and group uses both ids.
-Both operators are level loops of joins; the driver holds counts alone.  Each
-level is a reliable checkpoint in the shared folder, so nothing is recomputed
+Both operators are loops of joins; the driver holds counts alone.  Each
+round is a reliable checkpoint in the shared folder, so nothing is recomputed
 when an executor is lost.  Nodes that no root reaches (a cycle, or a parent
 that does not exist) raise :class:`TreeError`.
 """
@@ -30,35 +30,56 @@ class TreeError(ValueError):
     """Some nodes are on a cycle or below a missing parent."""
 
 
+def _doubled(state: DataFrame) -> DataFrame:
+    """One round of pointer doubling: a node that knows the 2^k-th node above it learns the 2^(k+1)-th, and the sum up to it."""
+    up = state.select(F.col("tree_id").alias("t"), F.col("node_id").alias("up"), F.col("above").alias("a"), F.col("top").alias("o"),
+                      F.col("total").alias("s"), F.col("steps").alias("d"))
+    met = state.join(up, (F.col("tree_id") == F.col("t")) & (F.col("above") == F.col("up")), "left")
+    return met.select("tree_id", "node_id", F.col("a").alias("above"), F.coalesce("o", "top").alias("top"),
+                      (F.col("total") + F.coalesce("s", F.lit(0))).alias("total"), (F.col("steps") + F.coalesce("d", F.lit(0))).alias("steps"))
+
+
 def branch_sums(nodes: DataFrame) -> DataFrame:
     """For every leaf, the sum of values on the path from its root.
 
-    Top-down: the frontier carries (tree, node, root, running sum, depth,
-    path) and meets the children of its nodes, once per level.  A leaf is a
-    node without children.  ``path`` (node ids root->leaf) orders leaves left
-    to right.
+    Pointer doubling: each node keeps the node 2^k above it, the sum of the
+    nodes below that one and their number; a round joins a node to the one it
+    points at, so a tree of depth d takes log2(d) rounds, each one join and one
+    checkpoint.  ``path`` (node ids root->leaf) orders leaves left to right; it
+    is spelled out for leaves alone, from the pointers of the rounds: every
+    place on a path is a sum of powers of two.  A leaf is a node without
+    children.
     """
     edges = cut_lineage(nodes.select("tree_id", "node_id", "parent_id", "value"))
-    total = edges.count()
-    frontier = cut_lineage(edges.where(F.col("parent_id").isNull()).select(
-        "tree_id", "node_id", F.col("node_id").alias("root_id"), F.col("value").alias("branch_sum"),
-        F.lit(1).alias("depth"), F.array(F.col("node_id").cast("string")).alias("path")))
-    levels, reached, n = [frontier], 0, frontier.count()
-    while n:
-        reached += n
-        if reached > total:
-            raise TreeError("a node is reached twice")
-        up = frontier.select(F.col("tree_id").alias("t"), F.col("node_id").alias("up"), "root_id", "branch_sum", "depth", "path")
-        frontier = cut_lineage(edges.join(up, (F.col("tree_id") == F.col("t")) & (F.col("parent_id") == F.col("up"))).select(
-            "tree_id", "node_id", "root_id", (F.col("branch_sum") + F.col("value")).alias("branch_sum"),
-            (F.col("depth") + 1).alias("depth"), F.concat("path", F.array(F.col("node_id").cast("string"))).alias("path")))
-        levels.append(frontier)
-        n = frontier.count()
-    if reached < total:
-        raise TreeError(f"{total - reached} nodes have no root")
     inner = edges.where(F.col("parent_id").isNotNull()).select("tree_id", F.col("parent_id").alias("node_id")).distinct()
-    leaves = reduce(DataFrame.unionByName, levels).join(inner, ["tree_id", "node_id"], "left_anti")
-    return leaves.select("tree_id", F.col("node_id").alias("leaf_id"), "root_id", "branch_sum", "depth", "path")
+    lost = inner.join(edges, ["tree_id", "node_id"], "left_anti").count()
+    if lost:
+        raise TreeError(f"{lost} parents do not exist")
+    total = edges.count()
+    state = edges.select("tree_id", "node_id", F.col("parent_id").alias("above"), F.col("node_id").alias("top"),
+                         F.col("value").cast("bigint").alias("total"), F.lit(1).cast("bigint").alias("steps"))
+    pointers = []
+    while True:
+        jumps = state.where(F.col("above").isNotNull()).select("tree_id", "node_id", "above")
+        if jumps.isEmpty():
+            break
+        if 1 << len(pointers) > total:  # nothing lies that far above anything
+            raise TreeError("nodes above each other, or reached twice")
+        pointers.append(jumps)
+        state = cut_lineage(_doubled(state))
+    leaves = cut_lineage(state.join(inner, ["tree_id", "node_id"], "left_anti"))
+    # places on the paths: the leaf itself, then from the longest jumps down each place also jumps
+    places = leaves.select("tree_id", F.col("node_id").alias("leaf"), "node_id", F.lit(0).cast("bigint").alias("up"))
+    for k in reversed(range(len(pointers))):
+        jump = pointers[k].select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), "above")
+        far = places.join(jump, (F.col("tree_id") == F.col("t")) & (F.col("node_id") == F.col("n"))).select(
+            "tree_id", "leaf", F.col("above").alias("node_id"), (F.col("up") + (1 << k)).alias("up"))
+        places = cut_lineage(places.unionByName(far))
+    # one path per leaf: the output row itself
+    path = places.groupBy("tree_id", F.col("leaf").alias("node_id")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct((-F.col("up")).alias("p"), F.col("node_id").cast("string").alias("n")))), lambda x: x["n"]).alias("path"))
+    return leaves.join(path, ["tree_id", "node_id"]).select(
+        "tree_id", F.col("node_id").alias("leaf_id"), F.col("top").alias("root_id"), F.col("total").alias("branch_sum"), F.col("steps").cast("int").alias("depth"), "path")
 
 
 def evaluate(nodes: DataFrame) -> DataFrame:

@@ -97,10 +97,29 @@ def expected_ids(bounds: DataFrame, lo: str = "lo", hi: str = "hi", block: int =
     return spread.select(*keep, F.explode(F.sequence(start.cast("bigint"), end.cast("bigint"))).alias("id"))
 
 
+def missing_ranges(present: DataFrame, bounds: DataFrame) -> DataFrame:
+    """U02 as intervals (lo, hi): the gaps between neighbouring present ids of one lo..hi ``bounds`` row.
+
+    Gaps and islands: each id meets the one before it (skew-safe, by slices),
+    so the work follows the ids that are present, never the width of the range.
+    A NULL bound gives no gap.
+    """
+    edge = bounds.select(F.col("lo").cast("bigint").alias("_lo"), F.col("hi").cast("bigint").alias("_hi")).where("_lo <= _hi")
+    first = edge.first()
+    if first is None:
+        return edge.select(F.col("_lo").alias("lo"), F.col("_hi").alias("hi"))
+    lo, hi = first["_lo"], first["_hi"]
+    have = present.select(F.col("id").cast("bigint").alias("id")).where(F.col("id").between(lo, hi)).distinct()
+    # the first id has no neighbour before it, and the range ends after the last
+    have = have.union(have.sparkSession.createDataFrame([(hi + 1,)], "id bigint"))
+    next_to = segmented.previous_row(have, [], ["id"], ["id"])
+    gaps = next_to.select((F.coalesce("prev_id", F.lit(lo - 1)) + 1).alias("lo"), (F.col("id") - 1).alias("hi"))
+    return gaps.where("lo <= hi")
+
+
 def missing_ids(present: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Ids of the expected range that are not present (``left_anti``)."""
-    exp = expected_ids(bounds)
-    return exp.join(present.select(F.col("id").cast("bigint").alias("id")).distinct(), "id", "left_anti")
+    """Ids of the expected range that are not present: the gaps, expanded in blocks."""
+    return expected_ids(missing_ranges(present, bounds)).select("id")
 
 
 def membership(left: DataFrame, right: DataFrame, key_left: str, key_right: str) -> DataFrame:
