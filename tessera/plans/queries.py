@@ -612,7 +612,7 @@ def stream_counts(spark, sf_dir):
     """ST01: release counts maintained over a stream of orders."""
     from tessera.streaming import jobs
     out = jobs.running_release_counts(spark, sf_dir, jobs.stream_table(spark, sf_dir, "orders"), jobs.fresh(spark, "st01"))
-    return spark.read.parquet(out)
+    return jobs.read_release_counts(spark, out)
 
 
 def _counter_store(spark, sf_dir):
@@ -647,7 +647,7 @@ def stream_dedup(spark, sf_dir):
     """ST02: first row of every content hash, kept as ticket rows arrive."""
     from tessera.streaming import jobs
     store = jobs.streaming_first_per_hash(spark, _ticket_stream(spark, sf_dir), jobs.fresh(spark, "st02"))
-    return spark.read.parquet(store).drop("batch_id")
+    return jobs.read_firsts(spark, store)
 
 
 @register("stream_versions")

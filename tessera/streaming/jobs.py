@@ -5,16 +5,17 @@ checkpoint in the shared checkpoint folder and ``trigger(availableNow=True)``
 so it processes what has arrived and stops (use ``processingTime`` for a
 standing job).  Sinks are idempotent per micro-batch: a retried batch
 overwrites its own output (``batch_id`` folder), so a lost executor or a
-restarted driver never duplicates rows.
+restarted driver never duplicates rows.  State that outlives a batch is in a
+:class:`tessera.streaming.store.BucketStore` or the RocksDB state store.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import scratch_path
+from tessera.session import scratch_path, shared
+from tessera.streaming.store import BucketStore
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -44,22 +45,47 @@ def _stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- ST01: running counters --------------------------------------------------------
 
-def running_release_counts(spark: SparkSession, sf_dir: str, orders_stream: DataFrame, out: str) -> str:
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+COUNT_SCHEMA = "device string, release_type string, n bigint, batch bigint"
+
+
+def newest_counts(rows: DataFrame) -> DataFrame:
+    """Of each key the count that the last batch gave."""
+    last = rows.groupBy("device", "release_type").agg(F.max(F.struct("batch", "n")).alias("l"))
+    return last.select("device", "release_type", F.col("l.n").alias("n"), F.col("l.batch").alias("batch"))
+
+
+def count_store(spark: SparkSession, path: str, **options) -> BucketStore:
+    return BucketStore(spark, path, COUNT_SCHEMA, ["device", "release_type"], merge=newest_counts, **options)
+
+
+def running_release_counts(spark: SparkSession, sf_dir: str, orders_stream: DataFrame, out: str, **options) -> str:
     """ST01: A07 counts over arriving orders (stream-static joins to the other
-    tables), complete output mode; each batch writes the full current counts to
-    a folder of its own, so the last complete one survives a crash.  Returns
-    the newest."""
+    tables).  The counts are stateful, in the RocksDB state store, and the output
+    mode is ``update``: a batch emits only the keys it changed, and these go to
+    a bucketed store under the batch's number.  A key's newest row is its count,
+    so a batch that runs again changes nothing; the state restarts from the
+    checkpoint.  Returns the store (:func:`read_release_counts`)."""
     from tessera.operators import analyzer
     from tessera.plans import bindings
     rows = analyzer.analyzer_rows(bindings.config_rows(spark, sf_dir, orders=orders_stream, lines=_stored_lines(spark, sf_dir)))
     counts = analyzer.release_counts(rows)
+    store, provider = count_store(spark, out, **options), "spark.sql.streaming.stateStore.providerClass"
 
     def write(batch: DataFrame, batch_id: int):
-        batch.write.mode("overwrite").parquet(_batch_folder(out, batch_id))
+        store.add(batch.select("device", "release_type", "n", F.lit(batch_id).cast("bigint").alias("batch")), batch_id)
 
-    run_available(counts.writeStream.outputMode("complete").foreachBatch(write), out + "._checkpoint")
-    newest = spark.read.parquet(out).agg(F.max("batch_id")).first()[0]
-    return _batch_folder(out, newest)
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, ROCKSDB)  # read when the query starts
+    try:
+        run_available(counts.writeStream.outputMode("update").foreachBatch(write), out + "._checkpoint")
+    finally:
+        spark.conf.set(provider, before)
+    return out
+
+
+def read_release_counts(spark: SparkSession, out: str) -> DataFrame:
+    return newest_counts(count_store(spark, out).read()).drop("batch")
 
 
 def running_app_counts(spark: SparkSession, sf_dir: str, orders_stream: DataFrame, store: str) -> str:
@@ -96,34 +122,32 @@ def _batch_folder(store: str, batch_id: int) -> str:
     return f"{store}/batch_id={batch_id}"
 
 
-def _stored(spark: SparkSession, store: str, schema: str, before: int) -> DataFrame:
-    try:
-        df = spark.read.schema(schema + ", batch_id long").parquet(store)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":  # anything else must not read as "nothing stored"
-            raise
-        return spark.createDataFrame([], schema)
-    return df.where(F.col("batch_id") < before).drop("batch_id")
+FIRST_SCHEMA = "seq bigint, ticket_id string, content string, content_hash string"
+VERSION_SCHEMA = "ticket_id string, content_hash string, first_seq bigint, content string, version bigint"
 
 
-def streaming_first_per_hash(spark: SparkSession, tickets_stream: DataFrame, store: str) -> str:
+def streaming_first_per_hash(spark: SparkSession, tickets_stream: DataFrame, path: str, **options) -> str:
     """ST02 (D02/D03): keep the first row of every content hash across batches.
 
     Per batch: first row per hash (min seq, deterministic), minus hashes
-    already stored by earlier batches (``left_anti``); written to the batch's
-    own folder.  State = the stored table, so it is not bounded by memory.
+    already stored by earlier batches (``left_anti``).  The state is a stored
+    table bucketed by the hash, of which a batch reads the hashes of the buckets
+    it touches; it is not bounded by memory.
     """
     from tessera.operators import ingest
-    schema = "seq bigint, ticket_id string, content string, content_hash string"
+    store = BucketStore(spark, path, FIRST_SCHEMA, ["content_hash"], **options)
 
     def write(batch: DataFrame, batch_id: int):
-        firsts = ingest.first_per_hash(batch)
-        seen = _stored(spark, store, schema, batch_id).select("content_hash")
-        firsts.join(seen, "content_hash", "left_anti").select("seq", "ticket_id", "content", "content_hash") \
-            .write.mode("overwrite").parquet(_batch_folder(store, batch_id))
+        firsts = shared(ingest.first_per_hash(batch))
+        seen = store.read(["content_hash"], store.touched(firsts), batch_id)
+        store.add(firsts.join(seen, "content_hash", "left_anti"), batch_id)
 
-    run_available(tickets_stream.writeStream.foreachBatch(write), store + "._checkpoint")
-    return store
+    run_available(tickets_stream.writeStream.foreachBatch(write), path + "._checkpoint")
+    return path
+
+
+def read_firsts(spark: SparkSession, path: str) -> DataFrame:
+    return BucketStore(spark, path, FIRST_SCHEMA, ["content_hash"]).read()
 
 
 def dedup_within_watermark(stream: DataFrame, ts_col: str, delay: str, keys: list[str]) -> DataFrame:
@@ -148,33 +172,33 @@ def hourly_keys(events: DataFrame, out: str, delay: str = "2 hours") -> str:
 
 # --- ST03: batch upsert with versions ---------------------------------------------------
 
-def streaming_versions(spark: SparkSession, tickets_stream: DataFrame, store: str) -> str:
+def streaming_versions(spark: SparkSession, tickets_stream: DataFrame, path: str, **options) -> str:
     """ST03 (D04/D05): new distinct (ticket, content) pairs get the next
-    version numbers after those already stored for the ticket."""
+    version numbers after those already stored for the ticket.  The store is
+    bucketed by ticket; a batch reads keys and versions of the buckets it touches."""
     from tessera.functions.text import content_hash
     from tessera.operators import segmented
-    schema = "ticket_id string, content_hash string, first_seq bigint, content string, version bigint"
+    store = BucketStore(spark, path, VERSION_SCHEMA, ["ticket_id"], **options)
 
     def write(batch: DataFrame, batch_id: int):
         h = batch.withColumn("content_hash", content_hash("content"))
-        firsts = h.groupBy("ticket_id", "content_hash").agg(F.min(F.struct("seq", "content")).alias("f")).select(
-            "ticket_id", "content_hash", F.col("f.seq").alias("first_seq"), F.col("f.content").alias("content"))
-        stored = _stored(spark, store, schema, batch_id)
+        firsts = shared(h.groupBy("ticket_id", "content_hash").agg(F.min(F.struct("seq", "content")).alias("f")).select(
+            "ticket_id", "content_hash", F.col("f.seq").alias("first_seq"), F.col("f.content").alias("content")))
+        stored = store.read(["ticket_id", "content_hash", "version"], store.touched(firsts), batch_id)
         new = firsts.join(stored.select("ticket_id", "content_hash"), ["ticket_id", "content_hash"], "left_anti")
         base = stored.groupBy("ticket_id").agg(F.max("version").alias("_base"))
         ranked = segmented.ranked(new, ["ticket_id"], ["first_seq"], out="_n", method="row_number")
-        out = ranked.join(base, "ticket_id", "left").select(
+        store.add(ranked.join(base, "ticket_id", "left").select(
             "ticket_id", "content_hash", "first_seq", "content",
-            (F.coalesce(F.col("_base"), F.lit(0)) + F.col("_n")).cast("bigint").alias("version"))
-        out.write.mode("overwrite").parquet(_batch_folder(store, batch_id))
+            (F.coalesce(F.col("_base"), F.lit(0)) + F.col("_n")).cast("bigint").alias("version")), batch_id)
 
-    run_available(tickets_stream.writeStream.foreachBatch(write), store + "._checkpoint")
-    return store
+    run_available(tickets_stream.writeStream.foreachBatch(write), path + "._checkpoint")
+    return path
 
 
-def read_versions(spark: SparkSession, store: str) -> DataFrame:
+def read_versions(spark: SparkSession, path: str) -> DataFrame:
     """The versions table with ``is_latest`` (highest version of the ticket)."""
-    v = spark.read.parquet(store).drop("batch_id")
+    v = BucketStore(spark, path, VERSION_SCHEMA, ["ticket_id"]).read()
     top = v.groupBy("ticket_id").agg(F.max("version").alias("_max"))
     return v.join(top, "ticket_id").withColumn("is_latest", F.col("version") == F.col("_max")).drop("_max")
 

@@ -103,12 +103,14 @@ def test_facts_of_every_line_and_topic(spark):
     assert documents.consolidate_topics(items).count() == 60 and documents.consolidate_topics(items, 25).count() == 25
 
 
-def test_vector_blocks_equal_one_block(spark, monkeypatch):
+def test_vector_topk_does_not_depend_on_the_index(spark):
     v = spark.range(40).select(F.col("id").alias("vec_id"), F.array(F.sin("id"), F.cos("id"), F.lit(0.5)).alias("embedding"))
     q = v.where("vec_id < 9").select(F.col("vec_id").alias("query_id"), F.col("vec_id").cast("string").alias("query_label"), F.col("embedding").alias("query_vec"))
     one = sorted(map(tuple, documents.vector_topk(v, q, 3).collect()))
-    monkeypatch.setattr(documents, "VECTOR_BLOCK", 2)
-    assert sorted(map(tuple, documents.vector_topk(v, q, 3).collect())) == one and len(one) == 27
+    from tessera.operators import vector_index
+    for pivots, rings in ((1, 1), (2, 3), (40, 1)):
+        index = vector_index.build(v, pivots, rings)
+        assert sorted(map(tuple, vector_index.search(index, q, 3).collect())) == one and len(one) == 27
 
 
 def test_plain_csv_is_read_in_splits(spark, tmp_path):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import ingest
 from tessera.streaming import jobs
+from tessera.streaming.store import BucketStore
 
 SF = "/root/testdata/sf0.001"
 
@@ -88,14 +89,99 @@ def test_restart_goes_on_where_it_stopped(spark, tmp_path):
     assert sorted(map(tuple, jobs.read_versions(spark, store).select(cols).collect())) == sorted(map(tuple, want))
 
 
-def test_stored_raises_on_anything_but_a_missing_path(spark, tmp_path):
+def test_store_raises_on_anything_but_a_missing_path(spark, tmp_path):
+    import glob
+
+    import pytest
+    store = BucketStore(spark, str(tmp_path / "bad"), "a long", ["a"], buckets=1)
+    assert store.read().count() == 0
+    store.add(spark.createDataFrame([(1,)], "a long"), 0)
+    assert store.read().count() == 1
+    for f in glob.glob(f"{tmp_path}/bad/batch_id=0/bucket=0/*.parquet"):
+        with open(f, "w") as out:
+            out.write("no parquet")
+        crc = f"{f[:f.rindex('/')]}/.{f[f.rindex('/') + 1:]}.crc"
+        open(crc, "w").close()
+    with pytest.raises(Exception, match="(?i)parquet|footer|file|checksum"):
+        store.read().collect()
+
+
+def test_files_read_do_not_grow_with_history(spark, tmp_path):
+    store = BucketStore(spark, str(tmp_path / "s"), "k long, batch long", ["k"], buckets=4, max_pieces=3)
+    most = []
+    for i in range(14):
+        rows = spark.range(40).select(F.col("id").alias("k"), F.lit(i).cast("long").alias("batch"))
+        buckets = store.touched(rows)
+        seen = store.read(["k"], buckets, before=i)
+        assert seen.count() == 40 * i
+        most.append(max([len(seen.inputFiles()), 0]))
+        store.add(rows, i)
+    assert len(buckets) == 4 and max(most) <= 4 * 3 and max(most[7:]) <= max(most[:7])
+    assert store.read().count() == 40 * 14
+    few = spark.range(1).select(F.col("id").alias("k"))
+    one = store.read(["k"], store.touched(few))
+    assert one.count() < 40 * 14 and len(one.inputFiles()) <= 3  # a batch of one key reads one bucket
+
+
+def test_a_crash_before_the_switch_loses_and_doubles_nothing(spark, tmp_path, monkeypatch):
     import pytest
-    assert jobs._stored(spark, str(tmp_path / "none"), "a long", 1).count() == 0
-    bad = tmp_path / "bad" / "batch_id=0"
-    bad.mkdir(parents=True)
-    (bad / "part-0.parquet").write_text("no parquet")
-    with pytest.raises(Exception, match="(?i)parquet|footer|file"):
-        jobs._stored(spark, str(tmp_path / "bad"), "a long", 1).count()
+    store = BucketStore(spark, str(tmp_path / "s"), "k long", ["k"], buckets=2, max_pieces=2)
+    rows = lambda lo: spark.range(lo, lo + 10).select(F.col("id").alias("k"))
+    for i in range(3):
+        store.add(rows(10 * i), i)
+
+    def crash(*_):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(store, "_switch", crash)
+        with pytest.raises(RuntimeError):
+            store.add(rows(30), 3)  # data and compacted pieces are written, the manifest is not
+    again = BucketStore(spark, str(tmp_path / "s"), "k long", ["k"], buckets=2, max_pieces=2)
+    assert sorted(r[0] for r in again.read().collect()) == list(range(30))
+    for _ in range(2):  # the batch runs again, and once more
+        again.add(rows(30), 3)
+        assert sorted(r[0] for r in again.read().collect()) == list(range(40))
+    assert sorted(r[0] for r in again.read(before=2).collect()) == list(range(20))
+
+
+def test_first_per_hash_and_versions_with_compaction(spark, tmp_path):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    folder = str(tmp_path / "in")
+    write_in_order(ev, "event_id", 6, folder)
+    stream = lambda: tickets_of(jobs.stream_table(spark, folder, "events", 1))
+    small = {"buckets": 3, "max_pieces": 2}
+    a = jobs.streaming_first_per_hash(spark, stream(), str(tmp_path / "a"), **small)
+    want = ingest.first_per_hash(tickets_of(ev)).select("seq", "content_hash").collect()
+    assert sorted(map(tuple, jobs.read_firsts(spark, a).select("seq", "content_hash").collect())) == sorted(map(tuple, want))
+    b = jobs.streaming_versions(spark, stream(), str(tmp_path / "b"), **small)
+    cols = ["ticket_id", "content_hash", "first_seq", "version", "is_latest"]
+    want = ingest.versions(tickets_of(ev)).select(cols).collect()
+    assert sorted(map(tuple, jobs.read_versions(spark, b).select(cols).collect())) == sorted(map(tuple, want))
+
+
+def test_update_mode_counts_equal_the_batch_answer_over_a_restart(spark, tmp_path):
+    import glob
+    import os
+    import shutil
+    import time
+
+    from tessera.operators import analyzer
+    from tessera.plans import bindings
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    folder, store, now = str(tmp_path / "in"), str(tmp_path / "counts"), time.time()
+    os.makedirs(folder)
+    for part in (range(3), range(3, 6)):
+        for i in part:
+            orders.where(F.col("o_orderkey") % 6 == i).coalesce(1).write.parquet(f"{tmp_path}/p{i}")
+            shutil.copy(glob.glob(f"{tmp_path}/p{i}/*.parquet")[0], f"{folder}/orders{i}.parquet")
+            os.utime(f"{folder}/orders{i}.parquet", (now - 100 + i * 10, now - 100 + i * 10))
+        jobs.running_release_counts(spark, SF, jobs.stream_table(spark, folder, "orders", 1), store, buckets=2, max_pieces=2)
+        arrived = orders.where(F.col("o_orderkey") % 6 <= part[-1])
+        want = analyzer.release_counts(analyzer.analyzer_rows(bindings.config_rows(spark, SF, orders=arrived)))
+        got = jobs.read_release_counts(spark, store)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+    assert len(glob.glob(f"{store}/batch_id=*")) >= 6
+    assert glob.glob(f"{store}._checkpoint/state/0/0/*.zip") + glob.glob(f"{store}._checkpoint/state/0/0/*.changelog")  # RocksDB's
 
 
 def test_partial_counters_across_batches(spark, tmp_path):
