@@ -1,18 +1,21 @@
 """Per-document error isolation (T06) and quality metrics.
 
 T06: instead of a try/except around each document, every check is a column
-expression; rows with an error go to a quarantine frame and the rest go on.
+expression; rows with an error go to a quarantine frame or folder and the rest
+go on.  Expressions that can fail on a value are ``try_`` forms, so an error is
+a row's own and has the name of the expression.
 A25: metrics named in the requirements prose -- a percentile latency-style
 summary and precision / recall / F1 / accuracy from conditional sums.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import bracket_chars, brackets_balanced
 from tessera.operators import segmented
+from tessera.session import shared
 
 # fixed values: quarantine reasons
 NO_TEXT = "no text"
@@ -27,6 +30,32 @@ def document_errors(docs: DataFrame) -> DataFrame:
                            .when(~brackets_balanced(bracket_chars("text")), F.lit(UNBALANCED)))
 
 
+def isolated(df: DataFrame, parts: dict[str, tuple[str, Column]]) -> DataFrame:
+    """Evaluate expressions that may fail, each on its own: one bad value never stops the job or hides the others.
+
+    ``parts`` maps a new column to (the column it reads, an expression that gives
+    NULL instead of raising: ``try_cast``, ``try_variant_get``, ``try_divide`` ...).
+    An expression failed where its input is there and its value is not; the names
+    of those that did are the array ``errors`` (empty when all is well).
+    """
+    out = df.select("*", *[e.alias(name) for name, (_, e) in parts.items()])
+    failed = [F.when(F.col(of).isNotNull() & F.col(name).isNull(), F.lit(name)) for name, (of, _) in parts.items()]
+    return out.withColumn("errors", F.filter(F.array(*failed), lambda x: x.isNotNull()))
+
+
+def json_field(text: str, path: str, kind: str) -> Column:
+    """A field of a JSON text as ``kind``; NULL if the text is no JSON, or the field is absent or of another kind."""
+    return F.try_variant_get(F.try_parse_json(F.col(text)), path, kind)
+
+
+def quarantine(df: DataFrame, folder: str, errors: str = "errors") -> DataFrame:
+    """T06 sink: rows with errors are appended to ``folder`` (Parquet, one row each, with the names of what failed);
+    returns the other rows.  Both come from one checkpoint, so they fit together even if an input changes."""
+    df = shared(df)
+    df.where(F.size(errors) > 0).write.mode("append").parquet(folder)
+    return df.where(F.size(errors) == 0).drop(errors)
+
+
 def split_errors(df: DataFrame, error_col: str = "error"):
     """(good rows, quarantine rows) -- one pass each, no driver loop."""
     return df.where(F.col(error_col).isNull()).drop(error_col), df.where(F.col(error_col).isNotNull())

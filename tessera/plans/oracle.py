@@ -1063,3 +1063,52 @@ FROM c
 SQL["stream_dedup_watermark"] = """
 SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) AS hour FROM events
 """
+
+
+SQL["event_quarantine"] = """
+WITH d AS (
+  SELECT event_id,
+         CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 7 = 0 THEN left(props, length(props) - 1)
+              WHEN event_id % 11 = 0 THEN replace(props, ': ', ': "x') ELSE props END AS props,
+         CASE WHEN event_id % 5 = 0 THEN event_type || CAST(value AS VARCHAR) ELSE CAST(value AS VARCHAR) END AS amount,
+         value
+  FROM events),
+p AS (
+  SELECT event_id, props IS NOT NULL AS has_props, amount IS NOT NULL AS has_amount,
+         CASE WHEN json_valid(props) THEN TRY_CAST(json_extract_string(CASE WHEN json_valid(props) THEN props ELSE '{}' END, '$.k') AS BIGINT) END AS k,
+         CASE WHEN event_id % 5 <> 0 THEN value END AS amount_value
+  FROM d)
+SELECT event_id,
+       concat_ws(',', CASE WHEN has_props AND k IS NULL THEN 'k' END, CASE WHEN has_amount AND amount_value IS NULL THEN 'amount_value' END) AS errors,
+       k, amount_value
+FROM p WHERE (has_props AND k IS NULL) OR (has_amount AND amount_value IS NULL)
+"""
+
+SQL["csv_rejects"] = """
+WITH b AS (SELECT p_partkey AS k, p_size, p_brand, repeat(chr(34), 2) || 'x' || repeat(chr(34), 2) || chr(34) AS x FROM part),
+l AS (
+  SELECT CASE WHEN k % 7 = 0 THEN 'too few' WHEN k % 11 = 0 THEN 'too many' ELSE 'read' END AS kind,
+         CASE WHEN k % 7 = 0 THEN k || ',' || chr(34) || p_brand || ', ' || x
+              WHEN k % 11 = 0 THEN k || ',' || chr(34) || p_brand || ', ' || x || ',' || p_size || ',more'
+              ELSE k || '|' || p_brand || ', ' || chr(34) || 'x' || chr(34) || '|' || p_size END AS text
+  FROM b)
+SELECT kind, count(*) AS n, min(text) AS first, max(text) AS last FROM l GROUP BY kind
+"""
+
+SQL["distinct_sketch_levels"] = """
+SELECT CASE WHEN grouping(s_nationkey, l_returnflag) = 0 THEN 0 WHEN grouping(s_nationkey, l_returnflag) = 1 THEN 1 ELSE 2 END AS level,
+       s_nationkey, l_returnflag, count(DISTINCT l_partkey) AS n_exact, TRUE AS within_bound
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+GROUP BY GROUPING SETS ((s_nationkey, l_returnflag), (s_nationkey), ())
+"""
+
+SQL["quantile_sketches"] = """
+WITH v AS (SELECT event_type, value FROM events UNION ALL SELECT '(all)', value FROM events)
+SELECT event_type, p, count(value) AS n, TRUE AS within_bound
+FROM v, (VALUES (0.5::DOUBLE), (0.9::DOUBLE)) AS a(p) GROUP BY event_type, p
+"""
+
+SQL["raw_files"] = """
+SELECT doc_id % 16 AS part, CAST(sum(strlen(text) + 1) AS BIGINT) AS n_bytes, count(*) AS n_docs, TRUE AS hashed
+FROM documents WHERE text IS NOT NULL GROUP BY doc_id % 16
+"""

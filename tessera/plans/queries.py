@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import profiles
 from tessera.plans import bindings
-from tessera.session import shared
+from tessera.session import scratch_path, shared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -706,3 +706,94 @@ def stream_dedup_watermark(spark, sf_dir):
     from tessera.streaming import jobs
     out = jobs.hourly_keys(jobs.stream_table(spark, sf_dir, "events"), jobs.fresh(spark, "st02w"))
     return spark.read.parquet(out)
+
+
+def _damaged_props(spark, sf_dir):
+    """Events whose property text is cut short (every 7th id), has text for a number (every 11th) or is absent (every 13th)."""
+    from tessera.sources.tables import table
+    e = table(spark, sf_dir, "events", "event_id", "event_type", "value", "props")
+    i = F.col("event_id")
+    props = (F.when(i % 13 == 0, F.lit(None).cast("string")).when(i % 7 == 0, F.expr("left(props, length(props) - 1)"))
+             .when(i % 11 == 0, F.replace("props", F.lit(": "), F.lit(": \"x"))).otherwise(F.col("props")))
+    amount = F.when(i % 5 == 0, F.concat(F.col("event_type"), F.col("value").cast("string"))).otherwise(F.col("value").cast("string"))
+    return e.select("event_id", props.alias("props"), amount.alias("amount"))
+
+
+@register("event_quarantine")
+def event_quarantine(spark, sf_dir):
+    """Events with a field that cannot be read, the names of the fields and the values that could be."""
+    from tessera.operators import quality
+    parts = {"k": ("props", quality.json_field("props", "$.k", "bigint")), "amount_value": ("amount", F.expr("try_cast(amount AS double)"))}
+    folder = scratch_path(spark, "quarantine")
+    quality.quarantine(quality.isolated(_damaged_props(spark, sf_dir), parts), folder)
+    return spark.read.parquet(folder).select("event_id", F.array_join("errors", ",").alias("errors"), "k", "amount_value")
+
+
+@register("csv_rejects")
+def csv_rejects(spark, sf_dir):
+    """Parts as CSV lines of which some lack a field or have one too many: rows read and lines rejected, by kind."""
+    from tessera.sources import csvfiles
+    from tessera.sources.tables import table
+    p = table(spark, sf_dir, "part", "p_partkey", "p_brand", "p_size")
+    k = F.col("p_partkey")
+    quoted = F.concat(F.lit('"'), F.col("p_brand"), F.lit(', ""x"""'))
+    line = (F.when(k % 7 == 0, F.concat_ws(",", k.cast("string"), quoted))
+            .when(k % 11 == 0, F.concat_ws(",", k.cast("string"), quoted, F.col("p_size").cast("string"), F.lit("more")))
+            .otherwise(F.concat_ws(",", k.cast("string"), quoted, F.col("p_size").cast("string"))))
+    folder = scratch_path(spark, "damaged-csv")
+    p.select(line.alias("value")).write.text(folder)
+    good, bad = csvfiles.read_csv_with_rejects(spark, folder, ["k", "brand", "size"], header=False)
+    fields = F.when(bad["line"].endswith(",more"), "too many").otherwise("too few")
+    rows = good.select(F.lit("read").alias("kind"), F.concat_ws("|", "k", "brand", "size").alias("text"))
+    rows = rows.unionByName(bad.select(fields.alias("kind"), F.col("line").alias("text")))
+    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.min("text").alias("first"), F.max("text").alias("last"))
+
+
+@register("distinct_sketch_levels")
+def distinct_sketch_levels(spark, sf_dir):
+    """Distinct parts per supplier nation and ship mode, per nation and in all, from merged HLL sketches beside the exact count."""
+    from tessera.operators import sketches
+    from tessera.sources.tables import table
+    li = table(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_returnflag")
+    rows = li.join(table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+    levels = [["s_nationkey", "l_returnflag"], ["s_nationkey"], []]
+    found = sketches.distinct_levels(rows, levels, "l_partkey")
+    exact = rows.groupingSets([[F.col(k) for k in keys] for keys in levels], "s_nationkey", "l_returnflag").agg(
+        F.count_distinct("l_partkey").alias("n_exact"), F.grouping_id().alias("g"))
+    exact = exact.select(F.when(F.col("g") == 0, 0).when(F.col("g") == 1, 1).otherwise(2).alias("at"), F.col("s_nationkey").alias("a"), F.col("l_returnflag").alias("b"), "n_exact")
+    same = (F.col("level") == F.col("at")) & F.col("s_nationkey").eqNullSafe(F.col("a")) & F.col("l_returnflag").eqNullSafe(F.col("b"))
+    inside = F.abs(F.col("n_estimate") - F.col("n_exact")) <= F.greatest(F.lit(1.0), F.col("n_exact") * sketches.hll_bound())
+    return found.join(exact, same).select("level", "s_nationkey", "l_returnflag", "n_exact", inside.alias("within_bound"))
+
+
+@register("quantile_sketches")
+def quantile_sketches(spark, sf_dir):
+    """Median and p90 of the event value per type and in all from merged KLL sketches, by the exact rank of the answer."""
+    from tessera.operators import sketches
+    from tessera.sources.tables import table
+    ev = table(spark, sf_dir, "events", "event_type", "value", "user_id").withColumn("part", F.pmod(F.xxhash64("user_id"), F.lit(8)))
+    fine = sketches.quantile_sketches(ev, ["event_type", "part"], "value")
+    by_type = sketches.merged_quantiles(fine, ["event_type"])
+    both = by_type.unionByName(sketches.merged_quantiles(by_type, []).select(F.lit("(all)").alias("event_type"), "sketch"))
+    asked = shared(both.select(F.col("event_type").alias("of"), F.explode(F.array(*[
+        F.struct(F.lit(p).alias("p"), sketches.quantile(p).alias("q")) for p in (0.5, 0.9)])).alias("x")).select("of", "x.*"))
+    # a few rows a type: the exact ranks come from one aggregate over the values
+    rows = ev.select("event_type", "value").unionByName(ev.select(F.lit("(all)").alias("event_type"), "value"))
+    ranks = rows.join(asked, F.col("event_type") == F.col("of")).groupBy("event_type", "p").agg(
+        F.count("value").alias("n"), F.count(F.when(F.col("value") < F.col("q"), 1)).alias("below"), F.count(F.when(F.col("value") <= F.col("q"), 1)).alias("upto"))
+    slack = F.col("n") * sketches.KLL_RANK_ERROR + 1
+    target = F.col("n") * F.col("p")
+    return ranks.select("event_type", "p", "n", ((F.col("below") <= target + slack) & (F.col("upto") >= target - slack)).alias("within_bound"))
+
+
+@register("raw_files")
+def raw_files(spark, sf_dir):
+    """Documents written as raw files and scanned as binary files: files, bytes and lines per folder."""
+    from tessera.sources.tables import binary_file_scan, table
+    folder = scratch_path(spark, "raw")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    docs.select((F.col("doc_id") % 16).alias("part"), F.col("text")).where(F.col("text").isNotNull()).write.partitionBy("part").option("lineSep", "\u0001").text(folder)
+    files = binary_file_scan(spark, folder, "*.txt")
+    ends = F.length("content") - F.length(F.replace(F.col("content").cast("string"), F.lit("\u0001"), F.lit("")).cast("binary"))
+    return files.groupBy(F.regexp_extract("path", "part=([0-9]+)", 1).cast("bigint").alias("part")).agg(
+        F.sum("n_bytes").alias("n_bytes"), F.sum(ends).cast("bigint").alias("n_docs"), (F.sum(F.length("sha256")) == F.count(F.lit(1)) * 64).alias("hashed"))

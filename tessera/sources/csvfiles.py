@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import scratch_path
+from tessera.session import cut_lineage, scratch_path
 
 CSV_TEXT_OPTIONS = {
     "header": "true",
@@ -67,6 +67,26 @@ def read_quoted_csv(spark: SparkSession, path: str, normalise: bool = False) ->
     return df.where(non_blank)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_csv_with_rejects(spark: SparkSession, path: str, columns: list[str], header: bool = True, multi_line: bool = False):
+    """(good rows, rejected lines) of a quoted CSV; nothing is lost in silence.
+
+    ``PERMISSIVE`` mode with a corrupt-record column: a line with fewer or more
+    fields than ``columns``, or with an unterminated quote, is a reject and keeps
+    its raw text (column ``line``) and file (``path``).  All-blank lines are
+    neither.  The file is parsed once, into a checkpoint both frames come from.
+    """
+    schema = ", ".join(f"`{c}` string" for c in [*columns, CORRUPT])
+    raw = (spark.read.options(**(CSV_TEXT_OPTIONS | {"header": str(header).lower()})).option("multiLine", str(multi_line).lower())
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", "true").schema(schema).csv(path))
+    rows = cut_lineage(raw.select(*[F.col(f"`{c}`") for c in columns], F.col(CORRUPT).alias("line"), F.col("_metadata.file_path").alias("path")))
+    blank = reduce(lambda a, b: a & b, [F.length(F.trim(F.coalesce(F.col(f"`{c}`"), F.lit("")))) == 0 for c in columns])
+    good = rows.where(F.col("line").isNull() & ~blank).select(*[F.col(f"`{c}`") for c in columns])
+    return good, rows.where(F.col("line").isNotNull()).select("line", "path")
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Header row; fields quoted only when needed, inner quotes doubled."""
     (df.write.mode(mode).options(**CSV_TEXT_OPTIONS).option("quoteAll", "false")

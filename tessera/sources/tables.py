@@ -7,6 +7,7 @@ reader by Catalyst.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,9 +47,20 @@ def document_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def binary_file_scan(spark: SparkSession, folder: str, glob: str = "*.pdf") -> DataFrame:
-    """S04 for raw files: one row per matching file (path, modificationTime, length, content)."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true").load(folder))
+    """S04 for raw files: one row per matching file below ``folder``: path, name, modified, n_bytes, sha256, content.
+
+    Name, size and time come from the file's metadata, so a query that asks for
+    these alone reads no content.  Spark plans no row for a file of no bytes.  Folders without a match, and folders that do
+    not exist, give an empty frame with the same columns.
+    """
+    try:
+        found = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = spark.createDataFrame([], "path string, modificationTime timestamp, length long, content binary")
+    return found.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.col("modificationTime").alias("modified"),
+                        F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("sha256"), "content")
 
 
 def page_urls(ids: DataFrame, base_url: str, id_col: str = "issue_id") -> DataFrame:
