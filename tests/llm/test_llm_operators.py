@@ -264,19 +264,28 @@ def test_grams_and_distance():
 
 # -- op 6 ------------------------------------------------------------------------
 
-def brute_lines(rows):
-    leaves, gone = collections.defaultdict(list), collections.defaultdict(set)
+def brute_lines(rows, short=False, literals=0, like_docs=2):
+    """``short``: lines with fewer than five tokens or ``literals`` literal ones are judged by all their tokens, fields as they
+    stand; ``like_docs``: documents that lines need which are alike but not equal (equal ones need two)."""
+    leaves, gone, same = collections.defaultdict(list), collections.defaultdict(set), collections.defaultdict(list)
     for i, t in sorted(rows, key=lambda x: x[0]):
         for k, line in enumerate((t or "").split("\n")):
-            w = [line_templates.FIELD if re.search("[0-9]", x) else x for x in WORD.findall(line)]
-            if len(w) >= 5:
-                leaves[(len(w), *w[:3])].append((i, k, tuple(w)))
+            raw = tuple(WORD.findall(line))
+            w = tuple(line_templates.FIELD if re.search("[0-9]", x) else x for x in raw)
+            if len(w) < 5 or sum(x != line_templates.FIELD for x in w) < literals:
+                if short and w:
+                    same[raw].append((i, k))
+            else:
+                same[raw].append((i, k))
+                leaves[(len(w), *w[:3])].append((i, k, w))
+    alike = []
     for own in leaves.values():
         left, head = list(dict.fromkeys(w for _, _, w in own)), {}
         while left:
             rest = []
             for w in left:
-                if sum(a == b for a, b in zip(w, left[0], strict=True)) >= 0.8 * len(w):
+                equal = [a for a, b in zip(w, left[0], strict=True) if a == b]
+                if len(equal) >= 0.8 * len(w) and sum(a != line_templates.FIELD for a in equal) >= literals:
                     head[w] = left[0]
                 else:
                     rest.append(w)
@@ -284,10 +293,11 @@ def brute_lines(rows):
         met = collections.defaultdict(list)
         for i, k, w in own:
             met[head[w]].append((i, k))
-        for places in met.values():
-            for i, k in places:
-                if i != places[0][0]:
-                    gone[i].add(k)
+        alike += [places for places in met.values() if len({i for i, _ in places}) >= like_docs]
+    for places in [*same.values(), *alike]:
+        for i, k in places:
+            if i != places[0][0]:
+                gone[i].add(k)
     return {i: "\n".join(x for k, x in enumerate((t or "").split("\n")) if k not in gone[i]) for i, t in rows}
 
 
@@ -299,8 +309,9 @@ def test_line_templates_match_brute_force(spark, rows):
                  " ".join(r.choice(["the", "of", "a", "b", "c"]) for _ in range(r.randint(3, 8))), "too short line"]
         made.append((5000 + i, "\n".join(r.sample(lines, r.randint(1, 3)))))
     some = rows + made
-    got = {x["doc_id"]: x["text"] for x in line_templates.drop_recurring_lines(frame(spark, some).repartition(3)).collect()}
-    assert got == brute_lines(some)
+    for job in ({}, line_templates.WHOLE_JOB):
+        got = {x["doc_id"]: x["text"] for x in line_templates.drop_recurring_lines(frame(spark, some).repartition(3), **job).collect()}
+        assert got == brute_lines(some, **job)
 
 
 # -- op 7 ------------------------------------------------------------------------
@@ -325,16 +336,16 @@ def test_html_template_and_single_pages(spark):
 
 # -- op 8 ------------------------------------------------------------------------
 
-def sets_of(rows):
+def sets_of(rows, width=3):
     out = {}
     for i, t in rows:
         w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
-        out[i] = frozenset(tuple(w[k:k + 3]) for k in range(max(1, len(w) - 2))) if w else frozenset()
+        out[i] = frozenset(tuple(w[k:k + width]) for k in range(max(1, len(w) - width + 1))) if w else frozenset()
     return out
 
 
-def brute_components(rows):
-    s = sets_of(rows)
+def brute_components(rows, width=3, percent=90):
+    s = sets_of(rows, width)
     up = {i: i for i in s}
 
     def root(x):
@@ -344,7 +355,7 @@ def brute_components(rows):
     ids = sorted(s)
     for a, i in enumerate(ids):
         for j in ids[:a]:
-            if s[i] and s[j] and 100 * len(s[i] & s[j]) >= 90 * len(s[i] | s[j]):
+            if s[i] and s[j] and 100 * len(s[i] & s[j]) >= percent * len(s[i] | s[j]):
                 x, y = sorted((root(i), root(j)))
                 up[y] = x
     return {i: (len(s[i]), root(i)) for i in ids}

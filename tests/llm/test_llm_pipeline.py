@@ -5,6 +5,7 @@ import re
 import pytest
 
 import corpus_pipeline as P
+from tessera.llm import line_templates
 from test_llm_operators import SF, WORD, brute_components, brute_lines
 
 
@@ -40,18 +41,13 @@ def test_language_drops_texts_without_letters(stages):
 
 def test_lines_match_brute_force(stages):
     before = texts(stages[1])
-    cleaned = brute_lines(before)
-    original = dict(before)
-
-    def judged(t):
-        return any(len(WORD.findall(x)) >= 5 for x in t.split("\n"))
-    want = {i: t for i, t in cleaned.items() if t == original[i] or judged(t)}
+    want = {i: t for i, t in brute_lines(before, **line_templates.WHOLE_JOB).items() if WORD.search(t)}
     assert dict(texts(stages[2])) == want
     assert all(r["n_chars"] == len(r["text"]) for r in stages[2].collect())
 
 
 def test_one_document_of_each_group_stays(stages):
-    want = {i for i, (_, c) in brute_components(texts(stages[2])).items() if i == c}
+    want = {i for i, (_, c) in brute_components(texts(stages[2]), **P.NEAR).items() if i == c}
     assert {i for i, _ in texts(stages[3])} == want
 
 
