@@ -10,9 +10,10 @@ subtrees, the largest first, are spilled as sorted runs: the counts of a prefix
 are the sums below its node, so a run lists every phrase of the subtree, from
 one word up to ``max_words``, in the order of the words.
 
-A phrase is frequent only if its parts are.  So a first pass counts phrases as
-64-bit hashes and marks the frequent ones in a bit table of a fixed size; in the
-second pass a phrase ends before the word that makes one which is not marked.  Hashes and bits that meet by chance only let a phrase pass that the
+A phrase is frequent only if all its neighbouring pairs of words are.  So a first
+pass counts words and pairs as 64-bit hashes and marks the frequent ones in a
+bit table of a fixed size; in the second pass a phrase ends before a pair that is
+not marked.  Hashes and bits that meet by chance only let a phrase pass that the
 exact counts drop later, so the table's size changes the work and no result.
 
 Runs of all tasks meet by phrase: Spark's shuffle is the partition by prefix
@@ -41,10 +42,11 @@ CONTAINED_PERCENT = 50
 TOP = 2000
 NO_LANG = "und"
 BURST = 2_048  # entries of a container
-MAX_ENTRIES = 600_000  # entries of a task's tries before subtrees are spilled: about 100 MB
+MAX_ENTRIES = 1_000_000  # entries of a task's tries before subtrees are spilled: about 150 MB
 STEP_BYTES = 1 << 20  # text that is counted before it goes into the trie
-MAX_VOCABULARY = 500_000  # words whose hashes a task keeps
+HASHES = 1 << 19  # pair hashes a task adds up before it sends them
 FILTER_BITS = 27  # 2^27 bits, 16 MB, whatever the input
+DROPPED = np.uint64(24)  # a hash travels with its leading 40 bits; more would change nothing in a table of that size
 
 BREAK = b"."
 # The characters that end a piece, [.,;:!?\x0A-\x0D], and the white space between words, [\x20\x09].
@@ -65,14 +67,15 @@ def _hash(word: bytes) -> int:
 
 
 class Frequent:
-    """The bit table of the frequent phrases: a bit that is not set belongs to no frequent one."""
+    """The bit table of the frequent words and pairs: a bit that is not set belongs to no frequent one."""
 
     def __init__(self, table: np.ndarray):
         self.table = table  # 64-bit words
 
     def __call__(self, h: np.ndarray) -> np.ndarray:
+        h = h >> DROPPED
         word = self.table[(h & np.uint64(len(self.table) - 1)).astype(np.int64)]
-        return (word >> (h >> np.uint64(58)) & np.uint64(1)) == 1
+        return (word >> (h >> np.uint64(34)) & np.uint64(1)) == 1
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -139,14 +142,14 @@ class Vocabulary:
             self.hashes = np.concatenate([self.hashes, new])
         return to[coded.indices.to_numpy()]
 
-    def hashed(self, lang: str, w: np.ndarray, longest: int) -> list[np.ndarray]:
-        """Hashes of the phrases of 1 .. ``longest`` words at each place (those across pieces are to be ignored)."""
+    def hashed(self, lang: str, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words and of the pairs that start at each place (pairs across pieces are to be ignored)."""
         with np.errstate(over="ignore"):
             h = self.hashes[w]
-            out = [_mix(h + np.uint64(_hash(lang.encode())))]
-            for k in range(1, longest):
-                out.append(_mix(out[-1][:-1] * _M + h[k:]))
-        return out
+            one = _mix(h + np.uint64(_hash(lang.encode())))
+            two = one.copy()
+            two[:-1] = _mix(one[:-1] * _M + h[1:])
+        return one, two
 
 
 class Counter:
@@ -168,17 +171,19 @@ class Counter:
         w = self.vocabulary.encode(found)
         key, ended, start = w.copy(), np.zeros(len(w), bool), w > 0
         self.total[lang] = self.total.get(lang, 0) + int(start.sum())
-        hashes = self.vocabulary.hashed(lang, w, self.k) if self.frequent else None
         if self.frequent:
-            start &= self.frequent(hashes[0])
-        for k in range(1, min(self.k, len(w))):
+            one, two = self.vocabulary.hashed(lang, w)
+            start &= self.frequent(one)
+            goes_on = self.frequent(two)
+        for k in range(1, self.k):
             after = np.zeros_like(w)
             after[:-k] = w[k:]
             ended |= after == 0
-            if self.frequent:  # a phrase is frequent only if the shorter one is
-                ended[:-k] |= ~self.frequent(hashes[k])
+            if self.frequent:  # the pair of the words k - 1 and k
+                pair = np.zeros(len(w), bool)
+                pair[:len(w) - k + 1] = goes_on[k - 1:]
+                ended |= ~pair
             key = key << self.bits | np.where(ended, 0, after)
-        key <<= self.bits * (self.k - min(self.k, len(w)))
         key, counts = np.unique(key[start], return_counts=True)
         if not len(key):
             return
@@ -256,28 +261,37 @@ def _steps(batches):
     pa.default_memory_pool().release_unused()
 
 
-def _hash_counts(longest: int):
-    def run(batches):
-        """Rows (h, n): occurrences of phrases of up to ``longest`` words by hash, for each step."""
-        vocabulary = Vocabulary()
-        for step in _steps(batches):
-            for lang, found in step.items():
-                w = vocabulary.encode(found)
-                whole, hashes = w > 0, []
-                for k, h in enumerate(vocabulary.hashed(lang, w, longest)):
-                    whole = whole[:len(h)] & (w[k:] > 0)
-                    hashes.append(h[whole])
-                h, n = np.unique(np.concatenate(hashes), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
-            if len(vocabulary.words) > MAX_VOCABULARY:
-                vocabulary = Vocabulary()
-    return run
-
-
-def frequent_phrases(rows: DataFrame, longest: int, min_count: int, bits: int = FILTER_BITS) -> Frequent:
-    """The bit table of the phrases that occur ``min_count`` times or more: at most 2^bits / 64 rows reach the driver."""
-    often = rows.mapInArrow(_hash_counts(longest), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-    words = often.select(F.col("h").bitwiseAND((1 << bits - 6) - 1).cast("int").alias("word"), F.shiftrightunsigned("h", 58).cast("int").alias("bit"))
+def _hash_counts(batches):
+    """Rows (h, n): occurrences of words and pairs by hash."""
+    vocabulary, hashes, counts, size = Vocabulary(), [], [], 0
+
+    def rows():
+        h, at = np.unique(np.concatenate(hashes), return_inverse=True)
+        n = np.bincount(at, np.concatenate(counts))
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+    for step in _steps(batches):
+        for lang, found in step.items():
+            w = vocabulary.encode(found)
+            one, two = vocabulary.hashed(lang, w)
+            pair = (w[:-1] > 0) & (w[1:] > 0)
+            h, n = np.unique(np.concatenate([one[w > 0], two[:-1][pair]]) >> DROPPED, return_counts=True)
+            hashes.append(h)
+            counts.append(n)
+            size += len(h)
+        if len(vocabulary.words) > HASHES:
+            vocabulary = Vocabulary()
+        if size > HASHES:
+            yield rows()
+            hashes, counts, size = [], [], 0
+    if size:
+        yield rows()
+
+
+def frequent_pairs(rows: DataFrame, min_count: int, bits: int = FILTER_BITS) -> Frequent:
+    """The bit table of words and pairs that occur ``min_count`` times or more: at most 2^bits / 64 rows reach the driver."""
+    often = rows.mapInArrow(_hash_counts, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    words = often.select(F.col("h").bitwiseAND((1 << bits - 6) - 1).cast("int").alias("word"), F.shiftrightunsigned("h", 34).cast("int").alias("bit"))
     words = words.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask")).toArrow()
     table = np.zeros(1 << bits - 6, np.uint64)
     table[words.column("word").to_numpy()] = words.column("mask").to_numpy().view(np.uint64)
@@ -310,7 +324,7 @@ def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int =
                   filter_bits: int = FILTER_BITS) -> DataFrame:
     """lang, phrase, f: the phrases of up to ``max_words`` words that occur ``min_count`` times within pieces; the empty phrase has the count of all words."""
     rows = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), F.col("text").alias("text"))
-    frequent = frequent_phrases(rows, max_words, min_count, filter_bits) if min_count > 1 else None
+    frequent = frequent_pairs(rows, min_count, filter_bits) if min_count > 1 else None
     runs = rows.mapInArrow(_runs(max_words, max_entries, frequent), "lang string, phrase string, n bigint")
     return runs.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where((F.col("f") >= min_count) | (F.col("phrase") == ""))
 
