@@ -42,7 +42,7 @@ CONTAINED_PERCENT = 50
 TOP = 2000
 NO_LANG = "und"
 BURST = 2_048  # entries of a container
-MAX_ENTRIES = 1_000_000  # entries of a task's tries before subtrees are spilled: about 150 MB
+MAX_ENTRIES = 700_000  # entries of a task's tries before subtrees are spilled: about 110 MB
 STEP_BYTES = 1 << 20  # text that is counted before it goes into the trie
 HASHES = 1 << 19  # pair hashes a task adds up before it sends them
 FILTER_BITS = 27  # 2^27 bits, 16 MB, whatever the input
