@@ -9,8 +9,6 @@ their own gram; the empty string lies in every string.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,24 +24,27 @@ def _grams(s: Column, size: int) -> Column:
         F.array().cast("array<string>"))
 
 
-def containment_pairs(short: DataFrame, long: DataFrame) -> DataFrame:
-    """(short, long) that share the rarest gram: every pair of which ``short`` is contained in ``long``, and few others.
+def containment_pairs(strings: DataFrame) -> DataFrame:
+    """(side, short, long): strings of different sides where ``long`` holds the rarest gram of ``short`` (of that ``side``).
 
-    ``short`` and ``long`` have one column ``s`` of distinct, non-empty strings.
+    That is every pair of which ``short`` is contained in ``long``, and few
+    others.  ``strings`` has distinct rows (side, s): two sides, 0 and 1, of
+    non-empty strings.  Both directions share one index, and a gram's length
+    says whether it serves strings of one, two or more characters.
     """
-    own = short.select("s", F.least(F.length("s"), F.lit(GRAM)).alias("size"))
-    sizes = [r["size"] for r in own.select("size").distinct().collect()]  # at most GRAM values
-    found = []
-    for size in sizes:
-        posts = long.select(F.col("s").alias("long"), F.explode(_grams(F.col("s"), size)).alias("gram"))
-        often = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
-        keys = own.where(F.col("size") == size).select("s", _grams(F.col("s"), size).alias("g"))
-        keys = keys.select("s", F.size("g").alias("wanted"), F.explode("g").alias("gram")).join(often, "gram")
-        keys = keys.groupBy("s", "wanted").agg(F.count(F.lit(1)).alias("met"), F.min(F.struct("c", "gram")).alias("k")).where("met = wanted")
-        found.append(keys.select(F.col("s").alias("short"), F.col("k.gram").alias("gram")).join(posts, "gram").select("short", "long"))
-    if not found:
-        return short.select(F.col("s").alias("short"), F.col("s").alias("long")).where("false")
-    return reduce(DataFrame.unionByName, found)
+    s = F.col("s")
+    own = F.least(F.length(s), F.lit(GRAM))
+    sizes = [r["n"] for r in strings.select(own.alias("n")).distinct().collect()]  # at most GRAM values
+    if not sizes:
+        return strings.select("side", F.col("s").alias("short"), F.col("s").alias("long"))
+    posts = strings.select((1 - F.col("side")).alias("of"), F.col("s").alias("long"), F.explode(F.concat(*[_grams(s, n) for n in sizes])).alias("gram"))
+    often = posts.groupBy("of", "gram").agg(F.count(F.lit(1)).alias("c"))
+    keys = F.coalesce(*[F.when(own == n, _grams(s, n)) for n in sizes])
+    keys = strings.select("side", "s", keys.alias("g")).select("side", "s", F.size("g").alias("wanted"), F.explode("g").alias("gram"))
+    keys = keys.join(often.withColumnRenamed("of", "side"), ["side", "gram"])
+    keys = keys.groupBy("side", "s", "wanted").agg(F.count(F.lit(1)).alias("met"), F.min(F.struct("c", "gram")).alias("k")).where("met = wanted")
+    keys = keys.select("side", F.col("s").alias("short"), F.col("k.gram").alias("gram"))
+    return keys.join(posts.withColumnRenamed("of", "side"), ["side", "gram"]).select("side", "short", "long")
 
 
 def first_containing(names: DataFrame, topics: DataFrame) -> DataFrame:
@@ -51,13 +52,16 @@ def first_containing(names: DataFrame, topics: DataFrame) -> DataFrame:
 
     ``names`` (name, in lower case), ``topics`` (topic_pos, topic).  Names without a match and null names are absent.
     """
-    names = cut_lineage(names.select("name").where("name is not null").distinct())
-    lower = cut_lineage(topics.groupBy(F.lower("topic").alias("lt")).agg(F.min(F.struct("topic_pos", "topic")).alias("t")).where("lt is not null"))
-    n, t = names.select(F.col("name").alias("s")).where("name <> ''"), lower.select(F.col("lt").alias("s")).where("lt <> ''")
-    inside = containment_pairs(n, t).where(F.col("long").contains(F.col("short"))).select(F.col("short").alias("name"), F.col("long").alias("lt"))
-    around = containment_pairs(t, n).where(F.col("long").contains(F.col("short"))).select(F.col("long").alias("name"), F.col("short").alias("lt"))
-    met = inside.unionByName(around).join(lower, "lt").select("name", "t")
+    lower = topics.groupBy(F.lower("topic").alias("s")).agg(F.min(F.struct("topic_pos", "topic")).alias("t"))
+    both = names.select(F.col("name").alias("s")).distinct().select(F.lit(0).alias("side"), "s", F.lit(None).cast(lower.schema["t"].dataType).alias("t"))
+    both = cut_lineage(both.unionByName(lower.select(F.lit(1).alias("side"), "s", "t")).where("s is not null"))
+    held = containment_pairs(both.where("s <> ''").select("side", "s")).where(F.col("long").contains(F.col("short")))
+    held = held.select(F.when(F.col("side") == 0, F.col("short")).otherwise(F.col("long")).alias("name"),
+                       F.when(F.col("side") == 0, F.col("long")).otherwise(F.col("short")).alias("lt"))
+    lower = both.where("side = 1").select(F.col("s").alias("lt"), "t")
+    names = both.where("side = 0").select(F.col("s").alias("name"))
+    met = held.join(lower, "lt").select("name", "t")
     # the empty string lies in every string: an empty name takes the first topic of all, an empty topic is met by every name
-    met = met.unionByName(names.where("name = ''").select("name", lower.agg(F.min("t")).scalar().alias("t")))
-    met = met.unionByName(names.select("name", lower.where("lt = ''").agg(F.min("t")).scalar().alias("t")))
+    of_all = F.when(F.col("name") == "", lower.agg(F.min("t")).scalar()).otherwise(lower.where("lt = ''").agg(F.min("t")).scalar())
+    met = met.unionByName(names.select("name", of_all.alias("t")))
     return met.where("t is not null").groupBy("name").agg(F.min("t").alias("t")).select("name", F.col("t.topic").alias("topic"))

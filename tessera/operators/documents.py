@@ -69,8 +69,8 @@ def relevant_text(docs: DataFrame, query_terms: DataFrame, doc: str = "doc_id",
     """
     n_chunks = F.size(chunk_starts(text))
     big = docs.select(doc, text, n_chunks.alias("n_chunks"))
-    ch = big.select(doc, F.posexplode(chunks(text)).alias("chunk_idx", "chunk"))
-    toks = ch.select(doc, "chunk_idx", F.array_sort(F.filter(F.split(F.lower("chunk"), r"\s+"), lambda x: x != "")).alias("_t"))
+    ch = docs.select(doc, F.posexplode(chunks(text)).alias("chunk_idx", "chunk"))
+    toks = ch.select(doc, "chunk_idx", F.sort_array(F.array_remove(F.split(F.lower("chunk"), r"\s+"), "")).alias("_t"))
     # |chunk|^2 = sum of squared term counts, row-local: runs of the sorted tokens
     zero = F.lit(0).cast("bigint")
     runs = F.aggregate(
@@ -78,18 +78,18 @@ def relevant_text(docs: DataFrame, query_terms: DataFrame, doc: str = "doc_id",
         lambda st, x: F.when(x == st["p"], F.struct(x.alias("p"), (st["run"] + 1).alias("run"), st["acc"].alias("acc")))
         .otherwise(F.struct(x.alias("p"), F.lit(1).cast("bigint").alias("run"), (st["acc"] + st["run"] * st["run"]).alias("acc"))),
         lambda st: st["acc"] + st["run"] * st["run"])
-    norms = toks.select(doc, "chunk_idx", runs.alias("c2"), "_t")
     # chunk . query = sum of the query weight over the chunk's token occurrences:
     # tokens meet the (checked, broadcast) query terms, and the per-chunk sum is
     # combined map-side -- every token of a chunk is in that chunk's task, so one
-    # row per chunk is shuffled, never the tokens
+    # row per chunk is shuffled, never the tokens.  |chunk|^2 travels with them,
+    # and a chunk without tokens or terms keeps its row: one pass over the text
     query_terms = shared(query_terms)   # tokenised once
-    q = broadcast_if_light(query_terms.select("term", "qtf"), F.length("term") * 4, QUERY_TERM_BYTES)
+    q = broadcast_if_light(query_terms.select(F.col("term").alias("q_term"), "qtf"), F.length("q_term") * 4, QUERY_TERM_BYTES)
     q2 = query_terms.agg(F.sum(F.col("qtf") * F.col("qtf"))).scalar()   # scalar subquery
-    dots = (norms.select(doc, "chunk_idx", F.explode("_t").alias("term")).join(q, "term")
-            .groupBy(doc, "chunk_idx").agg(F.sum("qtf").alias("dot")))
-    all_idx = norms.select(doc, "chunk_idx", F.when(F.col("c2") > 0, F.col("c2")).alias("c2")).join(
-        dots, [doc, "chunk_idx"], "left").withColumn("dot", F.coalesce("dot", F.lit(0).cast("bigint")))
+    each = toks.select(doc, "chunk_idx", F.when(F.size("_t") > 0, runs).alias("c2"), "_t").select(
+        doc, "chunk_idx", "c2", F.explode_outer("_t").alias("term"))
+    all_idx = each.join(q, F.col("term") == F.col("q_term"), "left").groupBy(doc, "chunk_idx").agg(
+        F.max("c2").alias("c2"), F.coalesce(F.sum("qtf"), zero).alias("dot"))
     score = F.coalesce(F.try_divide(F.col("dot").cast("double"), F.sqrt((F.col("c2") * q2).cast("double"))), F.lit(0.0))
     best = top_k(all_idx.withColumn("score", score), [doc], [F.desc("score"), F.asc("chunk_idx")], top, "chunk_rank")
     kept = best.groupBy(doc).agg(F.array_sort(F.collect_list("chunk_idx")).alias("_idx"))
@@ -135,17 +135,20 @@ def section_facts(lines: DataFrame, topics: DataFrame) -> DataFrame:
     '[doc] ' prefix.  The header in force is a running max of header line
     numbers (skew-safe), then one equi-join to the matched headers.
     """
-    s = lines.select("doc_id", "line_no", strip("line").alias("sl"))
-    s = s.withColumn("_hdr", F.when(F.col("sl").startswith(TOPIC_PREFIX), F.col("line_no")))
-    headers = s.where(F.col("_hdr").isNotNull()).select(
-        "doc_id", F.col("line_no").alias("h_line"), F.lower(strip(F.replace(F.col("sl"), F.lit(TOPIC_PREFIX), F.lit("")))).alias("name"))
+    sl = strip("line")
+    after = lambda prefix: strip(F.replace(sl, F.lit(prefix), F.lit("")))
+    is_header, fact = sl.startswith(TOPIC_PREFIX), after(FACT_PREFIX)
+    is_fact = sl.startswith(FACT_PREFIX) & (F.length(fact) > MIN_FACT_LENGTH) & (F.upper(fact) != NONE_MARK)
+    # headers and facts alone go on; the slices are written once and read by both
+    s = lines.where(is_header | is_fact).select(
+        "doc_id", "line_no", F.when(is_header, F.col("line_no")).alias("_hdr"), F.when(is_header, F.lower(after(TOPIC_PREFIX))).otherwise(fact).alias("body"))
+    s = segmented.slice_groups(s, ["doc_id"], ["line_no"])
+    headers = s.where(F.col("_hdr").isNotNull()).select("doc_id", F.col("line_no").alias("h_line"), F.col("body").alias("name"))
     # each *distinct* header name meets the topics that share its rarest gram, or whose rarest gram it holds
     first = first_containing(headers.select("name"), topics)
     matched = headers.join(first, "name").select("doc_id", "h_line", "topic")
     cur = segmented.running(s, ["doc_id"], ["line_no"], "_hdr", out="h_line", fn="max", inclusive=True)
-    facts = cur.where(F.col("sl").startswith(FACT_PREFIX) & F.col("h_line").isNotNull()).select(
-        "doc_id", "line_no", "h_line", strip(F.replace(F.col("sl"), F.lit(FACT_PREFIX), F.lit(""))).alias("fact"))
-    facts = facts.where((F.length("fact") > MIN_FACT_LENGTH) & (F.upper("fact") != NONE_MARK))
+    facts = cur.where(F.col("_hdr").isNull() & F.col("h_line").isNotNull()).select("doc_id", "line_no", "h_line", F.col("body").alias("fact"))
     j = facts.join(matched, ["doc_id", "h_line"])
     return j.select("topic", "doc_id", "line_no",
                     F.concat(F.lit("["), F.col("doc_id").cast("string"), F.lit("] "), F.col("fact")).alias("fact"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage
@@ -87,36 +87,47 @@ def evaluate(nodes: DataFrame) -> DataFrame:
 
     Leaves (value >= 0) are their value; operator nodes combine their 'L' and
     'R' children (a missing child counts 0): -1 add, -2 subtract, -3 divide
-    toward zero (NULL when dividing by zero), other negatives multiply.  Each
-    round the operator nodes whose children all have a value get theirs, so
-    there are as many rounds as the highest tree has levels of operators, and
-    no depth has to be known.
+    toward zero (NULL when dividing by zero), other negatives multiply.  An
+    operator keeps the sums of the children that have a value; once all have
+    one it gets its own and hands it to its parent, so a round is one aggregate
+    of the new values, one join and one checkpoint of the operators still
+    open, and there are as many rounds as the highest tree has levels of
+    operators.  No depth has to be known.
     """
     nodes = nodes.select("tree_id", "node_id", "parent_id", "side", "value")
-    kids = nodes.where(F.col("parent_id").isNotNull()).groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(F.count(F.lit(1)).alias("kids"))
-    pending = cut_lineage(nodes.where(F.col("value") < 0).join(kids, ["tree_id", "node_id"], "left")
-                          .withColumn("kids", F.coalesce("kids", F.lit(0))))
-    ready = nodes.where(F.col("value") >= 0).select("tree_id", "node_id", "parent_id", "side", F.col("value").cast("bigint").alias("v"))
-    ready = cut_lineage(ready)
-    roots = [ready.where(F.col("parent_id").isNull())]
-    waiting = ready.where(F.col("parent_id").isNotNull())
-    left = pending.count()
-    while left:
-        sums = waiting.groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(
-            F.sum(F.when(F.col("side") == "L", F.col("v"))).alias("l"), F.sum(F.when(F.col("side") == "R", F.col("v"))).alias("r"),
-            F.count(F.lit(1)).alias("known"))
-        met = cut_lineage(pending.join(sums, ["tree_id", "node_id"], "left").withColumn("done", F.coalesce("known", F.lit(0)) == F.col("kids")))
-        a, b, op = F.coalesce("l", F.lit(0)), F.coalesce("r", F.lit(0)), F.col("value")
-        value = (F.when(op == OP_ADD, a + b).when(op == OP_SUBTRACT, a - b)
-                 .when(op == OP_DIVIDE, F.when(b != 0, F.expr("coalesce(l, 0) div coalesce(r, 0)"))).otherwise(a * b))
-        done = met.where("done").select("tree_id", "node_id", "parent_id", "side", value.cast("bigint").alias("v"))
-        roots.append(done.where(F.col("parent_id").isNull()))
-        pending = met.where("not done").select(*pending.columns)
-        # children of nodes that are still pending wait on
-        open_nodes = pending.select("tree_id", F.col("node_id").alias("parent_id"))
-        waiting = cut_lineage(waiting.unionByName(done.where(F.col("parent_id").isNotNull())).join(open_nodes, ["tree_id", "parent_id"], "left_semi"))
+    leaf = F.col("value") >= 0
+    ops = nodes.where(~leaf).withColumnRenamed("value", "op")
+    below = _handed_up(nodes, F.when(leaf, F.col("value").cast("bigint")), leaf)
+    zero = F.lit(0).cast("bigint")
+    joined = ops.join(below, ["tree_id", "node_id"], "left").select(
+        *ops.columns, F.coalesce("kids", zero).alias("kids"), F.coalesce("known", zero).alias("known"), F.coalesce("l", zero).alias("l"), F.coalesce("r", zero).alias("r"))
+    roots = [nodes.where(leaf & F.col("parent_id").isNull()).select("tree_id", F.col("value").cast("bigint").alias("result"))]
+    left = None
+    while left != 0:
+        state = cut_lineage(joined)
+        done, pending = state.where("known = kids"), state.where("known < kids")
+        roots.append(done.where("parent_id is null").select("tree_id", _value().alias("result")))
         now = pending.count()
-        if now == left:
-            raise TreeError(f"{left} operator nodes wait for each other")
+        if now and now == left:
+            raise TreeError(f"{now} operator nodes wait for each other")
         left = now
-    return reduce(DataFrame.unionByName, roots).select("tree_id", F.col("v").alias("result"))
+        new = _handed_up(done, _value(), F.lit(True)).select(
+            "tree_id", "node_id", F.col("known").alias("n"), F.col("l").alias("nl"), F.col("r").alias("nr"))
+        add = lambda old, more: (F.col(old) + F.coalesce(more, zero)).alias(old)
+        joined = pending.join(new, ["tree_id", "node_id"], "left").select(
+            *ops.columns, "kids", add("known", "n"), add("l", "nl"), add("r", "nr"))
+    return reduce(DataFrame.unionByName, roots)
+
+
+def _handed_up(nodes: DataFrame, value: Column, known: Column) -> DataFrame:
+    """Per parent: children, children with a value, and the sums of their values on the left and the right."""
+    return nodes.where(F.col("parent_id").isNotNull()).groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(
+        F.count(F.lit(1)).alias("kids"), F.count(F.when(known, 1)).alias("known"),
+        F.sum(F.when(F.col("side") == "L", value)).alias("l"), F.sum(F.when(F.col("side") == "R", value)).alias("r"))
+
+
+def _value() -> Column:
+    """The value of an operator whose children are all known."""
+    a, b, op = F.col("l"), F.col("r"), F.col("op")
+    return F.when(op == OP_ADD, a + b).when(op == OP_SUBTRACT, a - b).when(
+        op == OP_DIVIDE, F.when(b != 0, F.expr("l div r"))).otherwise(a * b).cast("bigint")

@@ -31,7 +31,9 @@ SLICE = "_slice"
 
 
 def slice_groups(df: DataFrame, group: list[str], order: list[str], n: int | None = None) -> DataFrame:
-    """Tag each row with its ordered slice of (group, order); materialised once."""
+    """Tag each row with its ordered slice of (group, order); materialised once.  Rows that are sliced stay as they are."""
+    if SLICE in df.columns:
+        return df
     n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     spread = df.repartitionByRange(n, *group, *order) if n > 1 else df.coalesce(1)
     return cut_lineage(spread.withColumn(SLICE, F.spark_partition_id()))

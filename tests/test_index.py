@@ -57,7 +57,7 @@ def test_vector_topk_on_scattered_vectors(spark, pivots, rings):
 def test_vector_topk_with_fewer_vectors_than_k_and_none(spark):
     queries = spark.createDataFrame([(1, "a", [1.0, 0.0])], QUERY)
     two = spark.createDataFrame([(5, [0.5, 1.0]), (4, [0.5, 2.0])], VEC)
-    assert [(x["rank"], x["vec_id"]) for x in vector_index.search(vector_index.build(two), queries, 10).collect()] == [(1, 4), (2, 5)]
+    assert sorted((x["rank"], x["vec_id"]) for x in vector_index.search(vector_index.build(two), queries, 10).collect()) == [(1, 4), (2, 5)]
     assert vector_index.search(vector_index.build(two.where("false")), queries, 10).collect() == []
     assert vector_index.search(vector_index.build(two), queries.where("false"), 10).collect() == []
 
@@ -89,7 +89,9 @@ def test_containment_compares_few_pairs(spark):
     label = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(r.randint(6, 24)))
     long = sorted({label() for _ in range(10_000)})
     short = sorted({x[2:8] for x in long[:5000]} | {label() for _ in range(5000)})
-    pairs = containment.containment_pairs(spark.createDataFrame([(x,) for x in short], "s string"), spark.createDataFrame([(x,) for x in long], "s string"))
+    both = spark.createDataFrame([(0, x) for x in short] + [(1, x) for x in long], "side int, s string")
+    pairs = containment.containment_pairs(both)
+    assert {r["side"] for r in pairs.select("side").distinct().collect()} == {0, 1}
     n, hits = pairs.agg(F.count(F.lit(1)), F.count(F.when(F.col("long").contains(F.col("short")), 1))).first()
     assert hits >= 5000 and n < len(short) * len(long) / 500
 
