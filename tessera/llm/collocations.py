@@ -44,9 +44,11 @@ NO_LANG = "und"
 BURST = 2_048  # entries of a container
 MAX_ENTRIES = 700_000  # entries of a task's tries before subtrees are spilled: about 110 MB
 STEP_BYTES = 1 << 20  # text that is counted before it goes into the trie
-HASHES = 1 << 19  # pair hashes a task adds up before it sends them
+HASHES = 1 << 21  # hashes a task adds up before it sends them: about 100 MB
+WORDS = 1 << 19  # words of the first pass's vocabulary before it starts anew
 FILTER_BITS = 27  # 2^27 bits, 16 MB, whatever the input
 DROPPED = np.uint64(24)  # a hash travels with its leading 40 bits; more would change nothing in a table of that size
+REST_BITS = np.uint64(24)  # of the 40 bits, 16 name the bucket and 24 are sent
 
 BREAK = b"."
 # The characters that end a piece, [.,;:!?\x0A-\x0D], and the white space between words, [\x20\x09].
@@ -261,36 +263,101 @@ def _steps(batches):
     pa.default_memory_pool().release_unused()
 
 
-def _hash_counts(batches):
-    """Rows (h, n): occurrences of words and pairs by hash."""
-    vocabulary, hashes, counts, size = Vocabulary(), [], [], 0
+def _summed(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes, ascending, with the sums of their counts."""
+    h, n = np.concatenate(hashes), np.concatenate(counts)
+    order = np.argsort(h)
+    h, n = h[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    return h[first], np.add.reduceat(n, first)
 
-    def rows():
-        h, at = np.unique(np.concatenate(hashes), return_inverse=True)
-        n = np.bincount(at, np.concatenate(counts))
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
 
-    for step in _steps(batches):
-        for lang, found in step.items():
-            w = vocabulary.encode(found)
-            one, two = vocabulary.hashed(lang, w)
-            pair = (w[:-1] > 0) & (w[1:] > 0)
-            h, n = np.unique(np.concatenate([one[w > 0], two[:-1][pair]]) >> DROPPED, return_counts=True)
+def _packed(h: np.ndarray, n: np.ndarray, min_count: int) -> pa.RecordBatch:
+    """One row a bucket: the rest of its hashes (ascending) with their counts, four bytes each.
+
+    A count above ``min_count`` says no more than ``min_count``; one above a byte takes several places.
+    """
+    n = np.minimum(n, min_count)
+    places = (n + 254) // 255
+    if places.max() > 1:
+        h = np.repeat(h, places)
+        last = np.zeros(len(h), bool)
+        last[np.cumsum(places) - 1] = True
+        n = np.where(last, np.repeat(n - 255 * (places - 1), places), 255)
+    bucket = (h >> REST_BITS).astype(np.int32)
+    edge = np.flatnonzero(np.diff(bucket, prepend=-1))
+    data = ((h & np.uint64((1 << int(REST_BITS)) - 1)) << np.uint64(8) | n.astype(np.uint64)).astype("<u4")
+    offsets = (np.concatenate([edge, [len(h)]]) * 4).astype(np.int32)
+    blobs = pa.Array.from_buffers(pa.binary(), len(edge), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[edge]), blobs], names=["bucket", "counted"])
+
+
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of :func:`_packed` rows."""
+    size = pc.binary_length(batch.column("counted")).to_numpy(zero_copy_only=False) // 4
+    x = np.frombuffer(b"".join(batch.column("counted").to_pylist()), "<u4").astype(np.uint64)
+    bucket = np.repeat(batch.column("bucket").to_numpy().astype(np.uint64), size)
+    return bucket << REST_BITS | x >> np.uint64(8), (x & np.uint64(255)).astype(np.int64)
+
+
+def _hash_counts(min_count: int):
+    """Rows (bucket, counted): occurrences of words and pairs by hash."""
+    def run(batches):
+        vocabulary, hashes, counts, size = Vocabulary(), [], [], 0
+        for step in _steps(batches):
+            for lang, found in step.items():
+                w = vocabulary.encode(found)
+                one, two = vocabulary.hashed(lang, w)
+                pair = (w[:-1] > 0) & (w[1:] > 0)
+                h, n = np.unique(np.concatenate([one[w > 0], two[:-1][pair]]) >> DROPPED, return_counts=True)
+                hashes.append(h)
+                counts.append(n)
+                size += len(h)
+            if len(vocabulary.words) > WORDS:
+                vocabulary = Vocabulary()
+            if size > HASHES:
+                h, n = _summed(hashes, counts)
+                if len(h) > HASHES // 2:
+                    yield _packed(h, n, min_count)
+                    hashes, counts, size = [], [], 0
+                else:
+                    hashes, counts, size = [h], [n], len(h)
+        if size:
+            yield _packed(*_summed(hashes, counts), min_count)
+    return run
+
+
+def _often(min_count: int):
+    """Hashes that occur ``min_count`` times or more, from rows sorted by bucket; at most one bucket waits for its end."""
+    def run(batches):
+        hashes, counts, size = [], [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, n = _unpacked(batch)
+            last = h[-1] >> REST_BITS
             hashes.append(h)
             counts.append(n)
             size += len(h)
-        if len(vocabulary.words) > HASHES:
-            vocabulary = Vocabulary()
-        if size > HASHES:
-            yield rows()
-            hashes, counts, size = [], [], 0
-    if size:
-        yield rows()
+            if size > HASHES or h[0] >> REST_BITS != last:
+                h, n = _summed(hashes, counts)
+                ended = np.searchsorted(h, last << REST_BITS)
+                own = h[:ended][n[:ended] >= min_count]
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], names=["h"])
+                hashes, counts, size = [h[ended:]], [n[ended:]], 0
+        if hashes:
+            h, n = _summed(hashes, counts)
+            yield pa.RecordBatch.from_arrays([pa.array(h[n >= min_count].view(np.int64))], names=["h"])
+    return run
 
 
 def frequent_pairs(rows: DataFrame, min_count: int, bits: int = FILTER_BITS) -> Frequent:
-    """The bit table of words and pairs that occur ``min_count`` times or more: at most 2^bits / 64 rows reach the driver."""
-    often = rows.mapInArrow(_hash_counts, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    """The bit table of words and pairs that occur ``min_count`` times or more: at most 2^bits / 64 rows reach the driver.
+
+    A hash's leading bits are its bucket, so a shuffled row is a bucket's share of a task and a hash takes four bytes of it.
+    """
+    counted = rows.mapInArrow(_hash_counts(min_count), "bucket int, counted binary").repartition("bucket").sortWithinPartitions("bucket")
+    often = counted.mapInArrow(_often(min_count), "h bigint")
     words = often.select(F.col("h").bitwiseAND((1 << bits - 6) - 1).cast("int").alias("word"), F.shiftrightunsigned("h", 34).cast("int").alias("bit"))
     words = words.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask")).toArrow()
     table = np.zeros(1 << bits - 6, np.uint64)

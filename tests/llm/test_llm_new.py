@@ -69,6 +69,19 @@ def test_bit_table_of_any_size_loses_nothing(spark):
         assert {(r["lang"], r["phrase"]): r["f"] for r in got.collect()} == want and len(want) > 30
 
 
+@pytest.mark.parametrize("min_count", [2, 10, 255, 256, 1500])
+def test_packed_hashes_keep_every_count(min_count):
+    r = np.random.default_rng(min_count)
+    h = np.unique(r.integers(0, 1 << 40, 50_000).astype(np.uint64))
+    n = r.integers(1, 2000, len(h))
+    rows = collocations._packed(h, n, min_count)
+    back, counts = collocations._summed(*([x] for x in collocations._unpacked(rows)))
+    assert (back == h).all() and (counts == np.minimum(n, min_count)).all()
+    parts = [rows.slice(i, 90) for i in range(0, rows.num_rows, 90)] + [rows.slice(0, 0)]
+    often = np.concatenate([b.column(0).to_numpy() for b in collocations._often(min_count)(parts)]).view(np.uint64)
+    assert (often == h[n >= min_count]).all()
+
+
 def test_collocations_match_sql(spark, tmp_path):
     rows = talk(400, 7) + [(i, "hot dog stand, hot dog", "en") for i in range(30)] + [(None, None, None), (7, "", "en")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
