@@ -44,7 +44,7 @@ NO_LANG = "und"
 BURST = 2_048  # entries of a container
 MAX_ENTRIES = 700_000  # entries of a task's tries before subtrees are spilled: about 110 MB
 STEP_BYTES = 1 << 20  # text that is counted before it goes into the trie
-HASHES = 1 << 21  # hashes a task adds up before it sends them: about 100 MB
+HASHES = 3 << 20  # hashes a task adds up before it sends them: about 150 MB
 WORDS = 1 << 19  # words of the first pass's vocabulary before it starts anew
 FILTER_BITS = 27  # 2^27 bits, 16 MB, whatever the input
 DROPPED = np.uint64(24)  # a hash travels with its leading 40 bits; more would change nothing in a table of that size
@@ -273,9 +273,9 @@ def _summed(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndar
 
 
 def _packed(h: np.ndarray, n: np.ndarray, min_count: int) -> pa.RecordBatch:
-    """One row a bucket: the rest of its hashes (ascending) with their counts, four bytes each.
+    """One row a bucket: the rest of its hashes (ascending), three bytes each, then their counts, a byte each.
 
-    A count above ``min_count`` says no more than ``min_count``; one above a byte takes several places.
+    Counts stand together because most are one and compress well.  A count above ``min_count`` says no more than ``min_count``; one above a byte takes several places.
     """
     n = np.minimum(n, min_count)
     places = (n + 254) // 255
@@ -286,7 +286,13 @@ def _packed(h: np.ndarray, n: np.ndarray, min_count: int) -> pa.RecordBatch:
         n = np.where(last, np.repeat(n - 255 * (places - 1), places), 255)
     bucket = (h >> REST_BITS).astype(np.int32)
     edge = np.flatnonzero(np.diff(bucket, prepend=-1))
-    data = ((h & np.uint64((1 << int(REST_BITS)) - 1)) << np.uint64(8) | n.astype(np.uint64)).astype("<u4")
+    size = np.diff(edge, append=len(h)).astype(np.int32)
+    data = np.empty(4 * len(h), np.uint8)
+    place = np.arange(len(h), dtype=np.int32) - np.repeat(edge.astype(np.int32), size)
+    at = 4 * np.repeat(edge.astype(np.int32), size) + place  # the bucket's first byte and the place in it
+    for i in range(3):
+        data[at + 2 * place + i] = (h >> np.uint64(8 * i) & np.uint64(255)).astype(np.uint8)
+    data[at + 3 * np.repeat(size, size)] = n
     offsets = (np.concatenate([edge, [len(h)]]) * 4).astype(np.int32)
     blobs = pa.Array.from_buffers(pa.binary(), len(edge), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
     return pa.RecordBatch.from_arrays([pa.array(bucket[edge]), blobs], names=["bucket", "counted"])
@@ -295,9 +301,14 @@ def _packed(h: np.ndarray, n: np.ndarray, min_count: int) -> pa.RecordBatch:
 def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and counts of :func:`_packed` rows."""
     size = pc.binary_length(batch.column("counted")).to_numpy(zero_copy_only=False) // 4
-    x = np.frombuffer(b"".join(batch.column("counted").to_pylist()), "<u4").astype(np.uint64)
-    bucket = np.repeat(batch.column("bucket").to_numpy().astype(np.uint64), size)
-    return bucket << REST_BITS | x >> np.uint64(8), (x & np.uint64(255)).astype(np.int64)
+    edge = np.cumsum(size) - size
+    data = np.frombuffer(b"".join(batch.column("counted").to_pylist()), np.uint8)
+    place = np.arange(len(data) // 4) - np.repeat(edge, size)
+    at = 4 * np.repeat(edge, size) + place
+    h = np.repeat(batch.column("bucket").to_numpy().astype(np.uint64), size) << REST_BITS
+    for i in range(3):
+        h |= data[at + 2 * place + i].astype(np.uint64) << np.uint64(8 * i)
+    return h, data[at + 3 * np.repeat(size, size)].astype(np.int64)
 
 
 def _hash_counts(min_count: int):
@@ -354,7 +365,7 @@ def _often(min_count: int):
 def frequent_pairs(rows: DataFrame, min_count: int, bits: int = FILTER_BITS) -> Frequent:
     """The bit table of words and pairs that occur ``min_count`` times or more: at most 2^bits / 64 rows reach the driver.
 
-    A hash's leading bits are its bucket, so a shuffled row is a bucket's share of a task and a hash takes four bytes of it.
+    A hash's leading bits are its bucket, so a shuffled row is a bucket's share of a task and a hash takes three bytes of it and one for its count.
     """
     counted = rows.mapInArrow(_hash_counts(min_count), "bucket int, counted binary").repartition("bucket").sortWithinPartitions("bucket")
     often = counted.mapInArrow(_often(min_count), "h bigint")
