@@ -26,7 +26,6 @@ and windows over the frequent rest.
 from __future__ import annotations
 
 import hashlib
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tessera.llm.common import kept_table
+from tessera.llm.common import kept_table, shuffle_files_removed
 
 MAX_WORDS = 3
 MIN_COUNT = 10
@@ -49,7 +48,6 @@ HASHES = 3 << 20  # hashes a task adds up before it sends them: about 150 MB
 WORDS = 1 << 19  # words of the first pass's vocabulary before it starts anew
 FILTER_BITS = 27  # 2^27 bits, 16 MB, whatever the input
 DROPPED = np.uint64(24)  # a hash travels with its leading 40 bits; more would change nothing in a table of that size
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 REST_BITS = np.uint64(24)  # of the 40 bits, 16 name the bucket and 24 are sent
 
 BREAK = b"."
@@ -364,20 +362,6 @@ def _often(min_count: int):
     return run
 
 
-@contextmanager
-def _files_removed(spark):
-    """Plans made inside remove their shuffle files when their action ends; they are run once."""
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
-
-
 def frequent_pairs(rows: DataFrame, min_count: int, bits: int = FILTER_BITS) -> Frequent:
     """The bit table of words and pairs that occur ``min_count`` times or more: at most 2^bits / 64 rows reach the driver.
 
@@ -386,7 +370,7 @@ def frequent_pairs(rows: DataFrame, min_count: int, bits: int = FILTER_BITS) ->
     counted = rows.mapInArrow(_hash_counts(min_count), "bucket int, counted binary").repartition("bucket").sortWithinPartitions("bucket")
     often = counted.mapInArrow(_often(min_count), "h bigint")
     words = often.select(F.col("h").bitwiseAND((1 << bits - 6) - 1).cast("int").alias("word"), F.shiftrightunsigned("h", 34).cast("int").alias("bit"))
-    with _files_removed(rows.sparkSession):
+    with shuffle_files_removed(rows.sparkSession):
         words = words.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask")).toArrow()
     table = np.zeros(1 << bits - 6, np.uint64)
     table[words.column("word").to_numpy()] = words.column("mask").to_numpy().view(np.uint64)

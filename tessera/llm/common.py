@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import ensure_checkpoint_dir, scratch_path
 from tessera.sources.tables import table
 
 # Fixed value: the white space of every contract here, [\x20\x09-\x0D].
@@ -39,6 +40,48 @@ def kept_table(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffle_files_removed(spark: SparkSession):
+    """Plans made inside remove their shuffle files when their action ends; they are run once."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
+class Tables:
+    """Intermediate tables of one job, Parquet below the shared folder.
+
+    They are compressed, and the shuffle files behind a table go when it is
+    there, so they take less disk than checkpoints (and more CPU: columns are
+    encoded and read again).  ``drop`` removes a table that nothing reads any more.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, "table")
+        with shuffle_files_removed(self.spark):
+            df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = out, path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(table))[1])
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 BROADCAST_BYTES = 64 << 20
 
 

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tessera.llm.common import broadcast_if_light, kept_table
+from tessera.llm.common import Tables, broadcast_if_light, shuffle_files_removed
 
 WIDTH = 3
 PERCENT = 90
@@ -190,9 +190,10 @@ class Order:
 
 def refined_order(prefixes: DataFrame, weights: np.ndarray) -> Order:
     """Order that puts shingles in FREQUENT prefixes or more last; the FREQUENT_MOST commonest of them reach the driver."""
-    common = (prefixes.select(F.explode_outer("prefix").alias("shingle")).where("shingle is not null").groupBy("shingle")
-              .agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= FREQUENT))
-    found = common.orderBy(F.desc("k"), "shingle").limit(FREQUENT_MOST).toArrow()
+    with shuffle_files_removed(prefixes.sparkSession):
+        common = (prefixes.select(F.explode_outer("prefix").alias("shingle")).where("shingle is not null").groupBy("shingle")
+                  .agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= FREQUENT))
+        found = common.orderBy(F.desc("k"), "shingle").limit(FREQUENT_MOST).toArrow()
     return Order(weights, found.column("shingle").to_numpy().view(np.uint64), found.column("k").to_numpy())
 
 
@@ -290,13 +291,13 @@ def _verify(percent: int):
     return run
 
 
-def _linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, order: Order, percent: int, width: int) -> DataFrame:
+def _linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, order: Order, percent: int, width: int, tables: Tables) -> DataFrame:
     """The pairs (a, b) of set ids that link, verified by whole sets."""
     wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
     reps = (rows.join(wanted, F.col("sid") == F.col("w"), "left_semi").groupBy("sid")
             .agg(F.min("id").alias("rep")))
-    reps = broadcast_if_light(kept_table(reps), F.lit(40))
-    texts = docs.join(reps, F.col("id").eqNullSafe(F.col("rep"))).select("sid", "text")
+    reps = tables.keep(reps)
+    texts = docs.join(broadcast_if_light(reps, F.lit(40)), F.col("id").eqNullSafe(F.col("rep"))).select("sid", "text")
 
     def elements(batches):
         for batch, lo, sets in _sets(batches, width):
@@ -305,7 +306,7 @@ def _linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, order: Order, pe
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keep], pa.binary()), pa.array([k[1] for k in keep], pa.binary())],
                                              names=["sid", "elements"])
 
-    sets = kept_table(texts.mapInArrow(elements, "sid binary, elements binary").dropDuplicates(["sid"]))
+    sets = tables.keep(texts.mapInArrow(elements, "sid binary, elements binary").dropDuplicates(["sid"]))
     # the partners of one class in groups of a bounded size
     spread = F.pmod(F.xxhash64("b"), F.greatest(F.lit(1), F.ceil(F.col("partners") / PARTNERS)))
     sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners"))
@@ -314,16 +315,19 @@ def _linked(pairs: DataFrame, rows: DataFrame, docs: DataFrame, order: Order, pe
         "a", F.lit(None).cast("binary").alias("b"), "part", "elements")
     others = group.join(sets, F.col("b") == F.col("sid")).select("a", "b", "part", "elements")
     links = own.unionByName(others).groupBy("a", "part").applyInPandas(_verify(percent), "a binary, b binary")
-    return kept_table(links)
+    links = tables.keep(links)
+    tables.drop(reps, sets)
+    return links
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, tables: Tables | None = None) -> DataFrame:
     """sid, label: the least set id of the component, for every set id with a link.
 
     Large-star and small-star steps: each is one aggregate and one join, and
     every edge moves towards the least node, so long chains halve.
     """
-    edges = kept_table(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    tables = tables or Tables(links.sparkSession)
+    edges = tables.keep(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     state = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -331,14 +335,17 @@ def components(links: DataFrame) -> DataFrame:
         large = (both.where("v > u").join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         small_least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "w")
         step = large.join(small_least, F.col("u") == F.col("w"))
-        edges = kept_table(step.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-                           .union(step.select("u", F.col("m").alias("v"))).distinct())
+        before, edges = edges, tables.keep(step.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+                                           .union(step.select("u", F.col("m").alias("v"))).distinct())
+        tables.drop(before)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
         state = now
     label = edges.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("sid"), "label")
-    return kept_table(label.union(label.select(F.col("label").alias("sid"), "label").distinct()))
+    label = tables.keep(label.union(label.select(F.col("label").alias("sid"), "label").distinct()))
+    tables.drop(edges)
+    return label
 
 
 def text_hash() -> Column:
@@ -349,23 +356,25 @@ def text_hash() -> Column:
 def _labelled(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataFrame]:
     """(id, th, n, label) of the rows with words, and (id, th, n, sid) of those without."""
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"), text_hash().alias("th"))
-    scanned = kept_table(docs.mapInArrow(_scan(width), _SCAN))
+    tables = Tables(docs.sparkSession)
+    scanned = tables.keep(docs.mapInArrow(_scan(width), _SCAN))
     rows, weights = scanned.where("sid is not null").select("id", "th", "n", "sid"), shingle_weights(scanned)
     schema = "sid binary, n bigint, prefix array<bigint>, bits array<bigint>"
     order = refined_order(docs.select("text").mapInArrow(_prefixes(Order(weights), percent, width), schema), weights)
-    prefixes = kept_table(docs.select("text").mapInArrow(_prefixes(order, percent, width), schema))
+    prefixes = tables.keep(docs.select("text").mapInArrow(_prefixes(order, percent, width), schema))
     postings = prefixes.select("sid", "n", "bits", F.posexplode_outer("prefix").alias("place", "shingle")).where("shingle is not null")
     met = (postings.select("shingle", F.xxhash64("sid").alias("s")).groupBy("shingle").agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
            .where("lo <> hi").select(F.col("shingle").alias("met")))
-    met = broadcast_if_light(kept_table(met), F.lit(16))
-    postings = kept_table(postings.join(met, F.col("shingle") == F.col("met"), "left_semi")
-                          .groupBy("shingle", "sid").agg(F.first("n").alias("n"), F.first("place").alias("place"), F.first("bits").alias("bits")))
+    met = tables.keep(met)
+    postings = tables.keep(postings.join(broadcast_if_light(met, F.lit(16)), F.col("shingle") == F.col("met"), "left_semi")
+                           .groupBy("shingle", "sid").agg(F.first("n").alias("n"), F.first("place").alias("place"), F.first("bits").alias("bits")))
+    tables.drop(prefixes, met)
     links, label, tried = None, None, None
     for turn in range(TURNS + 1):
         named = postings if label is None else postings.join(label.withColumnRenamed("sid", "l"), F.col("sid") == F.col("l"), "left")
         named = named.select("shingle", "sid", "n", "place", "bits", (F.col("sid") if label is None else F.coalesce("label", "sid")).alias("label"))
         split = named.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(F.col("shingle").alias("met"))
-        named = kept_table(named.join(split, F.col("shingle") == F.col("met"), "left_semi"))
+        named = tables.keep(named.join(split, F.col("shingle") == F.col("met"), "left_semi"))
         centres = named
         if turn < TURNS:  # a few classes of each shingle; in the last turn every class
             by = W.partitionBy("shingle").orderBy(F.xxhash64("sid", F.lit(turn)), "sid")
@@ -378,13 +387,15 @@ def _labelled(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, Dat
                  .select("x", "y", "a", F.when(F.col("a") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("b")))
         if tried is not None:
             pairs = pairs.join(tried, ["x", "y"], "left_anti")
-        pairs = kept_table(pairs)
+        pairs = tables.keep(pairs)
+        tables.drop(named)
         if pairs.isEmpty():
             continue
         tried = pairs.select("x", "y") if tried is None else tried.union(pairs.select("x", "y"))
-        found = _linked(pairs.select("a", "b"), rows, docs, order, percent, width)
+        found = _linked(pairs.select("a", "b"), rows, docs, order, percent, width, tables)
         links = found if links is None else links.union(found)
-        label = components(links)
+        label = components(links, tables)
+    tables.drop(postings)
 
     if label is None:
         label = rows.where("false").select("sid", F.col("sid").alias("label"))
