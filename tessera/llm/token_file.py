@@ -212,32 +212,34 @@ def lookup(spark: SparkSession, path: str, keys: DataFrame, id_bytes: int = 2) -
 def _digests(id_bytes: int):
     def run(batches):
         for b in batches:
-            for part, seq, docs, offsets, payload in zip(*(b.column(c).to_pylist() for c in (
-                    "part", "seq", "doc_ids", "offsets", "payload")), strict=True):
+            for part, seq, docs, copies, offsets, payload in zip(*(b.column(c).to_pylist() for c in (
+                    "part", "seq", "doc_ids", "copies", "offsets", "payload")), strict=True):
                 ids = np.frombuffer(payload, f"<u{id_bytes}").astype("<u4")
                 n = len(docs)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([part] * n, pa.int64()), pa.array([seq] * n, pa.int64()), pa.array(offsets[:-1], pa.int64()),
-                    pa.array(docs, pa.int64()),
+                    pa.array(docs, pa.int64()), pa.array(copies, pa.int32()),
                     pa.array([zlib.crc32(ids[a:z].tobytes()) for a, z in zip(offsets, offsets[1:], strict=False)], pa.int64())],
-                    names=["part", "seq", "offset", "doc_id", "ids_crc32"])
+                    names=["part", "seq", "offset", "doc_id", "copy", "ids_crc32"])
     return run
 
 
 def read_back(spark: SparkSession, path: str, id_bytes: int = 2) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every stored document.
 
-    Every key is looked up in the index; the shard bytes at the place it names
-    give the checksum, and the shards before it give the start.
+    Every key is looked up in the index, and the document at the place it names
+    must have that key: an index that mixes two keys up loses both.  The shard
+    bytes there give the checksum, and the shards before it give the start.
     """
     shards = spark.read.schema(_PAYLOAD).parquet(f"{path}/payload")
-    ids = (shards.select("part", "seq", "doc_ids", "offsets", "payload")
-           .mapInArrow(_digests(id_bytes), "part bigint, seq bigint, offset bigint, doc_id bigint, ids_crc32 bigint"))
+    ids = (shards.select("part", "seq", "doc_ids", "copies", "offsets", "payload")
+           .mapInArrow(_digests(id_bytes), "part bigint, seq bigint, offset bigint, doc_id bigint, copy int, ids_crc32 bigint")
+           .withColumn("key", _key(F.col("doc_id"), F.col("copy"))))
     sizes = shards.select("part", "seq", "n_ids")
     parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n"))  # one row per partition
     before = parts.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("base"))
     within = sizes.select("part", "seq", (F.sum("n_ids").over(W.partitionBy("part").orderBy("seq")) - F.col("n_ids")).alias("inner"))
     starts = within.join(before, "part").select("part", "seq", (F.col("base") + F.col("inner")).alias("first"))
     found = places(spark, path, _records(spark, path))
-    return (found.join(ids, ["part", "seq", "offset"]).join(starts, ["part", "seq"])
+    return (found.join(ids, ["part", "seq", "offset", "key"]).join(starts, ["part", "seq"])
             .select("doc_id", (F.col("first") + F.col("offset")).alias("start"), F.col("length").alias("n_tokens"), "ids_crc32"))

@@ -184,6 +184,16 @@ def test_token_file_round_trip(spark, rows, tmp_path):
     found = {r["key"]: np.frombuffer(r["ids"], "<u2").tolist() for r in token_file.lookup(spark, path, keys).collect()}
     assert found["1001"] == [1] and found["5"] == library.encode(dict(rows)[5], add_special_tokens=False).ids + [1]
     assert set(found) == {"5", "1001"}
+    # an index that gives two documents each other's place loses both
+    index = spark.read.parquet(f"{path}/index").toPandas()
+    at = int(np.flatnonzero(index["n_keys"] > 1)[0])
+    for c in ("part", "seq", "offset", "length"):
+        place = np.frombuffer(index.at[at, c], "<i8").copy()
+        place[[0, 1]] = place[[1, 0]]
+        index.at[at, c] = place.tobytes()
+    spark.createDataFrame(index, token_file._INDEX + ", buckets bigint").write.parquet(str(tmp_path / "mixed" / "index"))
+    spark.read.parquet(f"{path}/payload").write.parquet(str(tmp_path / "mixed" / "payload"))
+    assert token_file.read_back(spark, str(tmp_path / "mixed")).count() == len(got) - 2
     odd_path = str(tmp_path / "odd")
     token_file.write(odd(spark), odd_path)
     assert token_file.read_back(spark, odd_path).count() == odd(spark).count()
