@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import best_fit_packing, jaccard_join, language_id, line_templates, source_mixing
-from tessera.llm.common import WORD, broadcast_if_light, kept_table
+from tessera.llm.common import WORD, Tables, broadcast_if_light
 from tessera.session import scratch_path
 from tessera.sources.tables import table
 
@@ -34,7 +34,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies: the least id, a null id last; of rows that repeat it, one."""
-    found = kept_table(jaccard_join.representatives(docs, **NEAR))
+    found = Tables(spark).keep(jaccard_join.representatives(docs, **NEAR))
     rows = docs.select(*COLUMNS, jaccard_join.text_hash().alias("th"))
     same = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("th") == F.col("keep_th"))
     out = rows.join(found.where("copies = 1"), same, "left_semi").select(*COLUMNS)
