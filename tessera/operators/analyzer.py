@@ -80,19 +80,16 @@ def global_app_counts(rows: DataFrame) -> DataFrame:
     return _side_apps(counted_rows(rows), []).groupBy("side", "app").agg(F.count(F.lit(1)).alias("n"))
 
 
-def sorted_pairs(arr):
-    """All index pairs i < j of the list (duplicates kept); [] under two.
+def list_pairs(rows: DataFrame, keys: list[str], items: str) -> DataFrame:
+    """The columns ``keys`` with app_a, app_b: all pairs of places i < j of the array ``items`` (duplicates kept).
 
-    ``arr`` must already be sorted and should be a column: the lambdas read it
-    per element, so an expression here would be re-evaluated each time.
+    Two generators follow each other, the places of the first and the rest of
+    the list behind each, so no row holds all its pairs at once.  An array that
+    is null or has under two items gives none.
     """
-    a = F.col(arr) if isinstance(arr, str) else arr
-    n = F.size(a)
-    return F.when(n >= 2, F.flatten(F.transform(
-        F.sequence(F.lit(0), n - 2),
-        lambda i: F.transform(F.sequence(i + 1, n - 1),
-                              lambda j: F.struct(F.get(a, i).alias("app_a"), F.get(a, j).alias("app_b")))))
-    ).otherwise(F.array().cast("array<struct<app_a:string,app_b:string>>"))
+    first = rows.select(*keys, items, F.posexplode(items).alias("_i", "app_a"))
+    rest = F.slice(items, F.col("_i") + 2, F.size(items))
+    return first.select(*keys, "app_a", F.explode(rest).alias("app_b"))
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:
@@ -101,13 +98,9 @@ def pair_counts(rows: DataFrame) -> DataFrame:
     Pairs are generated per row from that row's own list (bounded by the app
     vocabulary), never across rows, and aggregated with map-side combine.
     """
-    r = counted_rows(rows).select(F.array_sort("base_apps").alias("base_apps"),
-                                  F.array_sort("variant_apps").alias("variant_apps"))
-    both = F.concat(
-        F.transform(sorted_pairs("base_apps"), lambda p: F.struct(F.lit("base").alias("side"), p.alias("p"))),
-        F.transform(sorted_pairs("variant_apps"), lambda p: F.struct(F.lit("variant").alias("side"), p.alias("p"))))
-    ex = r.select(F.explode(both).alias("x")).select("x.side", "x.p.app_a", "x.p.app_b")
-    return ex.groupBy("side", "app_a", "app_b").agg(F.count(F.lit(1)).alias("n"))
+    sides = F.array(*[F.struct(F.lit(side).alias("side"), F.array_sort(f"{side}_apps").alias("apps")) for side in ("base", "variant")])
+    lists = counted_rows(rows).select(F.explode(sides).alias("x")).select("x.side", "x.apps")
+    return list_pairs(lists, ["side"], "apps").groupBy("side", "app_a", "app_b").agg(F.count(F.lit(1)).alias("n"))
 
 
 def capped(rows: DataFrame, max_rows: int | None = None) -> DataFrame:

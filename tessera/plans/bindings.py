@@ -158,9 +158,15 @@ def ticket_store_and_batch(spark: SparkSession, sf_dir: str):
 
 
 def conversation_turns_minus_one(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The turns after the first of each conversation: (g, v), turn 0 being the number that is missing."""
-    c = table(spark, sf_dir, "conversations", "conv_id", "turn")
-    return c.where(F.col("turn") > 0).select(F.col("conv_id").alias("g"), F.col("turn").alias("v"))
+    """The turns of each conversation but one: (g, v).
+
+    The one left out is the characters of the conversation modulo its turns, so
+    it differs between conversations.
+    """
+    c = table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+    whole = c.groupBy("conv_id").agg(F.pmod(F.coalesce(F.sum(F.length("text")), F.lit(0)), F.count(F.lit(1))).alias("out"))
+    left = c.select(F.col("conv_id").alias("g"), F.col("turn").alias("v")).join(whole, F.col("g") == F.col("conv_id"))
+    return left.where(F.col("v") != F.col("out")).select("g", "v")
 
 
 # --- documents -----------------------------------------------------------------------

@@ -334,7 +334,12 @@ SELECT side, app_a, app_b, count(*) AS n FROM an_pairs GROUP BY ALL
 """
 
 SQL["list_errors"] = with_("an_rows") + """
-SELECT device, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_errors FROM an_counted GROUP BY device
+,
+bad AS (
+  SELECT device, list_filter([b, v], lambda t: regexp_matches(t, '^\\[.*\\]$')
+                                               AND NOT regexp_full_match(t, '\\[\\s*(''[^'']*''(\\s*,\\s*''[^'']*'')*)?\\s*\\]')) AS texts
+  FROM an_src WHERE device IS NOT NULL AND release_type IS NOT NULL)
+SELECT device, count(*) AS n_rows, count(*) FILTER (WHERE len(texts) > 0) AS n_errors FROM bad GROUP BY device
 """
 
 SQL["report_list_errors"] = """
@@ -489,7 +494,8 @@ WHERE range NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL
 """
 
 SQL["missing_by_sum"] = """
-WITH t AS (SELECT conv_id, turn FROM conversations WHERE turn > 0),
+WITH w AS (SELECT conv_id, coalesce(sum(length(text)), 0) % count(*) AS left_out FROM conversations GROUP BY conv_id),
+t AS (SELECT c.conv_id, c.turn FROM conversations c JOIN w ON c.conv_id = w.conv_id WHERE c.turn <> w.left_out),
 a AS (SELECT conv_id, count(*) AS n, sum(turn) AS s FROM t GROUP BY conv_id)
 SELECT conv_id, n, CAST(n * (n + 1) // 2 - s AS BIGINT) AS missing FROM a
 """

@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from tessera.operators import analyzer, csvedit, documents, hierarchy, ingest, pages, profiles, segmented, series
+from tessera.sources import csvfiles, sinks
 
 
 # --- section 5: analyzer rows ------------------------------------------------------
@@ -207,3 +208,46 @@ def test_quarantine_and_metrics(spark):
     lab = spark.createDataFrame([(1, 1), (1, 0), (0, 1), (0, 0), (1, 1)], "a int, p int")
     m = quality.binary_metrics(lab, "a", "p").first()
     assert (m.tp, m.fp, m.fn, m.tn) == (2, 1, 1, 1) and abs(m.f1 - 2 / 3) < 1e-6
+
+
+# --- options and sinks that no registered query uses -------------------------------
+
+def test_list_pairs_of_short_null_and_repeated_items(spark):
+    df = spark.createDataFrame([("a", ["x", "y", "y"]), ("b", ["x"]), ("c", []), ("d", None)], "side string, apps array<string>")
+    got = sorted(tuple(r) for r in analyzer.list_pairs(df, ["side"], "apps").collect())
+    assert got == [("a", "x", "y"), ("a", "x", "y"), ("a", "y", "y")]
+
+
+def test_row_cap_is_exact_and_off_by_default(spark):
+    rows = spark.range(100).select(F.col("id").alias("rid")).repartition(7)
+    assert sorted(r.rid for r in analyzer.capped(rows, 10).collect()) == list(range(10))
+    assert analyzer.capped(rows).count() == 100 and analyzer.capped(rows, 0).count() == 0
+
+
+def test_topic_cap_keeps_the_first_distinct_topics(spark):
+    items = spark.createDataFrame([(1, 1, "Beta"), (1, 2, "alpha"), (2, 1, " beta "), (2, 2, "Gamma")],
+                                  "doc_id long, line_no long, item string")
+    got = {r.topic_pos: r.topic for r in documents.consolidate_topics(items, max_topics=2).collect()}
+    assert got == {0: "Beta", 1: "alpha"}
+    assert documents.consolidate_topics(items).count() == 3
+
+
+def test_json_lines_keep_nulls(spark, tmp_path):
+    df = spark.createDataFrame([(1, None), (2, 'q"uote')], "id long, name string")
+    path = sinks.write_json(df, str(tmp_path / "out"))
+    lines = sorted(line for r in spark.read.text(path).collect() for line in [r.value])
+    assert lines == ['{"id":1,"name":null}', '{"id":2,"name":"q\\"uote"}']
+
+
+def test_appended_csv_parts_have_their_own_header(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    for part in ([(1, "a")], [(2, "b"), (3, None)]):
+        csvfiles.append_csv(spark.createDataFrame(part, "id long, name string"), path)
+    got = sorted((r.id, r.name) for r in spark.read.option("header", "true").csv(path).collect())
+    assert got == [("1", "a"), ("2", "b"), ("3", None)]
+
+
+def test_left_out_turns_differ_between_conversations(spark):
+    from tessera.plans import queries
+    missing = {r.missing for r in queries.QUERIES["missing_by_sum"](spark, "/root/testdata/sf0.001").collect()}
+    assert len(missing) > 1
