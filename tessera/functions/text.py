@@ -20,8 +20,6 @@ MIN_ITEM_LENGTH = 3          # list items must be longer than this
 MIN_FACT_LENGTH = 10         # facts must be longer than this
 CHUNK_SIZE = 800
 CHUNK_STEP = 700
-TOPIC_SCAN_CHARS = 10000
-UNFILTERED_CHARS = 12000
 # ------------------------------------------------------------------------------
 
 

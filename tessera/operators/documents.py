@@ -20,6 +20,7 @@ from tessera.operators import segmented, vector_index
 from tessera.operators.containment import first_containing
 from tessera.operators.profiles import top_k
 from tessera.session import broadcast_if_light, shared
+from tessera.sources import sinks
 
 # --- fixed values of the document jobs ---------------------------------------------
 PAGE_SEPARATOR = "\n\n"
@@ -163,6 +164,22 @@ def facts_by_topic(facts: DataFrame, topics: DataFrame) -> DataFrame:
     return g.join(topics, "topic").select("topic_pos", "topic", "n_facts", "n_docs", "first_fact")
 
 
+def report_numbers(facts: DataFrame, topics: DataFrame, pages: DataFrame) -> DataFrame:
+    """S12 (documents): the report's numbers as ``(section, rank, label, value)`` rows.
+
+    ``document_totals`` holds documents, topics and facts, ``topic_facts`` the
+    facts of every topic in topic order; a topic without facts has 0.  The
+    counts come from one pass over the facts, added up before the shuffle.
+    """
+    counts = facts.groupBy(F.col("topic").alias("_topic")).agg(F.count(F.lit(1)).alias("n"))
+    per_topic = shared(topics.join(counts, F.col("topic") == F.col("_topic"), "left")
+                       .select("topic_pos", "topic", F.coalesce("n", F.lit(0)).alias("n_facts")))
+    totals = per_topic.agg(F.count(F.lit(1)).alias("topics"), F.coalesce(F.sum("n_facts"), F.lit(0)).alias("facts")).select(
+        "*", pages.agg(F.count_distinct("doc_id")).scalar().alias("documents"))
+    rows = sinks.report_rows([("topic_facts", per_topic, "topic", "n_facts", "topic_pos")])
+    return rows.unionByName(sinks.metric_rows(totals, "document_totals", ["documents", "topics", "facts"]))
+
+
 # --- T05: batched scoring with a pluggable numpy scorer --------------------------------
 
 def hash_embed(texts, dim: int = EMBED_DIM) -> np.ndarray:

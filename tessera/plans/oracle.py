@@ -672,6 +672,16 @@ SELECT t.topic_pos, f.topic, count(*) AS n_facts, count(DISTINCT f.doc_id) AS n_
 FROM facts f JOIN topics t ON f.topic = t.topic GROUP BY ALL
 """
 
+SQL["document_report"] = with_("facts") + """
+SELECT 'document_totals' AS section, 0 AS rank, label, CAST(value AS DOUBLE) AS value
+FROM (SELECT 'documents' AS label, count(DISTINCT conv_id) AS value FROM conversations
+      UNION ALL SELECT 'topics', count(*) FROM topics
+      UNION ALL SELECT 'facts', count(*) FROM facts)
+UNION ALL
+SELECT 'topic_facts', CAST(t.topic_pos AS INTEGER), t.topic, CAST(count(f.doc_id) AS DOUBLE)
+FROM topics t LEFT JOIN facts f ON f.topic = t.topic GROUP BY t.topic_pos, t.topic
+"""
+
 CTE["page_title"] = """
 page_t AS (
   SELECT page_id, url, html,

@@ -362,6 +362,14 @@ def facts_by_topic(spark, sf_dir):
     return documents.facts_by_topic(facts, topics)
 
 
+@register("document_report")
+def document_report(spark, sf_dir):
+    """S12 (documents): documents, topics, facts and the facts of every topic as tidy rows."""
+    from tessera.operators import documents
+    facts, topics = _fact_rows(spark, sf_dir)
+    return documents.report_numbers(facts, topics, bindings.pages_of(spark, sf_dir))
+
+
 @register("batched_scores")
 def batched_scores(spark, sf_dir):
     """Chunk scores from a numpy scorer in Arrow batches (mapInPandas)."""

@@ -251,3 +251,14 @@ def test_left_out_turns_differ_between_conversations(spark):
     from tessera.plans import queries
     missing = {r.missing for r in queries.QUERIES["missing_by_sum"](spark, "/root/testdata/sf0.001").collect()}
     assert len(missing) > 1
+
+
+def test_document_report_counts_topics_without_facts(spark):
+    topics = spark.createDataFrame([(0, "Beta"), (1, "alpha")], "topic_pos long, topic string")
+    facts = spark.createDataFrame([(1, 2, "Beta", "[1] x"), (2, 2, "Beta", "[2] y")], "doc_id long, line_no long, topic string, fact string")
+    pages_of = spark.createDataFrame([(1,), (1,), (2,), (3,)], "doc_id long")
+    got = sorted(tuple(r) for r in documents.report_numbers(facts, topics, pages_of).collect())
+    assert got == [("document_totals", 0, "documents", 3.0), ("document_totals", 0, "facts", 2.0), ("document_totals", 0, "topics", 2.0),
+                   ("topic_facts", 0, "Beta", 2.0), ("topic_facts", 1, "alpha", 0.0)]
+    none = {r.label: r.value for r in documents.report_numbers(facts.where("false"), topics.where("false"), pages_of.where("false")).collect()}
+    assert none == {"documents": 0.0, "topics": 0.0, "facts": 0.0}
