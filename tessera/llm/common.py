@@ -61,8 +61,8 @@ class Tables:
     """Intermediate tables of one job, Parquet below the shared folder.
 
     They are compressed, and the shuffle files behind a table go when it is
-    there, so they take less disk than checkpoints (and more CPU: columns are
-    encoded and read again).  ``drop`` removes a table that nothing reads any more.
+    there, so they take less disk than checkpoints.  ``drop`` removes a table
+    that nothing reads any more.
     """
 
     def __init__(self, spark: SparkSession):
