@@ -19,12 +19,12 @@ from tessera.streaming.store import BucketStore
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """File stream of ``<folder>/<name>*.parquet`` with the table's schema."""
-    schema = spark.read.parquet(f"{folder.rstrip('/')}/{name}*.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet")
+    """File stream of ``<folder>/<name>*.parquet``, files or folders of part files, with the table's schema."""
+    path = f"{folder.rstrip('/')}/{name}*.parquet"
+    r = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(folder)
+    return r.parquet(path)
 
 
 def run_available(writer, checkpoint: str) -> None:

@@ -210,3 +210,21 @@ def test_partial_counters_across_batches(spark, tmp_path):
     assert got_pairs == want_pairs
     want_apps = {(r.side, r.app): r.n for r in analyzer.global_app_counts(rows).collect()}
     assert {(r.side, r.a): r.n for r in got.where("kind = 'app'").collect()} == want_apps
+
+
+def test_stream_of_a_folder_of_part_files(spark, tmp_path):
+    from tessera.plans.queries import QUERIES
+    rows = [(i, f"http://h/{i}", f"<html><title>T {i}</title></html>") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.repartition(3).write.parquet(f"{tmp_path}/folder/pages.parquet")
+    assert jobs.stream_table(spark, f"{tmp_path}/folder/", "pages").isStreaming
+    got = QUERIES["stream_csv"](spark, f"{tmp_path}/folder").collect()
+    assert sorted(map(tuple, got)) == sorted((str(i), u, f"T {i}") for i, u, _ in rows)
+    # part files that come later to the same folder are new input
+    stream = lambda: jobs.stream_table(spark, f"{tmp_path}/folder", "pages", 1).select(F.col("page_id").cast("string"))
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        jobs.streaming_csv(stream(), out)
+        n = spark.read.parquet(f"{tmp_path}/folder/pages.parquet").count()
+        assert spark.read.options(header="true").csv(out).count() == n
+        pages.withColumn("page_id", F.col("page_id") + 100).write.mode("append").parquet(f"{tmp_path}/folder/pages.parquet")
