@@ -148,3 +148,23 @@ def test_template_without_article_keeps_whole_article(spark):
         k = i % 100
         assert got[i] == "\n".join(["Title" if i < 100 else f"Title {k}", f"First part {k} of a text", f"second part {k}", f"A word {k}",
                                     f"third and much longer part {k} of the text"])
+
+
+def test_small_hosts_and_every_kind_of_page_have_a_template(spark):
+    def page(k, kind):
+        body = f"<div class=content><p>First part {k} of the text<p>second part {k} and more words</div>"
+        return (f"<html><body><div class=top>Site name</div>{body}<div class=fine>fine print</div></body></html>" if kind == 0 else
+                f"<html><body><section class=lead>Shop name</section><section class=story>{body}</section><section class=end>all rights</section></body></html>")
+    rows = [(100 * n + k, f"http://h{n}.example/{k}", page(k, 0)) for n in (2, 4, 5) for k in range(n)]  # one rule for hosts of any size
+    rows += [(1000 + k, "http://two.example/", page(k, k % 3 == 0)) for k in range(9)]  # two kinds on one host
+    # all of the article hangs on tags that are not on every page
+    rows += [(2000 + k, "http://odd.example/", f"<html><body><div class=top>Site</div><div class=body><h{k % 3 + 1}>Head {k}</h{k % 3 + 1}>"
+              f"<div class={'xyz'[k % 3]}>Part {k} of a text</div></div><div class=fine>fine print</div></body></html>") for k in range(6)]
+    rows += [(3000 + k, "http://same.example/", page(1, 0)) for k in range(3)]  # copies of one page
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows)
+    for i, _, _ in rows:
+        k = i % 100
+        want = f"First part {k} of the text\nsecond part {k} and more words" if i < 2000 else f"Head {k}\nPart {k} of a text" if i < 3000 else (
+            "Site name\nFirst part 1 of the text\nsecond part 1 and more words\nfine print")
+        assert got[i] == want, i
