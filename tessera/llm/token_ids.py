@@ -20,15 +20,20 @@ import numpy as np
 CACHE_PIECES = 250_000
 BATCH_PIECES = 1024
 
-# The pre-token rules of the two vocabularies, for plain characters.
-SPLITS = {
-    "word": r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+",
-    "byte": r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+",
-}
 # Characters on whose class Python and the library agree: ASCII, Latin letters, common signs.
 _OTHER = re.compile("[^\t\n\x0b\x0c\r\x20-\x7e¡-©«¬®-±´¶-¸»¿-ɏ‐-‧€]")
 
 
+@functools.cache
+def splits() -> dict[str, str]:
+    """The pre-token rules of the two vocabularies for plain characters, also lower-cased, which are listed by class."""
+    plain = [c for c in map(chr, range(0x2100)) if not _OTHER.search(c)]
+    plain = sorted({*plain, *"".join(plain).lower()})
+    letters, digits, signs = ("".join(re.escape(c) for c in plain if re.fullmatch(kind, c)) for kind in (r"[^\W\d_]", r"\d", r"[^\s\w]|_"))
+    return {"word": rf"[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d|[{digits}]|[{signs}]+",
+            "byte": rf" ?[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{digits}]+| ?[{signs}]+|\s+(?!\S)|\s+"}
+
+
 @functools.cache
 def _byte_letters() -> dict[int, str]:
     """Byte-level alphabet: visible bytes stand for themselves, the rest for letters from U+0100 on."""
@@ -46,7 +51,7 @@ class Encoder:
             parts = json.load(f)
         self.library = Tokenizer.from_file(path)
         self.folds = parts["normalizer"] is not None
-        self.split = re.compile(SPLITS["word" if self.folds else "byte"]).findall
+        self.split = re.compile(splits()["word" if self.folds else "byte"]).findall
         # the same merges, for pre-tokens set apart by blanks
         parts |= {"normalizer": None, "added_tokens": [], "post_processor": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}
         self.merges = Tokenizer.from_str(json.dumps(parts))

@@ -5,7 +5,7 @@ import random
 import re
 
 import corpus_pipeline as P
-from tessera.llm import html_text, registry
+from tessera.llm import html_text, registry, token_ids
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -168,3 +168,19 @@ def test_small_hosts_and_every_kind_of_page_have_a_template(spark):
         want = f"First part {k} of the text\nsecond part {k} and more words" if i < 2000 else f"Head {k}\nPart {k} of a text" if i < 3000 else (
             "Site name\nFirst part 1 of the text\nsecond part 1 and more words\nfine print")
         assert got[i] == want, i
+
+
+# -- op 3 and op 5 ------------------------------------------------------------------
+
+def test_listed_characters_cut_as_the_rule_by_class():
+    rules = {"word": r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+",
+             "byte": r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"}
+    plain = [c for c in map(chr, range(0x3000)) if not token_ids._OTHER.search(c)]
+    rng = random.Random(3)
+    texts = ["".join(plain), "".join(f"a{c}1{c} {c}{c}'s{c}\n" for c in plain)]
+    texts += ["".join(rng.choices([*plain, *" \n\t'ssltdmrvexX0_-"], k=200)) for _ in range(300)]
+    for kind, rule in rules.items():
+        own, want = re.compile(token_ids.splits()[kind]).findall, re.compile(rule).findall
+        for t in texts:
+            t = t.lower() if kind == "word" else t
+            assert own(t) == want(t), (kind, t)
