@@ -45,8 +45,8 @@ def _cut(path: str, end_id: int, cap: int, with_ids: bool):
         block, enc = TaskContext.get().partitionId(), encoder(path)
         end, seen = np.array([end_id], "<u4").tobytes(), np.zeros(cap + 1, np.int64)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                docs, texts = (batch.column(c).slice(lo, 64).to_pylist() for c in ("doc_id", "text"))
+            for lo in range(0, batch.num_rows, 512):
+                docs, texts = (batch.column(c).slice(lo, 512).to_pylist() for c in ("doc_id", "text"))
                 rows = []
                 for d, raw in zip(docs, enc.encode(texts), strict=True):
                     raw += end

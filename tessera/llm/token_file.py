@@ -143,8 +143,8 @@ def _encode(path: str, end_id: int, shard_ids: int, id_bytes: int):
                 names=["part", "seq", "n_ids", "doc_ids", "copies", "offsets", "payload"])
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                doc, text = (batch.column(c).slice(lo, 64).to_pylist() for c in ("doc_id", "text"))
+            for lo in range(0, batch.num_rows, 512):
+                doc, text = (batch.column(c).slice(lo, 512).to_pylist() for c in ("doc_id", "text"))
                 for d, raw in zip(doc, enc.encode(text), strict=True):
                     raw += end
                     copy = copy + 1 if d == last else 0

@@ -4,8 +4,11 @@ import collections
 import random
 import re
 
+import numpy as np
+
 import corpus_pipeline as P
 from tessera.llm import html_text, registry, token_ids
+from tessera.llm.common import tokenizer_path
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -184,3 +187,28 @@ def test_listed_characters_cut_as_the_rule_by_class():
         for t in texts:
             t = t.lower() if kind == "word" else t
             assert own(t) == want(t), (kind, t)
+
+
+def test_texts_cut_together_have_the_ids_of_the_library():
+    rng = random.Random(5)
+    plain = [c for c in map(chr, range(0x2100)) if not token_ids._OTHER.search(c)]
+    alphabets = plain, [c for c in plain if c < "\u0100"], [*"ab   \n\t'!?12", "'s", "'re", "don't", " 've", "''s", "'S", " 'M", ".'t", "<|", "\0"]
+    texts = ["".join(rng.choices(rng.choice(alphabets), k=rng.randint(0, 40))) for _ in range(2000)] + ["Ʈrash Ⱥ ȺȾ", None, "", " "]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        for size in (50, 1_000_000):
+            enc = token_ids.Encoder(tokenizer_path(name), size)
+            for lo in range(0, len(texts), 200):
+                for t, ids in zip(texts[lo:lo + 200], enc.encode(texts[lo:lo + 200]), strict=True):
+                    assert np.frombuffer(ids, "<u4").tolist() == enc.library.encode(t or "", add_special_tokens=False).ids, (name, t)
+
+
+def test_frequent_pre_tokens_met_late_stay_known():
+    enc, asked = token_ids.Encoder(tokenizer_path("word_bpe_49k.json"), 100), []
+    learn = enc._learn
+    enc._learn = lambda new: (asked.extend(new), learn(new))[1]
+    name = lambda k: "".join(chr(97 + int(d)) for d in str(k))
+    enc.encode([" ".join("x" + name(k) for k in range(90))])  # once each, and first
+    for k in range(40):  # ten words in every text, beside 20 new ones
+        enc.encode([" ".join(["often" + name(j) for j in range(10)] + ["y" + name(20 * k + j) for j in range(20)])])
+    own = [p for p in asked if p.startswith((b"often", "often")[isinstance(p, str)])]
+    assert len(own) == 10 and len(enc.known) <= 130
