@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tessera.llm.common import kept_table, tokenizer_path
-from tessera.llm.token_ids import encoder
+from tessera.llm.common import kept_table, light_batches, tokenizer_path
+from tessera.llm.token_ids import encoder, give_back
 
 LENGTH = 2048
 GROUPS = 512
@@ -61,6 +61,7 @@ def _cut(path: str, end_id: int, cap: int, with_ids: bool):
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
                                                  names=[c.split()[0] for c in _PIECES.split(", ")])
+        give_back()
     return run
 
 
@@ -69,7 +70,8 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH,
     """The pieces of every document (null text: empty, so the end id alone), materialised once."""
     tokenizer = tokenizer or tokenizer_path("byte_bpe_50k.json")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    return kept_table(rows.mapInArrow(_cut(tokenizer, end_id, length, with_ids), _PIECES))
+    with light_batches(docs.sparkSession):
+        return kept_table(rows.mapInArrow(_cut(tokenizer, end_id, length, with_ids), _PIECES))
 
 
 def _fill(sizes: list[int], stock: list[int], room: int) -> list[int]:
@@ -208,6 +210,7 @@ def _placed(runs, cap: int, total: int, schema_names: list[str]):
     keys = (table[:, 0] << 40) + table[:, 1]
 
     def run(batches):
+        give_back(encoders=True)  # all texts are cut
         for b in batches:
             length, rank = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", "rank"))
             seq, offset = total + rank, np.zeros(len(rank), np.int64)

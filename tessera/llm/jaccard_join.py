@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tessera.llm.common import Tables, broadcast_if_light, shuffle_files_removed
+from tessera.llm.common import Tables, broadcast_if_light, light_batches, shuffle_files_removed
 
 WIDTH = 3
 PERCENT = 90
@@ -122,7 +122,7 @@ def _scan(width: int):
     def run(batches):
         """A row (id, th, n, sid) per document and, per task, the counts of its shingles in 2^SKETCH_BITS counters (chunk, part, counts)."""
         from pyspark import TaskContext
-        count, waiting, size = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
+        count = np.zeros(1 << SKETCH_BITS, np.uint32)
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
         names = [c.split()[0] for c in _SCAN.split(", ")]
 
@@ -132,13 +132,8 @@ def _scan(width: int):
 
         for batch, lo, sets in _sets(batches, width):
             yield batch_of(*[batch.column(c).slice(lo, len(sets)).to_pylist() for c in ("id", "th")], [len(x) for x in sets], [_set_id(x) for x in sets], None, None, None)
-            waiting += sets
-            size += sum(map(len, sets))
-            if size > 1 << SKETCH_BITS - 1:
-                count += np.bincount((np.concatenate(waiting) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(count)).astype(np.uint32)
-                waiting, size = [], 0
-        if size:
-            count += np.bincount((np.concatenate(waiting) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(count)).astype(np.uint32)
+            # in place: counters of every addition would take more memory than all else here
+            np.add.at(count, (np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
         if count.any():
             task, chunks = TaskContext.get().partitionId(), count.reshape(-1, 1 << CHUNK_BITS)
             # few counters of a task pass 255: a byte each travels
@@ -190,7 +185,7 @@ class Order:
 
 def refined_order(prefixes: DataFrame, weights: np.ndarray) -> Order:
     """Order that puts shingles in FREQUENT prefixes or more last; the FREQUENT_MOST commonest of them reach the driver."""
-    with shuffle_files_removed(prefixes.sparkSession):
+    with shuffle_files_removed(prefixes.sparkSession), light_batches(prefixes.sparkSession):
         common = (prefixes.select(F.explode_outer("prefix").alias("shingle")).where("shingle is not null").groupBy("shingle")
                   .agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= FREQUENT))
         found = common.orderBy(F.desc("k"), "shingle").limit(FREQUENT_MOST).toArrow()

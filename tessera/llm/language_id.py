@@ -113,13 +113,14 @@ def _classify(profiles: dict[str, np.ndarray], size: int, keep_text: bool = Fals
 
     def run(batches):
         for batch in batches:
-            text, found = batch.column(batch.num_columns - 1), []
-            for lo in range(0, batch.num_rows, 256):
-                found += [one(t) for t in text.slice(lo, 256).to_pylist()]
-            own = batch.columns if keep_text else batch.columns[:-1]
-            yield pa.RecordBatch.from_arrays(
-                [*own, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                names=[*batch.schema.names[:len(own)], "lang_pred", "score"])
+            for lo in range(0, batch.num_rows, 256):  # what goes back is as small: it holds whole texts
+                part = batch.slice(lo, 256)
+                found = [one(t) for t in part.column(part.num_columns - 1).to_pylist()]
+                own = part.columns if keep_text else part.columns[:-1]
+                yield pa.RecordBatch.from_arrays(
+                    [*own, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
+                    names=[*part.schema.names[:len(own)], "lang_pred", "score"])
+        pa.default_memory_pool().release_unused()  # workers live on
     return run
 
 

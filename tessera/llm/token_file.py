@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tessera.llm.common import tokenizer_path
-from tessera.llm.token_ids import encoder
+from tessera.llm.token_ids import encoder, give_back
 
 SHARD_IDS = 1 << 20
 BUCKET_KEYS = 4096
@@ -158,6 +158,7 @@ def _encode(path: str, end_id: int, shard_ids: int, id_bytes: int):
                     chunks.append(raw if id_bytes == 4 else np.frombuffer(raw, "<u4").astype("<u2").tobytes())
         if ids:
             yield shard()
+        give_back()
     return run
 
 
@@ -211,6 +212,7 @@ def lookup(spark: SparkSession, path: str, keys: DataFrame, id_bytes: int = 2) -
 
 def _digests(id_bytes: int):
     def run(batches):
+        give_back(encoders=True)  # the file is written
         for b in batches:
             for part, seq, docs, copies, offsets, payload in zip(*(b.column(c).to_pylist() for c in (
                     "part", "seq", "doc_ids", "copies", "offsets", "payload")), strict=True):

@@ -228,3 +228,10 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     """One encoder per Python worker and file, kept between tasks."""
     return Encoder(path)
+
+
+def give_back(encoders: bool = False) -> None:
+    """Workers live on: return what Arrow holds unused and, for tasks that follow the encoding ones, the encoders."""
+    if encoders:
+        encoder.cache_clear()
+    pa.default_memory_pool().release_unused()

@@ -3,12 +3,14 @@
 import collections
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline as P
-from tessera.llm import html_text, registry, token_ids
-from tessera.llm.common import tokenizer_path
+from tessera.llm import best_fit_packing, html_text, jaccard_join, registry, token_ids
+from tessera.llm.common import BATCH_ROWS, LIGHT_ROWS, Tables, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -212,3 +214,40 @@ def test_frequent_pre_tokens_met_late_stay_known():
         enc.encode([" ".join(["often" + name(j) for j in range(10)] + ["y" + name(20 * k + j) for j in range(20)])])
     own = [p for p in asked if p.startswith((b"often", "often")[isinstance(p, str)])]
     assert len(own) == 10 and len(enc.known) <= 130
+
+
+# -- memory of a worker -------------------------------------------------------------
+
+def test_counters_of_a_scan_are_added_in_place(monkeypatch):
+    import pyspark
+    monkeypatch.setattr(pyspark.TaskContext, "get", classmethod(lambda cls: type("T", (), {"partitionId": lambda self: 0})()))
+    rng = random.Random(9)
+    texts = [" ".join(str(rng.randrange(10**6)) for _ in range(60)) for _ in range(200)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(201), pa.int64()), pa.array(texts, pa.string()), pa.array(range(201), pa.int64())], names=["id", "text", "th"])
+    jaccard_join._powers(1 << 16)
+    tracemalloc.start()
+    out = list(jaccard_join._scan(3)([batch]))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    counts = b"".join(b"".join(x for x in b.column("counts").to_pylist() if x) for b in out)
+    assert np.frombuffer(counts, np.uint8).sum() == sum(len(s) for s in jaccard_join.shingle_sets(texts))
+    assert most < 3 * 4 << jaccard_join.SKETCH_BITS  # the counters, and less than twice as much beside them
+
+
+def test_kept_tables_hand_python_few_rows_at_a_time(spark):
+    before = spark.conf.get(BATCH_ROWS)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+    tables = Tables(spark)
+    out = tables.keep(spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n long"))
+    found = [r["n"] for r in out.collect()]
+    assert sum(found) == 5000 and max(found) <= LIGHT_ROWS and spark.conf.get(BATCH_ROWS) == before
+    tables.drop(out)
+
+
+def test_encoders_go_when_all_texts_are_cut():
+    token_ids.encoder(tokenizer_path("byte_bpe_50k.json")).encode(["some text"])
+    list(best_fit_packing._placed([], 2048, 0, ["length"])(iter([])))
+    assert token_ids.encoder.cache_info().currsize == 0
