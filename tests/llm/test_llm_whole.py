@@ -175,6 +175,71 @@ def test_small_hosts_and_every_kind_of_page_have_a_template(spark):
         assert got[i] == want, i
 
 
+def texts_of(spark, rows):
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    return {r["url"]: r["text"] for r in got}
+
+
+def test_classes_nested_in_a_slot_say_what_of_it_is_content(spark):
+    def page(k):
+        box = "<div class=box><h4>Stay informed</h4><p>Leave your address with us</p></div>" if k % 2 else ""
+        links = "".join(f"<div class=item><h5><a href=x>Other page {i}</a></h5></div>" for i in range(k, 2 * k % 5 + k + 1))
+        notes = "".join(f"<div class=note><h5>Note {k}.{i}</h5><p>Its text {k * i}</p></div>" for i in range(k % 3))
+        return (f"<html><body><div class=top>Site name</div><div class=body><p>First part {k} of a text</p>{box}<p>second part {k}</p>{links}{notes}</div>"
+                f"<div class=fine>fine print</div></body></html>")
+    rows = [(k, f"http://h.example/{k}", page(k)) for k in range(12)]
+    notes = {k: [x for i in range(k % 3) for x in (f"Note {k}.{i}", f"Its text {k * i}")] for k in range(12)}
+    assert texts_of(spark, rows) == {u: "\n".join([f"First part {k} of a text", f"second part {k}", *notes[k]]) for k, u, _ in rows}
+
+
+def test_kinds_of_pages_under_half_of_a_host_have_a_nested_class(spark):
+    def page(k):
+        x, text = "abc"[k % 3], f"<h2>Head {k}</h2>Part {k} of a text with many words in it<p>and part {k} of more"
+        return (f"<html><body><section class={x}><i>Shop name</i></section><div class={x}>{text}</div><section class={x}z>all rights reserved</section>"
+                f"</body></html>")
+    rows = [(k, f"http://h.example/{k}", page(k)) for k in range(12)]
+    assert texts_of(spark, rows) == {u: f"Head {k}\nPart {k} of a text with many words in it\nand part {k} of more" for k, u, _ in rows}
+
+
+def test_hosts_without_a_class_on_half_their_pages_have_a_template(spark):
+    def page(k):
+        x = "abc"[k % 3]
+        return f"<div class={x}t><b>Shop name</b></div><div class={x}><h2>Head {k}</h2>Part {k} of a text with many words</div><div class={x}z>all rights</div>"
+    rows = [(k, f"http://h.example/{k}", page(k)) for k in range(12)]
+    rows.append((12, "http://h.example/12", "<div class=dt><b>Shop name</b></div><article>Its <a href=x>own</a></article>"))
+    want = {u: f"Head {k}\nPart {k} of a text with many words" if k < 12 else "Its own" for k, u, _ in rows}
+    assert texts_of(spark, rows) == want
+
+
+def test_one_text_on_two_pages_is_no_nested_template(spark):
+    def page(k):
+        k, table = k % 11, f"<table><caption>Table</caption><thead><tr><th>All of the {k % 11} numbers that were counted in it</th></tr></thead></table>"
+        return (f"<html><body><div class=top>Site name</div><div class=body><p>Part {k} of a text with many words in it</p>{table if k < 1 else ''}</div><div class=fine>fine print</div>"
+                f"</body></html>")
+    rows = [(k, f"http://h.example/{k}", page(k) + f"<!-- {k} -->") for k in range(12)]  # the first one comes again as the last
+    got = texts_of(spark, rows)
+    assert got["http://h.example/0"] == got["http://h.example/11"] == "Part 0 of a text with many words in it\nTable\nAll of the 0 numbers that were counted in it"
+    assert got["http://h.example/5"] == "Part 5 of a text with many words in it"
+
+
+def test_a_class_in_no_common_order_leaves_those_tokens_that_have_one(spark):
+    def page(k):
+        a, b = f"<div class=ann><h3>Ann {k}</h3>says {k}</div>", f"<div class=bob><h4>Bob {k}</h4>says {k * k}</div>"
+        return (f"<html><body><div class=top>Site name</div><div class=body>Part {k} of a text{a + b if k % 2 else b + a}</div><div class=fine>fine print</div>"
+                f"</body></html>")
+    rows = [(k, f"http://h.example/{k}", page(k)) for k in range(8)]
+    a, b = {k: f"Ann {k}\nsays {k}" for k in range(8)}, {k: f"Bob {k}\nsays {k * k}" for k in range(8)}
+    assert texts_of(spark, rows) == {u: "\n".join([f"Part {k} of a text", *((a[k], b[k]) if k % 2 else (b[k], a[k]))]) for k, u, _ in rows}
+
+
+def test_pages_without_an_id_or_with_one_id_have_a_template(spark):
+    def page(k, x):
+        return (f"<html><body><div class={x}t>Site name</div><div class={x}>Part {k} of a text</div><div class={x}f>fine print</div></body></html>")
+    for i in (None, 7):
+        rows = [(i, f"http://h.example/{k}", page(k, "ab"[k % 2])) for k in range(8)]
+        assert texts_of(spark, rows) == {u: f"Part {k} of a text" for k, (_, u, _) in enumerate(rows)}
+
+
 # -- op 3 and op 5 ------------------------------------------------------------------
 
 def test_listed_characters_cut_as_the_rule_by_class():
